@@ -1,0 +1,523 @@
+"""Registered queries: one Spark plan per operator of SURVEY §2 and its DuckDB oracle.
+
+Each query reads the driver tables under ``sf_dir`` (or data Spark derives
+from them) in full; the oracle computes the same result in SQL over the same
+tables. Column names are aliased identically on both sides.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cellar.functions import predicates as P
+from cellar.functions import scalar as X
+from cellar.operators import aggregate as A
+from cellar.operators import lookup as J
+from cellar.operators import mutate as M
+from cellar.operators import widetable as W
+from cellar.plans import etl, fixtures as FX
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, QueryFn] = {}
+ORACLES: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn: QueryFn) -> QueryFn:
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLES[name] = sql.strip()
+        return fn
+    return deco
+
+
+# --- shared SQL pieces -----------------------------------------------------------------------
+
+C_SQL = """c AS (SELECT lpad(CAST(user_id AS VARCHAR), 12, '0') AS row_key, 'ev' AS family,
+        event_type AS qualifier, ts, CAST(event_id AS VARCHAR) AS value, event_id AS seq FROM events)"""
+R_SQL = """r AS (SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS row_key, o_orderstatus AS status,
+        CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS priority,
+        CAST(o_custkey AS VARCHAR) AS cust, strftime(o_orderdate, '%Y-%m-%d') AS odate FROM orders)"""
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+EVENT_CATALOG = W.Catalog(table="events_wide", columns=tuple(W.ColumnSpec(t, FX.EVENT_FAMILY, t)
+                                                             for t in EVENT_TYPES))
+C_ROWS_SQL = "c_rows AS (SELECT row_key, " + ", ".join(
+    f"arg_max(value, (ts, seq)) FILTER (WHERE qualifier = '{t}') AS {t}" for t in EVENT_TYPES
+) + " FROM c GROUP BY row_key)"
+H_SQL = r"""h AS (SELECT c_custkey, (CASE c_custkey % 8
+          WHEN 0 THEN b WHEN 1 THEN '+86' || b WHEN 2 THEN '  ' || b || chr(9) || ' '
+          WHEN 3 THEN '"' || b || '"' WHEN 4 THEN substr(b, 1, 3) || '*' || substr(b, 4, 8) || '#'
+          WHEN 5 THEN 'tel' || b WHEN 6 THEN '' ELSE '+' || b || '*' END)
+          || chr(9) || c_name || chr(9) || c_mktsegment AS line
+        FROM (SELECT *, '1' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS b FROM customer))"""
+PHONE_NUMBER_SQL = r"""regexp_replace(regexp_replace(split_part(replace(line, '"', ''), chr(9), 1),
+        '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g'), '\+86|#|\+|\*', '', 'g')"""
+REPORT_SQL = """SELECT c.c_name || '_MY_' || CAST(o.o_orderkey AS VARCHAR) AS key,
+        c.c_mktsegment || ' road ' || CAST(o.o_custkey AS VARCHAR) AS addressdetail,
+        c.c_name AS addressname, '1' || lpad(CAST(o.o_custkey AS VARCHAR), 10, '0') AS addressphone,
+        strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS addtime, o.o_orderpriority AS invoicetitle,
+        o.o_orderstatus AS invoicetype, CAST(o.o_orderkey AS VARCHAR) AS orderid,
+        strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS ordertime, CAST(o.o_custkey AS VARCHAR) AS userid
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
+
+
+def _cells(spark, sf):
+    return FX.event_cells(spark, sf)
+
+
+def _rows(spark, sf):
+    return FX.order_rows(spark, sf)
+
+
+CELL_OUT = ["row_key", "family", "qualifier", "value", "seq"]
+
+
+# --- 3.1 batch ETL -----------------------------------------------------------------------------
+
+@register("crawl_order_report", REPORT_SQL)
+def crawl_order_report(spark, sf):
+    """The flagship job, upserted by key."""
+    report = etl.order_report(FX.order_feed(spark, sf), FX.user_cells(spark, sf), on_missing="error")
+    return etl.upsert_rows(None, report, key="key")
+
+
+@register("dated_feed", """SELECT CAST(o_custkey AS VARCHAR) AS userid, CAST(o_orderkey AS VARCHAR) AS orderid,
+        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS addtime
+    FROM orders WHERE strftime(o_orderdate, '%Y%m%d') = '19970315'""")
+def dated_feed(spark, sf):
+    """S1 + S2: one day of the feed, chosen by the partition column (partition pruning)."""
+    from cellar.sources.json_feed import feed_date
+    day = feed_date(["19970315"])
+    flat = etl.flatten_orders(FX.order_feed(spark, sf, date=day))
+    return flat.select("userid", "orderid", "addtime")
+
+
+@register("explode_inner", """SELECT CAST(o_custkey AS VARCHAR) AS userid, CAST(o_orderkey AS VARCHAR) AS orderid,
+        o_orderstatus AS invoicetype FROM orders""")
+def explode_inner(spark, sf):
+    """Documents with an empty or NULL order list give no row."""
+    return etl.explode_orders(FX.order_feed(spark, sf)).select(
+        "userid", F.col("orderInfo.orderNo").alias("orderid"), F.col("orderInfo.invoiceType").alias("invoicetype"))
+
+
+# --- lookups -----------------------------------------------------------------------------------
+
+@register("lookup_left", f"""WITH {C_SQL},
+    lp AS (SELECT row_key, arg_max(value, (ts, seq)) AS last_purchase FROM c WHERE qualifier = 'purchase'
+           GROUP BY row_key)
+    SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS row_key, CAST(o_custkey AS VARCHAR) AS cust,
+           lp.last_purchase
+    FROM orders LEFT JOIN lp ON lpad(CAST(o_custkey AS VARCHAR), 12, '0') = lp.row_key""")
+def lookup_left(spark, sf):
+    """J1 with ``on_missing='null'``: each order gets its customer's newest purchase event."""
+    rows = _rows(spark, sf).select("row_key", "cust", FX.padded_key(F.col("cust")).alias("_ck"))
+    lk = J.lookup_table(_cells(spark, sf), FX.EVENT_FAMILY, "purchase", "last_purchase", key_name="_pk")
+    return J.enrich(rows, lk, "_ck", "_pk", ["last_purchase"], on_missing="null").drop("_ck")
+
+
+_BATCH_GET_SQL = f"""WITH {C_SQL}, {C_ROWS_SQL}
+    SELECT o_orderkey AS pos, lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS row_key,
+           {", ".join(f"c_rows.{t}" for t in EVENT_TYPES)}
+    FROM orders LEFT JOIN c_rows{{cond}} ON lpad(CAST(o_custkey AS VARCHAR), 12, '0') = c_rows.row_key"""
+
+
+@register("batch_get", _BATCH_GET_SQL.format(cond=""))
+def batch_get(spark, sf):
+    """One result per requested key (duplicates kept, NULLs where absent), request position kept."""
+    keys = FX.table(spark, sf, "orders").select(F.col("o_orderkey").alias("pos"),
+                                                 FX.padded_key(F.col("o_custkey")).alias("row_key"))
+    return J.batch_get(keys, W.to_rows(_cells(spark, sf), EVENT_CATALOG))
+
+
+@register("batch_get_filtered", _BATCH_GET_SQL.replace("LEFT JOIN c_rows{cond}",
+                                                       "LEFT JOIN (SELECT * FROM c_rows WHERE purchase IS NOT NULL) c_rows"))
+def batch_get_filtered(spark, sf):
+    """As J2, the table filtered first - a key whose row fails comes back empty."""
+    keys = FX.table(spark, sf, "orders").select(F.col("o_orderkey").alias("pos"),
+                                                 FX.padded_key(F.col("o_custkey")).alias("row_key"))
+    return J.batch_get(keys, W.to_rows(_cells(spark, sf), EVENT_CATALOG), condition=F.col("purchase").isNotNull())
+
+
+@register("point_get", f"""WITH {R_SQL} SELECT * FROM r WHERE row_key = '000000000777' AND status <> 'X'""")
+def point_get(spark, sf):
+    """One key plus a filter."""
+    return J.point_get(_rows(spark, sf), "000000000777", condition=F.col("status") != "X")
+
+
+# --- aggregations ------------------------------------------------------------------------------
+
+@register("gather_values", """SELECT l_orderkey, 0 AS chunk,
+        string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY CAST(l_linenumber AS VARCHAR)) AS values_text,
+        count(*) AS n_values
+    FROM lineitem GROUP BY l_orderkey""")
+def gather_values(spark, sf):
+    """A1: the line numbers of every order as text (chunked gather; an order is one chunk)."""
+    li = FX.table(spark, sf, "lineitem")
+    g = A.gather_values(li, "l_orderkey", "l_linenumber")
+    return g.select("l_orderkey", "chunk", F.array_join("values", ",").alias("values_text"),
+                    F.size("values").cast("long").alias("n_values"))
+
+
+@register("offset_report", """SELECT 'events' AS topic, CAST(user_id % 3 AS INTEGER) AS partition,
+        min(event_id) AS from_offset, max(event_id) + 1 AS until_offset
+    FROM events GROUP BY 2""")
+def offset_report(spark, sf):
+    """A2/T5: consumed range per topic and partition."""
+    return A.offset_ranges(FX.messages(spark, sf))
+
+
+@register("message_text", """SELECT 'events' AS topic, CAST(user_id % 3 AS INTEGER) AS partition,
+        event_id AS offset,
+        coalesce(CASE WHEN event_type = 'signup' THEN NULL ELSE CAST(user_id AS VARCHAR) END, '') || ':' || props
+        AS text
+    FROM events""")
+def message_text(spark, sf):
+    """P13 + D11: ``key:value``, a NULL key as ''."""
+    g = FX.messages(spark, sf)
+    return g.select("topic", "partition", "offset", X.message_text("key", "value").alias("text"))
+
+
+# --- forms and reads ---------------------------------------------------------------------------
+
+@register("to_cells", f"""WITH {R_SQL}
+    SELECT row_key, 'o' AS family, qualifier, value FROM r
+    UNPIVOT (value FOR qualifier IN (status, priority, cust, odate))""")
+def to_cells(spark, sf):
+    """Row form -> cell form (missing cells give no cell)."""
+    return W.to_cells(_rows(spark, sf), FX.ORDER_ROWS_CATALOG).select("row_key", "family", "qualifier", "value")
+
+
+@register("to_rows", f"WITH {C_SQL}, {C_ROWS_SQL} SELECT * FROM c_rows")
+def to_rows(spark, sf):
+    """Cell form -> row form, newest version per mapped cell."""
+    return W.to_rows(_cells(spark, sf), EVENT_CATALOG)
+
+
+@register("full_scan", f"WITH {R_SQL} SELECT * FROM r")
+def full_scan(spark, sf):
+    """The whole table (lazy; nothing pulled to the driver)."""
+    return W.scan(_rows(spark, sf))
+
+
+@register("key_prefix", f"WITH {R_SQL} SELECT * FROM r WHERE starts_with(row_key, '000000001')")
+def key_prefix(spark, sf):
+    """prefix scan."""
+    return W.scan(_rows(spark, sf), prefix="000000001")
+
+
+@register("key_from", f"WITH {R_SQL} SELECT * FROM r WHERE row_key >= '000000012000'")
+def key_from(spark, sf):
+    """scan from a start key."""
+    return W.scan(_rows(spark, sf), start="000000012000")
+
+
+@register("key_regex", f"WITH {R_SQL} SELECT * FROM r WHERE regexp_matches(row_key, '[05]7$')")
+def key_regex(spark, sf):
+    """row key regex (find)."""
+    return W.scan(_rows(spark, sf), condition=P.key_regex("[05]7$"))
+
+
+@register("col_equals", f"WITH {R_SQL} SELECT * FROM r WHERE priority = '1-URGENT'")
+def col_equals(spark, sf):
+    """a missing cell fails."""
+    return W.scan(_rows(spark, sf), condition=P.column_equals("priority", "1-URGENT"))
+
+
+@register("col_at_least", f"WITH {R_SQL} SELECT * FROM r WHERE priority >= '3-MEDIUM'")
+def col_at_least(spark, sf):
+    """text comparison, a missing cell fails."""
+    return W.scan(_rows(spark, sf), condition=P.column_at_least("priority", "3-MEDIUM"))
+
+
+@register("col_regex", f"WITH {R_SQL} SELECT * FROM r WHERE priority IS NULL OR regexp_matches(priority, 'URGENT|HIGH')")
+def col_regex(spark, sf):
+    """a missing cell passes."""
+    return W.scan(_rows(spark, sf), condition=P.column_regex("priority", "URGENT|HIGH"))
+
+
+@register("all_of", f"""WITH {R_SQL} SELECT * FROM r
+    WHERE odate >= '1997-01-01' AND (priority IS NULL OR regexp_matches(priority, 'HIGH')) AND status = 'P'""")
+def all_of(spark, sf):
+    """F7."""
+    cond = P.all_of([P.column_at_least("odate", "1997-01-01"), P.column_regex("priority", "HIGH"),
+                     P.column_equals("status", "P")])
+    return W.scan(_rows(spark, sf), condition=cond)
+
+
+@register("any_of", f"""WITH {R_SQL} SELECT * FROM r
+    WHERE coalesce(priority = '1-URGENT', false) OR regexp_matches(row_key, '99$')""")
+def any_of(spark, sf):
+    """F8."""
+    cond = P.any_of([P.column_equals("priority", "1-URGENT"), P.key_regex("99$")])
+    return W.scan(_rows(spark, sf), condition=cond)
+
+
+@register("filter_scan", f"""WITH {R_SQL} SELECT row_key, status, odate FROM r
+    WHERE row_key >= '000000001000' AND starts_with(row_key, '00000000') AND status = 'F'""")
+def filter_scan(spark, sf):
+    """F10 + scanPrefix/scan(start) forms: start key, prefix, filter and named columns in one scan."""
+    return W.scan(_rows(spark, sf), condition=P.column_equals("status", "F"), start="000000001000",
+                  prefix="00000000", columns=["status", "odate"])
+
+
+@register("prefix_exists", f"""WITH {C_SQL},
+    p AS (SELECT DISTINCT substr(lpad(CAST(c_custkey AS VARCHAR), 12, '0'), 1, 11) AS prefix FROM customer)
+    SELECT prefix, EXISTS (SELECT 1 FROM c WHERE starts_with(c.row_key, p.prefix)) AS "exists" FROM p""")
+def prefix_exists(spark, sf):
+    """F9 for many prefixes: equi semi-join per prefix length, no cross join."""
+    prefixes = (FX.table(spark, sf, "customer")
+                .select(F.substring(FX.padded_key(F.col("c_custkey")), 1, 11).alias("prefix")).distinct())
+    return W.prefixes_exist(prefixes, _cells(spark, sf), lengths=[11])
+
+
+@register("named_columns", f"""WITH {C_SQL} SELECT row_key, family, qualifier, value, seq FROM c
+    WHERE family = 'ev' AND qualifier IN ('click', 'purchase')""")
+def named_columns(spark, sf):
+    """P6 on the cell form."""
+    return W.named_cells(_cells(spark, sf), FX.EVENT_FAMILY, ["click", "purchase"]).select(*CELL_OUT)
+
+
+@register("named_columns_rows", f"WITH {R_SQL} SELECT row_key, status, cust FROM r")
+def named_columns_rows(spark, sf):
+    """P6 on the row form."""
+    return W.named_columns(_rows(spark, sf), FX.ORDER_ROWS_CATALOG, FX.ORDER_ROW_FAMILY, ["status", "cust"])
+
+
+@register("column_prefix", f"""WITH {C_SQL} SELECT row_key, family, qualifier, value, seq FROM c
+    WHERE starts_with(qualifier, 'cl') OR starts_with(qualifier, 'pu')""")
+def column_prefix(spark, sf):
+    """P7."""
+    return W.column_prefix_cells(_cells(spark, sf), ["cl", "pu"]).select(*CELL_OUT)
+
+
+@register("keys_only", f"WITH {C_SQL} SELECT DISTINCT row_key FROM c")
+def keys_only(spark, sf):
+    """P8."""
+    return W.keys_only(_cells(spark, sf))
+
+
+@register("family_map", f"""WITH {C_SQL},
+    n AS (SELECT row_key, qualifier, arg_max(value, (ts, seq)) AS value FROM c GROUP BY row_key, qualifier)
+    SELECT row_key, string_agg(qualifier || '=' || value, ',' ORDER BY qualifier || '=' || value) AS cells_text
+    FROM n GROUP BY row_key""")
+def family_map(spark, sf):
+    """One family as a map (compared as sorted ``k=v`` text)."""
+    m = W.family_map(_cells(spark, sf), FX.EVENT_FAMILY)
+    entries = F.transform(F.map_entries("cells"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return m.select("row_key", F.array_join(F.array_sort(entries), ",").alias("cells_text"))
+
+
+@register("latest_value", f"""WITH {C_SQL} SELECT row_key, family, qualifier, arg_max(value, (ts, seq)) AS value
+    FROM c GROUP BY row_key, family, qualifier""")
+def latest_value(spark, sf):
+    """Newest value of every cell."""
+    return W.latest_cells(_cells(spark, sf)).select("row_key", "family", "qualifier", "value")
+
+
+@register("latest_click", f"""WITH {C_SQL} SELECT row_key, arg_max(value, (ts, seq)) AS value
+    FROM c WHERE family = 'ev' AND qualifier = 'click' GROUP BY row_key""")
+def latest_click(spark, sf):
+    """P10: newest value of one named cell per row."""
+    return W.latest_value(_cells(spark, sf), FX.EVENT_FAMILY, "click")
+
+
+@register("column_listing", """SELECT DISTINCT 'ev' AS family, event_type AS qualifier FROM events
+    UNION SELECT 'yhxx', 'ANY COLUMN' FROM customer""")
+def column_listing(spark, sf):
+    """(family, column) pairs; a family selected whole shows as ANY COLUMN."""
+    both = _cells(spark, sf).unionByName(FX.user_cells(spark, sf))
+    return W.column_listing(both, whole_families=["yhxx"])
+
+
+@register("first_n", f"WITH {R_SQL} SELECT * FROM r ORDER BY row_key LIMIT 25")
+def first_n(spark, sf):
+    """O1: first rows in key order (top-k)."""
+    return W.first_n(_rows(spark, sf), 25)
+
+
+@register("page", f"WITH {R_SQL} SELECT * FROM r WHERE status = 'O' ORDER BY row_key LIMIT 50")
+def page(spark, sf):
+    """O2: page of a filtered scan, global over the key order."""
+    return W.page(W.scan(_rows(spark, sf), condition=P.column_equals("status", "O")), 50)
+
+
+# --- changes -----------------------------------------------------------------------------------
+
+_UPSERT_CHANGES_SQL = "SELECT row_key, family, 'click' AS qualifier, ts, 'p' || value AS value, seq + 1000000000000000 AS seq FROM c WHERE qualifier = 'purchase'"
+
+
+def _upsert_changes(cells: DataFrame) -> DataFrame:
+    return cells.where(F.col("qualifier") == "purchase").select(
+        "row_key", "family", F.lit("click").alias("qualifier"), "ts",
+        F.concat(F.lit("p"), F.col("value")).alias("value"), (F.col("seq") + F.lit(10 ** 15)).alias("seq"))
+
+
+@register("upsert_cells", f"""WITH {C_SQL}, u AS (SELECT * FROM c UNION ALL {_UPSERT_CHANGES_SQL})
+    SELECT row_key, family, qualifier, value, seq FROM (
+        SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY ts DESC, seq DESC) AS rn FROM u)
+    WHERE rn = 1""")
+def upsert_cells(spark, sf):
+    """Newest-wins put of a batch of cells."""
+    cells = _cells(spark, sf)
+    return M.upsert(cells, _upsert_changes(cells)).select(*CELL_OUT)
+
+
+@register("upsert_versions", f"""WITH {C_SQL}, u AS (SELECT * FROM c UNION ALL {_UPSERT_CHANGES_SQL})
+    SELECT row_key, family, qualifier, value, seq FROM (
+        SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier, ts ORDER BY seq DESC) AS rn FROM u)
+    WHERE rn = 1""")
+def upsert_versions(spark, sf):
+    """M2 keeping versions: a put on an existing version replaces it, other versions stay."""
+    cells = _cells(spark, sf)
+    return M.upsert(cells, _upsert_changes(cells), keep_versions=True).select(*CELL_OUT)
+
+
+@register("delete_keys", f"""WITH {C_SQL} SELECT row_key, family, qualifier, value, seq FROM c
+    WHERE row_key NOT IN (SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0') FROM customer
+                          WHERE c_mktsegment = 'HOUSEHOLD')""")
+def delete_keys(spark, sf):
+    """M3: delete rows by key (anti join)."""
+    keys = (FX.table(spark, sf, "customer").where(F.col("c_mktsegment") == "HOUSEHOLD")
+            .select(FX.padded_key(F.col("c_custkey")).alias("row_key")))
+    return M.delete_rows(_cells(spark, sf), keys).select(*CELL_OUT)
+
+
+@register("delete_latest", f"""WITH {C_SQL},
+    req AS (SELECT DISTINCT row_key FROM c WHERE qualifier = 'error'),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY ts DESC, seq DESC) AS rn
+               FROM c)
+    SELECT row_key, family, qualifier, value, seq FROM ranked
+    WHERE NOT (rn = 1 AND qualifier = 'view' AND family = 'ev' AND row_key IN (SELECT row_key FROM req))""")
+def delete_latest(spark, sf):
+    """M4: for rows with an error cell, delete the newest ``view`` version (older ones show again)."""
+    cells = _cells(spark, sf)
+    req = (cells.where(F.col("qualifier") == "error").select("row_key").distinct()
+           .select("row_key", F.lit(FX.EVENT_FAMILY).alias("family"), F.lit("view").alias("qualifier")))
+    return M.delete_latest(cells, req).select(*CELL_OUT)
+
+
+@register("delete_where", f"WITH {R_SQL} SELECT * FROM r WHERE NOT coalesce(priority = '1-URGENT', false)")
+def delete_where(spark, sf):
+    """M5: delete rows matching a filter; NULL keeps the row."""
+    return M.delete_where(_rows(spark, sf), P.column_equals("priority", "1-URGENT"))
+
+
+@F.pandas_udf("boolean")
+def _before_1996(odate: pd.Series) -> pd.Series:
+    return odate < "1996-01-01"
+
+
+@register("delete_where_pred", f"""WITH {R_SQL} SELECT * FROM r
+    WHERE NOT (coalesce(status = 'F', false) AND coalesce(odate < '1996-01-01', false))""")
+def delete_where_pred(spark, sf):
+    """M6 + E3: filter and a caller's predicate (here a pandas UDF)."""
+    return M.delete_where_pred(_rows(spark, sf), P.column_equals("status", "F"), _before_1996("odate"))
+
+
+@register("range_layout", f"WITH {R_SQL} SELECT * FROM r")
+def range_layout(spark, sf):
+    """K2: pre-split into 5 key ranges (layout checked in the unit tests)."""
+    return M.range_layout(_rows(spark, sf), 5)
+
+
+# --- scalar functions --------------------------------------------------------------------------
+
+def _phone_numbers(spark, sf) -> DataFrame:
+    h = FX.phone_lines(spark, sf)
+    fields = X.split_keep_trailing(X.strip_double_quotes("line"), "\t")
+    return h.select("c_custkey", "line", X.normalise_phone(X.first_field_or_empty(fields)).alias("number"))
+
+
+@register("normalise_phone", f"""WITH {H_SQL}
+    SELECT c_custkey, line, {PHONE_NUMBER_SQL} AS number,
+           regexp_full_match({PHONE_NUMBER_SQL}, '[0-9]*') AS numeric FROM h""")
+def normalise_phone(spark, sf):
+    """Clean the first field of each phone line."""
+    return _phone_numbers(spark, sf).withColumn("numeric", X.is_numeric("number"))
+
+
+@register("numeric_only", f"""WITH {H_SQL}
+    SELECT c_custkey, number FROM (SELECT c_custkey, {PHONE_NUMBER_SQL} AS number FROM h)
+    WHERE regexp_full_match(number, '[0-9]+')""")
+def numeric_only(spark, sf):
+    """F11 + D6: keep all-digit numbers; blank ones are dropped (``allow_blank=False``)."""
+    return (_phone_numbers(spark, sf).where(X.is_numeric("number", allow_blank=False))
+            .select("c_custkey", "number"))
+
+
+@register("key_words", f"""WITH {R_SQL} SELECT row_key,
+        CASE WHEN row_key = '' THEN '' WHEN rtrim(row_key, '0') = '' THEN ''
+             ELSE array_to_string(string_split(rtrim(row_key, '0'), '0'), '|') END AS words,
+        CAST(CASE WHEN row_key = '' THEN 1 WHEN rtrim(row_key, '0') = '' THEN 0
+             ELSE len(string_split(rtrim(row_key, '0'), '0')) END AS INTEGER) AS n_words
+    FROM r""")
+def key_words(spark, sf):
+    """Split the row key, trailing empty parts dropped."""
+    words = X.split_drop_trailing("row_key", "0")
+    return _rows(spark, sf).select("row_key", F.array_join(words, "|").alias("words"),
+                                   F.size(words).alias("n_words"))
+
+
+_DATE_TEXT = ("CASE WHEN o_orderstatus = 'P' THEN strftime(o_orderdate, '%Y/%m/%d') "
+              "ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END")
+_PARSED_MS = f"(epoch_us(try_strptime({_DATE_TEXT}, '%Y-%m-%d %H:%M:%S')) // 1000)"
+
+
+def _date_text():
+    return (F.when(F.col("o_orderstatus") == "P", F.date_format("o_orderdate", "yyyy/MM/dd"))
+            .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")))
+
+
+def _line_dates(spark, sf) -> DataFrame:
+    li = FX.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    o = FX.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    return li.join(o, li["l_orderkey"] == o["o_orderkey"]).select(
+        "l_orderkey", "l_linenumber", _date_text().alias("date_text"),
+        X.ts_epoch_millis("l_shipdate").alias("ship_ms"))
+
+
+@register("days_between", f"""SELECT l_orderkey, l_linenumber,
+        CAST(coalesce((epoch_us(l_shipdate) // 1000 - {_PARSED_MS}) // 86400000, 0) AS INTEGER) AS days
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def days_between(spark, sf):
+    """Whole days from the order date text to the ship time (ms); 0 when the text does not parse."""
+    d = _line_dates(spark, sf)
+    return d.select("l_orderkey", "l_linenumber", X.days_between("date_text", "ship_ms").alias("days"))
+
+
+@register("days_between_rev", f"""SELECT l_orderkey, l_linenumber,
+        CAST(coalesce(({_PARSED_MS} - epoch_us(l_shipdate) // 1000) // 86400000, 0) AS INTEGER) AS days
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def days_between_rev(spark, sf):
+    """The same with the other sign."""
+    d = _line_dates(spark, sf)
+    return d.select("l_orderkey", "l_linenumber", X.days_between_rev("date_text", "ship_ms").alias("days"))
+
+
+@register("unix_text", f"""SELECT o_orderkey, coalesce(CAST({_PARSED_MS} // 1000 AS VARCHAR), '') AS unix_text
+    FROM orders""")
+def unix_text(spark, sf):
+    """Date text -> epoch seconds as text, '' when it does not parse."""
+    o = FX.table(spark, sf, "orders")
+    return o.select("o_orderkey", X.unix_seconds_text(_date_text()).alias("unix_text"))
+
+
+@register("utf8_bytes", """SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes,
+        decode(encode(text)) = text AS round_trip FROM documents""")
+def utf8_bytes(spark, sf):
+    """Text <-> UTF-8 bytes over whole documents."""
+    d = FX.table(spark, sf, "documents")
+    b = X.to_utf8("text")
+    return d.select("doc_id", F.length(b).cast("long").alias("n_bytes"), (X.from_utf8(b) == F.col("text")).alias("round_trip"))
+
+
+def queries() -> dict[str, QueryFn]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLES)
