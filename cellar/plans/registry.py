@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellar.functions import predicates as P
 from cellar.functions import scalar as X
@@ -19,6 +19,7 @@ from cellar.operators import aggregate as A
 from cellar.operators import lookup as J
 from cellar.operators import mutate as M
 from cellar.operators import widetable as W
+from cellar.plans import callbacks as CB
 from cellar.plans import etl, fixtures as FX
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -406,16 +407,12 @@ def delete_where(spark, sf):
     return M.delete_where(_rows(spark, sf), P.column_equals("priority", "1-URGENT"))
 
 
-@F.pandas_udf("boolean")
-def _before_1996(odate: pd.Series) -> pd.Series:
-    return odate < "1996-01-01"
-
-
 @register("delete_where_pred", f"""WITH {R_SQL} SELECT * FROM r
     WHERE NOT (coalesce(status = 'F', false) AND coalesce(odate < '1996-01-01', false))""")
 def delete_where_pred(spark, sf):
     """M6 + E3: filter and a caller's predicate (here a pandas UDF)."""
-    return M.delete_where_pred(_rows(spark, sf), P.column_equals("status", "F"), _before_1996("odate"))
+    before_1996 = F.pandas_udf(CB.before_1996, T.BooleanType())
+    return M.delete_where_pred(_rows(spark, sf), P.column_equals("status", "F"), before_1996("odate"))
 
 
 @register("range_layout", f"WITH {R_SQL} SELECT * FROM r")
@@ -515,6 +512,54 @@ def utf8_bytes(spark, sf):
     return d.select("doc_id", F.length(b).cast("long").alias("n_bytes"), (X.from_utf8(b) == F.col("text")).alias("round_trip"))
 
 
+# --- user code ---------------------------------------------------------------------------------
+
+@register("batch_calls", f"""WITH {H_SQL},
+    n AS (SELECT number FROM (SELECT {PHONE_NUMBER_SQL} AS number FROM h) WHERE regexp_full_match(number, '[0-9]+')),
+    b AS (SELECT number, (row_number() OVER (ORDER BY number) - 1) // 99 AS batch_id FROM n),
+    g AS (SELECT batch_id, count(*) AS n_values, string_agg(number, ',' ORDER BY number) AS numbers FROM b
+          GROUP BY batch_id)
+    SELECT batch_id, n_values, numbers, CAST(n_values AS VARCHAR) AS response,
+           numbers || chr(9) || CAST(n_values AS VARCHAR) AS line FROM g""")
+def batch_calls(spark, sf):
+    """Numbers in consecutive batches of 99, one service call per batch."""
+    from cellar.plans.phones import enrich_phone_list
+    return enrich_phone_list(FX.phone_lines(spark, sf).select("line"), max_attempts=3, pause_seconds=0.1)
+
+
+@register("partition_stage", r"""SELECT event_id, CAST(NULLIF(regexp_extract(props, '"k":\s*(\d+)', 1), '') AS BIGINT) AS k
+    FROM events""")
+def partition_stage(spark, sf):
+    """A resource (a compiled pattern) opened once per partition, applied batch by batch."""
+    from cellar.operators.enrich import map_partitions_with_resource
+    ev = FX.table(spark, sf, "events").select("event_id", "props")
+    return map_partitions_with_resource(ev, CB.open_k_parser, CB.parse_k, "event_id long, k long")
+
+
+@register("row_callback", f"""WITH {C_SQL} SELECT row_key, row_key || '/' || qualifier || '=' || value AS label FROM c""")
+def row_callback(spark, sf):
+    """A per-row callback over every scanned cell, vectorised over Arrow batches."""
+    from cellar.operators.enrich import map_rows
+    return map_rows(_cells(spark, sf).select("row_key", "qualifier", "value"), CB.cell_label,
+                    "row_key string, label string")
+
+
+@register("user_aggregate", """SELECT l_returnflag, CAST(count(*) AS VARCHAR) || ':' || CAST(sum(l_linenumber) AS VARCHAR)
+        AS result FROM lineitem GROUP BY l_returnflag""")
+def user_aggregate(spark, sf):
+    """Zero / add / merge aggregate on three keys that each hold about a third of the rows."""
+    li = FX.table(spark, sf, "lineitem")
+    return A.aggregate_by_key(li, "l_returnflag", "l_linenumber", (0, 0), CB.count_sum_add, CB.count_sum_merge,
+                              CB.count_sum_text)
+
+
+@register("gather_counts", """SELECT l_returnflag, CAST(l_linenumber AS VARCHAR) AS value, count(*) AS n
+    FROM lineitem GROUP BY ALL""")
+def gather_counts(spark, sf):
+    """A1, compact exact form: the bag of line numbers per return flag as value counts."""
+    return A.gather_counts(FX.table(spark, sf, "lineitem"), "l_returnflag", "l_linenumber")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
