@@ -141,24 +141,42 @@ def info_type():
     return ORDER_DOC_SCHEMA["message"].dataType["orderInfo"].dataType.elementType
 
 
-def feed_path(spark: SparkSession, sf_dir: str) -> str:
-    tag = hashlib.sha1(f"{FEED_VERSION}:{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
-    return shared_path(spark, "feeds", "order_docs", tag)
-
-
-def ensure_order_feed(spark: SparkSession, sf_dir: str) -> str:
-    """Write the order feed once per input folder (reused when its commit marker exists)."""
-    path = feed_path(spark, sf_dir)
+def _committed(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.text(f"{path}/_SUCCESS").schema  # noqa: B018 - existence check only
-        return path
+        return True
     except AnalysisException:
-        pass
-    (order_documents(spark, sf_dir).repartition("dt").write.mode("overwrite")
-     .partitionBy("dt").json(path))
+        return False
+
+
+def derived_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    tag = hashlib.sha1(f"{FEED_VERSION}:{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
+    return shared_path(spark, "derived", name, tag)
+
+
+def ensure_written(spark: SparkSession, sf_dir: str, name: str, build, write) -> str:
+    """Write a derived input once per input folder; reuse it when its commit marker exists."""
+    path = derived_path(spark, sf_dir, name)
+    if not _committed(spark, path):
+        write(build(spark, sf_dir), path)
     return path
 
 
+def ensure_order_feed(spark: SparkSession, sf_dir: str) -> str:
+    """The order feed, one folder per day (``dt=yyyyMMdd``)."""
+    return ensure_written(spark, sf_dir, "order_docs", order_documents,
+                          lambda df, p: df.repartition("dt").write.mode("overwrite").partitionBy("dt").json(p))
+
+
+MESSAGE_FILES = 4
+
+
+def ensure_message_files(spark: SparkSession, sf_dir: str) -> str:
+    """G as a folder of Parquet files (one micro-batch each with one file per trigger)."""
+    return ensure_written(spark, sf_dir, "messages", messages,
+                          lambda df, p: df.repartition(MESSAGE_FILES).write.mode("overwrite").parquet(p))
+
+
 def order_feed(spark: SparkSession, sf_dir: str, date: str | None = None) -> DataFrame:
     return read_json_feed(spark, ensure_order_feed(spark, sf_dir), date=date)
 

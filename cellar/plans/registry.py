@@ -560,6 +560,27 @@ def gather_counts(spark, sf):
     return A.gather_counts(FX.table(spark, sf, "lineitem"), "l_returnflag", "l_linenumber")
 
 
+# --- streaming ---------------------------------------------------------------------------------
+
+@register("forward_stream", """SELECT CASE WHEN event_type = 'signup' THEN NULL ELSE CAST(user_id AS VARCHAR) END AS key,
+        coalesce(CASE WHEN event_type = 'signup' THEN NULL ELSE CAST(user_id AS VARCHAR) END, '') || ':' || props AS value
+    FROM events""")
+def forward_stream(spark, sf):
+    """File stream of messages -> ``key:value`` -> batch-keyed sink, offsets reported
+    per batch, positions in the query checkpoint; drained with ``availableNow``."""
+    from cellar.session import shared_path
+    from cellar.streaming import forwarder as S
+    src = FX.ensure_message_files(spark, sf)
+    run = shared_path(spark, "streams", "forward", unique=True)
+    q = S.start_forwarder(S.read_message_files(spark, src, files_per_batch=1), S.folder_sink(f"{run}/out"),
+                          f"{run}/checkpoint", report=S.folder_sink(f"{run}/report"),
+                          trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{run}/out").select("key", "value")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

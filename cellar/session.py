@@ -65,9 +65,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The configured shared folder itself (stable across sessions, unlike the
+    per-application subfolder Spark creates for ``checkpoint()``)."""
+    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return conf_dir.rstrip("/") if conf_dir else checkpoint_dir(spark).rstrip("/")
+
+
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
-    """A path under the shared checkpoint folder, for tables a job writes to cut lineage."""
-    base = checkpoint_dir(spark).rstrip("/")
+    """A path under the shared folder, for tables a job writes (derived inputs, stream checkpoints)."""
+    base = shared_root(spark)
     names = [p.strip("/") for p in parts if p]
     if unique:
         names.append(uuid.uuid4().hex)
@@ -79,4 +86,4 @@ def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "checkpoint_dir", "shared_path", "local_fs_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "checkpoint_dir", "shared_root", "shared_path", "local_fs_path", "DEFAULT_CONF"]
