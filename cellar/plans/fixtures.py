@@ -183,3 +183,34 @@ def order_feed(spark: SparkSession, sf_dir: str, date: str | None = None) -> Dat
 
 __all__ = ["KEY_WIDTH", "EVENT_FAMILY", "ORDER_ROWS_CATALOG", "table", "padded_key", "event_cells", "order_rows",
            "user_cells", "phone_lines", "messages", "order_documents", "ensure_order_feed", "order_feed"]
+
+
+# --- delimited text ----------------------------------------------------------------------------
+
+def ensure_text(spark: SparkSession, sf_dir: str, name: str, build, header: str | None = None,
+                order: str | None = None, line_sep: str | None = None) -> str:
+    """Write derived text lines (column ``line``) once per input folder.
+
+    A header line or a fixed line order needs one ordered file; otherwise the
+    lines are written by every task in parallel.
+    """
+    def write(df: DataFrame, path: str) -> None:
+        lines = df.select(F.col("line").alias("value"))
+        if header is not None or order is not None:
+            ordered = df.select(F.lit(1).alias("_g"), F.col(order) if order else F.lit(0).alias("_o"),
+                                F.col("line").alias("value"))
+            if header is not None:
+                ordered = spark.createDataFrame([(0, None, header)], ordered.schema).unionByName(ordered)
+            sort_cols = ["_g"] + ([order] if order else [])
+            lines = ordered.orderBy(*sort_cols).coalesce(1).select("value")
+        w = lines.write.mode("overwrite")
+        if line_sep is not None:
+            w = w.option("lineSep", line_sep)
+        w.text(path)
+    return ensure_written(spark, sf_dir, name, build, write)
+
+
+def ensure_csv(spark: SparkSession, sf_dir: str, name: str, build, options: dict) -> str:
+    """Write a derived table with Spark's CSV writer (parallel, one header per file)."""
+    return ensure_written(spark, sf_dir, name, build,
+                          lambda df, p: df.write.mode("overwrite").options(**options).csv(p))

@@ -1,0 +1,41 @@
+"""Numeric backslash escapes (S6.4) - the one part of the delimited reader that needs Python.
+
+Run as a pandas UDF over Arrow batches, one regex pass per batch.
+"""
+
+from __future__ import annotations
+
+import re
+
+import pandas as pd
+
+# Escape forms - \uXXXX (hex), \xXX (hex), \oOOO (octal), \dDDD (decimal),
+# \OOO (octal, first digit 0-7), single letters n r t b f e v a; any other escaped character stands for itself.
+_LETTERS = {"n": "\n", "r": "\r", "t": "\t", "b": "\b", "f": "\f", "e": "\x1b", "v": "\x0b", "a": "\x07"}
+_PATTERN = re.compile(r"\\(?:[uU]([0-9a-fA-F]{4})|[xX]([0-9a-fA-F]{2})|[oO]([0-7]{3})|[dD]([0-9]{3})"
+                      r"|([0-7][0-7]{2})|(.))", re.DOTALL)
+
+
+def _one(m: re.Match) -> str:
+    u, x, o, d, octal, other = m.groups()
+    if u is not None:
+        return chr(int(u, 16))
+    if x is not None:
+        return chr(int(x, 16))
+    if o is not None:
+        return chr(int(o, 8))
+    if d is not None:
+        return chr(int(d, 10))
+    if octal is not None:
+        return chr(int(octal, 8))
+    return _LETTERS.get(other, other)
+
+
+def decode_all(s: pd.Series) -> pd.Series:
+    return s.map(lambda v: v if v is None or (isinstance(v, float)) else _PATTERN.sub(_one, v))
+
+
+def numeric_escapes_udf():
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    return F.pandas_udf(decode_all, T.StringType())
