@@ -112,6 +112,9 @@ def _post_process(df: DataFrame, o: DelimitedOptions, numeric_escapes: bool = Fa
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            # the source reader never yields NULL text: an empty or missing value is ''
+            c = F.coalesce(c, F.lit(""))
         if isinstance(f.dataType, T.StringType) and o.use_qualifier:
             if o.drop_trailing_junk:
                 # a parsed value that still starts with the qualifier had text after its closing one
