@@ -110,10 +110,10 @@ def range_layout(df: DataFrame, n_ranges: int = 5, key: str = ROW_KEY) -> DataFr
     return df.repartitionByRange(n_ranges, F.col(key)).sortWithinPartitions(key)
 
 
-def write_table(df: DataFrame, path: str, n_ranges: int | None = None, key: str = ROW_KEY,
+def write_table(df: DataFrame, path: str, n_ranges: int | str | None = None, key: str = ROW_KEY,
                 fmt: str = "parquet", mode: str = "overwrite") -> None:
     """K1: write a table (row or cell form) through its mapping; ``n_ranges`` pre-splits it (K2)."""
-    out = range_layout(df, n_ranges, key) if n_ranges else df
+    out = range_layout(df, int(n_ranges), key) if n_ranges else df
     out.write.format(fmt).mode(mode).save(path)
 
 

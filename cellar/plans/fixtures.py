@@ -214,3 +214,28 @@ def ensure_csv(spark: SparkSession, sf_dir: str, name: str, build, options: dict
     """Write a derived table with Spark's CSV writer (parallel, one header per file)."""
     return ensure_written(spark, sf_dir, name, build,
                           lambda df, p: df.write.mode("overwrite").options(**options).csv(p))
+
+
+# --- stored wide tables ------------------------------------------------------------------------
+
+ORDER_TABLE_RANGES = 5
+
+
+def _write_ranged(n_ranges):
+    def write(df: DataFrame, path: str) -> None:
+        from cellar.operators.mutate import write_table
+        write_table(df, path, n_ranges=n_ranges or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return write
+
+
+def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R as a stored table: written once (K1) pre-split into key ranges and sorted by key (K2),
+    so key-range and prefix scans push down and skip files and row groups."""
+    path = ensure_written(spark, sf_dir, "orders_wide", order_rows, _write_ranged(ORDER_TABLE_RANGES))
+    return spark.read.parquet(path)
+
+
+def event_cell_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C as a stored cell table, range-partitioned and sorted by row key."""
+    path = ensure_written(spark, sf_dir, "events_cells", event_cells, _write_ranged(None))
+    return spark.read.parquet(path)

@@ -67,11 +67,11 @@ REPORT_SQL = """SELECT c.c_name || '_MY_' || CAST(o.o_orderkey AS VARCHAR) AS ke
 
 
 def _cells(spark, sf):
-    return FX.event_cells(spark, sf)
+    return FX.event_cell_table(spark, sf)
 
 
 def _rows(spark, sf):
-    return FX.order_rows(spark, sf)
+    return FX.order_table(spark, sf)
 
 
 CELL_OUT = ["row_key", "family", "qualifier", "value", "seq"]
