@@ -1,7 +1,7 @@
 """Aggregations.
 
 * A1 gathers the values of a key as text. A key may hold a large share of all
-  rows, so the values are never put into one unbounded array: each key's values
+  rows, so the values are never put into one unbounded array: a hot key's values
   are spread over ``ceil(n / chunk_size)`` chunks by a hash of a per-row id taken
   at the scan, and each chunk is one bounded ``collect_list``. All values are
   kept; a key with at most ``chunk_size`` values is exactly one row (chunk 0).
@@ -24,21 +24,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_CHUNK_SIZE = 10_000
+# Most hot keys (keys with more than a chunk of values) that are broadcast to the join.
+MAX_HOT_KEYS = 100_000
 
 
 def gather_values(df: DataFrame, key: str, value: str, chunk_size: int = DEFAULT_CHUNK_SIZE,
-                  out: str = "values") -> DataFrame:
+                  out: str = "values", max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """A1: ``key, chunk, values`` - the values of each key as sorted text arrays of at most ~``chunk_size``.
 
-    Order inside a source list is undefined, so each chunk is sorted.
+    Only keys with more than ``chunk_size`` values ("hot" keys) are split, so
+    only they need their count next to each row. Their number is checked first
+    (at most ``max_hot_keys + 1`` count rows are fetched); when it is within the
+    bound they are broadcast and the input is never shuffled for the join,
+    otherwise the join is a shuffled one. Order inside a source list is
+    undefined, so each chunk is sorted.
     """
+    spark = df.sparkSession
     rid = "_rid"
     tagged = df.select(F.col(key), F.col(value).cast("string").alias("_v"),
                        F.monotonically_increasing_id().alias(rid))
-    sizes = tagged.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(chunk_size)))
-    chunked = (tagged.join(sizes, key)
-               .withColumn("chunk", F.pmod(F.xxhash64(F.col(rid)), n_chunks.cast("long")).cast("int")))
+    hot = (tagged.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > F.lit(chunk_size)).withColumnRenamed(key, "_hk"))
+    found = hot.limit(max_hot_keys + 1).collect()
+    if len(found) <= max_hot_keys:
+        hot_side = F.broadcast(spark.createDataFrame(found, hot.schema))
+    else:
+        hot_side = hot
+    n_chunks = F.ceil(F.col("_n") / F.lit(chunk_size)).cast("long")
+    chunk = F.when(F.col("_n").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(F.col(rid)), n_chunks)).cast("int")
+    chunked = (tagged.join(hot_side, tagged[key].eqNullSafe(hot_side["_hk"]), "left")
+               .select(key, "_v", chunk.alias("chunk")))
     return (chunked.groupBy(key, "chunk")
             .agg(F.sort_array(F.collect_list("_v")).alias(out)))
 

@@ -32,13 +32,16 @@ def lookup_table(cells: DataFrame, family: str, qualifier: str, value_name: str,
 
 
 def enrich(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str, value_cols: Sequence[str],
-           on_missing: str = "error", broadcast_lookup: bool = False) -> DataFrame:
+           on_missing: str = "error", broadcast_lookup: bool = False, salt_buckets: int = 1) -> DataFrame:
     """Add ``value_cols`` of ``lookup`` to every row of ``df`` by key.
 
     ``lookup`` must already be one row per key (see :func:`lookup_table`).
     ``on_missing`` (D5): ``'error'`` fails the job on a key that is absent or
     whose value is NULL, ``'null'`` leaves NULL, ``'drop'`` removes the row.
     ``broadcast_lookup`` is for callers that know the lookup side is small.
+    ``salt_buckets > 1`` spreads every key of the probe side over that many
+    tasks (random salt) and copies each lookup row once per salt - explicit
+    salting for a shuffled join when the adaptive skew split is not available.
     """
     if on_missing not in ON_MISSING:
         raise ValueError(f"on_missing must be one of {ON_MISSING}")
@@ -46,16 +49,22 @@ def enrich(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str, valu
     if broadcast_lookup:
         right = F.broadcast(right)
     how = "inner" if on_missing == "drop" else "left"
-    joined = df.join(right, df[left_key] == right["_lk"], how)
+    left = df
+    cond = df[left_key] == right["_lk"]
+    if salt_buckets > 1:
+        left = df.withColumn("_salt", (F.rand(17) * salt_buckets).cast("int"))
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        cond = (left[left_key] == right["_lk"]) & (left["_salt"] == right["_salt"])
+    joined = left.join(right, cond, how)
     if on_missing == "drop":
         for c in value_cols:
             joined = joined.where(F.col(c).isNotNull())
-    out_cols = [F.col(c) for c in df.columns]
+    out_cols = [left[c] for c in df.columns]
     for c in value_cols:
         v = F.col(c)
         if on_missing == "error":
             v = F.coalesce(v, F.raise_error(F.concat(F.lit("lookup found no value for key "),
-                                                     F.coalesce(df[left_key].cast("string"), F.lit("NULL")))))
+                                                     F.coalesce(left[left_key].cast("string"), F.lit("NULL")))))
         out_cols.append(v.alias(c))
     return joined.select(*out_cols)
 

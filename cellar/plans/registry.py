@@ -791,6 +791,112 @@ def parse_text(spark, sf):
     return parsed.select("r.*")
 
 
+# --- more reads, writes and changes ------------------------------------------------------------
+
+META_SQL = """m AS (SELECT lpad(CAST(user_id AS VARCHAR), 12, '0') AS row_key, 'meta' AS family, 'props' AS qualifier,
+        ts, props AS value, event_id AS seq FROM events)"""
+
+
+def _two_family_cells(spark, sf) -> DataFrame:
+    """C plus a second family ``meta`` (``props`` of each event)."""
+    ev = FX.table(spark, sf, "events")
+    meta = ev.select(FX.padded_key(F.col("user_id")).alias("row_key"), F.lit("meta").alias("family"),
+                     F.lit("props").alias("qualifier"), "ts", F.col("props").alias("value"),
+                     F.col("event_id").alias("seq"))
+    return _cells(spark, sf).unionByName(meta)
+
+
+@register("scan_families", f"""WITH {C_SQL}, {META_SQL}
+    SELECT row_key, family, qualifier, value, seq FROM (SELECT * FROM c UNION ALL SELECT * FROM m)
+    WHERE family IN ('meta')""")
+def scan_families(spark, sf):
+    """The cells of the families a reader knows (here one of two)."""
+    return W.scan_families(_two_family_cells(spark, sf), ["meta"]).select(*CELL_OUT)
+
+
+@register("named_cells_keep_families", f"""WITH {C_SQL}, {META_SQL}
+    SELECT row_key, family, qualifier, value, seq FROM (SELECT * FROM c UNION ALL SELECT * FROM m)
+    WHERE (family = 'ev' AND qualifier IN ('click')) OR family <> 'ev'""")
+def named_cells_keep_families(spark, sf):
+    """P6 + D4: naming columns of one family keeps the other families whole."""
+    return W.named_cells(_two_family_cells(spark, sf), FX.EVENT_FAMILY, ["click"],
+                         keep_other_families=True).select(*CELL_OUT)
+
+
+@register("put_one_cell", f"""WITH {C_SQL}, u AS (SELECT * FROM c UNION ALL
+        SELECT '000000000007', 'ev', 'click', TIMESTAMP '2030-01-01 00:00:00', 'manual', 0)
+    SELECT row_key, family, qualifier, value, seq FROM (
+        SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY ts DESC, seq DESC) AS rn FROM u)
+    WHERE rn = 1""")
+def put_one_cell(spark, sf):
+    """M1: put one cell into the whole table (newest wins)."""
+    import datetime as _dt
+    return M.put_cell(spark, _cells(spark, sf), "000000000007", "ev", "click", "manual",
+                      ts=_dt.datetime(2030, 1, 1), seq=0).select(*CELL_OUT)
+
+
+@register("report_table", REPORT_SQL)
+def report_table(spark, sf):
+    """K1 + K2: the flagship report written pre-split into 5 key ranges, read back."""
+    from cellar.session import shared_path
+    path = shared_path(spark, "tables", "order_report", unique=True)
+    report = etl.upsert_rows(None, etl.order_report(FX.order_feed(spark, sf), FX.user_cells(spark, sf)), key="key")
+    etl.write_report(report, path)
+    return spark.read.parquet(path)
+
+
+@register("stream_offset_report", """SELECT 'events' AS topic, CAST(user_id % 3 AS INTEGER) AS partition,
+        min(event_id) AS from_offset, max(event_id) + 1 AS until_offset FROM events GROUP BY 2""")
+def stream_offset_report(spark, sf):
+    """T5: the per-batch offset report of a forwarder run, merged over its batches."""
+    from cellar.session import shared_path
+    from cellar.streaming import forwarder as S
+    src = FX.ensure_message_files(spark, sf)
+    run = shared_path(spark, "streams", "report", unique=True)
+    q = S.start_forwarder(S.read_message_files(spark, src, files_per_batch=1), S.folder_sink(f"{run}/out"),
+                          f"{run}/checkpoint", report=S.folder_sink(f"{run}/report"),
+                          trigger={"availableNow": True})
+    q.awaitTermination()
+    rep = spark.read.parquet(f"{run}/report")
+    return (rep.groupBy("topic", "partition")
+            .agg(F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset")))
+
+
+@register("csv_backslash_letters", """SELECT p_partkey, replace(p_name, ' ', chr(9)) || chr(10) || '\\' AS n FROM part""")
+def csv_backslash_letters(spark, sf):
+    """S6.4, letters only: decoded by JVM expressions (no Python stage)."""
+    from cellar.sources import delimited as D
+    path = FX.ensure_text(spark, sf, "csv_backslash_letters", _lines(
+        lambda: F.concat(_k(), F.lit(',"'), F.replace("p_name", F.lit(" "), F.lit("\\t")), F.lit('\\n\\\\"'))))
+    return D.read_delimited(spark, path, D.DelimitedOptions(escape_mode="backslash"), schema="p_partkey long, n string")
+
+
+@register("salted_lookup", f"""WITH {C_SQL},
+    lp AS (SELECT row_key, arg_max(value, (ts, seq)) AS last_view FROM c WHERE qualifier = 'view' GROUP BY row_key)
+    SELECT l_orderkey, l_linenumber, lp.last_view
+    FROM lineitem LEFT JOIN lp ON lpad(CAST(l_suppkey AS VARCHAR), 12, '0') = lp.row_key""")
+def salted_lookup(spark, sf):
+    """J1 with explicit salting: every line item looks up its supplier's newest view event."""
+    li = FX.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber",
+                                                FX.padded_key(F.col("l_suppkey")).alias("_k"))
+    lk = J.lookup_table(_cells(spark, sf), FX.EVENT_FAMILY, "view", "last_view", key_name="_pk")
+    return J.enrich(li, lk, "_k", "_pk", ["last_view"], on_missing="null", salt_buckets=8).drop("_k")
+
+
+@register("column_prefix_rows", f"WITH {R_SQL} SELECT row_key, priority FROM r")
+def column_prefix_rows(spark, sf):
+    """P7 on the row form: the columns whose name starts with a prefix."""
+    return W.column_prefix_rows(_rows(spark, sf), ["pri"])
+
+
+@register("delete_rows_where_cells", f"""WITH {C_SQL} SELECT row_key, family, qualifier, value, seq FROM c
+    WHERE row_key NOT IN (SELECT row_key FROM c WHERE qualifier = 'signup' AND value LIKE '%7')""")
+def delete_rows_where_cells(spark, sf):
+    """M5 on the cell form: drop whole rows that have a matching cell."""
+    cond = (F.col("qualifier") == "signup") & F.col("value").endswith("7")
+    return M.delete_rows_where_cells(_cells(spark, sf), cond).select(*CELL_OUT)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

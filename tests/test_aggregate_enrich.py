@@ -93,3 +93,12 @@ def test_partition_resource_opened_once_and_closed(spark):
     assert out.where("tag = 'r'").count() == 100
     rows = E.map_rows(df, lambda pdf: pdf.assign(id=pdf["id"] * 2), "id long").agg(F.sum("id")).first()[0]
     assert rows == 2 * sum(range(100))
+
+
+def test_gather_values_hot_null_key_and_shuffled_path(spark):
+    df = spark.range(5000).select(F.when(F.col("id") < 4000, F.lit(None)).otherwise(F.lit("k")).alias("k"),
+                                  F.col("id").alias("v"))
+    for max_hot in (10, 0):   # broadcast path, then the shuffled path (more hot keys than allowed)
+        out = A.gather_values(df, "k", "v", chunk_size=500, max_hot_keys=max_hot).collect()
+        assert max(len(r["values"]) for r in out) < 900
+        assert sorted(int(v) for r in out for v in r["values"]) == list(range(5000))

@@ -181,3 +181,13 @@ def test_batch_get_keeps_order_and_duplicates(spark, versioned):
     filt = J.batch_get(keys, rows, condition=F.col("b").isNotNull()).orderBy("pos").collect()
     assert [r["a"] for r in filt] == [None, None, None, "new"]
     assert J.point_get(rows, "r1").count() == 1 and J.point_get(rows, "zz").count() == 0
+
+
+def test_salted_lookup_same_result(spark, versioned):
+    probe = spark.range(3000).select(F.col("id").cast("string").alias("id"),
+                                     F.when(F.col("id") % 3 == 0, "nope").otherwise("r1").alias("k"))
+    lk = J.lookup_table(versioned, "f", "a", "a_val")
+    plain = sorted(map(tuple, J.enrich(probe, lk, "k", "row_key", ["a_val"], on_missing="null").collect()))
+    salted = sorted(map(tuple, J.enrich(probe, lk, "k", "row_key", ["a_val"], on_missing="null",
+                                        salt_buckets=8).collect()))
+    assert plain == salted and len(salted) == 3000
