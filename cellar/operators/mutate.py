@@ -101,19 +101,25 @@ def delete_rows_where_cells(cells: DataFrame, cell_condition: Column) -> DataFra
     return cells.join(doomed, ROW_KEY, "left_anti")
 
 
-def range_layout(df: DataFrame, n_ranges: int = 5, key: str = ROW_KEY) -> DataFrame:
+def range_layout(df: DataFrame, n_ranges: int | None = 5, key: str = ROW_KEY) -> DataFrame:
     """K2: pre-split into ``n_ranges`` key ranges, sorted inside each range.
 
     Written out, each file holds one key range with sorted row groups, which is
     what lets later key-range and prefix reads skip files and row groups.
+    ``n_ranges=None`` lets the data size decide (``spark.sql.shuffle.partitions``
+    ranges, merged by AQE) - the choice for large tables, where a fixed small
+    count would leave a few tasks writing everything.
     """
-    return df.repartitionByRange(n_ranges, F.col(key)).sortWithinPartitions(key)
+    ranged = (df.repartitionByRange(int(n_ranges), F.col(key)) if n_ranges
+              else df.repartitionByRange(F.col(key)))
+    return ranged.sortWithinPartitions(key)
 
 
 def write_table(df: DataFrame, path: str, n_ranges: int | str | None = None, key: str = ROW_KEY,
-                fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """K1: write a table (row or cell form) through its mapping; ``n_ranges`` pre-splits it (K2)."""
-    out = range_layout(df, int(n_ranges), key) if n_ranges else df
+                fmt: str = "parquet", mode: str = "overwrite", ranged: bool = True) -> None:
+    """K1: write a table (row or cell form) through its mapping, range-split by key (K2)
+    into ``n_ranges`` ranges (``None``: sized by the data); ``ranged=False`` writes as is."""
+    out = range_layout(df, int(n_ranges) if n_ranges else None, key) if ranged else df
     out.write.format(fmt).mode(mode).save(path)
 
 

@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import hashlib
+import inspect
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,14 +150,35 @@ def _committed(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def derived_path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    tag = hashlib.sha1(f"{FEED_VERSION}:{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
+def _fingerprint(fn, depth: int = 2) -> str:
+    """Source text of a builder and of the functions it closes over, so a changed builder gets a new folder."""
+    try:
+        text = inspect.getsource(fn)
+    except (OSError, TypeError):
+        text = getattr(fn, "__qualname__", repr(fn))
+    if depth > 0:
+        for cell in getattr(fn, "__closure__", None) or ():
+            try:
+                inner = cell.cell_contents
+            except ValueError:
+                continue
+            if callable(inner):
+                text += _fingerprint(inner, depth - 1)
+            elif isinstance(inner, (str, int, float)):
+                text += repr(inner)
+    return text
+
+
+def derived_path(spark: SparkSession, sf_dir: str, name: str, *builders) -> str:
+    code = "".join(_fingerprint(b) for b in builders)
+    tag = hashlib.sha1(f"{FEED_VERSION}:{sf_dir.rstrip('/')}:{code}".encode()).hexdigest()[:16]
     return shared_path(spark, "derived", name, tag)
 
 
 def ensure_written(spark: SparkSession, sf_dir: str, name: str, build, write) -> str:
-    """Write a derived input once per input folder; reuse it when its commit marker exists."""
-    path = derived_path(spark, sf_dir, name)
+    """Write a derived input once per input folder and builder version; reuse it when its
+    commit marker exists."""
+    path = derived_path(spark, sf_dir, name, build, write)
     if not _committed(spark, path):
         write(build(spark, sf_dir), path)
     return path

@@ -837,11 +837,10 @@ def put_one_cell(spark, sf):
 
 @register("report_table", REPORT_SQL)
 def report_table(spark, sf):
-    """K1 + K2: the flagship report written pre-split into 5 key ranges, read back."""
+    """K1 + K2 + M2: the flagship report deduplicated and range-split by key in one shuffle, read back."""
     from cellar.session import shared_path
     path = shared_path(spark, "tables", "order_report", unique=True)
-    report = etl.upsert_rows(None, etl.order_report(FX.order_feed(spark, sf), FX.user_cells(spark, sf)), key="key")
-    etl.write_report(report, path)
+    etl.write_report_upserted(etl.order_report(FX.order_feed(spark, sf), FX.user_cells(spark, sf)), path)
     return spark.read.parquet(path)
 
 

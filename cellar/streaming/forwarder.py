@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -109,9 +110,14 @@ def forward_messages(messages: DataFrame) -> DataFrame:
 def forward_batch(sink: Sink, report: Sink | None = None) -> Callable[[DataFrame, int], None]:
     """The function run on each micro-batch - report offsets (T5), then forward."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        if report is not None:
-            report(offset_ranges(batch).withColumn("batch_id", F.lit(batch_id)), batch_id)
-        sink(forward_messages(batch), batch_id)
+        # the batch feeds two writes: keep it so the source is read once per batch
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if report is not None:
+                report(offset_ranges(batch).withColumn("batch_id", F.lit(batch_id)), batch_id)
+            sink(forward_messages(batch), batch_id)
+        finally:
+            batch.unpersist()
     return run
 
 
