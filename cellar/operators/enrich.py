@@ -54,9 +54,18 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema)
     return df.mapInPandas(run, schema)
 
 
-def foreach_row(df: DataFrame, fn: Callable[[object], None]) -> None:
-    """E2 (side-effect form): call ``fn`` on every row, on the executors."""
-    df.foreach(fn)
+def for_each_batch(df: DataFrame, fn: Callable[[pd.DataFrame], None]) -> None:
+    """E2 (side-effect form): call ``fn`` on every Arrow batch of rows, on the executors.
+
+    Runs as one Spark job (a ``mapInPandas`` stage into the ``noop`` sink), so
+    failed tasks are retried by Spark; ``fn`` should be idempotent.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            fn(pdf)
+        yield pd.DataFrame({"n": pd.Series([], dtype="int64")})
+
+    df.mapInPandas(run, "n long").write.format("noop").mode("overwrite").save()
 
 
 # --- E5 ----------------------------------------------------------------------------------------
@@ -143,5 +152,5 @@ def count_service(request: str) -> str:
     return str(len(request.split(","))) if request else ""
 
 
-__all__ = ["BATCH_SIZE", "RETRY_PAUSE_SECONDS", "map_partitions_with_resource", "map_rows", "foreach_row",
+__all__ = ["BATCH_SIZE", "RETRY_PAUSE_SECONDS", "map_partitions_with_resource", "map_rows", "for_each_batch",
            "global_index", "batch_requests", "call_batches", "result_lines", "write_lines", "count_service"]

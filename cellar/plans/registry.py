@@ -634,6 +634,22 @@ def csv_qualified(spark, sf):
     return D.read_delimited(spark, path, D.DelimitedOptions(multiline=True), schema="p_partkey long, t string, n string")
 
 
+@register("csv_multiline_raw", """SELECT CAST(p_partkey AS VARCHAR) AS key,
+        CASE WHEN p_size > 45 THEN replace(p_type, ' ', chr(10)) ELSE replace(p_type, ' ', ', ') END AS t,
+        replace(p_name, ' ', '"') AS n FROM part""")
+def csv_multiline_raw(spark, sf):
+    """S6.9 + D13: raw records that keep their quoted line breaks (whole-file reader)."""
+    from cellar.sources import delimited as D
+    t = F.when(F.col("p_size") > 45, F.replace("p_type", F.lit(" "), F.lit("\n"))) \
+        .otherwise(F.replace("p_type", F.lit(" "), F.lit(", ")))
+    n = F.replace("p_name", F.lit(" "), F.lit('""'))
+    path = FX.ensure_text(spark, sf, "csv_qualified", _lines(
+        lambda: F.concat(_k(), F.lit(',"'), t, F.lit('","'), n, F.lit('"'))))
+    recs = D.read_records(spark, path, multiline_raw=True)
+    return recs.select(D.value_at("values", 0).alias("key"), D.value_at("values", 1).alias("t"),
+                       D.value_at("values", 2).alias("n"))
+
+
 @register("csv_no_qualifier", """SELECT p_partkey, '"' || p_brand AS b, p_size FROM part""")
 def csv_no_qualifier(spark, sf):
     """S6.2 off: quotes are ordinary text."""
@@ -762,13 +778,27 @@ def csv_is_qualified(spark, sf):
                        F.element_at(D.qualified_flags("raw"), 2).alias("q1"), D.value_at("values", 1).alias("brand"))
 
 
+def _junk_lines():
+    return F.concat(_k(), F.lit(',"'), F.col("p_brand"), F.lit('" junk,'), F.col("p_size").cast("string"))
+
+
 @register("csv_trailing_junk", "SELECT p_partkey, p_brand AS b, p_size FROM part")
 def csv_trailing_junk(spark, sf):
-    """S6.15 (D2): text after a closing qualifier is dropped."""
+    """S6.15 (D2): text after a closing qualifier is dropped (raw-record reader, exact)."""
+    from cellar.sources import delimited as D
+    path = FX.ensure_text(spark, sf, "csv_junk", _lines(_junk_lines))
+    recs = D.read_records(spark, path)
+    return recs.select(D.value_at("values", 0).cast("long").alias("p_partkey"), D.value_at("values", 1).alias("b"),
+                       D.value_at("values", 2).cast("int").alias("p_size"))
+
+
+@register("csv_trailing_junk_parsed", "SELECT p_partkey, p_brand AS b, p_size FROM part")
+def csv_trailing_junk_parsed(spark, sf):
+    """S6.15 (D2) on Spark-parsed values, with the opt-in fix-up."""
     from cellar.sources import delimited as D
-    path = FX.ensure_text(spark, sf, "csv_junk", _lines(
-        lambda: F.concat(_k(), F.lit(',"'), F.col("p_brand"), F.lit('" junk,'), F.col("p_size").cast("string"))))
-    return D.read_delimited(spark, path, D.DelimitedOptions(), schema="p_partkey long, b string, p_size int")
+    path = FX.ensure_text(spark, sf, "csv_junk", _lines(_junk_lines))
+    return D.read_delimited(spark, path, D.DelimitedOptions(drop_trailing_junk=True),
+                            schema="p_partkey long, b string, p_size int")
 
 
 @register("csv_guard_off", "SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents")

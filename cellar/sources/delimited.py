@@ -8,7 +8,8 @@ afterwards with column expressions:
 
 * backslash escapes beyond the qualifier (S6.4) are decoded by ``decode_backslash``;
 * a duplicate header name resolves to the last column (S6.1, D1);
-* text after a closing qualifier is dropped (S6.15, D2);
+* text after a closing qualifier is dropped (S6.15, D2) exactly by the raw-record
+  reader, and on request (``drop_trailing_junk``) from Spark-parsed values;
 * ragged records, the column count and "was this value qualified?" come from a
   quote-aware split of the raw line (S6.9, S6.12, S6.14);
 * record numbers (S6.10) come from the file, block and position of each line.
@@ -52,7 +53,9 @@ class DelimitedOptions:
     header: bool = False
     charset: str = FILE_CHARSET
     multiline: bool = False               # qualified values may hold line breaks
-    drop_trailing_junk: bool = True
+    # read_delimited only: strip text after a closing qualifier from Spark-parsed values.
+    # The raw-record reader (read_records) always drops it, exactly as the source does.
+    drop_trailing_junk: bool = False
 
     def with_(self, **kw) -> "DelimitedOptions":
         return replace(self, **kw)
@@ -117,9 +120,11 @@ def _post_process(df: DataFrame, o: DelimitedOptions, numeric_escapes: bool = Fa
             c = F.coalesce(c, F.lit(""))
         if isinstance(f.dataType, T.StringType) and o.use_qualifier:
             if o.drop_trailing_junk:
-                # a parsed value that still starts with the qualifier had text after its closing one
-                c = F.when(c.startswith(o.qualifier),
-                           F.regexp_replace(c, f"^{_re_escape(o.qualifier)}(.*){_re_escape(o.qualifier)}[^{_re_escape(o.qualifier)}]*$", "$1")
+                # Spark keeps '"a" junk' whole. A parsed value that still starts with the
+                # qualifier had text after its closing one - or began with an escaped
+                # qualifier, which this cannot tell apart; read_records is exact.
+                q = _re_escape(o.qualifier)
+                c = F.when(c.startswith(o.qualifier), F.regexp_replace(c, f"^{q}([^{q}]*){q}[^{q}]*$", "$1")
                            ).otherwise(c)
             if o.escape_mode == "backslash":
                 c = decode_numeric_escapes(c) if numeric_escapes else decode_backslash(c)
@@ -224,21 +229,43 @@ def drop_trailing_junk(value, qualified) -> Column:
 
 
 def read_records(spark: SparkSession, path: str, options: DelimitedOptions = DelimitedOptions(),
-                 with_number: bool = False) -> DataFrame:
-    """S6.9 (+S6.8, S6.5, S6.10): one row per record: ``raw`` line text and its ``values``.
-
-    Line-based: a qualified line break starts a new record here (D13).
-    Empty records are skipped unless ``skip_empty_records=False``; comment lines
-    are dropped when comments are on. ``with_number`` adds ``record`` (S6.10).
+                 with_number: bool = False, multiline_raw: bool = False) -> DataFrame:
+    """S6.9 (+S6.8, S6.5, S6.10, S6.1 header): one row per record: ``raw`` text and its ``values``.
+
+    Line-based by default: a qualified line break starts a new record (D13).
+    ``multiline_raw=True`` reads each file whole and cuts it at line breaks
+    outside qualified text, so a raw record keeps its line breaks; each file is
+    then one task, so this is for files of moderate size. Empty records are
+    skipped unless ``skip_empty_records=False``; comment lines are dropped when
+    comments are on; with ``header=True`` the first record of each file is the
+    header and is neither returned nor counted. ``with_number`` adds ``record`` (S6.10).
     """
     reader = spark.read.option("encoding", options.charset)
     if options.record_delimiter is not None:
         reader = reader.option("lineSep", options.record_delimiter)
-    text = reader.text(path)
-    if with_number:
-        lines = with_record_number(text, keep=_kept(options, "value")).withColumnRenamed("value", "raw")
+    if multiline_raw:
+        from cellar.sources._escapes import split_records_udf
+        whole = reader.text(path, wholetext=True).select(
+            F.col("_metadata.file_path").alias("_file"), F.col("value"))
+        recs = whole.select("_file", F.posexplode(split_records_udf(options.qualifier)("value")).alias("_pos", "raw"))
+        kept = recs.where(_kept(options, "raw"))
+        if with_number or options.header:
+            kept = kept.withColumn("record", F.row_number().over(Window.partitionBy("_file").orderBy("_pos")) - 1)
+            if options.header:
+                kept = kept.where(F.col("record") > 0).withColumn("record", F.col("record") - 1)
+        lines = kept.drop("_file", "_pos")
+        if not with_number and "record" in lines.columns:
+            lines = lines.drop("record")
     else:
-        lines = text.where(_kept(options, "value")).withColumnRenamed("value", "raw")
+        text = reader.text(path)
+        if with_number or options.header:
+            lines = with_record_number(text, keep=_kept(options, "value")).withColumnRenamed("value", "raw")
+            if options.header:
+                lines = lines.where(F.col("record") > 0).withColumn("record", F.col("record") - 1)
+            if not with_number:
+                lines = lines.drop("record")
+        else:
+            lines = text.where(_kept(options, "value")).withColumnRenamed("value", "raw")
     return lines.withColumn("values", ragged_values("raw", options))
 
 

@@ -1,3 +1,5 @@
+from hypothesis import given, settings
+from hypothesis import strategies as st
 import os
 
 import pytest
@@ -83,3 +85,42 @@ def test_parse_string_column(spark):
     df = spark.createDataFrame([('7,"x,y",3',)], "s string")
     r = df.select(D.parse_delimited("s", "a long, b string, c int").alias("r")).select("r.*").first()
     assert r.asDict() == {"a": 7, "b": "x,y", "c": 3}
+
+
+def test_multiline_raw_records_keep_quoted_breaks(spark, scratch):
+    p = write(scratch + "/m", "a.csv", b'id,text\r\n1,"two\nlines"\r\n\r\n2,plain\n3,"a ""q""\n"\n')
+    recs = D.read_records(spark, p, D.DelimitedOptions(header=True), with_number=True, multiline_raw=True)
+    got = sorted((r["record"], r["raw"], r["values"][1]) for r in recs.collect())
+    assert got == [(0, '1,"two\nlines"', "two\nlines"), (1, "2,plain", "plain"), (2, '3,"a ""q""\n"', 'a "q"\n')]
+
+
+def test_line_records_with_header(spark, scratch):
+    p = write(scratch + "/hh", "a.csv", b"k,v\nx,1\n\ny,2\n")
+    recs = D.read_records(spark, p, D.DelimitedOptions(header=True), with_number=True)
+    assert sorted((r["record"], r["raw"]) for r in recs.collect()) == [(0, "x,1"), (1, "y,2")]
+    assert D.read_records(spark, p, D.DelimitedOptions(header=True)).count() == 2
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.text(alphabet='ab ,"\n', max_size=6), min_size=2, max_size=2), min_size=1, max_size=6))
+def test_round_trip_with_python_csv_writer(spark, rows):
+    import csv
+    import io
+    import tempfile
+    buf = io.StringIO()
+    csv.writer(buf, lineterminator="\n", quoting=csv.QUOTE_ALL).writerows(rows)
+    d = tempfile.mkdtemp(prefix="cellar-rt-")
+    write(d, "a.csv", buf.getvalue().encode("utf-8"))
+    df = D.read_delimited(spark, d, D.DelimitedOptions(multiline=True, charset="UTF-8", trim_whitespace=False),
+                          schema="a string, b string")
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, rows))
+
+
+def test_junk_fix_is_opt_in_for_parsed_values(spark, scratch):
+    p = write(scratch + "/j", "a.csv", b'1,"a" junk\n2,"""b"""\n')
+    plain = dict(map(tuple, D.read_delimited(spark, p).collect()))
+    fixed = dict(map(tuple, D.read_delimited(spark, p, D.DelimitedOptions(drop_trailing_junk=True)).collect()))
+    assert plain == {"1": '"a" junk', "2": '"b"'}
+    assert fixed["1"] == "a"
+    raw = {r["values"][0]: r["values"][1] for r in D.read_records(spark, p).collect()}
+    assert raw == {"1": "a", "2": '"b"'}

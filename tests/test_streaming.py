@@ -39,3 +39,13 @@ def test_forwarder_restarts_from_checkpoint(spark, scratch):
     assert sorted(r["batch_id"] for r in batches.select("batch_id").distinct().collect()) == [0, 1]
     report = sorted(tuple(r) for r in spark.read.parquet(rep).select("partition", "from_offset", "until_offset", "batch_id").collect())
     assert report == [(0, 0, 1, 0), (0, 2, 3, 1), (1, 1, 2, 0)]
+
+
+def test_replayed_batch_replaces_its_output(spark, scratch):
+    out, rep = os.path.join(scratch, "o"), os.path.join(scratch, "r")
+    batch = spark.createDataFrame([("t", 0, 5, "k", "v"), ("t", 0, 6, None, "w")], S.MESSAGE_SCHEMA)
+    run = S.forward_batch(S.folder_sink(out), report=S.folder_sink(rep))
+    run(batch, 7)
+    run(batch, 7)     # at-least-once: the same batch again after a restart
+    assert spark.read.parquet(out).count() == 2
+    assert spark.read.parquet(rep).count() == 1

@@ -1,3 +1,4 @@
+import os
 import datetime as dt
 
 import pytest
@@ -191,3 +192,36 @@ def test_salted_lookup_same_result(spark, versioned):
     salted = sorted(map(tuple, J.enrich(probe, lk, "k", "row_key", ["a_val"], on_missing="null",
                                         salt_buckets=8).collect()))
     assert plain == salted and len(salted) == 3000
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_put = st.tuples(st.sampled_from(["r1", "r2"]), st.sampled_from(["a", "b"]), st.integers(0, 3),
+                 st.text(alphabet="xyz", max_size=3))
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(_put, max_size=8), st.lists(_put, max_size=8))
+def test_upsert_matches_dict_model(spark, base, changes):
+    def frame(puts, seq0):
+        return cells(spark, [(k, "f", q, ts(t), v, seq0 + i) for i, (k, q, t, v) in enumerate(puts)])
+    model: dict = {}
+    for seq, (k, q, t, v) in enumerate(base + changes):
+        cur = model.get((k, q))
+        if cur is None or (t, seq) > cur[0]:
+            model[(k, q)] = ((t, seq), v)
+    got = {(r["row_key"], r["qualifier"]): r["value"] for r in M.upsert(frame(base, 0), frame(changes, len(base))).collect()}
+    assert got == {k: v[1] for k, v in model.items()}
+
+
+def test_for_each_batch_side_effects(spark, scratch):
+    from cellar.operators.enrich import for_each_batch
+
+    def dump(pdf):
+        import uuid
+        pdf.to_csv(os.path.join(scratch, f"{uuid.uuid4().hex}.csv"), index=False, header=False)
+
+    for_each_batch(spark.range(0, 50, 1, 3), dump)
+    total = sum(len(open(os.path.join(scratch, f)).read().split()) for f in os.listdir(scratch))
+    assert total == 50
