@@ -7,6 +7,7 @@ tables. Column names are aliased identically on both sides.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from cellar.operators import mutate as M
 from cellar.operators import widetable as W
 from cellar.plans import callbacks as CB
 from cellar.plans import etl, fixtures as FX
+from cellar.session import ship_code
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -926,8 +928,16 @@ def delete_rows_where_cells(spark, sf):
     return M.delete_rows_where_cells(_cells(spark, sf), cond).select(*CELL_OUT)
 
 
+def _with_code(fn: QueryFn) -> QueryFn:
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ship_code(spark)
+        return fn(spark, sf)
+    return run
+
+
 def queries() -> dict[str, QueryFn]:
-    return dict(QUERIES)
+    return {name: _with_code(fn) for name, fn in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

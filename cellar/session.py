@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -39,9 +41,41 @@ def get_session(master: str | None = None, app: str = "cellar", shuffle_partitio
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_code(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (what ``--py-files`` does).
+
+    Runs once per application: the package's ``.py`` files are zipped and added
+    with ``addPyFile``, so executor-side callbacks (pandas UDFs, ``mapInPandas``)
+    import it whatever the driver's working directory or path is.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    files = []
+    for d, _, names in os.walk(pkg):
+        files += [os.path.join(d, n) for n in sorted(names) if n.endswith(".py")]
+    digest = hashlib.sha1()
+    for f in sorted(files):
+        with open(f, "rb") as fh:
+            digest.update(f.encode() + fh.read())
+    target = os.path.join(tempfile.mkdtemp(prefix="cellar-code-"), f"cellar-{digest.hexdigest()[:12]}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in files:
+            z.write(f, os.path.relpath(f, root))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
@@ -88,4 +122,4 @@ def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "checkpoint_dir", "shared_root", "shared_path", "local_fs_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "ship_code", "checkpoint_dir", "shared_root", "shared_path", "local_fs_path", "DEFAULT_CONF"]

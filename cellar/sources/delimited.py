@@ -33,6 +33,8 @@ DEFAULT_COMMENT = "#"
 FILE_CHARSET = "ISO-8859-1"
 MAX_COLUMN_CHARS = 100_000
 MAX_COLUMNS = 100_000
+# Most file splits whose line counts are broadcast to number records (one small row each).
+MAX_BROADCAST_SPLITS = 200_000
 # Single-letter backslash escapes and the characters they stand for.
 BACKSLASH_LETTERS = (("n", "\n"), ("r", "\r"), ("t", "\t"), ("b", "\b"), ("f", "\f"), ("e", "\x1b"),
                      ("v", "\x0b"), ("a", "\x07"))
@@ -278,29 +280,32 @@ def _kept(o: DelimitedOptions, col: str = "raw") -> Column:
     return keep
 
 
-def with_record_number(lines: DataFrame, keep: Column | None = None, number_col: str = "record") -> DataFrame:
+def with_record_number(lines: DataFrame, keep: Column | None = None, number_col: str = "record",
+                       max_broadcast_splits: int = MAX_BROADCAST_SPLITS) -> DataFrame:
     """S6.10: 0-based record number per file, in file order, skipped lines not counted.
 
     ``lines`` must come straight from a file reader (it uses the ``_metadata`` column).
-
-    The position of a line is (file, split start, place inside the split). The
-    place inside a split is its rank among the split's kept lines, by a window
-    partitioned by (file, split) - one split per group, bounded by the split
-    size; a table of one row per split gives the count of kept lines before it.
+    A line's place is (file, split start, place inside the split). Ids taken
+    right after the filter are consecutive inside a split, so the place inside
+    the split is ``id - first id of the split``; a table with one row per split
+    gives the number of kept lines in the splits before it. That table is
+    broadcast when the number of splits is within ``max_broadcast_splits``
+    (counted first), so the lines themselves are never shuffled; beyond the
+    bound the join is a shuffled one.
     """
-    tagged = lines.select("*", F.col("_metadata.file_path").alias("_file"),
-                          F.col("_metadata.file_block_start").alias("_block"),
-                          F.monotonically_increasing_id().alias("_pos"))
-    if keep is not None:
-        tagged = tagged.where(keep)
-    block = Window.partitionBy("_file", "_block").orderBy("_pos")
-    ranked = tagged.withColumn("_in_block", F.row_number().over(block) - 1)
-    sizes = tagged.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.select("_file", "_block", (F.sum("_n").over(Window.partitionBy("_file").orderBy("_block"))
-                                              - F.col("_n")).alias("_before"))
-    return (ranked.join(before, ["_file", "_block"])
-            .withColumn(number_col, F.col("_before") + F.col("_in_block"))
-            .drop("_file", "_block", "_pos", "_in_block", "_before"))
+    kept = lines.where(keep) if keep is not None else lines
+    tagged = kept.select("*", F.col("_metadata.file_path").alias("_file"),
+                         F.col("_metadata.file_block_start").alias("_block"),
+                         F.monotonically_increasing_id().alias("_pos"))
+    splits = tagged.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    before = splits.select("_file", "_block", "_first",
+                           (F.sum("_n").over(Window.partitionBy("_file").orderBy("_block")) - F.col("_n"))
+                           .alias("_before"))
+    if len(before.select("_file").limit(max_broadcast_splits + 1).collect()) <= max_broadcast_splits:
+        before = F.broadcast(before)
+    return (tagged.join(before, ["_file", "_block"])
+            .withColumn(number_col, F.col("_before") + F.col("_pos") - F.col("_first"))
+            .drop("_file", "_block", "_pos", "_first", "_before"))
 
 
 def skip_records(records: DataFrame, numbers: Sequence[int], number_col: str = "record") -> DataFrame:

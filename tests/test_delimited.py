@@ -124,3 +124,11 @@ def test_junk_fix_is_opt_in_for_parsed_values(spark, scratch):
     assert fixed["1"] == "a"
     raw = {r["values"][0]: r["values"][1] for r in D.read_records(spark, p).collect()}
     assert raw == {"1": "a", "2": '"b"'}
+
+
+def test_record_numbers_shuffled_path(spark, scratch):
+    p = write(scratch + "/rs", "a.csv", "\n".join(f"{i},v" for i in range(500)).encode())
+    lines = spark.read.text(p)
+    got = D.with_record_number(lines, max_broadcast_splits=0).collect()
+    assert sorted(r["record"] for r in got) == list(range(500))
+    assert all(int(r["value"].split(",")[0]) == r["record"] for r in got)
