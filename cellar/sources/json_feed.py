@@ -7,6 +7,7 @@ declared nested fields are read.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 from collections.abc import Sequence
 
@@ -37,6 +38,26 @@ def feed_date(args: Sequence[str] = (), today: _dt.date | None = None) -> str:
     return (today or _dt.datetime.now(_dt.timezone.utc).date()).strftime(FEED_DATE_FORMAT)
 
 
+_LISTING_KEY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+_LISTING_DEFAULT = "10000"
+FEED_LISTING_TASKS = "64"
+
+
+@contextlib.contextmanager
+def _listing_parallelism(spark: SparkSession):
+    """List a feed's many day folders in a few tasks instead of one tiny task per folder
+    (only while the folder index is built, and only when the session keeps Spark's default)."""
+    current = spark.conf.get(_LISTING_KEY, _LISTING_DEFAULT)
+    if current != _LISTING_DEFAULT:
+        yield
+        return
+    spark.conf.set(_LISTING_KEY, FEED_LISTING_TASKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING_KEY, current)
+
+
 def read_json_feed(spark: SparkSession, path: str, schema: T.StructType = ORDER_DOC_SCHEMA,
                    date: str | None = None, layout: str = "partitioned") -> DataFrame:
     """S1 (+S2): read a directory of JSON lines with an explicit schema.
@@ -52,7 +73,8 @@ def read_json_feed(spark: SparkSession, path: str, schema: T.StructType = ORDER_
         # declare the partition column as text, so 'yyyyMMdd' is not inferred as a number
         reader = reader.schema(T.StructType([*schema.fields, T.StructField(DATE_PARTITION, T.StringType())]))
     if date is None:
-        return reader.json(path)
+        with _listing_parallelism(spark):
+            return reader.json(path)
     # list only the day's directory; basePath keeps the partition column
     root = path.rstrip("/")
     return (reader.option("basePath", root).json(f"{root}/{DATE_PARTITION}={date}")
