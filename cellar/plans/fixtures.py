@@ -186,8 +186,13 @@ def ensure_written(spark: SparkSession, sf_dir: str, name: str, build, write) ->
 
 def ensure_order_feed(spark: SparkSession, sf_dir: str) -> str:
     """The order feed, one folder per day (``dt=yyyyMMdd``)."""
-    return ensure_written(spark, sf_dir, "order_docs", order_documents,
-                          lambda df, p: df.repartition("dt").write.mode("overwrite").partitionBy("dt").json(p))
+    return ensure_written(spark, sf_dir, "order_docs", order_documents, _write_feed)
+
+
+def _write_feed(df: DataFrame, path: str) -> None:
+    # ranges over (day, user): few files per day, and a day holding much of the data spreads over tasks
+    (df.repartitionByRange(F.col("dt"), F.col("sUserId")).sortWithinPartitions("dt")
+     .write.mode("overwrite").partitionBy("dt").json(path))
 
 
 MESSAGE_FILES = 4
@@ -195,8 +200,13 @@ MESSAGE_FILES = 4
 
 def ensure_message_files(spark: SparkSession, sf_dir: str) -> str:
     """G as a folder of Parquet files (one micro-batch each with one file per trigger)."""
-    return ensure_written(spark, sf_dir, "messages", messages,
-                          lambda df, p: df.repartition(MESSAGE_FILES).write.mode("overwrite").parquet(p))
+    return ensure_written(spark, sf_dir, "messages", messages, _write_messages)
+
+
+def _write_messages(df: DataFrame, path: str) -> None:
+    # a log ordered by offset, in as many files as the session's shuffle width (at least MESSAGE_FILES)
+    n = max(MESSAGE_FILES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    df.repartitionByRange(n, F.col("offset")).sortWithinPartitions("offset").write.mode("overwrite").parquet(path)
 
 
 def order_feed(spark: SparkSession, sf_dir: str, date: str | None = None) -> DataFrame:
@@ -209,23 +219,32 @@ __all__ = ["KEY_WIDTH", "EVENT_FAMILY", "ORDER_ROWS_CATALOG", "table", "padded_k
 
 # --- delimited text ----------------------------------------------------------------------------
 
+FILE_GROUP_ROWS = 10_000
+
+
 def ensure_text(spark: SparkSession, sf_dir: str, name: str, build, header: str | None = None,
                 order: str | None = None, line_sep: str | None = None) -> str:
     """Write derived text lines (column ``line``) once per input folder.
 
-    A header line or a fixed line order needs one ordered file; otherwise the
-    lines are written by every task in parallel.
+    With a header or a fixed line order, the lines go to one file per group of
+    ``FILE_GROUP_ROWS`` consecutive ``order`` values (folder ``grp=<n>``), each
+    file sorted and starting with the header: every file is bounded and written
+    by its own task. Otherwise every task writes its lines in parallel.
     """
     def write(df: DataFrame, path: str) -> None:
-        lines = df.select(F.col("line").alias("value"))
+        w = None
         if header is not None or order is not None:
-            ordered = df.select(F.lit(1).alias("_g"), F.col(order) if order else F.lit(0).alias("_o"),
-                                F.col("line").alias("value"))
+            key = F.col(order) if order else F.col("p_partkey")
+            grp = ((key - key % F.lit(FILE_GROUP_ROWS)) / F.lit(FILE_GROUP_ROWS)).cast("long")
+            body = df.select(grp.alias("grp"), key.cast("long").alias("_o"), F.col("line").alias("value"))
             if header is not None:
-                ordered = spark.createDataFrame([(0, None, header)], ordered.schema).unionByName(ordered)
-            sort_cols = ["_g"] + ([order] if order else [])
-            lines = ordered.orderBy(*sort_cols).coalesce(1).select("value")
-        w = lines.write.mode("overwrite")
+                heads = body.select("grp").distinct().select("grp", F.lit(-1).cast("long").alias("_o"),
+                                                             F.lit(header).alias("value"))
+                body = heads.unionByName(body)
+            w = (body.repartition("grp").sortWithinPartitions("grp", "_o").select("grp", "value")
+                 .write.mode("overwrite").partitionBy("grp"))
+        else:
+            w = df.select(F.col("line").alias("value")).write.mode("overwrite")
         if line_sep is not None:
             w = w.option("lineSep", line_sep)
         w.text(path)

@@ -574,7 +574,7 @@ def forward_stream(spark, sf):
     from cellar.streaming import forwarder as S
     src = FX.ensure_message_files(spark, sf)
     run = shared_path(spark, "streams", "forward", unique=True)
-    q = S.start_forwarder(S.read_message_files(spark, src, files_per_batch=1), S.folder_sink(f"{run}/out"),
+    q = S.start_forwarder(S.read_message_files(spark, src, files_per_batch=4), S.folder_sink(f"{run}/out"),
                           f"{run}/checkpoint", report=S.folder_sink(f"{run}/report"),
                           trigger={"availableNow": True})
     q.awaitTermination()
@@ -619,7 +619,7 @@ def csv_duplicate_header(spark, sf):
     path = FX.ensure_text(spark, sf, "csv_dup_header",
                           _lines(lambda: F.concat_ws(",", _k(), F.col("p_name"), F.col("p_brand"))),
                           header="p_partkey,p_name,p_name", order="p_partkey")
-    return D.read_delimited(spark, path, D.DelimitedOptions(header=True))
+    return D.read_delimited(spark, path, D.DelimitedOptions(header=True)).select("p_partkey", "p_name")
 
 
 @register("csv_qualified", """SELECT p_partkey,
@@ -733,13 +733,14 @@ def csv_raw_record(spark, sf):
     return recs.select("raw", D.value_at("values", 0).alias("key"), D.value_at("values", 1).alias("brand"))
 
 
-_NUMBERED_SQL = """SELECT CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS BIGINT) AS record,
-        CAST(p_partkey AS VARCHAR) AS key FROM part WHERE p_size <= 40"""
+_NUMBERED_SQL = """SELECT CAST(row_number() OVER (PARTITION BY p_partkey // 10000 ORDER BY p_partkey) - 1 AS BIGINT)
+        AS record, CAST(p_partkey AS VARCHAR) AS key FROM part WHERE p_size <= 40"""
 
 
 @register("csv_record_number", _NUMBERED_SQL)
 def csv_record_number(spark, sf):
-    """S6.10: 0-based record numbers in file order; comment lines are not counted."""
+    """S6.10: 0-based record numbers per file, in file order; comment lines are not counted
+    (one file per 10,000 part keys)."""
     from cellar.sources import delimited as D
     path = FX.ensure_text(spark, sf, "csv_comments_ordered", _COMMENT_LINES, order="p_partkey")
     recs = D.read_records(spark, path, D.DelimitedOptions(use_comments=True), with_number=True)
@@ -748,7 +749,7 @@ def csv_record_number(spark, sf):
 
 @register("csv_skip_records", f"SELECT * FROM ({_NUMBERED_SQL}) WHERE record >= 3")
 def csv_skip_records(spark, sf):
-    """S6.11: skip the first three records by number."""
+    """S6.11: skip the first three records of each file by number."""
     from cellar.sources import delimited as D
     path = FX.ensure_text(spark, sf, "csv_comments_ordered", _COMMENT_LINES, order="p_partkey")
     recs = D.read_records(spark, path, D.DelimitedOptions(use_comments=True), with_number=True)
@@ -884,7 +885,7 @@ def stream_offset_report(spark, sf):
     from cellar.streaming import forwarder as S
     src = FX.ensure_message_files(spark, sf)
     run = shared_path(spark, "streams", "report", unique=True)
-    q = S.start_forwarder(S.read_message_files(spark, src, files_per_batch=1), S.folder_sink(f"{run}/out"),
+    q = S.start_forwarder(S.read_message_files(spark, src, files_per_batch=4), S.folder_sink(f"{run}/out"),
                           f"{run}/checkpoint", report=S.folder_sink(f"{run}/report"),
                           trigger={"availableNow": True})
     q.awaitTermination()

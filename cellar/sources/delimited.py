@@ -141,12 +141,13 @@ def _header_names(spark: SparkSession, path: str, o: DelimitedOptions) -> list[s
 
 def keep_last_duplicate(df: DataFrame, header: Sequence[str]) -> DataFrame:
     """A header name that appears more than once resolves to its last column."""
-    if not header or len(header) != len(df.columns):
+    cols = df.columns
+    if not header or len(header) > len(cols):
         return df
     last = {name: i for i, name in enumerate(header)}
     keep = [i for i, name in enumerate(header) if last[name] == i]
-    cols = df.columns
-    return df.select(*[F.col(f"`{cols[i]}`").alias(header[i]) for i in keep])
+    extra = cols[len(header):]          # partition columns follow the data columns
+    return df.select(*[F.col(f"`{cols[i]}`").alias(header[i]) for i in keep], *[F.col(f"`{c}`") for c in extra])
 
 
 # --- backslash escapes (S6.4) ------------------------------------------------------------------
