@@ -66,10 +66,12 @@ def upsert_rows(table: DataFrame | None, changes: DataFrame, key: str = "key",
     tagged = changes.withColumn("_side", F.lit(1))
     if table is not None:
         tagged = table.select(*changes.columns).withColumn("_side", F.lit(0)).unionByName(tagged)
-    rank = F.struct(*([F.col(order)] if order else []), F.col("_side"))
-    row = F.struct(*[F.col(c) for c in cols])
-    return (tagged.groupBy(key).agg(F.max_by(row, rank).alias("_r"))
-            .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols]))
+    # rank: the order column, then the change side, then the row itself - so even
+    # copies that tie on both still give one deterministic winner
+    rank = F.struct(*([F.col(order).alias("_o")] if order else []), F.col("_side"),
+                    F.struct(*[F.col(c) for c in cols]).alias("_r"))
+    return (tagged.groupBy(key).agg(F.max(rank).alias("_w"))
+            .select(key, *[F.col(f"_w._r.{c}").alias(c) for c in cols]))
 
 
 def upsert_ranged(changes: DataFrame, key: str = "key", n_ranges: int | None = None) -> DataFrame:

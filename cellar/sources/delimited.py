@@ -310,10 +310,26 @@ def with_record_number(lines: DataFrame, keep: Column | None = None, number_col:
 
 
 def skip_records(records: DataFrame, numbers: Sequence[int], number_col: str = "record") -> DataFrame:
-    """S6.11: drop the records with the given numbers."""
+    """S6.11 ``skipRecord``: drop the records with the given numbers (per file)."""
     return records.where(~F.col(number_col).isin(list(numbers)))
 
 
+def skip_lines(spark: SparkSession, path: str, numbers: Sequence[int], charset: str = FILE_CHARSET) -> DataFrame:
+    """S6.11 ``skipLine``: the physical lines of each file without the given 0-based line numbers.
+
+    Unlike :func:`skip_records` this counts raw lines - empty and comment lines
+    included - so a qualified value spread over lines is cut like any other text.
+    """
+    lines = with_record_number(spark.read.option("encoding", charset).text(path), number_col="line_number")
+    return lines.where(~F.col("line_number").isin(list(numbers)))
+
+
+def header_index(header: Sequence[str], name: str) -> int:
+    """S6.1 ``getIndex``: position of a header name; a duplicate name resolves to its last column (D1); -1 if absent."""
+    found = [i for i, h in enumerate(header) if h == name]
+    return found[-1] if found else -1
+
+
 def _re_escape(s: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?{}[]\|()" else ch for ch in s)
 
@@ -321,4 +337,4 @@ def _re_escape(s: str) -> str:
 __all__ = ["DelimitedOptions", "reader_options", "read_delimited", "parse_delimited", "keep_last_duplicate",
            "decode_backslash", "decode_numeric_escapes", "raw_fields", "unqualify", "ragged_values", "value_at",
            "column_count", "qualified_flags", "drop_trailing_junk", "read_records", "with_record_number",
-           "skip_records", "MAX_COLUMN_CHARS", "MAX_COLUMNS"]
+           "skip_records", "skip_lines", "header_index", "MAX_COLUMN_CHARS", "MAX_COLUMNS"]

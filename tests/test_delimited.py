@@ -132,3 +132,10 @@ def test_record_numbers_shuffled_path(spark, scratch):
     got = D.with_record_number(lines, max_broadcast_splits=0).collect()
     assert sorted(r["record"] for r in got) == list(range(500))
     assert all(int(r["value"].split(",")[0]) == r["record"] for r in got)
+
+
+def test_skip_lines_counts_every_physical_line(spark, scratch):
+    p = write(scratch + "/sl", "a.csv", b'#c\n\nx,1\n"y\n",2\n')
+    got = sorted((r["line_number"], r["value"]) for r in D.skip_lines(spark, p, [0, 3]).collect())
+    assert got == [(1, ""), (2, "x,1"), (4, '",2')]
+    assert D.header_index(["a", "b", "a"], "a") == 2 and D.header_index(["a"], "z") == -1

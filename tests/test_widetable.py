@@ -225,3 +225,11 @@ def test_for_each_batch_side_effects(spark, scratch):
     for_each_batch(spark.range(0, 50, 1, 3), dump)
     total = sum(len(open(os.path.join(scratch, f)).read().split()) for f in os.listdir(scratch))
     assert total == 50
+
+
+def test_row_upsert_is_deterministic_on_ties(spark):
+    from cellar.plans.etl import upsert_rows
+    base = spark.createDataFrame([("k1", "a", "1"), ("k2", "b", "1")], "key string, v string, o string")
+    ch = spark.createDataFrame([("k1", "z", "1"), ("k1", "c", "1"), ("k2", "x", "0")], "key string, v string, o string")
+    got = dict((r["key"], r["v"]) for r in upsert_rows(base, ch, order="o").collect())
+    assert got == {"k1": "z", "k2": "b"}
