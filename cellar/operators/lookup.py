@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellar.functions.predicates import ROW_KEY
-from cellar.operators.widetable import FAMILY, QUALIFIER, SEQ, TS, VALUE
+from cellar.operators.widetable import FAMILY, QUALIFIER, SEQ, TS, VALUE, newest_version
 
 ON_MISSING = ("error", "null", "drop")
 
@@ -27,8 +27,8 @@ def lookup_table(cells: DataFrame, family: str, qualifier: str, value_name: str,
     """One row per key: the newest value of ``family:qualifier`` (P10) as ``key_name, value_name``."""
     order = [c for c in order if c in cells.columns]
     return (cells.where((F.col(FAMILY) == family) & (F.col(QUALIFIER) == qualifier))
-            .groupBy(F.col(ROW_KEY).alias(key_name))
-            .agg(F.max_by(F.col(VALUE), F.struct(*[F.col(c) for c in order])).alias(value_name)))
+            .groupBy(F.col(ROW_KEY).alias(key_name)).agg(F.max(newest_version(order)).alias("_v"))
+            .select(key_name, F.col(f"_v.{VALUE}").alias(value_name)))
 
 
 def enrich(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str, value_cols: Sequence[str],

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellar.functions.predicates import ROW_KEY, is_true
-from cellar.operators.widetable import FAMILY, QUALIFIER, SEQ, TS, VALUE
+from cellar.operators.widetable import FAMILY, QUALIFIER, SEQ, TS, VALUE, newest_version
 
 CELL_KEY = (ROW_KEY, FAMILY, QUALIFIER)
 CELL_SCHEMA = T.StructType([
@@ -40,16 +40,12 @@ def upsert(cells: DataFrame, changes: DataFrame, order: Sequence[str] = (TS, SEQ
     """
     both = cells.unionByName(changes, allowMissingColumns=True)
     order = _order(both, order)
-    version = F.struct(*[F.col(c) for c in order])
     if not keep_versions:
-        agg = both.groupBy(*CELL_KEY).agg(F.max_by(VALUE, version).alias(VALUE), F.max(version).alias("_v"))
-        return agg.select(*CELL_KEY, *[F.col(f"_v.{c}").alias(c) for c in order], VALUE)
+        agg = both.groupBy(*CELL_KEY).agg(F.max(newest_version(order)).alias("_v"))
+        return agg.select(*CELL_KEY, *[F.col(f"_v.{c}").alias(c) for c in order], F.col(f"_v.{VALUE}").alias(VALUE))
     tie = [c for c in order if c != TS]
-    if not tie:
-        return both.dropDuplicates([*CELL_KEY, TS])
-    later = F.struct(*[F.col(c) for c in tie])
-    agg = both.groupBy(*CELL_KEY, TS).agg(F.max_by(VALUE, later).alias(VALUE), F.max(later).alias("_v"))
-    return agg.select(*CELL_KEY, TS, *[F.col(f"_v.{c}").alias(c) for c in tie], VALUE)
+    agg = both.groupBy(*CELL_KEY, TS).agg(F.max(newest_version(tie)).alias("_v"))
+    return agg.select(*CELL_KEY, TS, *[F.col(f"_v.{c}").alias(c) for c in tie], F.col(f"_v.{VALUE}").alias(VALUE))
 
 
 def put_cell(spark: SparkSession, cells: DataFrame, row_key: str, family: str, qualifier: str,

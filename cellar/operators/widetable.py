@@ -8,10 +8,9 @@ Two interchangeable forms:
   missing cell - what scans, filters and joins run on, so Catalyst can push
   predicates and prune columns.
 
-Every "newest version" step is a ``groupBy`` with ``max_by`` over
-``struct(ts, seq)``: it aggregates partially before the shuffle, so a row key
-holding a large share of all cells is collapsed map-side instead of landing in
-one task.
+Every "newest version" step is a ``groupBy`` with ``max(struct(ts, seq, value))``:
+it aggregates partially before the shuffle, so a row key holding a large share
+of all cells is collapsed map-side instead of landing in one task.
 """
 
 from __future__ import annotations
@@ -138,31 +137,40 @@ def to_cells(rows: DataFrame, catalog: Catalog, ts=None, seq=None) -> DataFrame:
 def to_rows(cells: DataFrame, catalog: Catalog, order: Sequence[str] = (TS, SEQ)) -> DataFrame:
     """Cell form -> row form: newest version of every mapped cell, one row per row key.
 
-    One ``groupBy(row_key)`` with a conditional ``max_by`` per mapped column
+    One ``groupBy(row_key)`` with a conditional ``max(struct(ts, seq, value))`` per mapped column
     (no pivot value collection, partial aggregation before the shuffle).
     Cells of unmapped families or qualifiers are ignored.
     """
     order = [c for c in order if c in cells.columns]
     mapped = any_of([(F.col(FAMILY) == c.family) & (F.col(QUALIFIER) == c.qualifier) for c in catalog.columns])
-    version = F.struct(*[F.col(c) for c in order])
+    newest = newest_version(order)
     aggs = []
     for c in catalog.columns:
         hit = (F.col(FAMILY) == c.family) & (F.col(QUALIFIER) == c.qualifier)
-        aggs.append(F.max_by(F.when(hit, F.col(VALUE)), F.when(hit, version)).alias(c.name))
+        aggs.append(F.max(F.when(hit, newest)).alias(c.name))
     out = (cells.where(F.col(FAMILY).isin(catalog.families)).where(mapped)
            .groupBy(ROW_KEY).agg(*aggs))
     schema = catalog.schema()
     return out.select(F.col(ROW_KEY).alias(catalog.row_key),
-                      *[F.col(c.name).cast(schema[c.name].dataType) for c in catalog.columns])
+                      *[F.col(f"{c.name}.{VALUE}").cast(schema[c.name].dataType).alias(c.name)
+                        for c in catalog.columns])
+
+
+def newest_version(order: Sequence[str]) -> Column:
+    """The struct whose ``max`` is the newest version: the version columns, then the value.
+
+    One aggregate gives both the newest version and its value, and copies that
+    tie on the version still have one deterministic winner.
+    """
+    return F.struct(*[F.col(c) for c in order], F.col(VALUE).alias(VALUE))
 
 
 def latest_cells(cells: DataFrame, order: Sequence[str] = (TS, SEQ)) -> DataFrame:
     """Newest version of every cell: one row per (row_key, family, qualifier)."""
     order = [c for c in order if c in cells.columns]
-    version = F.struct(*[F.col(c) for c in order])
-    newest = (cells.groupBy(ROW_KEY, FAMILY, QUALIFIER)
-              .agg(F.max_by(F.col(VALUE), version).alias(VALUE), F.max(version).alias("_v")))
-    return newest.select(ROW_KEY, FAMILY, QUALIFIER, *[F.col(f"_v.{c}").alias(c) for c in order], VALUE)
+    newest = cells.groupBy(ROW_KEY, FAMILY, QUALIFIER).agg(F.max(newest_version(order)).alias("_v"))
+    return newest.select(ROW_KEY, FAMILY, QUALIFIER, *[F.col(f"_v.{c}").alias(c) for c in order],
+                         F.col(f"_v.{VALUE}").alias(VALUE))
 
 
 # --- reads -----------------------------------------------------------------------------------
@@ -255,8 +263,8 @@ def latest_value(cells: DataFrame, family: str, qualifier: str, order: Sequence[
     """``row_key, value`` - newest value of one cell per row that has it."""
     order = [c for c in order if c in cells.columns]
     return (cells.where((F.col(FAMILY) == family) & (F.col(QUALIFIER) == qualifier))
-            .groupBy(ROW_KEY)
-            .agg(F.max_by(F.col(VALUE), F.struct(*[F.col(c) for c in order])).alias(VALUE)))
+            .groupBy(ROW_KEY).agg(F.max(newest_version(order)).alias("_v"))
+            .select(ROW_KEY, F.col(f"_v.{VALUE}").alias(VALUE)))
 
 
 def column_listing(cells: DataFrame, whole_families: Iterable[str] = ()) -> DataFrame:
@@ -321,5 +329,5 @@ __all__ = [
     "FAMILY", "QUALIFIER", "TS", "VALUE", "SEQ", "CELL_COLUMNS", "ANY_COLUMN", "ColumnSpec", "Catalog",
     "catalog_schema", "as_records", "to_cells", "to_rows", "latest_cells", "scan_families", "scan", "get_row",
     "named_columns", "named_cells", "column_prefix_cells", "column_prefix_rows", "keys_only", "family_map",
-    "latest_value", "column_listing", "first_n", "page", "prefix_exists", "prefixes_exist",
+    "latest_value", "column_listing", "first_n", "page", "prefix_exists", "prefixes_exist", "newest_version",
 ]

@@ -59,7 +59,7 @@ def upsert_rows(table: DataFrame | None, changes: DataFrame, key: str = "key",
                 order: str | None = None) -> DataFrame:
     """M2 on the row form: the newest row per key wins (by ``order``, else the change side).
 
-    A ``groupBy`` with ``max_by`` over a struct of the row: partial aggregation
+    A ``groupBy`` with ``max`` over a struct of (order, side, row): partial aggregation
     collapses repeated keys before the shuffle.
     """
     cols = [c for c in changes.columns if c != key]
