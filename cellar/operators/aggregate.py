@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 DEFAULT_CHUNK_SIZE = 10_000
 # Most hot keys (keys with more than a chunk of values) that are broadcast to the join.
 MAX_HOT_KEYS = 100_000
+# Most partials of one key a user-aggregate merge sees at once.
+DEFAULT_FAN_IN = 256
 
 
 def gather_values(df: DataFrame, key: str, value: str, chunk_size: int = DEFAULT_CHUNK_SIZE,
@@ -73,13 +75,15 @@ def offset_ranges(messages: DataFrame, topic: str = "topic", partition: str = "p
 
 def aggregate_by_key(df: DataFrame, key: str, value: str, zero, seq_op: Callable, comb_op: Callable,
                      finish: Callable = str, result_type: T.DataType = T.StringType(),
-                     out: str = "result") -> DataFrame:
+                     out: str = "result", fan_in: int = DEFAULT_FAN_IN) -> DataFrame:
     """User aggregate with a zero value, an add (``seq_op``) and a merge (``comb_op``).
 
     Phase 1 (``mapInPandas``) folds every input partition into one accumulator
-    per key; phase 2 (``groupBy(...).applyInPandas``) merges the partials of a
-    key - at most one per input partition, whatever the key's row count - and
-    applies ``finish``. Accumulators travel pickled.
+    per key. The partials are then merged by ``groupBy(...).applyInPandas``:
+    when the input has more than ``fan_in`` partitions, first per key and group
+    of input partitions, so no merge ever sees more than ``fan_in`` partials of
+    a key, whatever its row count; the last merge applies ``finish``.
+    Accumulators travel pickled.
     """
     key_type = df.schema[key].dataType
     partial_schema = T.StructType([T.StructField(key, key_type), T.StructField("_acc", T.BinaryType())])
@@ -96,15 +100,26 @@ def aggregate_by_key(df: DataFrame, key: str, value: str, zero, seq_op: Callable
         if accs:
             yield pd.DataFrame({key: list(accs.keys()), "_acc": [pickle.dumps(a) for a in accs.values()]})
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+    def combine(pdf: pd.DataFrame):
         acc = None
         for blob in pdf["_acc"]:
             part = pickle.loads(blob)
             acc = part if acc is None else comb_op(acc, part)
-        return pd.DataFrame({key: [pdf[key].iloc[0]], out: [finish(acc)]})
+        return acc
 
-    partials = df.select(key, value).mapInPandas(fold_partition, partial_schema)
-    return partials.groupBy(key).applyInPandas(merge, out_schema)
+    def merge_partial(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({key: [pdf[key].iloc[0]], "_acc": [pickle.dumps(combine(pdf))]})
+
+    def merge_final(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({key: [pdf[key].iloc[0]], out: [finish(combine(pdf))]})
+
+    source = df.select(key, value)
+    partials = source.mapInPandas(fold_partition, partial_schema)
+    if source.rdd.getNumPartitions() > fan_in:
+        group = F.pmod(F.spark_partition_id(), F.lit(fan_in))
+        partials = (partials.withColumn("_grp", group).groupBy(key, "_grp")
+                    .applyInPandas(lambda pdf: merge_partial(pdf.drop(columns=["_grp"])), partial_schema))
+    return partials.groupBy(key).applyInPandas(merge_final, out_schema)
 
 
 __all__ = ["DEFAULT_CHUNK_SIZE", "gather_values", "gather_counts", "offset_ranges", "aggregate_by_key"]

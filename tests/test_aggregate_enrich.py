@@ -102,3 +102,10 @@ def test_gather_values_hot_null_key_and_shuffled_path(spark):
         out = A.gather_values(df, "k", "v", chunk_size=500, max_hot_keys=max_hot).collect()
         assert max(len(r["values"]) for r in out) < 900
         assert sorted(int(v) for r in out for v in r["values"]) == list(range(5000))
+
+
+def test_aggregate_by_key_tree_merge(spark):
+    df = spark.range(0, 4000, 1, 40).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
+    out = A.aggregate_by_key(df, "k", "v", (0, 0), lambda a, v: (a[0] + 1, a[1] + v),
+                             lambda a, b: (a[0] + b[0], a[1] + b[1]), finish=lambda a: f"{a[0]}:{a[1]}", fan_in=4)
+    assert out.collect()[0]["result"] == f"4000:{sum(range(4000))}"
