@@ -125,13 +125,21 @@ def ts_epoch_millis(ts) -> Column:
 
 def days_between(date_text, millis, fmt: str = DEFAULT_DATE_FORMAT) -> Column:
     """Whole days from a date text to an epoch-ms value, toward zero; 0 on bad input."""
-    diff = as_col(millis) - parse_epoch_millis(date_text, fmt)
-    return F.coalesce(int_div(diff, MILLIS_PER_DAY), F.lit(0)).cast("int")
+    return days_between_millis(parse_epoch_millis(date_text, fmt), millis)
 
 
 def days_between_rev(date_text, millis, fmt: str = DEFAULT_DATE_FORMAT) -> Column:
     """As X6 with the operands swapped (date text minus epoch value)."""
-    diff = parse_epoch_millis(date_text, fmt) - as_col(millis)
+    return days_between_millis(millis, parse_epoch_millis(date_text, fmt))
+
+
+def days_between_millis(from_millis, to_millis) -> Column:
+    """Whole days from one epoch-ms value to another, toward zero; 0 when either is NULL.
+
+    X6/X7 with the text already parsed - lets a plan parse a date once (say on
+    the smaller side of a join) and compare it with many values.
+    """
+    diff = as_col(to_millis) - as_col(from_millis)
     return F.coalesce(int_div(diff, MILLIS_PER_DAY), F.lit(0)).cast("int")
 
 
