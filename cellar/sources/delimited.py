@@ -302,11 +302,10 @@ def with_record_number(lines: DataFrame, keep: Column | None = None, number_col:
     before = splits.select("_file", "_block", "_first",
                            (F.sum("_n").over(Window.partitionBy("_file").orderBy("_block")) - F.col("_n"))
                            .alias("_before"))
-    # the split table is small (one row per split); fetch it once under the bound and
-    # broadcast that copy, so the files are not scanned again to rebuild it
-    found = before.limit(max_broadcast_splits + 1).collect()
-    if len(found) <= max_broadcast_splits:
-        before = F.broadcast(lines.sparkSession.createDataFrame(found, before.schema))
+    # The split table is computed inside the same job as the lines (not fetched
+    # ahead), so both see one and the same split layout at run time.
+    if before.limit(max_broadcast_splits + 1).count() <= max_broadcast_splits:
+        before = F.broadcast(before)
     return (tagged.join(before, ["_file", "_block"])
             .withColumn(number_col, F.col("_before") + F.col("_pos") - F.col("_first"))
             .drop("_file", "_block", "_pos", "_first", "_before"))
