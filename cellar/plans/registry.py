@@ -83,7 +83,7 @@ CELL_OUT = ["row_key", "family", "qualifier", "value", "seq"]
 
 @register("crawl_order_report", REPORT_SQL)
 def crawl_order_report(spark, sf):
-    """The flagship job, upserted by key."""
+    """The flagship job, upserted by key."""
     report = etl.order_report(FX.order_feed(spark, sf), FX.user_cells(spark, sf), on_missing="error")
     return etl.upsert_rows(None, report, key="key")
 
@@ -483,7 +483,7 @@ def _line_dates(spark, sf) -> DataFrame:
         CAST(coalesce((epoch_us(l_shipdate) // 1000 - {_PARSED_MS}) // 86400000, 0) AS INTEGER) AS days
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def days_between(spark, sf):
-    """Whole days from the order date text to the ship time (ms); 0 when the text does not parse."""
+    """Whole days from the order date text (strict, read as UTC) to the ship time (ms); 0 when the text does not parse."""
     d = _line_dates(spark, sf)
     return d.select("l_orderkey", "l_linenumber", X.days_between_millis("order_ms", "ship_ms").alias("days"))
 
@@ -524,7 +524,7 @@ def utf8_bytes(spark, sf):
     SELECT batch_id, n_values, numbers, CAST(n_values AS VARCHAR) AS response,
            numbers || chr(9) || CAST(n_values AS VARCHAR) AS line FROM g""")
 def batch_calls(spark, sf):
-    """Numbers in consecutive batches of 99, one service call per batch."""
+    """Numbers in consecutive batches of 99, one service call per batch, ``numbers<TAB>response`` lines."""
     from cellar.plans.phones import enrich_phone_list
     return enrich_phone_list(FX.phone_lines(spark, sf).select("line"), max_attempts=3, pause_seconds=0.1)
 
@@ -568,8 +568,9 @@ def gather_counts(spark, sf):
         coalesce(CASE WHEN event_type = 'signup' THEN NULL ELSE CAST(user_id AS VARCHAR) END, '') || ':' || props AS value
     FROM events""")
 def forward_stream(spark, sf):
-    """File stream of messages -> ``key:value`` -> batch-keyed sink, offsets reported
-    per batch, positions in the query checkpoint; drained with ``availableNow``."""
+    """File stream of messages -> ``key:value`` -> batch-keyed sink
+    (a replayed batch replaces its output), offsets reported per batch, positions in the query
+    checkpoint; drained with ``availableNow``."""
     from cellar.session import shared_path
     from cellar.streaming import forwarder as S
     src = FX.ensure_message_files(spark, sf)
