@@ -280,3 +280,14 @@ def event_cell_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C as a stored cell table, range-partitioned and sorted by row key."""
     path = ensure_written(spark, sf_dir, "events_cells", event_cells, _write_ranged(None))
     return spark.read.parquet(path)
+
+
+def lineitem_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hot-key cells from ``lineitem``: row key = return flag (three keys, about a third of all
+    rows each), family ``li``, qualifier = line status, version ``(l_shipdate, seq)``,
+    value = part key as text; ``seq = l_orderkey * 8 + l_linenumber`` is unique."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_returnflag").alias(ROW_KEY), F.lit("li").alias("family"),
+                     F.col("l_linestatus").alias("qualifier"), F.col("l_shipdate").alias("ts"),
+                     F.col("l_partkey").cast("string").alias("value"),
+                     (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"))

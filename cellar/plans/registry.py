@@ -930,6 +930,58 @@ def delete_rows_where_cells(spark, sf):
     return M.delete_rows_where_cells(_cells(spark, sf), cond).select(*CELL_OUT)
 
 
+# --- hot keys: three row keys with about a third of all rows each -------------------------------
+
+L_SQL = """l AS (SELECT l_returnflag AS row_key, 'li' AS family, l_linestatus AS qualifier, l_shipdate AS ts,
+        CAST(l_partkey AS VARCHAR) AS value, l_orderkey * 8 + l_linenumber AS seq FROM lineitem)"""
+
+
+@register("hot_latest", f"""WITH {L_SQL} SELECT row_key, family, qualifier, arg_max(value, (ts, seq)) AS value
+    FROM l GROUP BY ALL""")
+def hot_latest(spark, sf):
+    """P10 on hot keys: newest version per cell when each row key holds a third of all cells
+    (partial aggregation collapses them before the shuffle)."""
+    return W.latest_cells(FX.lineitem_cells(spark, sf)).select("row_key", "family", "qualifier", "value")
+
+
+@register("hot_gather", """SELECT l_returnflag, count(*) AS n_values, CAST(ceil(count(*) / 10000) AS BIGINT) AS n_chunks,
+        sum(l_partkey) AS value_sum FROM lineitem GROUP BY l_returnflag""")
+def hot_gather(spark, sf):
+    """A1 on hot keys: every value kept, spread over ceil(n / 10,000) bounded chunks per key."""
+    g = A.gather_values(FX.table(spark, sf, "lineitem"), "l_returnflag", "l_partkey", chunk_size=10_000)
+    return (g.groupBy("l_returnflag")
+            .agg(F.sum(F.size("values")).cast("long").alias("n_values"), F.count(F.lit(1)).alias("n_chunks"),
+                 F.sum(F.aggregate("values", F.lit(0).cast("long"), lambda acc, v: acc + v.cast("long")))
+                 .alias("value_sum")))
+
+
+@register("hot_upsert", f"""WITH {L_SQL}, u AS (SELECT * FROM l UNION ALL
+        SELECT row_key, family, qualifier, ts + INTERVAL 1 DAY, 'r' || value, seq FROM l WHERE qualifier = 'F')
+    SELECT row_key, family, qualifier, value, seq FROM (
+        SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY ts DESC, seq DESC) AS rn FROM u)
+    WHERE rn = 1""")
+def hot_upsert(spark, sf):
+    """M2 on hot keys: a batch of puts one day newer for every cell version of status F."""
+    cells = FX.lineitem_cells(spark, sf)
+    changes = cells.where(F.col("qualifier") == "F").select(
+        "row_key", "family", "qualifier", (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"),
+        F.concat(F.lit("r"), F.col("value")).alias("value"), "seq")
+    return M.upsert(cells, changes).select(*CELL_OUT)
+
+
+@register("hot_delete_latest", f"""WITH {L_SQL},
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY ts DESC, seq DESC) AS rn
+               FROM l)
+    SELECT count(*) AS n_cells, sum(seq) AS seq_sum FROM ranked WHERE NOT (rn = 1 AND qualifier = 'O')""")
+def hot_delete_latest(spark, sf):
+    """M4 on hot keys: drop the newest version of every status-O cell; the anti-join on the
+    full version identity spreads each hot cell over many tasks (summed to compare)."""
+    cells = FX.lineitem_cells(spark, sf)
+    req = cells.where(F.col("qualifier") == "O").select("row_key", "family", "qualifier").distinct()
+    kept = M.delete_latest(cells, req)
+    return kept.agg(F.count(F.lit(1)).alias("n_cells"), F.sum("seq").alias("seq_sum"))
+
+
 def _with_code(fn: QueryFn) -> QueryFn:
     @functools.wraps(fn)
     def run(spark: SparkSession, sf: str) -> DataFrame:
