@@ -1,10 +1,10 @@
 """Aggregations.
 
-* A1 gathers the values of a key as text. A key may hold a large share of all
-  rows, so the values are never put into one unbounded array: a hot key's values
-  are spread over ``ceil(n / chunk_size)`` chunks by a hash of a per-row id taken
-  at the scan, and each chunk is one bounded ``collect_list``. All values are
-  kept; a key with at most ``chunk_size`` values is exactly one row (chunk 0).
+* A1 gathers the values of a key as text. A key (or one group of identical
+  copies) may hold a large share of all rows, so the values are never put into
+  one unbounded array: copies collapse to counts first, and a hot key's values
+  are dealt over ``ceil(n / chunk_size)`` chunks, each one bounded. All values
+  are kept; a key with at most ``chunk_size`` values is exactly one row (chunk 0).
   :func:`gather_counts` is the compact exact form (value, count) of the same bag.
 * A2 is the consumed offset range per (topic, partition).
 * E4 is a caller's zero / add / merge aggregate run as map-side partials
@@ -32,32 +32,47 @@ DEFAULT_FAN_IN = 256
 
 def gather_values(df: DataFrame, key: str, value: str, chunk_size: int = DEFAULT_CHUNK_SIZE,
                   out: str = "values", max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """A1: ``key, chunk, values`` - the values of each key as sorted text arrays of at most ~``chunk_size``.
-
-    Only keys with more than ``chunk_size`` values ("hot" keys) are split, so
-    only they need their count next to each row. Their number is checked first
-    (at most ``max_hot_keys + 1`` count rows are fetched); when it is within the
-    bound they are broadcast and the input is never shuffled for the join,
-    otherwise the join is a shuffled one. Order inside a source list is
-    undefined, so each chunk is sorted.
+    """A1: ``key, chunk, values`` - the values of each key as sorted text arrays of about ``chunk_size``.
+
+    Deterministic and bounded, whatever one key or one group of copies holds:
+
+    1. keys are counted (partial aggregation); "hot" keys - more than ``chunk_size``
+       values - are checked (at most ``max_hot_keys + 1`` rows are fetched) and, within
+       the bound, broadcast; beyond it the joins below are shuffled ones;
+    2. rows of the other keys go straight to one ``collect_list`` per key (chunk 0);
+    3. rows of hot keys collapse to ``(key, value, n)`` first, each count is cut into
+       pieces of at most ``chunk_size`` copies, and piece ``i`` goes to chunk
+       ``(hash(value) + i) mod ceil(total / chunk_size)`` - a value with a huge count is
+       dealt round the chunks, distinct values spread by hash - and each chunk is rebuilt
+       with ``array_repeat``.
+
+    Chunks are sorted (list order is undefined at the source). No per-row id or random
+    number is involved, so a re-run task after a lost executor puts every value in the
+    same chunk.
     """
     spark = df.sparkSession
-    rid = "_rid"
-    tagged = df.select(F.col(key), F.col(value).cast("string").alias("_v"),
-                       F.monotonically_increasing_id().alias(rid))
-    hot = (tagged.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > F.lit(chunk_size)).withColumnRenamed(key, "_hk"))
+    rows = df.select(F.col(key), F.col(value).cast("string").alias("_v"))
+    hot = (rows.groupBy(key).agg(F.count(F.lit(1)).alias("_total"))
+           .where(F.col("_total") > F.lit(chunk_size)).withColumnRenamed(key, "_hk"))
     found = hot.limit(max_hot_keys + 1).collect()
-    if len(found) <= max_hot_keys:
-        hot_side = F.broadcast(spark.createDataFrame(found, hot.schema))
-    else:
-        hot_side = hot
-    n_chunks = F.ceil(F.col("_n") / F.lit(chunk_size)).cast("long")
-    chunk = F.when(F.col("_n").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(F.col(rid)), n_chunks)).cast("int")
-    chunked = (tagged.join(hot_side, tagged[key].eqNullSafe(hot_side["_hk"]), "left")
-               .select(key, "_v", chunk.alias("chunk")))
-    return (chunked.groupBy(key, "chunk")
-            .agg(F.sort_array(F.collect_list("_v")).alias(out)))
+    hot_side = F.broadcast(spark.createDataFrame(found, hot.schema)) if len(found) <= max_hot_keys else hot
+    on = rows[key].eqNullSafe(hot_side["_hk"])
+
+    cool = (rows.join(hot_side, on, "left_anti").groupBy(key)
+            .agg(F.lit(0).alias("chunk"), F.sort_array(F.collect_list("_v")).alias(out)))
+    if not found and hot_side is not hot:
+        return cool
+
+    bag = (rows.join(hot_side, on, "left_semi").groupBy(key, "_v").agg(F.count(F.lit(1)).alias("_n"))
+           .join(hot_side, F.col(key).eqNullSafe(F.col("_hk"))))
+    cut = bag.select(key, "_v", "_n", "_total",
+                     F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_n") / F.lit(chunk_size)) - 1))
+                     .alias("_i"))
+    copies = F.least(F.lit(chunk_size).cast("long"), F.col("_n") - F.col("_i") * F.lit(chunk_size))
+    chunk = F.pmod(F.xxhash64("_v") + F.col("_i"), F.ceil(F.col("_total") / F.lit(chunk_size))).cast("int")
+    dealt = (cut.select(key, chunk.alias("chunk"), F.array_repeat("_v", copies.cast("int")).alias("_vs"))
+             .groupBy(key, "chunk").agg(F.sort_array(F.flatten(F.collect_list("_vs"))).alias(out)))
+    return cool.unionByName(dealt)
 
 
 def gather_counts(df: DataFrame, key: str, value: str) -> DataFrame:

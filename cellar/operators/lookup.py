@@ -40,8 +40,10 @@ def enrich(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str, valu
     whose value is NULL, ``'null'`` leaves NULL, ``'drop'`` removes the row.
     ``broadcast_lookup`` is for callers that know the lookup side is small.
     ``salt_buckets > 1`` spreads every key of the probe side over that many
-    tasks (random salt) and copies each lookup row once per salt - explicit
-    salting for a shuffled join when the adaptive skew split is not available.
+    tasks (salt = hash of the row's content) and copies each lookup row once per
+    salt - explicit salting for a shuffled join when the adaptive skew split is not
+    available. Identical probe rows share a salt; collapse such copies first
+    (``groupBy(*cols).count()``) when one group of copies is itself hot.
     """
     if on_missing not in ON_MISSING:
         raise ValueError(f"on_missing must be one of {ON_MISSING}")
@@ -52,7 +54,9 @@ def enrich(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str, valu
     left = df
     cond = df[left_key] == right["_lk"]
     if salt_buckets > 1:
-        left = df.withColumn("_salt", (F.rand(17) * salt_buckets).cast("int"))
+        # a content hash, not a random number: a re-run task salts every row the same way
+        left = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
+                                             F.lit(salt_buckets)).cast("int"))
         right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
         cond = (left[left_key] == right["_lk"]) & (left["_salt"] == right["_salt"])
     joined = left.join(right, cond, how)

@@ -109,3 +109,12 @@ def test_aggregate_by_key_tree_merge(spark):
     out = A.aggregate_by_key(df, "k", "v", (0, 0), lambda a, v: (a[0] + 1, a[1] + v),
                              lambda a, b: (a[0] + b[0], a[1] + b[1]), finish=lambda a: f"{a[0]}:{a[1]}", fan_in=4)
     assert out.collect()[0]["result"] == f"4000:{sum(range(4000))}"
+
+
+def test_gather_values_group_of_copies(spark):
+    # a third of all rows are one identical (key, value) copy
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit("k")).otherwise(F.format_string("u%d", "id")).alias("k"),
+                                  F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("v"))
+    out = A.gather_values(df, "k", "v", chunk_size=500).where("k = 'k'").collect()
+    assert len(out) == 6 and all(len(r["values"]) == 500 for r in out)
+    assert sum(len(r["values"]) for r in out) == 3000 and {v for r in out for v in r["values"]} == {"7"}
