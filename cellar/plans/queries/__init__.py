@@ -12,8 +12,17 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellar.plans.queries import (aggregates, changes, delimited, feed, hot_keys, lookups,  # noqa: F401
-                                  reads, scalars, streams, user_code)
+# registration order: the flagship feed job first, then reads, lookups, changes and the rest
+from cellar.plans.queries import feed  # noqa: F401  (isort: skip)
+from cellar.plans.queries import reads  # noqa: F401
+from cellar.plans.queries import lookups  # noqa: F401
+from cellar.plans.queries import changes  # noqa: F401
+from cellar.plans.queries import aggregates  # noqa: F401
+from cellar.plans.queries import scalars  # noqa: F401
+from cellar.plans.queries import user_code  # noqa: F401
+from cellar.plans.queries import streams  # noqa: F401
+from cellar.plans.queries import delimited  # noqa: F401
+from cellar.plans.queries import hot_keys  # noqa: F401
 from cellar.plans.queries._common import ORACLES, QUERIES, QueryFn
 from cellar.session import ship_code
 

@@ -27,12 +27,31 @@ DEFAULT_CONF = {
 }
 
 
+# Added for large clusters (profile="cluster"): bigger input splits and shuffle partitions,
+# many initial shuffle partitions that AQE merges to the advisory size, skew splits
+# from 256 MB, and broadcasts only of sides that measure under 64 MB at run time.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "1000",
+}
+
+
 def get_session(master: str | None = None, app: str = "cellar", shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, profile: str = "default") -> SparkSession:
+    """A session with the package's settings; ``profile='cluster'`` adds :data:`CLUSTER_CONF`."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in DEFAULT_CONF.items():
+    conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+    for k, v in conf.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -122,4 +141,4 @@ def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "ship_code", "checkpoint_dir", "shared_root", "shared_path", "local_fs_path", "DEFAULT_CONF"]
+__all__ = ["CLUSTER_CONF", "get_session", "ship_code", "checkpoint_dir", "shared_root", "shared_path", "local_fs_path", "DEFAULT_CONF"]
