@@ -220,8 +220,8 @@ def _write_messages(df: DataFrame, path: str) -> None:
     df.repartitionByRange(n, F.col("offset")).sortWithinPartitions("offset").write.mode("overwrite").parquet(path)
 
 
-def order_feed(spark: SparkSession, sf_dir: str, date: str | None = None) -> DataFrame:
-    return read_json_feed(spark, ensure_order_feed(spark, sf_dir), date=date)
+def order_feed(spark: SparkSession, sf_dir: str, date: str | None = None, schema=ORDER_DOC_SCHEMA) -> DataFrame:
+    return read_json_feed(spark, ensure_order_feed(spark, sf_dir), schema=schema, date=date)
 
 
 __all__ = ["KEY_WIDTH", "EVENT_FAMILY", "ORDER_ROWS_CATALOG", "table", "padded_key", "event_cells", "order_rows",

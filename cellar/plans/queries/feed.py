@@ -23,15 +23,18 @@ def dated_feed(spark, sf):
     """S1 + S2: one day of the feed, chosen by the partition column (partition pruning)."""
     from cellar.sources.json_feed import feed_date
     day = feed_date(["19970315"])
-    flat = etl.flatten_orders(FX.order_feed(spark, sf, date=day))
-    return flat.select("userid", "orderid", "addtime")
+    docs = FX.order_feed(spark, sf, date=day)
+    return etl.explode_orders(docs).select("userid", F.col("orderInfo.orderNo").alias("orderid"), "addtime")
 
 
 @register("explode_inner", """SELECT CAST(o_custkey AS VARCHAR) AS userid, CAST(o_orderkey AS VARCHAR) AS orderid,
         o_orderstatus AS invoicetype FROM orders""")
 def explode_inner(spark, sf):
     """Documents with an empty or NULL order list give no row."""
-    return etl.explode_orders(FX.order_feed(spark, sf)).select(
+    from cellar.sources.json_feed import order_doc_schema
+    # only the nested fields this query reads are parsed (no nested pruning for JSON)
+    docs = FX.order_feed(spark, sf, schema=order_doc_schema(["orderNo", "invoiceType"], top=["sUserId"]))
+    return etl.explode_orders(docs, with_add_time=False).select(
         "userid", F.col("orderInfo.orderNo").alias("orderid"), F.col("orderInfo.invoiceType").alias("invoicetype"))
 
 

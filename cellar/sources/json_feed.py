@@ -27,6 +27,20 @@ ORDER_DOC_SCHEMA = T.StructType([
     ])),
 ])
 
+
+
+def order_doc_schema(fields=ORDER_FIELDS, top=("sUserId", "addTime")) -> T.StructType:
+    """The order-document schema narrowed to the given order fields (and top-level fields).
+
+    Catalyst prunes nested fields for Parquet but not for JSON, so a job that
+    needs only some fields passes this narrower schema and the parser skips the rest.
+    """
+    order = T.StructType([T.StructField(f, T.StringType()) for f in ORDER_FIELDS if f in fields])
+    out = [T.StructField(t, T.StringType()) for t in ("sUserId", "addTime") if t in top]
+    out.append(T.StructField("message", T.StructType([T.StructField("orderInfo", T.ArrayType(order))])))
+    return T.StructType(out)
+
+
 DATE_PARTITION = "dt"
 FEED_DATE_FORMAT = "%Y%m%d"
 
@@ -81,4 +95,4 @@ def read_json_feed(spark: SparkSession, path: str, schema: T.StructType = ORDER_
             .where(F.col(DATE_PARTITION) == F.lit(date)))
 
 
-__all__ = ["ORDER_FIELDS", "ORDER_DOC_SCHEMA", "DATE_PARTITION", "feed_date", "read_json_feed"]
+__all__ = ["ORDER_FIELDS", "ORDER_DOC_SCHEMA", "order_doc_schema", "DATE_PARTITION", "feed_date", "read_json_feed"]

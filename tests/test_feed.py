@@ -89,3 +89,24 @@ def test_empty_stream_batch(spark, scratch):
     empty = spark.createDataFrame([], S.MESSAGE_SCHEMA)
     S.forward_batch(S.folder_sink(os.path.join(scratch, "o")), report=S.folder_sink(os.path.join(scratch, "r")))(empty, 0)
     assert spark.read.schema("key string, value string").parquet(os.path.join(scratch, "o")).count() == 0
+
+
+def test_narrow_schema_reads_only_named_fields(spark, scratch):
+    from cellar.sources.json_feed import order_doc_schema
+    docs = read_json_feed(spark, feed(scratch), schema=order_doc_schema(["orderNo"], top=["sUserId"]))
+    assert docs.schema.simpleString().startswith("struct<sUserId:string,message:struct<orderInfo:array<struct<orderNo")
+    assert sorted(r["orderInfo"]["orderNo"] for r in etl.explode_orders(docs, with_add_time=False).collect()) == \
+        ["o1", "o2", "o9"]
+
+
+def test_phone_list_quoted_line_break(spark, scratch):
+    from cellar.plans.phones import numeric_numbers, phone_numbers, read_phone_list
+    p = os.path.join(scratch, "phones")
+    os.makedirs(p)
+    with open(os.path.join(p, "a.txt"), "w", encoding="utf-8") as f:
+        f.write('"138\n0001"\tx\n+8613900000002\ty\n')
+    line_based = sorted(r["number"] for r in numeric_numbers(phone_numbers(read_phone_list(spark, p))).collect())
+    assert line_based == ["0001", "138", "13900000002"]
+    whole = read_phone_list(spark, p, multiline_raw=True)
+    got = sorted(r["number"] for r in phone_numbers(whole).collect())
+    assert got == ["138\n0001", "13900000002"]
