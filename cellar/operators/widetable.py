@@ -152,7 +152,7 @@ def to_rows(cells: DataFrame, catalog: Catalog, order: Sequence[str] = (TS, SEQ)
            .groupBy(ROW_KEY).agg(*aggs))
     schema = catalog.schema()
     return out.select(F.col(ROW_KEY).alias(catalog.row_key),
-                      *[F.col(f"{c.name}.{VALUE}").cast(schema[c.name].dataType).alias(c.name)
+                      *[F.col(f"`{c.name}`").getField(VALUE).cast(schema[c.name].dataType).alias(c.name)
                         for c in catalog.columns])
 
 

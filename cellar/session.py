@@ -74,8 +74,7 @@ def ship_code(spark: SparkSession) -> None:
     with ``addPyFile``, so executor-side callbacks (pandas UDFs, ``mapInPandas``)
     import it whatever the driver's working directory or path is.
     """
-    sc = spark.sparkContext
-    app = sc.applicationId
+    app = spark.conf.get("spark.app.id", None) or str(id(spark))
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -91,12 +90,15 @@ def ship_code(spark: SparkSession) -> None:
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for f in files:
             z.write(f, os.path.relpath(f, root))
-    sc.addPyFile(target)
+    try:
+        spark.sparkContext.addPyFile(target)
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        spark.addArtifacts(target, pyfile=True)
     _SHIPPED.add(app)
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return (spark.conf.get("spark.master", "") or "").startswith("local")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -123,7 +125,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def shared_root(spark: SparkSession) -> str:
     """The configured shared folder itself (stable across sessions, unlike the
     per-application subfolder Spark creates for ``checkpoint()``)."""
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     return conf_dir.rstrip("/") if conf_dir else checkpoint_dir(spark).rstrip("/")
 
 
