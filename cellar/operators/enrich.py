@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
@@ -109,10 +110,14 @@ def batch_requests(values: DataFrame, value_col: str, size: int = BATCH_SIZE, se
 def call_batches(batches: DataFrame, call: Callable[[str], str | None], max_attempts: int = 5,
                  pause_seconds: float = RETRY_PAUSE_SECONDS, backoff: float = 2.0,
                  on_exhausted: str = "error", request_col: str = "numbers",
-                 sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+                 sleep: Callable[[float], None] = time.sleep, concurrency: int = 1) -> DataFrame:
     """E5 (second half): ``call(request)`` once per batch row; an empty or missing answer is retried
     up to ``max_attempts`` times with a growing pause (D10 (c)). When every attempt
-    comes back empty the task fails (``on_exhausted='error'``) or the response is NULL."""
+    comes back empty the task fails (``on_exhausted='error'``) or the response is NULL.
+
+    Batches are spread over tasks; ``concurrency > 1`` also keeps that many calls in
+    flight inside a task (the calls wait on the service, not on the CPU). A re-run task
+    calls its batches again, so the service should tolerate repeats (at-least-once)."""
     if on_exhausted not in ("error", "null"):
         raise ValueError("on_exhausted must be 'error' or 'null'")
     schema = T.StructType([*batches.schema.fields, T.StructField("response", T.StringType())])
@@ -131,8 +136,15 @@ def call_batches(batches: DataFrame, call: Callable[[str], str | None], max_atte
         return None
 
     def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            yield pdf.assign(response=[one(r) for r in pdf[request_col].tolist()])
+        pool = ThreadPoolExecutor(max_workers=concurrency) if concurrency > 1 else None
+        try:
+            for pdf in parts:
+                requests = pdf[request_col].tolist()
+                answers = list(pool.map(one, requests)) if pool else [one(r) for r in requests]
+                yield pdf.assign(response=answers)
+        finally:
+            if pool:
+                pool.shutdown(wait=True)
 
     return batches.mapInPandas(run, schema)
 

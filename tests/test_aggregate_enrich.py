@@ -118,3 +118,15 @@ def test_gather_values_group_of_copies(spark):
     out = A.gather_values(df, "k", "v", chunk_size=500).where("k = 'k'").collect()
     assert len(out) == 6 and all(len(r["values"]) == 500 for r in out)
     assert sum(len(r["values"]) for r in out) == 3000 and {v for r in out for v in r["values"]} == {"7"}
+
+
+def test_call_batches_concurrent_keeps_order(spark):
+    import time as _t
+    b = spark.createDataFrame([(i, f"{i},x") for i in range(40)], "batch_id long, numbers string").coalesce(2)
+
+    def slow(req):
+        _t.sleep(0.01)
+        return "r" + req.split(",")[0]
+
+    out = E.call_batches(b, slow, concurrency=8).collect()
+    assert all(r["response"] == f"r{r['batch_id']}" for r in out) and len(out) == 40
