@@ -182,8 +182,10 @@ def scan_families(cells: DataFrame, families: Iterable[str]) -> DataFrame:
 
 def scan(df: DataFrame, condition: Column | None = None, start: str | None = None,
          prefix: str | None = None, columns: Sequence[str] | None = None,
-         key: str = ROW_KEY) -> DataFrame:
-    """F10 (+F1, F2, P6): one scan entry point: optional start key, key prefix, filter, columns.
+         key: str = ROW_KEY, limit: int | None = None) -> DataFrame:
+    """F10 (+F1, F2, P6, O1): one scan entry point: optional start key, key prefix, filter,
+    columns and row limit (the first ``limit`` matching rows in key order, as a scanner
+    with a limit returns them; without one the whole table, like ``readAll``).
 
     Covers every ``scan``/``scanPrefix`` form; all conditions reach the
     Parquet scan as pushed filters when the input is a Parquet table.
@@ -197,6 +199,8 @@ def scan(df: DataFrame, condition: Column | None = None, start: str | None = Non
         out = out.where(condition)
     if columns is not None:
         out = out.select(key, *[c for c in columns if c != key])
+    if limit is not None:
+        out = first_n(out, limit, key)
     return out
 
 

@@ -233,3 +233,9 @@ def test_row_upsert_is_deterministic_on_ties(spark):
     ch = spark.createDataFrame([("k1", "z", "1"), ("k1", "c", "1"), ("k2", "x", "0")], "key string, v string, o string")
     got = dict((r["key"], r["v"]) for r in upsert_rows(base, ch, order="o").collect())
     assert got == {"k1": "z", "k2": "b"}
+
+
+def test_scan_with_limit_in_key_order(spark, versioned):
+    rows = W.to_rows(versioned, CAT)
+    got = [r["row_key"] for r in W.scan(rows, start="r2", limit=2).collect()]
+    assert got == ["r2", "r3"]
