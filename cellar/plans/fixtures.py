@@ -210,7 +210,8 @@ MESSAGE_FILES = 4
 
 
 def ensure_message_files(spark: SparkSession, sf_dir: str) -> str:
-    """G as a folder of Parquet files (one micro-batch each with one file per trigger)."""
+    """G as a folder of Parquet files ordered by offset, like a topic log (a file stream reads
+    a few files per micro-batch)."""
     return ensure_written(spark, sf_dir, "messages", messages, _write_messages)
 
 
@@ -224,10 +225,6 @@ def order_feed(spark: SparkSession, sf_dir: str, date: str | None = None, schema
     return read_json_feed(spark, ensure_order_feed(spark, sf_dir), schema=schema, date=date)
 
 
-__all__ = ["KEY_WIDTH", "EVENT_FAMILY", "ORDER_ROWS_CATALOG", "table", "padded_key", "event_cells", "order_rows",
-           "user_cells", "phone_lines", "messages", "order_documents", "ensure_order_feed", "order_feed"]
-
-
 # --- delimited text ----------------------------------------------------------------------------
 
 FILE_GROUP_ROWS = 10_000
@@ -302,3 +299,9 @@ def lineitem_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("l_linestatus").alias("qualifier"), F.col("l_shipdate").alias("ts"),
                      F.col("l_partkey").cast("string").alias("value"),
                      (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"))
+
+
+__all__ = ["KEY_WIDTH", "EVENT_FAMILY", "ORDER_ROW_FAMILY", "ORDER_ROWS_CATALOG", "table", "padded_key", "event_cells",
+           "order_rows", "user_cells", "phone_lines", "messages", "lineitem_cells", "order_documents",
+           "ensure_written", "ensure_order_feed", "ensure_message_files", "ensure_text", "ensure_csv", "order_feed",
+           "order_table", "event_cell_table"]
