@@ -49,3 +49,29 @@ def test_replayed_batch_replaces_its_output(spark, scratch):
     run(batch, 7)     # at-least-once: the same batch again after a restart
     assert spark.read.parquet(out).count() == 2
     assert spark.read.parquet(rep).count() == 1
+
+
+def test_kafka_reader_is_wired_to_the_connector(spark):
+    import pytest
+    with pytest.raises(Exception, match="(?i)kafka"):
+        S.read_kafka(spark, S.kafka_source_options("localhost:1", "t"))
+
+
+def test_processing_time_trigger_picks_up_new_files(spark, scratch):
+    import time
+    src, out, ck = (os.path.join(scratch, n) for n in ("src", "out", "ck"))
+    _batch(spark, src, [("t", 0, 0, "a", "x")])
+    q = S.start_forwarder(S.read_message_files(spark, src), S.folder_sink(out), ck,
+                          trigger={"processingTime": "1 second"}, query_name="fwd_test")
+    try:
+        q.processAllAvailable()
+        _batch(spark, src, [("t", 0, 1, "b", "y")])
+        deadline = time.time() + 60
+        while time.time() < deadline:
+            q.processAllAvailable()
+            if spark.read.parquet(out).count() == 2:
+                break
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert sorted(r["value"] for r in spark.read.parquet(out).collect()) == ["a:x", "b:y"]
