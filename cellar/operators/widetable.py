@@ -298,23 +298,22 @@ def prefixes_exist(prefixes: DataFrame, df: DataFrame, prefix_col: str = "prefix
                    lengths: Iterable[int] | None = None) -> DataFrame:
     """F9 for many prefixes: ``prefix, exists``.
 
-    A starts-with test is an equi-join on ``substring(row_key, 1, len)`` once
-    the prefix length is fixed, so every distinct prefix length gets one
-    left-semi join (no cross join). The set of lengths is small (bounded by the
-    key length); pass ``lengths`` to skip the pass that finds them.
+    Once its length is fixed, a starts-with test is an equality on
+    ``substring(row_key, 1, len)``: every key is cut to each requested prefix
+    length in one pass, the cuts are made distinct (duplicates of a hot prefix
+    collapse map-side) and matched to the prefixes by an equi semi-join - no
+    cross join. The set of lengths is small (bounded by the key length); pass
+    ``lengths`` to skip the pass that finds them.
     """
     if lengths is None:
         lengths = [r[0] for r in prefixes.select(F.length(prefix_col).alias("n")).distinct().collect()]
-    keys = df.select(key)
-    hits = None
-    for n in sorted(set(int(x) for x in lengths if x is not None)):
-        # distinct first: duplicates of a hot prefix collapse map-side before any shuffle
-        found = (keys.select(F.substring(F.col(key), 1, n).alias(prefix_col)).distinct()
-                 .join(prefixes.where(F.length(prefix_col) == n).select(prefix_col), prefix_col, "left_semi"))
-        hits = found if hits is None else hits.unionByName(found)
-    if hits is None:
+    lengths = sorted(set(int(x) for x in lengths if x is not None))
+    if not lengths:
         return prefixes.select(prefix_col, F.lit(False).alias("exists"))
-    hits = hits.distinct().withColumn("_hit", F.lit(True))
+    cuts = F.explode(F.array(*[F.substring(F.col(key), 1, n) for n in lengths]))
+    hits = (df.select(cuts.alias(prefix_col)).distinct()
+            .join(prefixes.select(prefix_col), prefix_col, "left_semi")
+            .withColumn("_hit", F.lit(True)))
     return (prefixes.join(hits, prefix_col, "left")
             .select(prefix_col, F.coalesce(F.col("_hit"), F.lit(False)).alias("exists")))
 
