@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files once the DataFrame that made them is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # list many partition folders in a few tasks rather than one tiny task per folder
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
