@@ -33,6 +33,7 @@ DEFAULT_COMMENT = "#"
 FILE_CHARSET = "ISO-8859-1"
 MAX_COLUMN_CHARS = 100_000
 MAX_COLUMNS = 100_000
+UNGUARDED_MAX_COLUMNS = 1_000_000
 # Most file splits whose line counts are broadcast to number records (one small row each).
 MAX_BROADCAST_SPLITS = 200_000
 # Single-letter backslash escapes and the characters they stand for.
@@ -74,7 +75,9 @@ def reader_options(o: DelimitedOptions) -> dict[str, str]:
         "multiLine": str(o.multiline).lower(),
         "mode": "PERMISSIVE",
         "maxCharsPerColumn": str(MAX_COLUMN_CHARS if o.safety_switch else -1),
-        "maxColumns": str(MAX_COLUMNS if o.safety_switch else 20480 * 100),
+        # Spark has no "unlimited" for the column count and the parser sizes arrays by it,
+        # so "guard off" is a large finite bound
+        "maxColumns": str(MAX_COLUMNS if o.safety_switch else UNGUARDED_MAX_COLUMNS),
         "nullValue": "\u0000\u0000null-never\u0000",  # empty text stays '' (the source never yields NULL)
         "emptyValue": "",
     }
