@@ -144,12 +144,19 @@ def info_type():
     return ORDER_DOC_SCHEMA["message"].dataType["orderInfo"].dataType.elementType
 
 
+_COMMITTED: set[str] = set()
+
+
 def _committed(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` hold a committed write? Remembered per process once seen."""
+    if path in _COMMITTED:
+        return True
     try:
         spark.read.text(f"{path}/_SUCCESS").schema  # noqa: B018 - existence check only
-        return True
     except AnalysisException:
         return False
+    _COMMITTED.add(path)
+    return True
 
 
 def _fingerprint(fn, depth: int = 2) -> str:
