@@ -2,12 +2,12 @@
 
 * E1 opens a resource once per partition, closes it in ``finally``.
 * E2 hands Arrow batches of rows to a vectorised callback.
-* E5 numbers rows globally (exact, distributed), cuts them into fixed-size
+* E5 numbers values globally (exact, distributed), cuts them into fixed-size
   batches, joins each batch into one request text and calls a service per
-  batch with bounded retries. Nothing passes through the driver: positions come
-  from a range shuffle plus per-range counts (a table of one row per range),
-  the batches are built by ``groupBy`` (each group holds at most ``size`` rows)
-  and the calls run in ``mapInPandas`` tasks.
+  batch with bounded retries. Nothing passes through the driver: copies
+  collapse to counts first, positions come from a range shuffle plus per-range
+  sums (a table of one row per range), the batches are built by ``groupBy``
+  (each holds at most ``size`` values) and the calls run in ``mapInPandas`` tasks.
 """
 
 from __future__ import annotations
@@ -96,15 +96,63 @@ def global_index(df: DataFrame, order: Sequence[str], index_col: str = "idx",
             .drop("_range", "_local", "_start"))
 
 
+def weighted_positions(bag: DataFrame, order_col: str, weight_col: str, n_ranges: int | None = None) -> DataFrame:
+    """Start position of each (distinct) ``order_col`` value when it counts ``weight_col`` times.
+
+    The values are range-partitioned and the ranges fixed by a reliable
+    checkpoint; a running sum inside each range (one range per window group,
+    balanced by the range split) plus the total of the ranges before it (a table
+    of one row per range, broadcast) gives each value's first position.
+    """
+    spark = bag.sparkSession
+    checkpoint_dir(spark)
+    n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frozen = (bag.repartitionByRange(n, F.col(order_col)).withColumn("_range", F.spark_partition_id())
+              .checkpoint(eager=True))
+    upto = Window.partitionBy("_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = frozen.withColumn("_cum", F.sum(weight_col).over(upto))
+    totals = frozen.groupBy("_range").agg(F.sum(weight_col).alias("_t"))
+    starts = totals.select("_range", (F.sum("_t").over(Window.orderBy("_range")) - F.col("_t")).alias("_r0"))
+    return (local.join(F.broadcast(starts), "_range")
+            .withColumn("start", F.col("_r0") + F.col("_cum") - F.col(weight_col))
+            .drop("_range", "_cum", "_r0"))
+
+
+# Batches one exploded row may expand into inside a single task; longer runs are cut first.
+BATCHES_PER_PIECE = 10_000
+
+
 def batch_requests(values: DataFrame, value_col: str, size: int = BATCH_SIZE, sep: str = ",",
                    n_ranges: int | None = None) -> DataFrame:
     """E5 (first half): ``batch_id, n_values, numbers`` - consecutive groups of ``size`` values in
-    value order, joined with ``sep``; the last group may be partial (D10)."""
-    indexed = global_index(values.select(value_col), [value_col], n_ranges=n_ranges)
-    batch_id = ((F.col("idx") - F.col("idx") % F.lit(size)) / F.lit(size)).cast("long")
-    return (indexed.groupBy(batch_id.alias("batch_id"))
-            .agg(F.count(F.lit(1)).alias("n_values"),
-                 F.array_join(F.array_sort(F.collect_list(F.col(value_col))), sep).alias("numbers")))
+    value order, joined with ``sep``; the last group may be partial (D10).
+
+    Copies collapse first to ``(value, n)``, so one value repeated across a large
+    share of the input is one row; values are numbered by weighted positions;
+    each value then goes to the batches its positions ``[start, start + n)``
+    cover, with the number of copies in each. A value spanning very many
+    batches is cut into pieces that are spread over tasks before expanding.
+    Each batch holds at most ``size`` values.
+    """
+    bag = values.groupBy(F.col(value_col)).agg(F.count(F.lit(1)).alias("_n"))
+    pos = weighted_positions(bag, value_col, "_n", n_ranges=n_ranges)
+    sz = F.lit(size).cast("long")
+    first = F.floor(F.col("start") / sz).cast("long")
+    last = F.floor((F.col("start") + F.col("_n") - 1) / sz).cast("long")
+    per = F.lit(BATCHES_PER_PIECE).cast("long")
+    pieces = (pos.select(value_col, "start", "_n", first.alias("_b0"), last.alias("_b1"))
+              .withColumn("_p", F.explode(F.sequence(F.floor(F.col("_b0") / per).cast("long"),
+                                                     F.floor(F.col("_b1") / per).cast("long"))))
+              .repartition(F.col(value_col), F.col("_p")))
+    lo = F.greatest(F.col("_b0"), F.col("_p") * per)
+    hi = F.least(F.col("_b1"), (F.col("_p") + 1) * per - 1)
+    placed = pieces.select(value_col, "start", "_n", F.explode(F.sequence(lo, hi)).alias("batch_id"))
+    copies = (F.least(F.col("start") + F.col("_n"), (F.col("batch_id") + 1) * sz)
+              - F.greatest(F.col("start"), F.col("batch_id") * sz))
+    entries = F.array_sort(F.collect_list(F.struct(F.col(value_col).alias("v"), copies.cast("int").alias("c"))))
+    batches = placed.groupBy("batch_id").agg(F.sum(copies).alias("n_values"), entries.alias("_e"))
+    text = F.array_join(F.flatten(F.transform("_e", lambda e: F.array_repeat(e["v"], e["c"]))), sep)
+    return batches.select("batch_id", "n_values", text.alias("numbers"))
 
 
 def call_batches(batches: DataFrame, call: Callable[[str], str | None], max_attempts: int = 5,
@@ -165,4 +213,4 @@ def count_service(request: str) -> str:
 
 
 __all__ = ["BATCH_SIZE", "RETRY_PAUSE_SECONDS", "map_partitions_with_resource", "map_rows", "for_each_batch",
-           "global_index", "batch_requests", "call_batches", "result_lines", "write_lines", "count_service"]
+           "global_index", "weighted_positions", "batch_requests", "call_batches", "result_lines", "write_lines", "count_service"]

@@ -130,3 +130,25 @@ def test_call_batches_concurrent_keeps_order(spark):
 
     out = E.call_batches(b, slow, concurrency=8).collect()
     assert all(r["response"] == f"r{r['batch_id']}" for r in out) and len(out) == 40
+
+
+def test_batches_with_a_hot_repeated_number(spark):
+    # a third of the list is one number repeated; batches stay exact and bounded
+    vals = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit("13800000000"))
+                                    .otherwise(F.format_string("139%08d", "id")).alias("number"))
+    got = {r["batch_id"]: r for r in E.batch_requests(vals, "number", size=99).collect()}
+    expect = sorted(["13800000000"] * 1000 + [f"139{i:08d}" for i in range(3000) if i % 3])
+    assert sorted(got) == list(range(31))
+    flat = [n for b in sorted(got) for n in got[b]["numbers"].split(",")]
+    assert flat == expect and all(got[b]["n_values"] == len(got[b]["numbers"].split(",")) <= 99 for b in got)
+
+
+def test_batch_pieces_for_very_long_runs(spark):
+    old = E.BATCHES_PER_PIECE
+    E.BATCHES_PER_PIECE = 3
+    try:
+        vals = spark.range(1000).select(F.lit("5").alias("number"))
+        got = sorted((r["batch_id"], r["n_values"]) for r in E.batch_requests(vals, "number", size=99).collect())
+    finally:
+        E.BATCHES_PER_PIECE = old
+    assert got == [(i, 99) for i in range(10)] + [(10, 10)]
