@@ -76,14 +76,30 @@ def upsert_rows(table: DataFrame | None, changes: DataFrame, key: str = "key",
             .select(key, *[F.col(f"_w._r.{c}").alias(c) for c in cols]))
 
 
-def upsert_ranged(changes: DataFrame, key: str = "key", n_ranges: int | None = None) -> DataFrame:
-    """M2 + K2 in one shuffle: range-partition by key first, then keep the newest row per key.
+# A key holding more rows than this many ranges' worth counts as hot for the flagship write.
+HOT_KEY_RANGES = 4
+
 
-    A range partitioning on the key already puts every copy of a key in one
-    task, so the dedupe needs no second exchange, and its sort leaves each range
-    ordered by key for the write. Keys of a report are (nearly) unique, so the
-    partial aggregation a separate dedupe would add saves nothing.
+def upsert_ranged(changes: DataFrame, key: str = "key", n_ranges: int | None = None) -> DataFrame:
+    """M2 + K2: newest row per key, range-split by key and sorted inside each range.
+
+    Usually one shuffle: a range partitioning on the key already puts every copy
+    of a key in one task, so the dedupe needs no second exchange, and its sort
+    leaves each range ordered by key for the write. A range partitioner cannot
+    split one key, though, so the keys are first checked with Spark's frequent-items
+    sketch (one pass over the key column, no false negatives): if any key may hold
+    more than ``HOT_KEY_RANGES`` ranges' worth of rows, copies are collapsed by a
+    partial-aggregating ``groupBy`` before the range split instead. Both give the
+    same rows.
     """
+    n = int(n_ranges or changes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    support = min(0.5, max(1e-4, HOT_KEY_RANGES / n))
+    hot = changes.select(key).stat.freqItems([key], support).first()[0]
+    if hot:
+        deduped = upsert_rows(None, changes, key=key)
+        ranged = (deduped.repartitionByRange(int(n_ranges), F.col(key)) if n_ranges
+                  else deduped.repartitionByRange(F.col(key)))
+        return ranged.sortWithinPartitions(key)
     ranged = (changes.repartitionByRange(int(n_ranges), F.col(key)) if n_ranges
               else changes.repartitionByRange(F.col(key)))
     return upsert_rows(None, ranged, key=key).sortWithinPartitions(key)

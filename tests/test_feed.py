@@ -110,3 +110,14 @@ def test_phone_list_quoted_line_break(spark, scratch):
     whole = read_phone_list(spark, p, multiline_raw=True)
     got = sorted(r["number"] for r in phone_numbers(whole).collect())
     assert got == ["138\n0001", "13900000002"]
+
+
+def test_ranged_upsert_same_rows_with_and_without_hot_keys(spark):
+    import cellar.plans.etl as ETL
+    uniq = spark.range(2000).select(F.format_string("k%05d", "id").alias("key"), F.col("id").cast("string").alias("v"))
+    hot = uniq.unionByName(spark.range(3000).select(F.lit("k00007").alias("key"), F.lit("z").alias("v")))
+    for df in (uniq, hot):
+        fast = sorted(map(tuple, ETL.upsert_ranged(df, n_ranges=4).collect()))
+        plain = sorted(map(tuple, ETL.upsert_rows(None, df).collect()))
+        assert fast == plain
+    assert dict(map(tuple, ETL.upsert_ranged(hot, n_ranges=4).collect()))["k00007"] == "z"
