@@ -97,25 +97,31 @@ def delete_rows_where_cells(cells: DataFrame, cell_condition: Column) -> DataFra
     return cells.join(doomed, ROW_KEY, "left_anti")
 
 
-def range_layout(df: DataFrame, n_ranges: int | None = 5, key: str = ROW_KEY) -> DataFrame:
+def range_layout(df: DataFrame, n_ranges: int | None = 5, key: str = ROW_KEY,
+                 then: Sequence[str] = ()) -> DataFrame:
     """K2: pre-split into ``n_ranges`` key ranges, sorted inside each range.
 
     Written out, each file holds one key range with sorted row groups, which is
     what lets later key-range and prefix reads skip files and row groups.
     ``n_ranges=None`` lets the data size decide (``spark.sql.shuffle.partitions``
     ranges, merged by AQE) - the choice for large tables, where a fixed small
-    count would leave a few tasks writing everything.
+    count would leave a few tasks writing everything. ``then`` adds columns to
+    the range key after ``key``: the files stay ordered by ``key`` first, but one
+    key with very many rows (a hot row of a cell table) can be split over ranges.
     """
-    ranged = (df.repartitionByRange(int(n_ranges), F.col(key)) if n_ranges
-              else df.repartitionByRange(F.col(key)))
-    return ranged.sortWithinPartitions(key)
+    cols = [F.col(key), *[F.col(c) for c in then]]
+    ranged = df.repartitionByRange(int(n_ranges), *cols) if n_ranges else df.repartitionByRange(*cols)
+    return ranged.sortWithinPartitions(*cols)
 
 
 def write_table(df: DataFrame, path: str, n_ranges: int | str | None = None, key: str = ROW_KEY,
                 fmt: str = "parquet", mode: str = "overwrite", ranged: bool = True) -> None:
     """K1: write a table (row or cell form) through its mapping, range-split by key (K2)
-    into ``n_ranges`` ranges (``None``: sized by the data); ``ranged=False`` writes as is."""
-    out = range_layout(df, int(n_ranges) if n_ranges else None, key) if ranged else df
+    into ``n_ranges`` ranges (``None``: sized by the data); ``ranged=False`` writes as is.
+    A cell table is split on (row_key, family, qualifier, ts[, seq]), so a hot row key
+    spreads over several ranges while the files stay ordered by row key."""
+    then = [c for c in (FAMILY, QUALIFIER, TS, SEQ) if c in df.columns] if FAMILY in df.columns else []
+    out = range_layout(df, int(n_ranges) if n_ranges else None, key, then) if ranged else df
     out.write.format(fmt).mode(mode).save(path)
 
 

@@ -54,3 +54,15 @@ def test_gather_and_lookup_on_hot_key(spark):
     lk = W.latest_cells(cells).where("qualifier = 'a'").select("row_key", F.col("value").alias("v"))
     out = J.enrich(cells.select("row_key", "seq"), lk, "row_key", "row_key", ["v"], on_missing="null", salt_buckets=4)
     assert out.where("row_key = 'hot'").count() == 10_000
+
+
+def test_cell_table_write_splits_a_hot_row(spark, scratch):
+    cells = skewed_cells(spark)
+    path = scratch + "/cells"
+    M.write_table(cells, path, n_ranges=6)
+    per_file = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("row_key") == "hot", 1).otherwise(0)).alias("hot"))
+    rows = per_file.collect()
+    assert sum(r["n"] for r in rows) == 30_000
+    assert sum(1 for r in rows if r["hot"] > 0) >= 2          # the hot row spans several files
+    assert max(r["n"] for r in rows) < 30_000 * 0.5
