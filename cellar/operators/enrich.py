@@ -80,6 +80,10 @@ def global_index(df: DataFrame, order: Sequence[str], index_col: str = "idx",
     cannot renumber them); the start of each range is the running count of the
     ranges before it, over a table of one row per range (broadcast - its size is
     the number of ranges).
+
+    Rows with equal ``order`` values share a range, so this suits (nearly)
+    distinct keys; for values repeated across much of the input, collapse them
+    to counts and use :func:`weighted_positions`, as :func:`batch_requests` does.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
