@@ -105,7 +105,7 @@ def read_delimited(spark: SparkSession, path: str, options: DelimitedOptions = D
     if names is not None:
         df = df.toDF(*names)
     elif options.header and schema is None:
-        df = keep_last_duplicate(df, _header_names(spark, path, options))
+        df = keep_last_duplicate(df, read_headers(spark, path, options))
     return _post_process(df, options, numeric_escapes)
 
 
@@ -137,8 +137,10 @@ def _post_process(df: DataFrame, o: DelimitedOptions, numeric_escapes: bool = Fa
     return df.select(*cols)
 
 
-def _header_names(spark: SparkSession, path: str, o: DelimitedOptions) -> list[str]:
-    first = spark.read.options(**{**reader_options(o), "header": "false"}).csv(path).limit(1).collect()
+def read_headers(spark: SparkSession, path: str, options: DelimitedOptions = DelimitedOptions()) -> list[str]:
+    """S6.1 ``readHeaders``/``getHeaders``: the names in the first record (``len`` is the header count,
+    ``[i]`` the i-th header). Only that one record is read."""
+    first = spark.read.options(**{**reader_options(options), "header": "false"}).csv(path).limit(1).collect()
     return [str(v) for v in first[0]] if first else []
 
 
@@ -339,7 +341,8 @@ def _re_escape(s: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?{}[]\|()" else ch for ch in s)
 
 
-__all__ = ["DelimitedOptions", "reader_options", "read_delimited", "parse_delimited", "keep_last_duplicate",
+__all__ = ["DelimitedOptions", "reader_options", "read_delimited", "read_headers", "parse_delimited",
+           "keep_last_duplicate",
            "decode_backslash", "decode_numeric_escapes", "raw_fields", "unqualify", "ragged_values", "value_at",
            "column_count", "qualified_flags", "drop_trailing_junk", "read_records", "with_record_number",
            "skip_records", "skip_lines", "header_index", "MAX_COLUMN_CHARS", "MAX_COLUMNS"]

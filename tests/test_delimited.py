@@ -139,3 +139,8 @@ def test_skip_lines_counts_every_physical_line(spark, scratch):
     got = sorted((r["line_number"], r["value"]) for r in D.skip_lines(spark, p, [0, 3]).collect())
     assert got == [(1, ""), (2, "x,1"), (4, '",2')]
     assert D.header_index(["a", "b", "a"], "a") == 2 and D.header_index(["a"], "z") == -1
+
+
+def test_read_headers(spark, scratch):
+    p = write(scratch + "/rh", "a.csv", b'id,"na,me",x\n1,2,3\n')
+    assert D.read_headers(spark, p) == ["id", "na,me", "x"]
