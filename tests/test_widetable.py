@@ -239,3 +239,11 @@ def test_scan_with_limit_in_key_order(spark, versioned):
     rows = W.to_rows(versioned, CAT)
     got = [r["row_key"] for r in W.scan(rows, start="r2", limit=2).collect()]
     assert got == ["r2", "r3"]
+
+
+def test_enrich_with_asserted_small_lookup_broadcasts(spark, versioned):
+    probe = spark.range(100).select(F.when(F.col("id") % 2 == 0, "r1").otherwise("r2").alias("k"))
+    lk = J.lookup_table(versioned, "f", "a", "a_val")
+    out = J.enrich(probe, lk, "k", "row_key", ["a_val"], broadcast_lookup=True)
+    assert sorted({r["a_val"] for r in out.collect()}) == ["new", "t2"]
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
