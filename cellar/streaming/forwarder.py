@@ -133,6 +133,23 @@ def start_forwarder(messages: DataFrame, sink: Sink, checkpoint_location: str, r
     return writer.start()
 
 
+def progress_offsets(progress: list[dict] | dict) -> list[tuple[int, str, int, int, int]]:
+    """T5 from the query's own bookkeeping: ``(batch_id, topic, partition, from_offset, until_offset)``
+    for each batch in ``query.recentProgress`` (or one ``lastProgress``), read from the Kafka
+    source's start and end offsets - the exact fetched ranges, gaps included."""
+    out = []
+    for p in ([progress] if isinstance(progress, dict) else progress):
+        for src in p.get("sources", []):
+            start, end = src.get("startOffset"), src.get("endOffset")
+            if not isinstance(end, dict) or not all(isinstance(v, dict) for v in end.values()):
+                continue   # not a Kafka source (file sources report a log position)
+            for topic, parts in end.items():
+                for part, until in parts.items():
+                    frm = (start or {}).get(topic, {}).get(part, until) if isinstance(start, dict) else until
+                    out.append((p.get("batchId"), topic, int(part), int(frm), int(until)))
+    return out
+
+
 __all__ = ["MESSAGE_SCHEMA", "BATCH_INTERVAL", "FETCH_MAX_BYTES", "kafka_source_options", "read_kafka",
            "read_message_files", "kafka_records", "kafka_sink_options", "kafka_sink", "folder_sink",
-           "forward_messages", "forward_batch", "start_forwarder"]
+           "forward_messages", "forward_batch", "start_forwarder", "progress_offsets"]

@@ -75,3 +75,13 @@ def test_processing_time_trigger_picks_up_new_files(spark, scratch):
     finally:
         q.stop()
     assert sorted(r["value"] for r in spark.read.parquet(out).collect()) == ["a:x", "b:y"]
+
+
+def test_progress_offsets_from_kafka_progress():
+    prog = [{"batchId": 3, "sources": [{"description": "KafkaV2[Subscribe[t]]",
+                                        "startOffset": {"t": {"0": 10, "1": 4}},
+                                        "endOffset": {"t": {"0": 15, "1": 4}}}]},
+            {"batchId": 4, "sources": [{"description": "FileStreamSource", "startOffset": {"logOffset": 1},
+                                        "endOffset": {"logOffset": 2}}]}]
+    got = S.progress_offsets(prog)
+    assert sorted(got) == [(3, "t", 0, 10, 15), (3, "t", 1, 4, 4)]
