@@ -24,7 +24,7 @@ def hot_latest(spark, sf):
 
 
 @register("hot_gather", """SELECT l_returnflag, count(*) AS n_values, CAST(ceil(count(*) / 10000) AS BIGINT) AS n_chunks,
-        sum(l_partkey) AS value_sum FROM lineitem GROUP BY l_returnflag""")
+        CAST(sum(l_partkey) AS BIGINT) AS value_sum FROM lineitem GROUP BY l_returnflag""")
 def hot_gather(spark, sf):
     """A1 on hot keys: every value kept, spread over ceil(n / 10,000) bounded chunks per key."""
     g = A.gather_values(FX.table(spark, sf, "lineitem"), "l_returnflag", "l_partkey", chunk_size=10_000)
@@ -51,7 +51,7 @@ def hot_upsert(spark, sf):
 @register("hot_delete_latest", f"""WITH {L_SQL},
     ranked AS (SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY ts DESC, seq DESC) AS rn
                FROM l)
-    SELECT count(*) AS n_cells, sum(seq) AS seq_sum FROM ranked WHERE NOT (rn = 1 AND qualifier = 'O')""")
+    SELECT count(*) AS n_cells, CAST(sum(seq) AS BIGINT) AS seq_sum FROM ranked WHERE NOT (rn = 1 AND qualifier = 'O')""")
 def hot_delete_latest(spark, sf):
     """M4 on hot keys: drop the newest version of every status-O cell; the anti-join on the
     full version identity spreads each hot cell over many tasks (summed to compare)."""
