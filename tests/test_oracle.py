@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from check_oracle import TABLES, digest
+from check_oracle import TABLES, digest, type_diffs
 from tests.conftest import SMALL
 
 NAMES = sorted(E.queries())
@@ -26,6 +26,8 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SMALL)
     rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(E.oracle_sql()[name])
+    assert not type_diffs(df.schema, rel.columns, rel.types)
     res = duck.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
