@@ -64,10 +64,17 @@ def upsert_rows(table: DataFrame | None, changes: DataFrame, key: str = "key",
     A ``groupBy`` with ``max`` over a struct of (order, side, row): partial aggregation
     collapses repeated keys before the shuffle.
     """
-    cols = [c for c in changes.columns if c != key]
+    return _newest_per_key(_tag_sides(table, changes), key, [c for c in changes.columns if c != key], order)
+
+
+def _tag_sides(table: DataFrame | None, changes: DataFrame) -> DataFrame:
     tagged = changes.withColumn("_side", F.lit(1))
     if table is not None:
         tagged = table.select(*changes.columns).withColumn("_side", F.lit(0)).unionByName(tagged)
+    return tagged
+
+
+def _newest_per_key(tagged: DataFrame, key: str, cols: list[str], order: str | None) -> DataFrame:
     # rank: the order column, then the change side, then the row itself - so even
     # copies that tie on both still give one deterministic winner
     rank = F.struct(*([F.col(order).alias("_o")] if order else []), F.col("_side"),
@@ -80,8 +87,10 @@ def upsert_rows(table: DataFrame | None, changes: DataFrame, key: str = "key",
 HOT_KEY_RANGES = 4
 
 
-def upsert_ranged(changes: DataFrame, key: str = "key", n_ranges: int | None = None) -> DataFrame:
-    """M2 + K2: newest row per key, range-split by key and sorted inside each range.
+def upsert_ranged(changes: DataFrame, key: str = "key", n_ranges: int | None = None,
+                  table: DataFrame | None = None) -> DataFrame:
+    """M2 + K2: newest row per key (``table`` + ``changes``, changes winning), range-split by
+    key and sorted inside each range.
 
     Usually one shuffle: a range partitioning on the key already puts every copy
     of a key in one task, so the dedupe needs no second exchange, and its sort
@@ -92,17 +101,18 @@ def upsert_ranged(changes: DataFrame, key: str = "key", n_ranges: int | None = N
     partial-aggregating ``groupBy`` before the range split instead. Both give the
     same rows.
     """
+    tagged = _tag_sides(table, changes)
+    cols = [c for c in changes.columns if c != key]
     n = int(n_ranges or changes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     support = min(0.5, max(1e-4, HOT_KEY_RANGES / n))
-    hot = changes.select(key).stat.freqItems([key], support).first()[0]
+    hot = tagged.select(key).stat.freqItems([key], support).first()[0]
+
+    def by_range(df: DataFrame) -> DataFrame:
+        return df.repartitionByRange(int(n_ranges), F.col(key)) if n_ranges else df.repartitionByRange(F.col(key))
+
     if hot:
-        deduped = upsert_rows(None, changes, key=key)
-        ranged = (deduped.repartitionByRange(int(n_ranges), F.col(key)) if n_ranges
-                  else deduped.repartitionByRange(F.col(key)))
-        return ranged.sortWithinPartitions(key)
-    ranged = (changes.repartitionByRange(int(n_ranges), F.col(key)) if n_ranges
-              else changes.repartitionByRange(F.col(key)))
-    return upsert_rows(None, ranged, key=key).sortWithinPartitions(key)
+        return by_range(_newest_per_key(tagged, key, cols, None)).sortWithinPartitions(key)
+    return _newest_per_key(by_range(tagged), key, cols, None).sortWithinPartitions(key)
 
 
 def write_report(report: DataFrame, path: str, n_ranges: int | None = None) -> None:
@@ -111,9 +121,10 @@ def write_report(report: DataFrame, path: str, n_ranges: int | None = None) -> N
     range_layout(report, n_ranges, "key").write.mode("overwrite").parquet(path)
 
 
-def write_report_upserted(changes: DataFrame, path: str, n_ranges: int | None = None) -> None:
-    """The flagship write: newest row per key, range-split and sorted, with one shuffle."""
-    upsert_ranged(changes, "key", n_ranges).write.mode("overwrite").parquet(path)
+def write_report_upserted(changes: DataFrame, path: str, n_ranges: int | None = None,
+                          table: DataFrame | None = None) -> None:
+    """The flagship write: newest row per key (``table`` + ``changes``), range-split and sorted."""
+    upsert_ranged(changes, "key", n_ranges, table=table).write.mode("overwrite").parquet(path)
 
 
 __all__ = ["FLAT_COLUMNS", "ORDER_FAMILY", "REPORT_CATALOG", "USER_FAMILY", "USER_ID_QUALIFIER",
