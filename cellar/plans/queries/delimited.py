@@ -254,3 +254,15 @@ def parse_text(spark, sf):
     line = F.concat_ws(",", _k(), F.concat(F.lit('"'), F.col("p_brand"), F.lit('"')), F.col("p_size").cast("string"))
     parsed = _part(spark, sf).select(D.parse_delimited(line, "p_partkey long, p_brand string, p_size int").alias("r"))
     return parsed.select("r.*")
+
+
+@register("csv_skip_lines", """SELECT * FROM (
+        SELECT CAST(row_number() OVER (PARTITION BY p_partkey // 10000 ORDER BY p_partkey) - 1 AS BIGINT) AS line_number,
+               CASE WHEN p_size > 40 THEN '#' || CAST(p_partkey AS VARCHAR) || ',comment'
+                    ELSE CAST(p_partkey AS VARCHAR) || ',' || p_brand END AS value
+        FROM part) WHERE line_number NOT IN (0, 1, 2)""")
+def csv_skip_lines(spark, sf):
+    """S6.11 ``skipLine``: physical lines (comments included) numbered per file, the first three skipped."""
+    from cellar.sources import delimited as D
+    path = FX.ensure_text(spark, sf, "csv_comments_ordered", _COMMENT_LINES, order="p_partkey")
+    return D.skip_lines(spark, path, [0, 1, 2]).select("line_number", "value")

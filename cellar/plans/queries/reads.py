@@ -208,3 +208,11 @@ def named_cells_keep_families(spark, sf):
     """P6 + D4: naming columns of one family keeps the other families whole."""
     return W.named_cells(_two_family_cells(spark, sf), FX.EVENT_FAMILY, ["click"],
                          keep_other_families=True).select(*CELL_OUT)
+
+
+@register("scan_limit", f"""WITH {R_SQL} SELECT row_key, status FROM r WHERE row_key >= '000000005000' AND status = 'F'
+    ORDER BY row_key LIMIT 30""")
+def scan_limit(spark, sf):
+    """O1 + F2 + F10: a scan from a start key with a filter and a row limit (first rows in key order)."""
+    return W.scan(stored_rows(spark, sf), condition=P.column_equals("status", "F"), start="000000005000",
+                  columns=["status"], limit=30)
