@@ -11,7 +11,7 @@ afterwards with column expressions:
 * text after a closing qualifier is dropped (S6.15, D2) exactly by the raw-record
   reader, and on request (``drop_trailing_junk``) from Spark-parsed values;
 * ragged records, the column count and "was this value qualified?" come from a
-  quote-aware split of the raw line (S6.9, S6.12, S6.14);
+  linear, qualifier-aware tokenizing of the raw line (S6.9, S6.12, S6.14);
 * record numbers (S6.10) come from the file, block and position of each line.
 """
 
@@ -180,18 +180,24 @@ def decode_numeric_escapes(c) -> Column:
 
 # --- raw records, ragged rows, qualifiers, junk (S6.9, S6.12, S6.14, S6.15) --------------------
 
-def _quote_aware_split(raw, delimiter: str, qualifier: str) -> Column:
-    d = _re_escape(delimiter)
-    q = _re_escape(qualifier)
-    pattern = f"{d}(?=(?:[^{q}]*{q}[^{q}]*{q})*[^{q}]*$)"
-    return F.split(as_col(raw), pattern, -1)
-
-
 def raw_fields(raw, options: DelimitedOptions = DelimitedOptions()) -> Column:
-    """The fields of a raw record as written (qualifiers kept), split outside qualified text."""
+    """The fields of a raw record as written (qualifiers kept).
+
+    One tokenizing match per field, left to right, so the work is linear in the
+    line length: a field is either qualified - optional blanks, the qualifier,
+    text with doubled (or backslash-escaped) qualifiers, the closing qualifier and
+    any text up to the next delimiter - or anything up to the next delimiter (a
+    qualifier inside an unqualified field is ordinary text).
+    """
+    d = _re_escape(options.delimiter)
     if not options.use_qualifier:
-        return F.split(as_col(raw), _re_escape(options.delimiter), -1)
-    return _quote_aware_split(raw, options.delimiter, options.qualifier)
+        return F.split(as_col(raw), d, -1)
+    q = _re_escape(options.qualifier)
+    inner = f"(?:[^{q}\\\\]|\\\\.)*" if options.escape_mode == "backslash" else f"(?:[^{q}]|{q}{q})*"
+    # every field match starts at a delimiter (one is put in front of the record), so no
+    # match is empty and there is exactly one field per delimiter
+    field = f"{d}([ \\t]*{q}{inner}{q}[^{d}]*|[^{d}]*)"
+    return F.regexp_extract_all(F.concat(F.lit(options.delimiter), as_col(raw)), F.lit(field), 1)
 
 
 def unqualify(field, options: DelimitedOptions = DelimitedOptions()) -> Column:

@@ -144,3 +144,21 @@ def test_skip_lines_counts_every_physical_line(spark, scratch):
 def test_read_headers(spark, scratch):
     p = write(scratch + "/rh", "a.csv", b'id,"na,me",x\n1,2,3\n')
     assert D.read_headers(spark, p) == ["id", "na,me", "x"]
+
+
+def test_raw_fields_linear_tokenizer_cases(spark):
+    rows = [("a,,b",), ("a,",), ("",), (",a",), ('x"a,b"',), (' "p,q" ,r',), ('"a""b",c',), ('"u" junk,v',)]
+    got = [r[0] for r in spark.createDataFrame(rows, "raw string").select(D.raw_fields("raw")).collect()]
+    assert got == [["a", "", "b"], ["a", ""], [""], ["", "a"], ['x"a', 'b"'], [' "p,q" ', "r"],
+                   ['"a""b"', "c"], ['"u" junk', "v"]]
+    bs = spark.createDataFrame([('"a\\"b,c",d',)], "raw string")
+    assert bs.select(D.raw_fields("raw", D.DelimitedOptions(escape_mode="backslash"))).first()[0] == ['"a\\"b,c"', "d"]
+
+
+def test_long_line_is_split_quickly(spark):
+    import time
+    line = ",".join(f'"v{i},x"' if i % 2 else f"v{i}" for i in range(20_000))
+    df = spark.createDataFrame([(line,)], "raw string")
+    t = time.time()
+    n = df.select(D.column_count("raw")).first()[0]
+    assert n == 20_000 and time.time() - t < 30
