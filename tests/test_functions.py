@@ -117,3 +117,12 @@ def test_utf8_round_trip(spark):
 def test_int_div_toward_zero(spark):
     df = spark.createDataFrame([(-3,), (3,), (-4,)], "n long")
     assert [r[0] for r in df.select(X.int_div("n", 2)).collect()] == [-1, 1, -2]
+
+
+def test_java_trim_long_blank_runs_are_fast(spark):
+    import time
+    s = " " * 200_000 + "x" + "\t" * 200_000
+    t = time.time()
+    assert one(spark, X.java_trim("s"), s) == "x"
+    assert one(spark, X.java_trim("s"), "\x00\x1f a b \x20") == "a b"
+    assert time.time() - t < 20
