@@ -207,7 +207,7 @@ def unqualify(field, options: DelimitedOptions = DelimitedOptions()) -> Column:
     qe = _re_escape(q)
     f = as_col(field)
     if options.trim_whitespace:
-        f = F.regexp_replace(f, r"^[ \t]+|[ \t]+$", "")
+        f = F.trim(f, F.lit(" \t"))
     if not options.use_qualifier:
         return f
     inner = F.regexp_extract(f, f"^{qe}((?:[^{qe}]|{qe}{qe})*){qe}", 1)
