@@ -32,7 +32,8 @@ def lookup_table(cells: DataFrame, family: str, qualifier: str, value_name: str,
 
 
 def enrich(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str, value_cols: Sequence[str],
-           on_missing: str = "error", broadcast_lookup: bool = False, salt_buckets: int = 1) -> DataFrame:
+           on_missing: str = "error", broadcast_lookup: bool = False, salt_buckets: int = 1,
+           collapse_copies: bool = False) -> DataFrame:
     """Add ``value_cols`` of ``lookup`` to every row of ``df`` by key.
 
     ``lookup`` must already be one row per key (see :func:`lookup_table`).
@@ -42,9 +43,17 @@ def enrich(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str, valu
     ``salt_buckets > 1`` spreads every key of the probe side over that many
     tasks (salt = hash of the row's content) and copies each lookup row once per
     salt - explicit salting for a shuffled join when the adaptive skew split is not
-    available. Identical probe rows share a salt; collapse such copies first
-    (``groupBy(*cols).count()``) when one group of copies is itself hot.
+    available. Identical probe rows share a salt; ``collapse_copies=True`` counts
+    identical probe rows first (partial aggregation), joins each distinct row once
+    and repeats the result by its count - for inputs where one group of copies is
+    itself a large share of the rows.
     """
+    if collapse_copies:
+        counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+        joined = enrich(counted, lookup, left_key, right_key, value_cols, on_missing=on_missing,
+                        broadcast_lookup=broadcast_lookup, salt_buckets=salt_buckets)
+        return (joined.withColumn("_rep", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))))
+                .drop("_rep", "_copies"))
     if on_missing not in ON_MISSING:
         raise ValueError(f"on_missing must be one of {ON_MISSING}")
     right = lookup.select(F.col(right_key).alias("_lk"), *value_cols)

@@ -66,3 +66,13 @@ def test_cell_table_write_splits_a_hot_row(spark, scratch):
     assert sum(r["n"] for r in rows) == 30_000
     assert sum(1 for r in rows if r["hot"] > 0) >= 2          # the hot row spans several files
     assert max(r["n"] for r in rows) < 30_000 * 0.5
+
+
+def test_lookup_with_collapsed_copies(spark):
+    cells = skewed_cells(spark)
+    lk = W.latest_cells(cells).where("qualifier = 'a'").select("row_key", F.col("value").alias("v"))
+    probe = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.lit("k00001")).alias("row_key"))
+    out = J.enrich(probe, lk, "row_key", "row_key", ["v"], on_missing="null", collapse_copies=True)
+    plain = J.enrich(probe, lk, "row_key", "row_key", ["v"], on_missing="null")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, plain.collect()))
+    assert out.count() == 9000
