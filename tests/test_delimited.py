@@ -162,3 +162,16 @@ def test_long_line_is_split_quickly(spark):
     t = time.time()
     n = df.select(D.column_count("raw")).first()[0]
     assert n == 20_000 and time.time() - t < 30
+
+
+def test_custom_qualifier_both_paths(spark, scratch):
+    p = write(scratch + "/q", "a.csv", b"1,'x,y',''''\n")
+    o = D.DelimitedOptions(qualifier="'")
+    assert D.read_delimited(spark, p, o).first().asDict() == {"_c0": "1", "_c1": "x,y", "_c2": "'"}
+    assert D.read_records(spark, p, o).first()["values"] == ["1", "x,y", "'"]
+
+
+def test_custom_record_delimiter_raw_records(spark, scratch):
+    p = write(scratch + "/rd", "a.csv", b"a,1;b,2;;c,3")
+    recs = D.read_records(spark, p, D.DelimitedOptions(record_delimiter=";"), with_number=True)
+    assert sorted((r["record"], r["values"][0]) for r in recs.collect()) == [(0, "a"), (1, "b"), (2, "c")]
