@@ -7,4 +7,5 @@ logical plan from the scan to the write.
 
 from cellar.session import get_session, shared_path
 
-__all__ = ["get_session", "shared_path"]
+__version__ = "0.1.0"
+__all__ = ["get_session", "shared_path", "__version__"]

@@ -247,3 +247,11 @@ def test_enrich_with_asserted_small_lookup_broadcasts(spark, versioned):
     out = J.enrich(probe, lk, "k", "row_key", ["a_val"], broadcast_lookup=True)
     assert sorted({r["a_val"] for r in out.collect()}) == ["new", "t2"]
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_operators_chain_with_transform(spark, versioned):
+    rows = W.to_rows(versioned, CAT)
+    out = (rows.transform(W.scan, prefix="r", condition=P.column_regex("b", "^b"))
+               .transform(M.delete_where, P.key_regex("3$"))
+               .transform(W.first_n, 5))
+    assert [r["row_key"] for r in out.collect()] == ["r1", "r2"]
