@@ -4,8 +4,7 @@ The source does one store round trip per row; here a lookup is one join. The
 lookup side is reduced to one row per key first (a row key is unique in the
 store), so matches never multiply rows. Broadcast is left to Catalyst, whose
 size estimate and AQE's runtime statistics are the size check; an explicit
-hint is only added when the caller passes a bound that the lookup side is
-known to satisfy. A key holding a large share of the probe side is split by
+broadcast is only added on request, after counting the lookup side against a bound. A key holding a large share of the probe side is split by
 AQE's skew-join handling (the other side has one row per key, so the split is cheap).
 """
 
@@ -20,6 +19,8 @@ from cellar.functions.predicates import ROW_KEY
 from cellar.operators.widetable import FAMILY, QUALIFIER, SEQ, TS, VALUE, newest_version
 
 ON_MISSING = ("error", "null", "drop")
+# Most lookup rows broadcast on request (checked by counting first).
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def lookup_table(cells: DataFrame, family: str, qualifier: str, value_name: str,
@@ -32,14 +33,16 @@ def lookup_table(cells: DataFrame, family: str, qualifier: str, value_name: str,
 
 
 def enrich(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str, value_cols: Sequence[str],
-           on_missing: str = "error", broadcast_lookup: bool = False, salt_buckets: int = 1,
+           on_missing: str = "error", broadcast_lookup: bool | int = False, salt_buckets: int = 1,
            collapse_copies: bool = False) -> DataFrame:
     """Add ``value_cols`` of ``lookup`` to every row of ``df`` by key.
 
     ``lookup`` must already be one row per key (see :func:`lookup_table`).
     ``on_missing`` (D5): ``'error'`` fails the job on a key that is absent or
     whose value is NULL, ``'null'`` leaves NULL, ``'drop'`` removes the row.
-    ``broadcast_lookup`` is for callers that know the lookup side is small.
+    ``broadcast_lookup`` asks for a broadcast of the lookup side; it is checked: the
+    side is counted (at most ``bound + 1`` rows, ``bound`` = ``MAX_BROADCAST_ROWS`` or
+    the number given) and broadcast only within the bound, else joined by shuffle.
     ``salt_buckets > 1`` spreads every key of the probe side over that many
     tasks (salt = hash of the row's content) and copies each lookup row once per
     salt - explicit salting for a shuffled join when the adaptive skew split is not
@@ -58,7 +61,9 @@ def enrich(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str, valu
         raise ValueError(f"on_missing must be one of {ON_MISSING}")
     right = lookup.select(F.col(right_key).alias("_lk"), *value_cols)
     if broadcast_lookup:
-        right = F.broadcast(right)
+        bound = MAX_BROADCAST_ROWS if broadcast_lookup is True else int(broadcast_lookup)
+        if right.limit(bound + 1).count() <= bound:
+            right = F.broadcast(right)
     how = "inner" if on_missing == "drop" else "left"
     left = df
     cond = df[left_key] == right["_lk"]
@@ -100,4 +105,4 @@ def point_get(table: DataFrame, row_key: str, condition: Column | None = None, k
     return out.where(condition) if condition is not None else out
 
 
-__all__ = ["ON_MISSING", "lookup_table", "enrich", "batch_get", "point_get"]
+__all__ = ["ON_MISSING", "MAX_BROADCAST_ROWS", "lookup_table", "enrich", "batch_get", "point_get"]

@@ -255,3 +255,12 @@ def test_operators_chain_with_transform(spark, versioned):
                .transform(M.delete_where, P.key_regex("3$"))
                .transform(W.first_n, 5))
     assert [r["row_key"] for r in out.collect()] == ["r1", "r2"]
+
+
+def test_requested_broadcast_is_checked(spark, versioned):
+    probe = spark.range(10).select(F.lit("r1").alias("k"))
+    lk = J.lookup_table(versioned, "f", "a", "a_val")
+    over = J.enrich(probe, lk, "k", "row_key", ["a_val"], broadcast_lookup=1)      # 2 lookup rows > bound 1
+    assert over.count() == 10
+    assert "BroadcastHashJoin" in J.enrich(probe, lk, "k", "row_key", ["a_val"], broadcast_lookup=5) \
+        ._jdf.queryExecution().executedPlan().toString()
