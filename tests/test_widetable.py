@@ -258,9 +258,10 @@ def test_operators_chain_with_transform(spark, versioned):
 
 
 def test_requested_broadcast_is_checked(spark, versioned):
-    probe = spark.range(10).select(F.lit("r1").alias("k"))
+    probe = spark.range(10).select(F.when(F.col("id") % 2 == 0, "r1").otherwise("r2").alias("k"))
     lk = J.lookup_table(versioned, "f", "a", "a_val")
     over = J.enrich(probe, lk, "k", "row_key", ["a_val"], broadcast_lookup=1)      # 2 lookup rows > bound 1
     assert over.count() == 10
-    assert "BroadcastHashJoin" in J.enrich(probe, lk, "k", "row_key", ["a_val"], broadcast_lookup=5) \
-        ._jdf.queryExecution().executedPlan().toString()
+    within = J.enrich(probe, lk, "k", "row_key", ["a_val"], broadcast_lookup=5)
+    within.collect()
+    assert "BroadcastHashJoin" in within._jdf.queryExecution().executedPlan().toString()
