@@ -79,6 +79,8 @@ def read_json_feed(spark: SparkSession, path: str, schema: T.StructType = ORDER_
     ``layout='partitioned'``: ``path/dt=yyyyMMdd/...``; a ``date`` becomes a
     filter on the partition column, so only that directory is listed and read.
     ``layout='dated'``: ``path/yyyyMMdd/...``; a ``date`` picks the directory.
+    A day without a folder fails the read (as the source job does) rather than
+    yielding an empty day, so a missing input never turns into an empty snapshot.
     """
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
     if layout == "dated":

@@ -121,3 +121,8 @@ def test_ranged_upsert_same_rows_with_and_without_hot_keys(spark):
         plain = sorted(map(tuple, ETL.upsert_rows(None, df).collect()))
         assert fast == plain
     assert dict(map(tuple, ETL.upsert_ranged(hot, n_ranges=4).collect()))["k00007"] == "z"
+
+
+def test_missing_day_fails_loudly(spark, scratch):
+    with pytest.raises(Exception, match="(?i)path does not exist|PATH_NOT_FOUND"):
+        read_json_feed(spark, feed(scratch), date="20991231").count()
