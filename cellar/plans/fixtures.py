@@ -15,8 +15,10 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import inspect
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,9 +180,25 @@ def _fingerprint(fn, depth: int = 2) -> str:
     return text
 
 
+@functools.lru_cache(maxsize=1)
+def _modules_code() -> str:
+    """Source of the modules derived inputs are built with (helpers, writers, readers), so a change
+    to any of them also gives new folders."""
+    import cellar.operators.mutate as mutate
+    import cellar.operators.widetable as widetable
+    import cellar.sources.json_feed as json_feed
+    text = ""
+    for mod in (sys.modules[__name__], mutate, widetable, json_feed):
+        try:
+            text += inspect.getsource(mod)
+        except (OSError, TypeError):
+            text += mod.__name__
+    return hashlib.sha1(text.encode()).hexdigest()
+
+
 def derived_path(spark: SparkSession, sf_dir: str, name: str, *builders) -> str:
     code = "".join(_fingerprint(b) for b in builders)
-    tag = hashlib.sha1(f"{FEED_VERSION}:{sf_dir.rstrip('/')}:{code}".encode()).hexdigest()[:16]
+    tag = hashlib.sha1(f"{FEED_VERSION}:{sf_dir.rstrip('/')}:{_modules_code()}:{code}".encode()).hexdigest()[:16]
     return shared_path(spark, "derived", name, tag)
 
 
