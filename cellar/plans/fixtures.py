@@ -161,6 +161,7 @@ def _committed(spark: SparkSession, path: str) -> bool:
     return True
 
 
+@functools.lru_cache(maxsize=512)
 def _fingerprint(fn, depth: int = 2) -> str:
     """Source text of a builder and of the functions it closes over, so a changed builder gets a new folder."""
     try:
