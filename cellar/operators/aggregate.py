@@ -59,7 +59,8 @@ def gather_values(df: DataFrame, key: str, value: str, chunk_size: int = DEFAULT
     on = rows[key].eqNullSafe(hot_side["_hk"])
 
     cool = (rows.join(hot_side, on, "left_anti").groupBy(key)
-            .agg(F.lit(0).alias("chunk"), F.sort_array(F.collect_list("_v")).alias(out)))
+            .agg(F.sort_array(F.collect_list("_v")).alias(out))
+            .select(key, F.lit(0).alias("chunk"), out))
     if not found and hot_side is not hot:
         return cool
 
