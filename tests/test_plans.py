@@ -51,3 +51,11 @@ def test_stored_table_filters_reach_the_scan(plans):
     assert "StringStartsWith(row_key,000000001)" in plans["key_prefix"]
     assert "GreaterThanOrEqual(row_key,000000012000)" in plans["key_from"]
     assert "EqualTo(priority,1-URGENT)" in plans["col_equals"]
+
+
+def test_every_query_reads_files(plans):
+    # every registered query reads the driver tables or data Spark derived from them
+    # (a query whose lineage is cut by a reliable checkpoint scans the checkpointed data instead)
+    bad = [n for n, p in plans.items() if "FileScan" not in p and "ExistingRDD" not in p]
+    assert not bad
+    assert "ExistingRDD" in plans["batch_calls"]
