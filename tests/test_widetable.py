@@ -265,3 +265,17 @@ def test_requested_broadcast_is_checked(spark, versioned):
     within = J.enrich(probe, lk, "k", "row_key", ["a_val"], broadcast_lookup=5)
     within.collect()
     assert "BroadcastHashJoin" in within._jdf.queryExecution().executedPlan().toString()
+
+
+def test_as_records_positional_and_typed_to_rows(spark):
+    cat = W.Catalog(table="t", row_key="key", columns=(W.ColumnSpec("n", "f", "num", "int"),
+                                                       W.ColumnSpec("s", "f", "txt")))
+    raw = spark.createDataFrame([("k1", "7", "a"), ("k2", None, "b")], "a string, b string, c string")
+    recs = W.as_records(raw, cat, source_names=["a", "b", "c"])
+    assert recs.schema.simpleString() == "struct<key:string,n:int,s:string>"
+    cells = W.to_cells(recs, cat, ts=F.lit(T0), seq=F.lit(1))
+    assert cells.count() == 3                                   # the NULL n of k2 is a missing cell
+    back = {r["key"]: (r["n"], r["s"]) for r in W.to_rows(cells, cat).collect()}
+    assert back == {"k1": (7, "a"), "k2": (None, "b")}
+    with pytest.raises(ValueError):
+        W.as_records(raw, cat, source_names=["a"])
