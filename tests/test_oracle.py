@@ -4,10 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from cellar.plans.queries import oracle_sql, queries
 from check_oracle import TABLES, digest, type_diffs
 from tests.conftest import SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(queries())
 
 
 @pytest.fixture(scope="module")
@@ -19,16 +20,16 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(oracle_sql()) == set(queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SMALL)
+    df = queries()[name](spark, SMALL)
     rows = [tuple(r) for r in df.collect()]
-    rel = duck.sql(E.oracle_sql()[name])
+    rel = duck.sql(oracle_sql()[name])
     assert not type_diffs(df.schema, rel.columns, rel.types)
-    res = duck.execute(E.oracle_sql()[name])
+    res = duck.execute(oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
