@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellar.llm import exact_dedup, mixing, pieces, warc
+from cellar.llm import exact_dedup, mixing, near_dedup, pieces, quality, toxicity, warc
 from cellar.llm._common import prepare, read_table
 from cellar.session import shared_path
 
@@ -32,6 +32,18 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -43,7 +55,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
+    "op4_toxicity": op4_toxicity,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_near_dedup": op8_near_dedup,
+    "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
