@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellar.llm import exact_dedup, mixing, near_dedup, pieces, quality, toxicity, warc
+from cellar.llm import exact_dedup, licenses, mixing, near_dedup, pieces, quality, secrets, syncmers, toxicity, warc
 from cellar.llm._common import prepare, read_table
 from cellar.session import shared_path
 
@@ -32,10 +32,22 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -55,7 +67,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
+    "op3_syncmers": op3_syncmers,
     "op4_toxicity": op4_toxicity,
+    "op5_licenses": op5_licenses,
+    "op6_secrets": op6_secrets,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_near_dedup": op8_near_dedup,
     "op9_quality": op9_quality,

@@ -1,0 +1,78 @@
+import hashlib
+import random
+import re
+
+from cellar.llm import secrets as S
+from tests.llm.common import SCHEMA, SMALL, frame, odd_rows, rows_of
+
+BASE_PATTERNS = {"assign": (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+                 "access": (r"AKIA[A-Z0-9]+", 0, 16), "hex": (r"[0-9a-f]+", 0, 32)}
+
+
+def expected(rows):
+    out = []
+    for r in rows:
+        text, spans, count = r[1] or "", [], []
+        for k, (pattern, group, least) in enumerate(BASE_PATTERNS.values()):
+            found = [m for m in re.finditer(pattern, text) if len(m.group(group)) >= least]
+            count.append(len(found))
+            spans += [(m.start(), k, m.end()) for m in found]
+        names = list(BASE_PATTERNS)
+        shown = ",".join(f"{names[k]}:{a}:{b}" for a, k, b in sorted(spans))
+        every = spans + [(m.start(), 3 + k, m.end()) for k, rule in enumerate(S.ADDED) for m in re.finditer(rule.pattern, text)]
+        names += [rule.kind for rule in S.ADDED]
+        out.append((r[0], *count, hashlib.sha256(shown.encode()).hexdigest(),
+                    ",".join(f"{names[k]}:{a}:{b}" for a, k, b in sorted(every))))
+    return sorted(out, key=str)
+
+
+def check(df, rows):
+    assert sorted((tuple(r) for r in S.scan(df).collect()), key=str) == expected(rows)
+
+
+def test_odd_rows(spark):
+    rows = odd_rows()
+    check(frame(spark, rows), rows)
+
+
+def test_kinds(spark):
+    h = "0123456789abcdef"
+    texts = ["token=token:abcdefgh12 x", "PassWord : 'abc.def-ghi='", 'api_key"="12345678" apikey=1234567', "é😀 secret=abcdefgh",
+             "AKIAABCDEFGHIJKL AKIA123 AKIAAKIAAKIAAKIA", h * 2, h + h[:15], "x" + h * 3 + "g" + h * 2, "token=" + h * 2 + "," + h * 2,
+             "-----BEGIN RSA PRIVATE KEY-----\nabc", "ghp_" + "a1" * 20, "xoxb-1234567890-ab", "AIza" + "x" * 35, "sk_live_" + "a" * 20,
+             "eyJabcdefgh.eyJabcdefghi.abcdefgh_", "TOKEN = AKIAABCDEFGHIJKL", "secret==abcdefgh passwd=" + "a" * 5000, "token = \"" + h * 3 + '"']
+    rng = random.Random(3)
+    parts = ["token", "=", ":", " ", "'", '"', "secret", "api_key", "AKIA", h, "abcd1234", "\n", "é", "ghp_", "passwd", "APIKEY"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(250)]
+    rows = rows_of(texts)
+    check(frame(spark, rows), rows)
+
+
+def test_real_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    check(docs, [(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_empty_table(spark):
+    assert S.scan(spark.createDataFrame([], SCHEMA)).isEmpty()
+
+
+def test_queries():
+    assert S.trigram_query(r"[0-9a-f]{32,}") == ()
+    assert S.trigram_query("abcd") == (frozenset({frozenset({"abc", "bcd"})}),)
+    assert S.trigram_query("(foo|ba)x*") == ()
+    (clause,) = S.trigram_query("(?i:Foo|bar)[0-9]+")
+    assert clause == frozenset({frozenset({"foo"}), frozenset({"bar"})})
+    assert S.trigram_query("x(abc)+y") == (frozenset({frozenset({"abc"})}),)
+    assert S.trigram_query("ab?c") == ()
+
+
+def test_queries_hold_for_every_match():
+    rng = random.Random(9)
+    for rule in (*S.BASE, *S.ADDED):
+        query = S.trigram_query(rule.pattern)
+        assert (rule.kind == "hex") == (not query)
+    text = "Api_Key = abcdefghijk"
+    (clause, *_) = S.trigram_query(S.BASE[0].pattern)
+    grams = {text.lower()[i:i + 3] for i in range(len(text) - 2)}
+    assert any(a <= grams for a in clause) and rng
