@@ -356,7 +356,7 @@ def encoded(docs: DataFrame, model_path: str, keep_ids: bool = False) -> DataFra
                 out = []
                 for n, ids, text in codec.rows(texts[part]):
                     row = [n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()]
-                    out.append(row + ([[int(i) for i in ids.split(",")] if ids else [], text] if keep_ids else []))
+                    out.append(row + ([np.array(ids.split(","), dtype=np.int32) if ids else [], text] if keep_ids else []))
                 cols = ["n_tokens", "ids_sha256", "decoded_sha256"] + (["ids", "decoded"] if keep_ids else [])
                 done = pd.DataFrame(out, columns=cols)
                 done.insert(0, "doc_id", pdf["doc_id"].iloc[part].to_numpy())

@@ -64,7 +64,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports the operators of this subpackage
+
+    prepare(spark)
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, QueryFn] = {
+    "pipeline": pipeline,
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
     "op3_syncmers": op3_syncmers,
