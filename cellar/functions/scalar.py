@@ -112,11 +112,10 @@ def _epoch_ntz() -> Column:
 def parse_epoch_millis(text, fmt: str = DEFAULT_DATE_FORMAT) -> Column:
     """Date text -> epoch milliseconds, read as UTC wall time; NULL when it does not parse.
 
-    Parsing goes to a zone-free timestamp so the value does not depend on the
-    session's time zone.
+    The text gets an explicit UTC offset before it is parsed, so the session's time
+    zone (and its daylight-saving gaps) has no part in the value.
     """
-    ntz = F.try_to_timestamp(as_col(text), F.lit(fmt)).cast("timestamp_ntz")
-    return F.timestamp_diff("MILLISECOND", _epoch_ntz(), ntz)
+    return F.unix_millis(F.try_to_timestamp(F.concat(as_col(text), F.lit(" +00:00")), F.lit(f"{fmt} XXX")))
 
 
 def ts_epoch_millis(ts) -> Column:
@@ -151,10 +150,5 @@ def unix_seconds_text(date_text, fmt: str = DEFAULT_DATE_FORMAT) -> Column:
 
 
 def int_div(num, den: int) -> Column:
-    """Integer division toward zero, like Java's long ``/`` and SQL ``div``.
-
-    ``num - num % den`` is an exact multiple of ``den`` (``%`` keeps the sign of
-    the dividend), so the division is exact.
-    """
-    n = as_col(num).cast("long")
-    return ((n - n % F.lit(den)) / F.lit(den)).cast("long")
+    """Integer division toward zero on longs (SQL ``div``), exact over their whole range."""
+    return F.call_function("div", as_col(num).cast("long"), F.lit(den).cast("long"))

@@ -2,9 +2,8 @@
 
 * A1 gathers the values of a key as text. A key (or one group of identical
   copies) may hold a large share of all rows, so the values are never put into
-  one unbounded array: copies collapse to counts first, and a hot key's values
-  are dealt over ``ceil(n / chunk_size)`` chunks, each one bounded. All values
-  are kept; a key with at most ``chunk_size`` values is exactly one row (chunk 0).
+  one unbounded array: copies collapse to counts first, and the sorted values of every
+  key are cut into chunks of exactly ``chunk_size`` (the last one may be shorter).
   :func:`gather_counts` is the compact exact form (value, count) of the same bag.
 * A2 is the consumed offset range per (topic, partition).
 * E4 is a caller's zero / add / merge aggregate run as map-side partials
@@ -18,62 +17,60 @@ import copy
 import pickle
 from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+from cellar.session import checkpoint_dir
 
 DEFAULT_CHUNK_SIZE = 10_000
-# Most hot keys (keys with more than a chunk of values) that are broadcast to the join.
-MAX_HOT_KEYS = 100_000
+# Accumulators that a task holds before it hands them on.
+MOST_KEYS = 100_000
 # Most partials of one key a user-aggregate merge sees at once.
-DEFAULT_FAN_IN = 256
+DEFAULT_FAN_IN = 1024
 
 
 def gather_values(df: DataFrame, key: str, value: str, chunk_size: int = DEFAULT_CHUNK_SIZE,
-                  out: str = "values", max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """A1: ``key, chunk, values`` - the values of each key as sorted text arrays of about ``chunk_size``.
-
-    Deterministic and bounded, whatever one key or one group of copies holds:
-
-    1. keys are counted (partial aggregation); "hot" keys - more than ``chunk_size``
-       values - are checked (at most ``max_hot_keys + 1`` rows are fetched) and, within
-       the bound, broadcast; beyond it the joins below are shuffled ones;
-    2. rows of the other keys go straight to one ``collect_list`` per key (chunk 0);
-    3. rows of hot keys collapse to ``(key, value, n)`` first, each count is cut into
-       pieces of at most ``chunk_size`` copies, and piece ``i`` goes to chunk
-       ``(hash(value) + i) mod ceil(total / chunk_size)`` - a value with a huge count is
-       dealt round the chunks, distinct values spread by hash - and each chunk is rebuilt
-       with ``array_repeat``.
-
-    Chunks are sorted (list order is undefined at the source). No per-row id or random
-    number is involved, so a re-run task after a lost executor puts every value in the
-    same chunk.
+                  out: str = "values") -> DataFrame:
+    """A1: ``key, chunk, values`` - the values of each key as sorted text, cut into arrays of ``chunk_size``.
+
+    Chunk ``i`` holds the values at positions ``i * chunk_size`` to ``(i + 1) * chunk_size - 1``
+    of the key's sorted values: all chunks but the last are full, and a key with at most
+    ``chunk_size`` values is one row. One path serves every key:
+
+    1. rows collapse to ``(key, value, n)``, map-side before the shuffle;
+    2. the distinct values are split into ranges of (key, value), so that a hot key spans
+       several; the ranges are fixed by a reliable checkpoint, and a running sum inside a
+       range plus the key's sum in the ranges before it gives each value's first position;
+    3. each value is repeated into the chunks that its positions cover.
+
+    The input is read once. No array is longer than ``chunk_size``.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(key), F.col(value).cast("string").alias("_v"))
-    hot = (rows.groupBy(key).agg(F.count(F.lit(1)).alias("_total"))
-           .where(F.col("_total") > F.lit(chunk_size)).withColumnRenamed(key, "_hk"))
-    found = hot.limit(max_hot_keys + 1).collect()
-    hot_side = F.broadcast(spark.createDataFrame(found, hot.schema)) if len(found) <= max_hot_keys else hot
-    on = rows[key].eqNullSafe(hot_side["_hk"])
-
-    cool = (rows.join(hot_side, on, "left_anti").groupBy(key)
-            .agg(F.sort_array(F.collect_list("_v")).alias(out))
-            .select(key, F.lit(0).alias("chunk"), out))
-    if not found and hot_side is not hot:
-        return cool
-
-    bag = (rows.join(hot_side, on, "left_semi").groupBy(key, "_v").agg(F.count(F.lit(1)).alias("_n"))
-           .join(hot_side, F.col(key).eqNullSafe(F.col("_hk"))))
-    cut = bag.select(key, "_v", "_n", "_total",
-                     F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_n") / F.lit(chunk_size)) - 1))
-                     .alias("_i"))
-    copies = F.least(F.lit(chunk_size).cast("long"), F.col("_n") - F.col("_i") * F.lit(chunk_size))
-    chunk = F.pmod(F.xxhash64("_v") + F.col("_i"), F.ceil(F.col("_total") / F.lit(chunk_size))).cast("int")
-    dealt = (cut.select(key, chunk.alias("chunk"), F.array_repeat("_v", copies.cast("int")).alias("_vs"))
-             .groupBy(key, "chunk").agg(F.sort_array(F.flatten(F.collect_list("_vs"))).alias(out)))
-    return cool.unionByName(dealt)
+    checkpoint_dir(spark)
+    bag = (df.groupBy(F.col(key).alias("_k"), F.col(value).cast("string").alias("_v"))
+           .agg(F.count(F.lit(1)).alias("_n")))
+    ranged = bag.repartitionByRange("_k", "_v").withColumn("_range", F.spark_partition_id()).checkpoint(eager=True)
+    upto = Window.partitionBy("_range", "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumn("_end", F.sum("_n").over(upto))
+    # one row per key and range it lies in: a key's ranges are as many as its share of all values
+    before = (ranged.groupBy("_k", "_range").agg(F.sum("_n").alias("_sum"))
+              .withColumn("_before", F.sum("_sum").over(Window.partitionBy("_k").orderBy("_range")) - F.col("_sum"))
+              .where("_before > 0").select(F.col("_k").alias("_bk"), F.col("_range").alias("_br"), "_before"))
+    placed = local.join(before, (F.col("_range") == F.col("_br")) & F.col("_k").eqNullSafe(F.col("_bk")), "left")
+    first = F.coalesce("_before", F.lit(0)) + F.col("_end") - F.col("_n")
+    size = F.lit(chunk_size).cast("long")
+    covered = placed.select("_k", "_v", first.alias("_first"), (first + F.col("_n")).alias("_until")).select(
+        "_k", "_v", "_first", "_until",
+        F.explode(F.sequence(F.call_function("div", "_first", size), F.call_function("div", F.col("_until") - 1, size)))
+        .alias("_chunk"))
+    copies = F.least("_until", (F.col("_chunk") + 1) * size) - F.greatest("_first", F.col("_chunk") * size)
+    lists = covered.groupBy("_k", "_chunk").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("_v"), copies.cast("int").alias("_c")))).alias("_l"))
+    return lists.select(F.col("_k").alias(key), F.col("_chunk").cast("int").alias("chunk"),
+                        F.flatten(F.transform("_l", lambda x: F.array_repeat(x["_v"], x["_c"]))).alias(out))
 
 
 def gather_counts(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -91,51 +88,63 @@ def offset_ranges(messages: DataFrame, topic: str = "topic", partition: str = "p
 
 def aggregate_by_key(df: DataFrame, key: str, value: str, zero, seq_op: Callable, comb_op: Callable,
                      finish: Callable = str, result_type: T.DataType = T.StringType(),
-                     out: str = "result", fan_in: int = DEFAULT_FAN_IN) -> DataFrame:
+                     out: str = "result", fan_in: int = DEFAULT_FAN_IN, levels: int = 1,
+                     most_keys: int = MOST_KEYS) -> DataFrame:
     """User aggregate with a zero value, an add (``seq_op``) and a merge (``comb_op``).
 
-    Phase 1 (``mapInPandas``) folds every input partition into one accumulator
-    per key. The partials are then merged by ``groupBy(...).applyInPandas``:
-    when the input has more than ``fan_in`` partitions, first per key and group
-    of input partitions, so no merge ever sees more than ``fan_in`` partials of
-    a key, whatever its row count; the last merge applies ``finish``.
+    Phase 1 folds every input partition into one accumulator per key, and hands them on
+    when it holds ``most_keys`` of them. The partials are merged over ``levels`` levels
+    before the last merge, which applies ``finish``: level ``i`` of a key merges the partials of
+    input partitions with equal ``id mod fan_in**i`` - no merge sees more than ``fan_in``
+    partials of a key up to ``fan_in**(levels + 1)`` input partitions (a million by
+    default; raise ``levels`` beyond). Values and keys travel as Arrow and reach the callbacks as Python objects
+    of their own type (a long stays a long beside a NULL, a NULL is None).
     Accumulators travel pickled.
     """
     key_type = df.schema[key].dataType
-    partial_schema = T.StructType([T.StructField(key, key_type), T.StructField("_acc", T.BinaryType())])
+    rows = df.select(F.col(key).alias("k"), F.col(value).alias("v"))
+    partial_schema = T.StructType([T.StructField("k", key_type), T.StructField("acc", T.BinaryType()),
+                                   T.StructField("task", T.LongType())])
     out_schema = T.StructType([T.StructField(key, key_type), T.StructField(out, result_type)])
+    k_arrow, out_arrow = to_arrow_type(key_type), to_arrow_type(result_type)
+
+    def partials(accs: dict, task: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(accs), k_arrow), pa.array(map(pickle.dumps, accs.values()), pa.binary()),
+                                           pa.array([task] * len(accs), pa.int64())], names=["k", "acc", "task"])
 
     def fold_partition(batches):
+        from pyspark import TaskContext
         accs: dict = {}
-        for pdf in batches:
-            for k, v in zip(pdf[key].tolist(), pdf[value].tolist()):
-                acc = accs.get(k)
-                if acc is None:
-                    acc = copy.deepcopy(zero)
-                accs[k] = seq_op(acc, v)
+        task = TaskContext.get().partitionId()
+        for batch in batches:
+            for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                accs[k] = seq_op(accs[k] if k in accs else copy.deepcopy(zero), v)
+            if len(accs) >= most_keys:
+                yield partials(accs, task)
+                accs = {}
         if accs:
-            yield pd.DataFrame({key: list(accs.keys()), "_acc": [pickle.dumps(a) for a in accs.values()]})
+            yield partials(accs, task)
 
-    def combine(pdf: pd.DataFrame):
-        acc = None
-        for blob in pdf["_acc"]:
-            part = pickle.loads(blob)
-            acc = part if acc is None else comb_op(acc, part)
+    def combine(table: pa.Table):
+        found = iter(table.column("acc").to_pylist())
+        acc = pickle.loads(next(found))
+        for blob in found:
+            acc = comb_op(acc, pickle.loads(blob))
         return acc
 
-    def merge_partial(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "_acc": [pickle.dumps(combine(pdf))]})
+    def merge_level(table: pa.Table) -> pa.Table:
+        first = table.slice(0, 1)
+        return pa.table({"k": first.column("k").cast(k_arrow), "acc": pa.array([pickle.dumps(combine(table))], pa.binary()),
+                         "task": first.column("task")})
 
-    def merge_final(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({key: [pdf[key].iloc[0]], out: [finish(combine(pdf))]})
+    def merge_final(table: pa.Table) -> pa.Table:
+        return pa.table({key: table.slice(0, 1).column("k").cast(k_arrow), out: pa.array([finish(combine(table))], out_arrow)})
 
-    source = df.select(key, value)
-    partials = source.mapInPandas(fold_partition, partial_schema)
-    if source.rdd.getNumPartitions() > fan_in:
-        group = F.pmod(F.spark_partition_id(), F.lit(fan_in))
-        partials = (partials.withColumn("_grp", group).groupBy(key, "_grp")
-                    .applyInPandas(lambda pdf: merge_partial(pdf.drop(columns=["_grp"])), partial_schema))
-    return partials.groupBy(key).applyInPandas(merge_final, out_schema)
+    merged = rows.mapInArrow(fold_partition, partial_schema)
+    for level in range(levels, 0, -1):
+        group = F.pmod("task", F.lit(fan_in ** level)).alias("task")
+        merged = (merged.select("k", "acc", group).groupBy("k", "task").applyInArrow(merge_level, partial_schema))
+    return merged.groupBy("k").applyInArrow(merge_final, out_schema)
 
 
 __all__ = ["DEFAULT_CHUNK_SIZE", "gather_values", "gather_counts", "offset_ranges", "aggregate_by_key"]

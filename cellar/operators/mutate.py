@@ -8,6 +8,7 @@ the full version identity, so no window ever holds a whole hot row key.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,7 +38,15 @@ def upsert(cells: DataFrame, changes: DataFrame, order: Sequence[str] = (TS, SEQ
     ``(ts, seq)`` - deterministic where the store's arrival order is not.
     ``keep_versions=True``: the versioned table; a put on an existing
     (row_key, family, qualifier, ts) replaces that version, the later ``seq`` winning.
+
+    A change without a timestamp fails the job: it would sort below every stored
+    version and be lost. ``to_cells`` and ``put_cell`` stamp changes with the current time.
     """
+    if TS in cells.columns:
+        if TS not in changes.columns:
+            raise ValueError("changes need a timestamp column; see to_cells and put_cell")
+        missing = F.raise_error(F.lit("a put without a timestamp would be lost")).cast(changes.schema[TS].dataType)
+        changes = changes.withColumn(TS, F.coalesce(F.col(TS), missing))
     both = cells.unionByName(changes, allowMissingColumns=True)
     order = _order(both, order)
     if not keep_versions:
@@ -48,12 +57,40 @@ def upsert(cells: DataFrame, changes: DataFrame, order: Sequence[str] = (TS, SEQ
     return agg.select(*CELL_KEY, TS, *[F.col(f"_v.{c}").alias(c) for c in tie], F.col(f"_v.{VALUE}").alias(VALUE))
 
 
+def binary_cells(cells: DataFrame) -> DataFrame:
+    """The table with byte values (text becomes its UTF-8 bytes); puts of any bytes go into such a table."""
+    if isinstance(cells.schema[VALUE].dataType, T.BinaryType):
+        return cells
+    return cells.withColumn(VALUE, F.encode(F.col(VALUE), "UTF-8"))
+
+
 def put_cell(spark: SparkSession, cells: DataFrame, row_key: str, family: str, qualifier: str,
              value, ts=None, seq: int | None = None) -> DataFrame:
-    """M1: put one cell (text or bytes; bytes are decoded as UTF-8) - a one-row :func:`upsert`."""
-    if isinstance(value, (bytes, bytearray)):
-        value = bytes(value).decode("utf-8")
-    one = spark.createDataFrame([(row_key, family, qualifier, ts, value, seq)], CELL_SCHEMA)
+    """M1: put one cell - a one-row :func:`upsert`.
+
+    Without ``ts`` the put is stamped with the current time (UTC), like a put at
+    the store; without ``seq`` it gets one above the cell's versions of that time
+    or later, so it wins a tie. A table of byte values (:func:`binary_cells`) takes
+    any bytes, and text as UTF-8; a table of text takes bytes that are UTF-8.
+    """
+    binary = isinstance(cells.schema[VALUE].dataType, T.BinaryType)
+    if binary and isinstance(value, str):
+        value = value.encode()
+    elif not binary and isinstance(value, (bytes, bytearray)):
+        try:
+            value = bytes(value).decode("utf-8")
+        except UnicodeDecodeError as e:
+            raise ValueError("these bytes aren't UTF-8 text; put them into binary_cells(cells)") from e
+    if ts is None:
+        ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    if seq is None and SEQ in cells.columns:
+        same = cells.where((F.col(ROW_KEY) == row_key) & (F.col(FAMILY) == family) & (F.col(QUALIFIER) == qualifier))
+        if TS in cells.columns:
+            same = same.where(F.col(TS) >= F.lit(ts).cast(cells.schema[TS].dataType))
+        seq = (same.agg(F.max(SEQ)).first()[0] or 0) + 1
+    schema = T.StructType([T.StructField(f.name, T.BinaryType()) if binary and f.name == VALUE else f
+                           for f in CELL_SCHEMA.fields])
+    one = spark.createDataFrame([(row_key, family, qualifier, ts, value, seq)], schema)
     return upsert(cells, one.select(*[c for c in one.columns if c in cells.columns or c in (TS, SEQ)]))
 
 
@@ -97,15 +134,15 @@ def delete_rows_where_cells(cells: DataFrame, cell_condition: Column) -> DataFra
     return cells.join(doomed, ROW_KEY, "left_anti")
 
 
-def range_layout(df: DataFrame, n_ranges: int | None = 5, key: str = ROW_KEY,
+def range_layout(df: DataFrame, n_ranges: int | None = None, key: str = ROW_KEY,
                  then: Sequence[str] = ()) -> DataFrame:
     """K2: pre-split into ``n_ranges`` key ranges, sorted inside each range.
 
     Written out, each file holds one key range with sorted row groups, which is
     what lets later key-range and prefix reads skip files and row groups.
     ``n_ranges=None`` lets the data size decide (``spark.sql.shuffle.partitions``
-    ranges, merged by AQE) - the choice for large tables, where a fixed small
-    count would leave a few tasks writing everything. ``then`` adds columns to
+    ranges, merged by AQE): a fixed small count, like the 5 ranges at the source,
+    would leave a few tasks writing everything. ``then`` adds columns to
     the range key after ``key``: the files stay ordered by ``key`` first, but one
     key with very many rows (a hot row of a cell table) can be split over ranges.
     """
@@ -125,5 +162,5 @@ def write_table(df: DataFrame, path: str, n_ranges: int | str | None = None, key
     out.write.format(fmt).mode(mode).save(path)
 
 
-__all__ = ["CELL_KEY", "CELL_SCHEMA", "upsert", "put_cell", "delete_rows", "delete_latest", "delete_where",
+__all__ = ["CELL_KEY", "CELL_SCHEMA", "upsert", "binary_cells", "put_cell", "delete_rows", "delete_latest", "delete_where",
            "delete_where_pred", "delete_rows_where_cells", "range_layout", "write_table"]

@@ -15,6 +15,7 @@ of all cells is collapsed map-side instead of landing in one task.
 
 from __future__ import annotations
 
+import datetime as _dt
 import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
@@ -117,8 +118,11 @@ def as_records(df: DataFrame, catalog: Catalog, source_names: Sequence[str] | No
 def to_cells(rows: DataFrame, catalog: Catalog, ts=None, seq=None) -> DataFrame:
     """Row form -> cell form; NULL columns are missing cells and produce no cell.
 
-    ``ts``/``seq`` are a column name, a Column or a literal; default ``ts`` is NULL.
+    ``ts``/``seq`` are a column name, a Column or a literal; by default all cells get
+    the time (UTC) of this call, so that an upsert of them is newer than what is stored.
     """
+    if ts is None:
+        ts = F.lit(_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
     ts_col = _as_value(ts, T.TimestampNTZType())
     entries = [
         F.struct(F.lit(c.family).alias(FAMILY), F.lit(c.qualifier).alias(QUALIFIER),
@@ -237,10 +241,10 @@ def column_prefix_cells(cells: DataFrame, prefixes: Iterable[str]) -> DataFrame:
     return cells.where(any_of([F.col(QUALIFIER).startswith(p) for p in prefixes]))
 
 
-def column_prefix_rows(rows: DataFrame, prefixes: Iterable[str], key: str = ROW_KEY) -> DataFrame:
-    """P7 on the row form: keep the columns whose name starts with any prefix."""
-    ps = list(prefixes)
-    return rows.select(key, *[c for c in rows.columns if c != key and any(c.startswith(p) for p in ps)])
+def column_prefix_rows(rows: DataFrame, catalog: Catalog, prefixes: Iterable[str]) -> DataFrame:
+    """P7 on the row form: keep the columns whose *qualifier* in the mapping starts with any prefix."""
+    ps = tuple(prefixes)
+    return rows.select(catalog.row_key, *[c.name for c in catalog.columns if c.qualifier.startswith(ps)])
 
 
 def keys_only(df: DataFrame, key: str = ROW_KEY) -> DataFrame:
@@ -253,14 +257,17 @@ def keys_only(df: DataFrame, key: str = ROW_KEY) -> DataFrame:
 def family_map(cells: DataFrame, family: str, order: Sequence[str] = (TS, SEQ)) -> DataFrame:
     """``row_key, cells map<qualifier, value>`` of one family; empty map when the row lacks it.
 
-    The newest cell per qualifier is taken first (``map_from_entries`` rejects
-    duplicate keys); the map of a row then has one entry per qualifier, so it is
-    bounded by the row's width, not by the number of versions.
+    Only the cells of the family are carried: their newest per qualifier first
+    (``map_from_entries`` rejects duplicate keys), then a list per row key; rows that
+    have other families only come from the row keys alone, which collapse before
+    their shuffle. The map is as wide as the row's family; :func:`latest_cells` gives
+    the same cells as rows where a family is too wide for one value.
     """
-    newest = latest_cells(cells, order)
-    entry = F.when(F.col(FAMILY) == family, F.struct(F.col(QUALIFIER).alias("key"), F.col(VALUE).alias("value")))
-    return (newest.groupBy(ROW_KEY)
-            .agg(F.map_from_entries(F.collect_list(entry)).alias("cells")))
+    newest = latest_cells(cells.where(F.col(FAMILY) == family), order)
+    entry = F.struct(F.col(QUALIFIER).alias("key"), F.col(VALUE).alias("value"))
+    keys = cells.select(ROW_KEY, F.lit(None).cast(newest.select(entry.alias("e")).schema["e"].dataType).alias("e")).distinct()
+    return (newest.select(ROW_KEY, entry.alias("e")).unionByName(keys).groupBy(ROW_KEY)
+            .agg(F.map_from_entries(F.collect_list("e")).alias("cells")))
 
 
 def latest_value(cells: DataFrame, family: str, qualifier: str, order: Sequence[str] = (TS, SEQ)) -> DataFrame:
@@ -303,11 +310,17 @@ def prefixes_exist(prefixes: DataFrame, df: DataFrame, prefix_col: str = "prefix
     length in one pass, the cuts are made distinct (duplicates of a hot prefix
     collapse map-side) and matched to the prefixes by an equi semi-join - no
     cross join. The set of lengths is small (bounded by the key length); pass
-    ``lengths`` to skip the pass that finds them.
+    ``lengths`` to skip the pass that finds them: a prefix of another length then
+    fails the job rather than being reported as absent.
     """
     if lengths is None:
         lengths = [r[0] for r in prefixes.select(F.length(prefix_col).alias("n")).distinct().collect()]
-    lengths = sorted(set(int(x) for x in lengths if x is not None))
+        lengths = sorted(set(int(x) for x in lengths if x is not None))
+    else:
+        lengths = sorted(set(int(x) for x in lengths))
+        known = F.col(prefix_col).isNull() | F.length(prefix_col).isin(lengths)
+        prefixes = prefixes.select(F.when(known, F.col(prefix_col)).otherwise(F.raise_error(F.concat(
+            F.lit("a prefix of a length that isn't listed: "), F.col(prefix_col)))).alias(prefix_col))
     if not lengths:
         return prefixes.select(prefix_col, F.lit(False).alias("exists"))
     cuts = F.explode(F.array(*[F.substring(F.col(key), 1, n) for n in lengths]))

@@ -42,3 +42,16 @@ def count_sum_text(acc):
 
 def before_1996(odate: pd.Series) -> pd.Series:
     return odate < "1996-01-01"
+
+
+def exact_add(acc, v):
+    """E4 add: rows, values that aren't NULL, and their sum."""
+    return (acc[0] + 1, acc[1] + (v is not None), acc[2] + (v or 0))
+
+
+def exact_merge(a, b):
+    return (a[0] + b[0], a[1] + b[1], a[2] + b[2])
+
+
+def exact_text(acc) -> str:
+    return ":".join(str(x) for x in acc)

@@ -18,16 +18,17 @@ from __future__ import annotations
 import functools
 import hashlib
 import inspect
+import re
 import sys
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from cellar.functions.predicates import ROW_KEY
 from cellar.operators.widetable import Catalog, ColumnSpec
 from cellar.plans.etl import USER_FAMILY, USER_ID_QUALIFIER
-from cellar.session import shared_path
+from cellar.session import file_system, shared_path
 from cellar.sources.json_feed import ORDER_DOC_SCHEMA, read_json_feed
 
 KEY_WIDTH = 12
@@ -146,19 +147,24 @@ def info_type():
     return ORDER_DOC_SCHEMA["message"].dataType["orderInfo"].dataType.elementType
 
 
-_COMMITTED: set[str] = set()
+def _committed(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` hold a committed write?"""
+    fs, root = file_system(spark, path)
+    return fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, "_SUCCESS"))
 
 
-def _committed(spark: SparkSession, path: str) -> bool:
-    """Does ``path`` hold a committed write? Remembered per process once seen."""
-    if path in _COMMITTED:
-        return True
-    try:
-        spark.read.text(f"{path}/_SUCCESS").schema  # noqa: B018 - existence check only
-    except AnalysisException:
-        return False
-    _COMMITTED.add(path)
-    return True
+def source_state(spark: SparkSession, sf_dir: str) -> str:
+    """Names, lengths and modification times of all files below a folder (metadata only, one listing per folder)."""
+    fs, root = file_system(spark, sf_dir)
+    folders, seen = [root], []
+    while folders:
+        for f in fs.listStatus(folders.pop()):
+            # a file status shows path, length and modification time; the time of the last read doesn't count
+            text = f.toString()
+            seen.append(re.sub(r"access_time=\d+", "", text))
+            if "isDirectory=true" in text:
+                folders.append(f.getPath())
+    return hashlib.sha1("\n".join(sorted(seen)).encode()).hexdigest()
 
 
 @functools.lru_cache(maxsize=512)
@@ -199,16 +205,22 @@ def _modules_code() -> str:
 
 def derived_path(spark: SparkSession, sf_dir: str, name: str, *builders) -> str:
     code = "".join(_fingerprint(b) for b in builders)
-    tag = hashlib.sha1(f"{FEED_VERSION}:{sf_dir.rstrip('/')}:{_modules_code()}:{code}".encode()).hexdigest()[:16]
+    state = source_state(spark, sf_dir)
+    tag = hashlib.sha1(f"{FEED_VERSION}:{sf_dir.rstrip('/')}:{state}:{_modules_code()}:{code}".encode()).hexdigest()[:16]
     return shared_path(spark, "derived", name, tag)
 
 
 def ensure_written(spark: SparkSession, sf_dir: str, name: str, build, write) -> str:
-    """Write a derived input once per input folder and builder version; reuse it when its
-    commit marker exists."""
+    """Write a derived input once per state of the input folder and builder version; reuse it when its
+    commit marker exists. It is written aside and renamed, so two applications can't mix their files."""
     path = derived_path(spark, sf_dir, name, build, write)
     if not _committed(spark, path):
-        write(build(spark, sf_dir), path)
+        aside = f"{path}-{uuid.uuid4().hex}"
+        write(build(spark, sf_dir), aside)
+        fs, root = file_system(spark, path)
+        hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        if _committed(spark, path) or not fs.rename(hadoop_path(aside), root):
+            fs.delete(hadoop_path(aside), True)  # another application was faster
     return path
 
 
@@ -293,26 +305,21 @@ def ensure_csv(spark: SparkSession, sf_dir: str, name: str, build, options: dict
 
 # --- stored wide tables ------------------------------------------------------------------------
 
-ORDER_TABLE_RANGES = 5
-
-
-def _write_ranged(n_ranges):
-    def write(df: DataFrame, path: str) -> None:
-        from cellar.operators.mutate import write_table
-        write_table(df, path, n_ranges=n_ranges or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return write
+def _write_ranged(df: DataFrame, path: str) -> None:
+    from cellar.operators.mutate import write_table
+    write_table(df, path, n_ranges=df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R as a stored table: written once (K1) pre-split into key ranges and sorted by key (K2),
     so key-range and prefix scans push down and skip files and row groups."""
-    path = ensure_written(spark, sf_dir, "orders_wide", order_rows, _write_ranged(ORDER_TABLE_RANGES))
+    path = ensure_written(spark, sf_dir, "orders_wide", order_rows, _write_ranged)
     return spark.read.parquet(path)
 
 
 def event_cell_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C as a stored cell table, range-partitioned and sorted by row key."""
-    path = ensure_written(spark, sf_dir, "events_cells", event_cells, _write_ranged(None))
+    path = ensure_written(spark, sf_dir, "events_cells", event_cells, _write_ranged)
     return spark.read.parquet(path)
 
 

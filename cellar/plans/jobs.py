@@ -16,10 +16,9 @@ import sys
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from cellar.plans import etl
-from cellar.session import get_session
+from cellar.session import file_system, get_session
 from cellar.sources.json_feed import feed_date, read_json_feed
 
 
@@ -33,14 +32,15 @@ def order_report_job(spark: SparkSession, feed: str, users: str, out: str, args:
     docs = read_json_feed(spark, feed, date=day)
     report = etl.order_report(docs, spark.read.parquet(users), on_missing=on_missing)
     previous = None
-    try:
+    fs, root = file_system(spark, out)
+    if fs.exists(root):  # a first run has nothing to merge with; anything else must be readable
         snaps = spark.read.parquet(out)
+        if "snapshot" not in snaps.columns:
+            raise ValueError(f"{out} holds no snapshots (snapshot=yyyyMMdd folders); the report would lose its rows")
         before = (snaps.select(F.col("snapshot").cast("string").alias("s")).where(F.col("s") < F.lit(day))
                   .distinct().orderBy(F.col("s").desc()).limit(1).collect())
         if before:
             previous = snaps.where(F.col("snapshot").cast("string") == before[0][0]).drop("snapshot")
-    except AnalysisException:
-        pass   # first run: nothing to merge with
     target = f"{out.rstrip('/')}/snapshot={day}"
     etl.write_report_upserted(report, target, n_ranges=n_ranges, table=previous)
     return target

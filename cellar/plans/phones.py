@@ -18,7 +18,7 @@ from cellar.operators import enrich as E
 
 def read_phone_list(spark: SparkSession, path: str, encoding: str = "UTF-8", multiline_raw: bool = False) -> DataFrame:
     """Raw records as ``line``. D13: line-based by default (a quoted line break starts a new
-    record); ``multiline_raw=True`` keeps a quoted line break inside its record (whole-file reader)."""
+    record); ``multiline_raw=True`` keeps a quoted line break inside its record."""
     if multiline_raw:
         from cellar.sources.delimited import DelimitedOptions, read_records
         opts = DelimitedOptions(delimiter="\t", charset=encoding, skip_empty_records=False)

@@ -37,6 +37,16 @@ def offset_report(spark, sf):
     return A.offset_ranges(FX.messages(spark, sf))
 
 
+@register("user_aggregate_types", """SELECT l_returnflag, CAST(count(*) AS VARCHAR) || ':' || CAST(count(v) AS VARCHAR) || ':'
+        || CAST(sum(v) AS VARCHAR) AS result
+    FROM (SELECT l_returnflag, CASE WHEN l_linenumber = 3 THEN NULL ELSE 1152921504606846976 + l_orderkey END AS v FROM lineitem)
+    GROUP BY l_returnflag""")
+def user_aggregate_types(spark, sf):
+    """Values with NULLs and longs above 2**53 reach the callbacks unchanged."""
+    li = FX.table(spark, sf, "lineitem").select("l_returnflag", F.when(F.col("l_linenumber") != 3, F.lit(1 << 60) + F.col("l_orderkey")).alias("v"))
+    return A.aggregate_by_key(li, "l_returnflag", "v", (0, 0, 0), CB.exact_add, CB.exact_merge, CB.exact_text)
+
+
 @register("user_aggregate", """SELECT l_returnflag, CAST(count(*) AS VARCHAR) || ':' || CAST(sum(l_linenumber) AS VARCHAR)
         AS result FROM lineitem GROUP BY l_returnflag""")
 def user_aggregate(spark, sf):

@@ -54,6 +54,30 @@ def put_one_cell(spark, sf):
                       ts=_dt.datetime(2030, 1, 1), seq=0).select(*CELL_OUT)
 
 
+@register("put_default_time", f"""WITH {C_SQL}, u AS (SELECT * FROM c UNION ALL
+        SELECT '000000000007', 'ev', 'click', TIMESTAMP '9999-01-01 00:00:00', 'now', NULL)
+    SELECT row_key, family, qualifier, value FROM (
+        SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY ts DESC, seq DESC) AS rn FROM u)
+    WHERE rn = 1""")
+def put_default_time(spark, sf):
+    """M1: a put without a timestamp is newer than every stored version of its cell."""
+    out = M.put_cell(spark, stored_cells(spark, sf), "000000000007", "ev", "click", "now")
+    return out.select("row_key", "family", "qualifier", "value")
+
+
+@register("put_bytes", f"""WITH {C_SQL}, u AS (SELECT row_key, family, qualifier, ts, encode(value) AS value, seq FROM c UNION ALL
+        SELECT '000000000007', 'ev', 'click', TIMESTAMP '2030-01-01 00:00:00', from_hex('FF0001'), 0)
+    SELECT row_key, family, qualifier, hex(value) AS value_hex, seq FROM (
+        SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY ts DESC, seq DESC) AS rn FROM u)
+    WHERE rn = 1""")
+def put_bytes(spark, sf):
+    """M1 on byte values: any bytes round-trip, UTF-8 or not."""
+    import datetime as _dt
+    cells = M.binary_cells(stored_cells(spark, sf))
+    return M.put_cell(spark, cells, "000000000007", "ev", "click", b"\xff\x00\x01", ts=_dt.datetime(2030, 1, 1),
+                      seq=0).select("row_key", "family", "qualifier", F.hex("value").alias("value_hex"), "seq")
+
+
 @register("delete_keys", f"""WITH {C_SQL} SELECT row_key, family, qualifier, value, seq FROM c
     WHERE row_key NOT IN (SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0') FROM customer
                           WHERE c_mktsegment = 'HOUSEHOLD')""")
@@ -102,5 +126,5 @@ def delete_rows_where_cells(spark, sf):
 
 @register("range_layout", f"WITH {R_SQL} SELECT * FROM r")
 def range_layout(spark, sf):
-    """K2: pre-split into 5 key ranges (layout checked in the unit tests)."""
+    """K2: pre-split into the source's 5 key ranges (layout checked in the unit tests)."""
     return M.range_layout(stored_rows(spark, sf), 5)

@@ -63,7 +63,7 @@ def csv_qualified(spark, sf):
         CASE WHEN p_size > 45 THEN replace(p_type, ' ', chr(10)) ELSE replace(p_type, ' ', ', ') END AS t,
         replace(p_name, ' ', '"') AS n FROM part""")
 def csv_multiline_raw(spark, sf):
-    """S6.9 + D13: raw records that keep their quoted line breaks (whole-file reader)."""
+    """S6.9 + D13: raw records that keep their quoted line breaks (many tasks a file)."""
     from cellar.sources import delimited as D
     t = F.when(F.col("p_size") > 45, F.replace("p_type", F.lit(" "), F.lit("\n"))) \
         .otherwise(F.replace("p_type", F.lit(" "), F.lit(", ")))
@@ -236,17 +236,69 @@ def csv_trailing_junk_parsed(spark, sf):
                             schema="p_partkey long, b string, p_size int")
 
 
+_QUOTED = {"escape": '"', "quoteAll": "true", "encoding": "UTF-8"}
+
+
+def _quoted_documents(spark, sf):
+    return FX.table(spark, sf, "documents").select("doc_id", "text")
+
+
 @register("csv_guard_off", "SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents")
 def csv_guard_off(spark, sf):
     """S6.13: whole documents as qualified multi-line values, guard switched off (some exceed 100,000 chars)."""
     from cellar.sources import delimited as D
-    path = FX.ensure_csv(spark, sf, "csv_documents", lambda s, f: FX.table(s, f, "documents").select("doc_id", "text"),
-                         {"escape": '"', "quoteAll": "true", "encoding": "UTF-8"})
+    path = FX.ensure_csv(spark, sf, "csv_documents", _quoted_documents, _QUOTED)
     df = D.read_delimited(spark, path, D.DelimitedOptions(safety_switch=False, multiline=True, charset="UTF-8",
                                                           trim_whitespace=False), schema="doc_id long, text string")
     return df.select("doc_id", F.length("text").alias("n_chars"))
 
 
+@register("raw_documents", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(length(text) AS INTEGER) AS n_chars, md5(text) AS digest FROM documents")
+def raw_documents(spark, sf):
+    """S6.9 + S6.13: whole documents as qualified values of raw records, line breaks kept, guard off."""
+    from cellar.sources import delimited as D
+    path = FX.ensure_csv(spark, sf, "csv_documents", _quoted_documents, _QUOTED)
+    recs = D.read_records(spark, path, D.DelimitedOptions(safety_switch=False, charset="UTF-8", trim_whitespace=False),
+                          multiline_raw=True)
+    text = D.value_at("values", 1)
+    return recs.select(D.value_at("values", 0).alias("doc_id"), F.length(text).alias("n_chars"), F.md5(text).alias("digest"))
+
+
+_ESCAPED = _lines(lambda: F.concat(_k(), F.lit(',"'), F.replace("p_name", F.lit(" "), F.lit("\\t")), F.lit('\\"",'),
+                                   F.replace("p_brand", F.lit("#"), F.lit("\\t"))))
+
+
+@register("csv_backslash_forms", r"""SELECT CAST(p_partkey AS VARCHAR) AS key, replace(p_name, ' ', chr(9)) || '"' AS qualified,
+        replace(p_brand, '#', '\t') AS plain FROM part""")
+def csv_backslash_forms(spark, sf):
+    """S6.4 in raw records: escapes count in a qualified value, not in an unqualified one."""
+    from cellar.sources import delimited as D
+    path = FX.ensure_text(spark, sf, "csv_escaped", _ESCAPED)
+    recs = D.read_records(spark, path, D.DelimitedOptions(escape_mode="backslash"))
+    return recs.select(D.value_at("values", 0).alias("key"), D.value_at("values", 1).alias("qualified"),
+                       D.value_at("values", 2).alias("plain"))
+
+
+@register("csv_backslash_no_qualifier", "SELECT p_partkey, replace(p_name, ' ', ',') AS n, p_size FROM part")
+def csv_backslash_no_qualifier(spark, sf):
+    """S6.4 with the qualifier off: an escaped delimiter belongs to the value."""
+    from cellar.sources import delimited as D
+    path = FX.ensure_text(spark, sf, "csv_escaped_delimiter", _lines(lambda: F.concat_ws(
+        ",", _k(), F.replace("p_name", F.lit(" "), F.lit("\\,")), F.col("p_size").cast("string"))))
+    return D.read_delimited(spark, path, D.DelimitedOptions(escape_mode="backslash", use_qualifier=False),
+                            schema="p_partkey long, n string, p_size int")
+
+
+@register("parse_text_escaped", """SELECT p_partkey, replace(p_name, ' ', chr(9)) AS n, '' AS missing FROM part""")
+def parse_text_escaped(spark, sf):
+    """S9 + S6.4: escapes in parsed text, and '' for a missing value."""
+    from cellar.sources import delimited as D
+    line = F.concat(_k(), F.lit(',"'), F.replace("p_name", F.lit(" "), F.lit("\\t")), F.lit('"'))
+    parsed = _part(spark, sf).select(D.parse_delimited(line, "p_partkey long, n string, missing string",
+                                                       D.DelimitedOptions(escape_mode="backslash")).alias("r"))
+    return parsed.select("r.*")
+
+
 @register("parse_text", "SELECT p_partkey, p_brand, p_size FROM part")
 def parse_text(spark, sf):
     """Delimited text held in a column, parsed into a struct."""

@@ -23,15 +23,16 @@ def hot_latest(spark, sf):
     return W.latest_cells(FX.lineitem_cells(spark, sf)).select("row_key", "family", "qualifier", "value")
 
 
-@register("hot_gather", """SELECT l_returnflag, count(*) AS n_values, CAST(ceil(count(*) / 10000) AS BIGINT) AS n_chunks,
-        CAST(sum(l_partkey) AS BIGINT) AS value_sum FROM lineitem GROUP BY l_returnflag""")
+@register("hot_gather", """WITH p AS (SELECT l_returnflag, CAST(l_partkey AS VARCHAR) AS v,
+        row_number() OVER (PARTITION BY l_returnflag ORDER BY CAST(l_partkey AS VARCHAR)) - 1 AS pos FROM lineitem)
+    SELECT l_returnflag, CAST(pos // 10000 AS INTEGER) AS chunk, CAST(count(*) AS INTEGER) AS n_values,
+        md5(string_agg(v, ',' ORDER BY v)) AS contents
+    FROM p GROUP BY l_returnflag, pos // 10000""")
 def hot_gather(spark, sf):
-    """A1 on hot keys: every value kept, spread over ceil(n / 10,000) bounded chunks per key."""
+    """A1 on hot keys: the contents of every chunk of 10,000 values."""
     g = A.gather_values(FX.table(spark, sf, "lineitem"), "l_returnflag", "l_partkey", chunk_size=10_000)
-    return (g.groupBy("l_returnflag")
-            .agg(F.sum(F.size("values")).cast("long").alias("n_values"), F.count(F.lit(1)).alias("n_chunks"),
-                 F.sum(F.aggregate("values", F.lit(0).cast("long"), lambda acc, v: acc + v.cast("long")))
-                 .alias("value_sum")))
+    return g.select("l_returnflag", "chunk", F.size("values").alias("n_values"),
+                    F.md5(F.array_join("values", ",")).alias("contents"))
 
 
 @register("hot_upsert", f"""WITH {L_SQL}, u AS (SELECT * FROM l UNION ALL
@@ -51,11 +52,15 @@ def hot_upsert(spark, sf):
 @register("hot_delete_latest", f"""WITH {L_SQL},
     ranked AS (SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY ts DESC, seq DESC) AS rn
                FROM l)
-    SELECT count(*) AS n_cells, CAST(sum(seq) AS BIGINT) AS seq_sum FROM ranked WHERE NOT (rn = 1 AND qualifier = 'O')""")
+    SELECT row_key, qualifier, count(*) AS n_cells, CAST(sum(seq) AS BIGINT) AS seq_sum,
+        CAST(max(CASE WHEN rn = 1 + CAST(qualifier = 'O' AS INTEGER) THEN seq END) AS BIGINT) AS newest_seq
+    FROM ranked WHERE NOT (rn = 1 AND qualifier = 'O') GROUP BY ALL""")
 def hot_delete_latest(spark, sf):
     """M4 on hot keys: drop the newest version of every status-O cell; the anti-join on the
     full version identity spreads each hot cell over many tasks (summed to compare)."""
     cells = FX.lineitem_cells(spark, sf)
     req = cells.where(F.col("qualifier") == "O").select("row_key", "family", "qualifier").distinct()
     kept = M.delete_latest(cells, req)
-    return kept.agg(F.count(F.lit(1)).alias("n_cells"), F.sum("seq").alias("seq_sum"))
+    return (kept.groupBy("row_key", "qualifier")
+            .agg(F.count(F.lit(1)).alias("n_cells"), F.sum("seq").alias("seq_sum"),
+                 F.max(F.struct("ts", "seq")).getField("seq").alias("newest_seq")))

@@ -126,7 +126,7 @@ def column_prefix(spark, sf):
 @register("column_prefix_rows", f"WITH {R_SQL} SELECT row_key, priority FROM r")
 def column_prefix_rows(spark, sf):
     """P7 on the row form: the columns whose name starts with a prefix."""
-    return W.column_prefix_rows(stored_rows(spark, sf), ["pri"])
+    return W.column_prefix_rows(stored_rows(spark, sf), FX.ORDER_ROWS_CATALOG, ["pri"])
 
 
 @register("keys_only", f"WITH {C_SQL} SELECT DISTINCT row_key FROM c")

@@ -19,7 +19,7 @@ def forward_stream(spark, sf):
     from cellar.streaming import forwarder as S
     src = FX.ensure_message_files(spark, sf)
     run = shared_path(spark, "streams", "forward", unique=True)
-    q = S.start_forwarder(S.read_message_files(spark, src, files_per_batch=_two_batches(spark, src)), S.folder_sink(f"{run}/out"),
+    q = S.start_forwarder(S.read_message_files(spark, src, files_per_batch=FILES_PER_BATCH), S.folder_sink(f"{run}/out"),
                           f"{run}/checkpoint", report=S.folder_sink(f"{run}/report"),
                           trigger={"availableNow": True})
     q.awaitTermination()
@@ -36,7 +36,7 @@ def stream_offset_report(spark, sf):
     from cellar.streaming import forwarder as S
     src = FX.ensure_message_files(spark, sf)
     run = shared_path(spark, "streams", "report", unique=True)
-    q = S.start_forwarder(S.read_message_files(spark, src, files_per_batch=_two_batches(spark, src)), S.folder_sink(f"{run}/out"),
+    q = S.start_forwarder(S.read_message_files(spark, src, files_per_batch=FILES_PER_BATCH), S.folder_sink(f"{run}/out"),
                           f"{run}/checkpoint", report=S.folder_sink(f"{run}/report"),
                           trigger={"availableNow": True})
     q.awaitTermination()
@@ -45,7 +45,5 @@ def stream_offset_report(spark, sf):
             .agg(F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset")))
 
 
-def _two_batches(spark, src: str) -> int:
-    """Files per micro-batch so that the log is drained in two batches, however many files it has."""
-    n_files = len(spark.read.parquet(src).inputFiles())
-    return max(1, -(-n_files // 2))
+#: Files of a micro-batch: a constant, so a batch doesn't grow with the log.
+FILES_PER_BATCH = 8

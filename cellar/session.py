@@ -140,9 +140,15 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join([base, "cellar", *names])
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path in it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def local_fs_path(path: str) -> str:
     """Strip a ``file:`` scheme (for tests that inspect written files)."""
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["CLUSTER_CONF", "get_session", "ship_code", "checkpoint_dir", "shared_root", "shared_path", "local_fs_path", "DEFAULT_CONF"]
+__all__ = ["CLUSTER_CONF", "get_session", "ship_code", "checkpoint_dir", "shared_root", "shared_path", "file_system", "local_fs_path", "DEFAULT_CONF"]

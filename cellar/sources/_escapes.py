@@ -39,38 +39,3 @@ def numeric_escapes_udf():
     from pyspark.sql import functions as F
     from pyspark.sql import types as T
     return F.pandas_udf(decode_all, T.StringType())
-
-
-def split_records(text: str, qualifier: str = '"') -> list[str]:
-    """Cut a whole file into raw records at line breaks outside qualified text (one linear pass).
-
-    A line break is CR, LF or CRLF; empty records are kept (the caller filters them).
-    """
-    out: list[str] = []
-    start = 0
-    inside = False
-    i = 0
-    n = len(text)
-    while i < n:
-        ch = text[i]
-        if ch == qualifier:
-            inside = not inside        # a doubled qualifier toggles twice: no net change
-        elif not inside and ch in "\r\n":
-            out.append(text[start:i])
-            if ch == "\r" and i + 1 < n and text[i + 1] == "\n":
-                i += 1
-            start = i + 1
-        i += 1
-    if start < n:
-        out.append(text[start:])
-    return out
-
-
-def split_records_series(s: pd.Series, qualifier: str = '"') -> pd.Series:
-    return s.map(lambda t: None if t is None else split_records(t, qualifier))
-
-
-def split_records_udf(qualifier: str = '"'):
-    from pyspark.sql import functions as F
-    from pyspark.sql import types as T
-    return F.pandas_udf(lambda s: split_records_series(s, qualifier), T.ArrayType(T.StringType()))

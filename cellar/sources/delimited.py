@@ -33,9 +33,6 @@ DEFAULT_COMMENT = "#"
 FILE_CHARSET = "ISO-8859-1"
 MAX_COLUMN_CHARS = 100_000
 MAX_COLUMNS = 100_000
-UNGUARDED_MAX_COLUMNS = 1_000_000
-# Most file splits whose line counts are broadcast to number records (one small row each).
-MAX_BROADCAST_SPLITS = 200_000
 # Single-letter backslash escapes and the characters they stand for.
 BACKSLASH_LETTERS = (("n", "\n"), ("r", "\r"), ("t", "\t"), ("b", "\b"), ("f", "\f"), ("e", "\x1b"),
                      ("v", "\x0b"), ("a", "\x07"))
@@ -74,10 +71,9 @@ def reader_options(o: DelimitedOptions) -> dict[str, str]:
         "ignoreTrailingWhiteSpace": str(o.trim_whitespace).lower(),
         "multiLine": str(o.multiline).lower(),
         "mode": "PERMISSIVE",
+        # with the guard off, read_delimited goes through the raw tokenizer, which has no limits
         "maxCharsPerColumn": str(MAX_COLUMN_CHARS if o.safety_switch else -1),
-        # Spark has no "unlimited" for the column count and the parser sizes arrays by it,
-        # so "guard off" is a large finite bound
-        "maxColumns": str(MAX_COLUMNS if o.safety_switch else UNGUARDED_MAX_COLUMNS),
+        "maxColumns": str(MAX_COLUMNS),
         "nullValue": "\u0000\u0000null-never\u0000",  # empty text stays '' (the source never yields NULL)
         "emptyValue": "",
     }
@@ -97,7 +93,14 @@ def read_delimited(spark: SparkSession, path: str, options: DelimitedOptions = D
                    schema: T.StructType | str | None = None, names: Sequence[str] | None = None,
                    numeric_escapes: bool = False) -> DataFrame:
     """Read delimited files. ``names`` sets the column names (S6.1 ``setHeaders``);
-    with ``header=True`` a duplicate header name keeps only its last column (D1)."""
+    with ``header=True`` a duplicate header name keeps only its last column (D1).
+
+    Spark's parser does the work where it agrees with the source. Backslash escapes (which
+    count in qualified values, or everywhere with the qualifier off) and unguarded reads go
+    through the raw-record tokenizer: :func:`read_records`, then one column a value.
+    """
+    if options.escape_mode == "backslash" or not options.safety_switch:
+        return _read_tokenized(spark, path, options, schema, names, numeric_escapes)
     reader = spark.read.options(**reader_options(options))
     if schema is not None:
         reader = reader.schema(schema)
@@ -106,17 +109,47 @@ def read_delimited(spark: SparkSession, path: str, options: DelimitedOptions = D
         df = df.toDF(*names)
     elif options.header and schema is None:
         df = keep_last_duplicate(df, read_headers(spark, path, options))
-    return _post_process(df, options, numeric_escapes)
+    return _post_process(df, options)
+
+
+def _struct(schema: T.StructType | str) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """A value as its type; text stays as it is, what doesn't convert is NULL."""
+    return text if isinstance(kind, T.StringType) else text.try_cast(kind)
+
+
+def _read_tokenized(spark: SparkSession, path: str, o: DelimitedOptions, schema, names, numeric_escapes: bool) -> DataFrame:
+    header = read_headers(spark, path, o) if o.header else None
+    if schema is not None:
+        fields = _struct(schema).fields
+    else:
+        width = header or names or read_headers(spark, path, o)  # the first record tells the number of columns
+        fields = [T.StructField(f"_c{i}", T.StringType()) for i in range(len(width))]
+    records = read_records(spark, path, o, multiline_raw=o.multiline)
+    tokens = records.select(raw_fields("raw", o).alias("f"))
+    decode = decode_numeric_escapes if numeric_escapes else decode_backslash
+    out = tokens.select(*[_typed(F.coalesce(unqualify(F.get("f", i), o, decode), F.lit("")), f.dataType).alias(f"c{i}")
+                          for i, f in enumerate(fields)]).toDF(*[f.name for f in fields])
+    if names is not None:
+        return out.toDF(*names)
+    return keep_last_duplicate(out, header) if header and schema is None else out
 
 
 def parse_delimited(text, schema: T.StructType | str, options: DelimitedOptions = DelimitedOptions()) -> Column:
-    """Parse delimited text held in a column into a struct."""
-    opts = {k: v for k, v in reader_options(options).items() if k not in ("encoding", "header", "multiLine")}
-    ddl = schema if isinstance(schema, str) else schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    return F.from_csv(as_col(text), ddl, opts)
+    """Parse delimited text held in a column into a struct, by the raw-record tokenizer.
+
+    A missing or empty text value is ``''`` (NULL only where the whole text is), a value that
+    isn't of its type NULL.
+    """
+    values = ragged_values(text, options)
+    parts = [_typed(value_at(values, i), f.dataType).alias(f.name) for i, f in enumerate(_struct(schema).fields)]
+    return F.when(as_col(text).isNotNull(), F.struct(*parts))
 
 
-def _post_process(df: DataFrame, o: DelimitedOptions, numeric_escapes: bool = False) -> DataFrame:
+def _post_process(df: DataFrame, o: DelimitedOptions) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -131,8 +164,6 @@ def _post_process(df: DataFrame, o: DelimitedOptions, numeric_escapes: bool = Fa
                 q = _re_escape(o.qualifier)
                 c = F.when(c.startswith(o.qualifier), F.regexp_replace(c, f"^{q}([^{q}]*){q}[^{q}]*$", "$1")
                            ).otherwise(c)
-            if o.escape_mode == "backslash":
-                c = decode_numeric_escapes(c) if numeric_escapes else decode_backslash(c)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -140,6 +171,9 @@ def _post_process(df: DataFrame, o: DelimitedOptions, numeric_escapes: bool = Fa
 def read_headers(spark: SparkSession, path: str, options: DelimitedOptions = DelimitedOptions()) -> list[str]:
     """S6.1 ``readHeaders``/``getHeaders``: the names in the first record (``len`` is the header count,
     ``[i]`` the i-th header). Only that one record is read."""
+    if options.escape_mode == "backslash" or not options.safety_switch:
+        first = read_records(spark, path, options.with_(header=False)).select("values").limit(1).collect()
+        return list(first[0][0]) if first else []
     first = spark.read.options(**{**reader_options(options), "header": "false"}).csv(path).limit(1).collect()
     return [str(v) for v in first[0]] if first else []
 
@@ -168,7 +202,7 @@ def decode_backslash(c) -> Column:
     out = F.replace(out, F.lit("\\\\"), F.lit("\u0000"))
     for letter, char in BACKSLASH_LETTERS:
         out = F.replace(out, F.lit("\\" + letter), F.lit(char))
-    out = F.regexp_replace(out, r"\\(.)", "$1")
+    out = F.regexp_replace(out, r"\\([\s\S])", "$1")
     return F.replace(out, F.lit("\u0000"), F.lit("\\"))
 
 
@@ -190,28 +224,49 @@ def raw_fields(raw, options: DelimitedOptions = DelimitedOptions()) -> Column:
     qualifier inside an unqualified field is ordinary text).
     """
     d = _re_escape(options.delimiter)
-    if not options.use_qualifier:
+    backslash = options.escape_mode == "backslash"
+    if not options.use_qualifier and not backslash:
         return F.split(as_col(raw), d, -1)
-    q = _re_escape(options.qualifier)
-    inner = f"(?:[^{q}\\\\]|\\\\.)*" if options.escape_mode == "backslash" else f"(?:[^{q}]|{q}{q})*"
+    plain = _escaped_run(d) if not options.use_qualifier else f"[^{d}]*+"
     # every field match starts at a delimiter (one is put in front of the record), so no
     # match is empty and there is exactly one field per delimiter
-    field = f"{d}([ \\t]*{q}{inner}{q}[^{d}]*|[^{d}]*)"
+    if options.use_qualifier:
+        q = _re_escape(options.qualifier)
+        field = f"{d}([ \\t]*+{q}{_qualified_run(q, backslash)}{q}[^{d}]*+|{plain})"
+    else:
+        field = f"{d}({plain})"
     return F.regexp_extract_all(F.concat(F.lit(options.delimiter), as_col(raw)), F.lit(field), 1)
 
 
-def unqualify(field, options: DelimitedOptions = DelimitedOptions()) -> Column:
+def _escaped_run(stop: str) -> str:
+    """Regex of text up to ``stop``, a backslash taking the next character with it. Possessive: no recursion per
+    character, so a value's length doesn't matter."""
+    return rf"[^{stop}\\]*+(?:\\[\s\S][^{stop}\\]*+)*+"
+
+
+def _qualified_run(q: str, backslash: bool) -> str:
+    """Regex of the text between qualifiers (possessive as well)."""
+    return _escaped_run(q) if backslash else f"[^{q}]*+(?:{q}{q}[^{q}]*+)*+"
+
+
+def unqualify(field, options: DelimitedOptions = DelimitedOptions(), decode=None) -> Column:
     """One raw field -> its value: outer blanks trimmed, qualifiers removed, doubled qualifiers
-    undone, text after the closing qualifier dropped (S6.15)."""
+    undone, text after the closing qualifier dropped (S6.15).
+
+    In backslash mode ``decode`` (letters by default, :func:`decode_backslash`) undoes the escapes
+    of a qualified value; with the qualifier off, of every value.
+    """
+    decode = decode or decode_backslash
+    backslash = options.escape_mode == "backslash"
     q = options.qualifier
     qe = _re_escape(q)
     f = as_col(field)
     if options.trim_whitespace:
         f = F.trim(f, F.lit(" \t"))
     if not options.use_qualifier:
-        return f
-    inner = F.regexp_extract(f, f"^{qe}((?:[^{qe}]|{qe}{qe})*){qe}", 1)
-    value = F.replace(inner, F.lit(q + q), F.lit(q)) if options.escape_mode == "doubled" else inner
+        return decode(f) if backslash else f
+    inner = F.regexp_extract(f, f"^{qe}({_qualified_run(qe, backslash)}){qe}", 1)
+    value = decode(inner) if backslash else F.replace(inner, F.lit(q + q), F.lit(q))
     return F.when(f.startswith(q), value).otherwise(f)
 
 
@@ -247,40 +302,89 @@ def read_records(spark: SparkSession, path: str, options: DelimitedOptions = Del
     """S6.9 (+S6.8, S6.5, S6.10, S6.1 header): one row per record: ``raw`` text and its ``values``.
 
     Line-based by default: a qualified line break starts a new record (D13).
-    ``multiline_raw=True`` reads each file whole and cuts it at line breaks
-    outside qualified text, so a raw record keeps its line breaks; each file is
-    then one task, so this is for files of moderate size. Empty records are
-    skipped unless ``skip_empty_records=False``; comment lines are dropped when
-    comments are on; with ``header=True`` the first record of each file is the
-    header and is neither returned nor counted. ``with_number`` adds ``record`` (S6.10).
+    ``multiline_raw=True`` joins the lines of a record whose qualified values hold line breaks
+    (:func:`whole_records`). Empty records are skipped unless ``skip_empty_records=False``;
+    comment lines are dropped when comments are on; with ``header=True`` the first record of
+    each file is the header and is neither returned nor counted. ``with_number`` adds
+    ``record`` (S6.10). With the guard on (S6.13) a longer value or record fails the job.
     """
     reader = spark.read.option("encoding", options.charset)
     if options.record_delimiter is not None:
         reader = reader.option("lineSep", options.record_delimiter)
+    text = reader.text(path)
+    numbered = with_number or options.header
     if multiline_raw:
-        from cellar.sources._escapes import split_records_udf
-        whole = reader.text(path, wholetext=True).select(
-            F.col("_metadata.file_path").alias("_file"), F.col("value"))
-        recs = whole.select("_file", F.posexplode(split_records_udf(options.qualifier)("value")).alias("_pos", "raw"))
-        kept = recs.where(_kept(options, "raw"))
-        if with_number or options.header:
-            kept = kept.withColumn("record", F.row_number().over(Window.partitionBy("_file").orderBy("_pos")) - 1)
-            if options.header:
-                kept = kept.where(F.col("record") > 0).withColumn("record", F.col("record") - 1)
-        lines = kept.drop("_file", "_pos")
-        if not with_number and "record" in lines.columns:
-            lines = lines.drop("record")
+        lines = whole_records(text, options)
+    elif numbered:
+        lines = with_record_number(text, keep=_kept(options, "value")).withColumnRenamed("value", "raw")
     else:
-        text = reader.text(path)
-        if with_number or options.header:
-            lines = with_record_number(text, keep=_kept(options, "value")).withColumnRenamed("value", "raw")
-            if options.header:
-                lines = lines.where(F.col("record") > 0).withColumn("record", F.col("record") - 1)
-            if not with_number:
-                lines = lines.drop("record")
-        else:
-            lines = text.where(_kept(options, "value")).withColumnRenamed("value", "raw")
-    return lines.withColumn("values", ragged_values("raw", options))
+        lines = text.where(_kept(options, "value")).withColumnRenamed("value", "raw")
+    if options.header:
+        lines = lines.where(F.col("record") > 0).withColumn("record", F.col("record") - 1)
+    if not with_number and "record" in lines.columns:
+        lines = lines.drop("record")
+    values = ragged_values("raw", options)
+    return lines.withColumn("values", _guarded(F.col("raw"), values) if options.safety_switch else values)
+
+
+def _guarded(raw: Column, values: Column) -> Column:
+    """S6.13: the values, or a failure if one is too long or there are too many."""
+    bad = (F.length(raw) > MAX_COLUMN_CHARS) & (F.exists(values, lambda v: F.length(v) > MAX_COLUMN_CHARS)
+                                                | (F.size(values) > MAX_COLUMNS))
+    why = f"a value of more than {MAX_COLUMN_CHARS} characters or more than {MAX_COLUMNS} values (safety_switch)"
+    return F.when(bad, F.raise_error(F.lit(why)).cast("array<string>")).otherwise(values)
+
+
+def _places(lines: DataFrame) -> DataFrame:
+    """Lines with the file, split and place (ascending in a split) they come from."""
+    return lines.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                        F.monotonically_increasing_id().alias("_pos"))
+
+
+def whole_records(lines: DataFrame, options: DelimitedOptions = DelimitedOptions()) -> DataFrame:
+    """S6.9, D13: ``raw, record`` - records that may span lines, numbered per file from 0.
+
+    A line lies inside a qualified value if the lines before it in its file hold an odd
+    number of qualifiers. Each split counts its qualifiers and, for either state it may be
+    entered in, the records that start in it; running sums over this table (one row a split)
+    give each split its state and first number. Files are cut like any other text: no task
+    reads a whole file. Skipped records (empty, comments) are not numbered. The lines of a
+    record are joined by the record delimiter (a line feed by default).
+    """
+    q = options.qualifier
+    bare = F.regexp_replace("value", r"\\[\s\S]", "") if options.escape_mode == "backslash" else F.col("value")
+    odd = ((F.length(bare) - F.length(F.replace(bare, F.lit(q), F.lit("")))) / len(q)).cast("long") % 2
+    if not options.use_qualifier:
+        odd = F.lit(0).cast("long")
+    tagged = _places(lines).select("_file", "_block", "_pos", "value", odd.alias("_odd"), _kept(options, "value").alias("_keep"))
+    upto = Window.partitionBy("_file", "_block").orderBy("_pos")
+    local = tagged.withColumn("_in", F.pmod(F.sum("_odd").over(upto) - F.col("_odd"), F.lit(2)))
+
+    def starts(state: int) -> Column:
+        return F.sum(F.when((F.col("_in") == state) & F.col("_keep"), 1).otherwise(0))
+
+    def all_starts(state: int) -> Column:
+        return F.sum(F.when(F.col("_in") == state, 1).otherwise(0))
+
+    splits = local.groupBy("_file", "_block").agg(F.sum("_odd").alias("_sum"), starts(0).alias("_k0"), starts(1).alias("_k1"),
+                                                  all_starts(0).alias("_a0"), all_starts(1).alias("_a1"))
+    order = Window.partitionBy("_file").orderBy("_block")
+    splits = splits.withColumn("_state", F.pmod(F.sum("_sum").over(order) - F.col("_sum"), F.lit(2)))
+    own = F.when(F.col("_state") == 0, F.col("_k0")).otherwise(F.col("_k1"))
+    every = F.when(F.col("_state") == 0, F.col("_a0")).otherwise(F.col("_a1"))
+    splits = splits.select("_file", "_block", "_state", (F.sum(own).over(order) - own).alias("_first"),
+                           (F.sum(every).over(order) - every).alias("_group"))
+    placed = local.join(splits, ["_file", "_block"])
+    begins = (F.col("_in") == F.col("_state")).cast("long")  # an even number of qualifiers before it
+    placed = (placed.withColumn("_begins", begins)
+              .withColumn("_record", F.col("_group") + F.sum("_begins").over(upto))
+              .withColumn("record", F.col("_first") + F.sum(F.col("_begins") * F.col("_keep").cast("long")).over(upto) - 1))
+    rows = placed.groupBy("_file", "_record").agg(
+        F.sort_array(F.collect_list(F.struct("_block", "_pos", "value", "record", (F.col("_begins") * F.col("_keep").cast("long"))
+                                             .alias("keep")))).alias("_lines"))
+    first = F.get("_lines", 0)
+    joined = F.array_join(F.transform("_lines", lambda x: x["value"]), options.record_delimiter or "\n")
+    return rows.where(first["keep"] == 1).select(joined.alias("raw"), first["record"].alias("record"))
 
 
 def _kept(o: DelimitedOptions, col: str = "raw") -> Column:
@@ -292,31 +396,23 @@ def _kept(o: DelimitedOptions, col: str = "raw") -> Column:
     return keep
 
 
-def with_record_number(lines: DataFrame, keep: Column | None = None, number_col: str = "record",
-                       max_broadcast_splits: int = MAX_BROADCAST_SPLITS) -> DataFrame:
+def with_record_number(lines: DataFrame, keep: Column | None = None, number_col: str = "record") -> DataFrame:
     """S6.10: 0-based record number per file, in file order, skipped lines not counted.
 
     ``lines`` must come straight from a file reader (it uses the ``_metadata`` column).
     A line's place is (file, split start, place inside the split). Ids taken
     right after the filter are consecutive inside a split, so the place inside
     the split is ``id - first id of the split``; a table with one row per split
-    gives the number of kept lines in the splits before it. That table is
-    broadcast when the number of splits is within ``max_broadcast_splits``
-    (counted first), so the lines themselves are never shuffled; beyond the
-    bound the join is a shuffled one.
+    gives the number of kept lines in the splits before it. That table is small, and AQE
+    broadcasts it by its measured size, so the lines themselves are then not shuffled.
     """
     kept = lines.where(keep) if keep is not None else lines
-    tagged = kept.select("*", F.col("_metadata.file_path").alias("_file"),
-                         F.col("_metadata.file_block_start").alias("_block"),
-                         F.monotonically_increasing_id().alias("_pos"))
+    tagged = _places(kept)
     splits = tagged.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     before = splits.select("_file", "_block", "_first",
                            (F.sum("_n").over(Window.partitionBy("_file").orderBy("_block")) - F.col("_n"))
                            .alias("_before"))
-    # The split table is computed inside the same job as the lines (not fetched
-    # ahead), so both see one and the same split layout at run time.
-    if before.limit(max_broadcast_splits + 1).count() <= max_broadcast_splits:
-        before = F.broadcast(before)
+    # computed inside the same job as the lines (not fetched ahead), so both see one split layout
     return (tagged.join(before, ["_file", "_block"])
             .withColumn(number_col, F.col("_before") + F.col("_pos") - F.col("_first"))
             .drop("_file", "_block", "_pos", "_first", "_before"))
@@ -350,5 +446,5 @@ def _re_escape(s: str) -> str:
 __all__ = ["DelimitedOptions", "reader_options", "read_delimited", "read_headers", "parse_delimited",
            "keep_last_duplicate",
            "decode_backslash", "decode_numeric_escapes", "raw_fields", "unqualify", "ragged_values", "value_at",
-           "column_count", "qualified_flags", "drop_trailing_junk", "read_records", "with_record_number",
+           "column_count", "qualified_flags", "drop_trailing_junk", "read_records", "whole_records", "with_record_number",
            "skip_records", "skip_lines", "header_index", "MAX_COLUMN_CHARS", "MAX_COLUMNS"]

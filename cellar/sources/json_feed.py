@@ -78,13 +78,15 @@ def read_json_feed(spark: SparkSession, path: str, schema: T.StructType = ORDER_
 
     ``layout='partitioned'``: ``path/dt=yyyyMMdd/...``; a ``date`` becomes a
     filter on the partition column, so only that directory is listed and read.
-    ``layout='dated'``: ``path/yyyyMMdd/...``; a ``date`` picks the directory.
+    ``layout='dated'``: ``path/yyyyMMdd/...``; a ``date`` picks the directory, without one all days are read.
     A day without a folder fails the read (as the source job does) rather than
     yielding an empty day, so a missing input never turns into an empty snapshot.
     """
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
     if layout == "dated":
-        return reader.json(f"{path.rstrip('/')}/{date}" if date else path)
+        if date:
+            return reader.json(f"{path.rstrip('/')}/{date}")
+        return reader.option("recursiveFileLookup", "true").json(path)
     if DATE_PARTITION not in schema.fieldNames():
         # declare the partition column as text, so 'yyyyMMdd' is not inferred as a number
         reader = reader.schema(T.StructType([*schema.fields, T.StructField(DATE_PARTITION, T.StringType())]))

@@ -6,34 +6,35 @@ from cellar.operators import enrich as E
 from cellar.plans.phones import enrich_phone_list
 from cellar.sources.literal import literal_rows
 
-PAIRS = [("a", 1), ("b", 1), ("a", 1), ("a", 1), ("b", 1), ("b", 1), ("b", 1), ("b", 1)]
+PAIRS = [("oak", 4), ("elm", 2), ("oak", 4), ("elm", 7), ("ash", 4), ("oak", 9)]
 
 
 def test_gather_values_pairs(spark):
     df = literal_rows(spark, PAIRS, "k string, v int", 3)
     assert df.rdd.getNumPartitions() == 3
     got = {r["k"]: r["values"] for r in A.gather_values(df, "k", "v").collect()}
-    assert got == {"a": ["1"] * 3, "b": ["1"] * 5}
+    assert got == {"oak": ["4", "4", "9"], "elm": ["2", "7"], "ash": ["4"]}
 
 
 def test_gather_values_hot_key_is_chunked_and_whole(spark):
     df = spark.range(10_000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
     out = A.gather_values(df, "k", "v", chunk_size=1000).collect()
-    assert 5 <= len(out) <= 10
-    assert max(len(r["values"]) for r in out) < 1500
+    assert [len(r["values"]) for r in out] == [1000] * 10
+    ordered = [v for r in sorted(out, key=lambda r: r["chunk"]) for v in r["values"]]
+    assert ordered == sorted(ordered)
     assert sorted(int(v) for r in out for v in r["values"]) == list(range(10_000))
 
 
 def test_gather_counts(spark):
     df = literal_rows(spark, PAIRS, "k string, v int", 3)
-    assert sorted(map(tuple, A.gather_counts(df, "k", "v").collect())) == [("a", "1", 3), ("b", "1", 5)]
+    assert sorted(map(tuple, A.gather_counts(df, "k", "v").collect())) == [("ash", "4", 1), ("elm", "2", 1), ("elm", "7", 1), ("oak", "4", 2), ("oak", "9", 1)]
 
 
 def test_aggregate_by_key_lists(spark):
     df = literal_rows(spark, PAIRS, "k string, v int", 3)
     out = A.aggregate_by_key(df, "k", "v", [], lambda acc, v: acc + [str(v)], lambda a, b: a + b,
                              finish=lambda acc: ",".join(sorted(acc)))
-    assert dict(map(tuple, out.collect())) == {"a": "1,1,1", "b": "1,1,1,1,1"}
+    assert dict(map(tuple, out.collect())) == {"oak": "4,4,9", "elm": "2,7", "ash": "4"}
 
 
 def test_offset_ranges(spark):
@@ -95,13 +96,37 @@ def test_partition_resource_opened_once_and_closed(spark):
     assert rows == 2 * sum(range(100))
 
 
-def test_gather_values_hot_null_key_and_shuffled_path(spark):
+def test_gather_values_hot_null_key(spark):
     df = spark.range(5000).select(F.when(F.col("id") < 4000, F.lit(None)).otherwise(F.lit("k")).alias("k"),
                                   F.col("id").alias("v"))
-    for max_hot in (10, 0):   # broadcast path, then the shuffled path (more hot keys than allowed)
-        out = A.gather_values(df, "k", "v", chunk_size=500, max_hot_keys=max_hot).collect()
-        assert max(len(r["values"]) for r in out) < 900
-        assert sorted(int(v) for r in out for v in r["values"]) == list(range(5000))
+    out = A.gather_values(df, "k", "v", chunk_size=500).collect()
+    assert sorted((r["k"] or "", r["chunk"], len(r["values"])) for r in out) == [("", i, 500) for i in range(8)] + [
+        ("k", i, 500) for i in range(2)]
+    assert sorted(int(v) for r in out for v in r["values"]) == list(range(5000))
+
+
+def test_gather_values_many_copies_of_few_values(spark):
+    """Values with about a chunk of copies each: chunks are exact, sorted and whole."""
+    df = spark.range(110 * 970).select(F.lit("hot").alias("k"), F.format_string("v%03d", F.col("id") % 110).alias("v"))
+    out = sorted(A.gather_values(df, "k", "v", chunk_size=1000).collect(), key=lambda r: r["chunk"])
+    assert [r["chunk"] for r in out] == list(range(107)) and {len(r["values"]) for r in out[:-1]} == {1000}
+    assert [v for r in out for v in r["values"]] == sorted(f"v{i % 110:03d}" for i in range(110 * 970))
+
+
+def test_aggregate_by_key_keeps_types(spark):
+    """NULLs beside longs above 2**53, and a NULL key."""
+    rows = [("a", 1), ("a", None), ("a", 2**60 + 1), (None, 5), (None, None)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(3)
+    out = A.aggregate_by_key(df, "k", "v", [], lambda acc, v: acc + [v], lambda a, b: a + b,
+                             finish=lambda acc: ",".join(sorted(map(repr, acc))))
+    assert {r["k"]: r["result"] for r in out.collect()} == {"a": f"1,{2**60 + 1},None", None: "5,None"}
+
+
+def test_aggregate_by_key_accumulator_none(spark):
+    """An accumulator that is None isn't a missing one."""
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3)], "k string, v long").coalesce(1)
+    out = A.aggregate_by_key(df, "k", "v", 0, lambda acc, v: None if acc == 0 else v, lambda a, b: b)
+    assert out.first()["result"] == "3"
 
 
 def test_aggregate_by_key_tree_merge(spark):

@@ -126,10 +126,10 @@ def test_junk_fix_is_opt_in_for_parsed_values(spark, scratch):
     assert raw == {"1": "a", "2": '"b"'}
 
 
-def test_record_numbers_shuffled_path(spark, scratch):
+def test_record_numbers(spark, scratch):
     p = write(scratch + "/rs", "a.csv", "\n".join(f"{i},v" for i in range(500)).encode())
     lines = spark.read.text(p)
-    got = D.with_record_number(lines, max_broadcast_splits=0).collect()
+    got = D.with_record_number(lines).collect()
     assert sorted(r["record"] for r in got) == list(range(500))
     assert all(int(r["value"].split(",")[0]) == r["record"] for r in got)
 
@@ -175,3 +175,67 @@ def test_custom_record_delimiter_raw_records(spark, scratch):
     p = write(scratch + "/rd", "a.csv", b"a,1;b,2;;c,3")
     recs = D.read_records(spark, p, D.DelimitedOptions(record_delimiter=";"), with_number=True)
     assert sorted((r["record"], r["values"][0]) for r in recs.collect()) == [(0, "a"), (1, "b"), (2, "c")]
+
+
+BACKSLASH = D.DelimitedOptions(escape_mode="backslash")
+
+
+def test_backslash_escapes_by_form(spark, scratch):
+    p = write(scratch + "/be", "a.csv", b'1,"a\\"b\\tc",a\\tb\n2,"x\\\\y",q\\\\r\n')
+    for rows in (D.read_delimited(spark, p, BACKSLASH).collect(),
+                 [r["values"] for r in D.read_records(spark, p, BACKSLASH).collect()]):
+        # decoded where qualified, kept as written where not
+        assert sorted(tuple(r) for r in rows) == [("1", 'a"b\tc', "a\\tb"), ("2", "x\\y", "q\\\\r")]
+    off = BACKSLASH.with_(use_qualifier=False)
+    p = write(scratch + "/bo", "a.csv", b'1,a\\,b,x\\ty,"q"\n')
+    for row in (D.read_delimited(spark, p, off).first(), D.read_records(spark, p, off).first()["values"]):
+        assert list(row) == ["1", "a,b", "x\ty", '"q"']
+
+
+def test_backslash_takes_a_line_break(spark, scratch):
+    p = write(scratch + "/bl", "a.csv", b'1,"a\\\nb \\" c",z\n2,"d",y\n')
+    recs = D.read_records(spark, p, BACKSLASH, with_number=True, multiline_raw=True).collect()
+    assert sorted((r["record"], *r["values"]) for r in recs) == [(0, "1", 'a\nb " c', "z"), (1, "2", "d", "y")]
+
+
+def test_parse_text_like_the_reader(spark):
+    df = spark.createDataFrame([('7,"x\\ty",3',), ("8,,x",), (None,), ("9",)], "s string")
+    got = df.select(D.parse_delimited("s", "a long, b string, c int", BACKSLASH).alias("r")).collect()
+    assert [r["r"] and tuple(r["r"]) for r in got] == [(7, "x\ty", 3), (8, "", None), None, (9, "", None)]
+
+
+def test_very_long_qualified_values(spark, scratch):
+    """Two million characters and a hundred thousand doubled qualifiers: no recursion per character."""
+    long_, doubled = "ab" * 1_000_000, '""' * 100_000
+    p = write(scratch + "/vl", "a.csv", f'1,"{long_}"\n2,"{doubled}"\n3,"{"x" * 8000}" junk\n'.encode())
+    o = D.DelimitedOptions(safety_switch=False)
+    got = {r["values"][0]: r["values"][1] for r in D.read_records(spark, p, o).collect()}
+    assert got == {"1": long_, "2": '"' * 100_000, "3": "x" * 8000}
+    assert len(D.read_delimited(spark, p, o).where("_c0 = '1'").first()["_c1"]) == 2_000_000
+    with pytest.raises(Exception, match="safety_switch"):
+        D.read_records(spark, p).collect()
+
+
+def test_no_column_limit_with_the_guard_off(spark, scratch):
+    p = write(scratch + "/nc", "a.csv", ("1," * 150_000 + "end\n").encode())
+    assert len(D.read_records(spark, p, D.DelimitedOptions(safety_switch=False)).first()["values"]) == 150_001
+    with pytest.raises(Exception, match="safety_switch"):
+        D.read_records(spark, p).collect()
+
+
+def test_records_across_splits(spark, scratch):
+    """Quoted line breaks on every split border: the same records, numbered, whatever the split size."""
+    rows = [(f"{i}", ("x\n" * (i % 7)) + ('"q"' if i % 3 == 0 else ""), "") if i % 5 else ("",) for i in range(400)]
+    text = "".join((",".join('"' + v.replace('"', '""') + '"' for v in r) if len(r) > 1 else "") + "\n" for r in rows)
+    p = write(scratch + "/sp", "a.csv", text.encode())
+    kept = [r for r in rows if len(r) > 1]
+    for size in ("64", "1000", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            recs = D.read_records(spark, p, with_number=True, multiline_raw=True).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert [tuple(r["values"]) for r in sorted(recs, key=lambda r: r["record"])] == kept
+        assert sorted(r["record"] for r in recs) == list(range(len(kept)))

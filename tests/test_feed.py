@@ -126,3 +126,23 @@ def test_ranged_upsert_same_rows_with_and_without_hot_keys(spark):
 def test_missing_day_fails_loudly(spark, scratch):
     with pytest.raises(Exception, match="(?i)path does not exist|PATH_NOT_FOUND"):
         read_json_feed(spark, feed(scratch), date="20991231").count()
+
+
+def test_dated_layout_without_a_date_reads_every_day(spark, scratch):
+    for day, order in (("20240101", "o1"), ("20240102", "o2")):
+        os.makedirs(os.path.join(scratch, "d", day))
+        with open(os.path.join(scratch, "d", day, "p.json"), "w") as f:
+            f.write('{"sUserId":"1","addTime":"a","message":{"orderInfo":[{"orderNo":"%s"}]}}\n' % order)
+    root = os.path.join(scratch, "d")
+    assert read_json_feed(spark, root, layout="dated").count() == 2
+    assert read_json_feed(spark, root, layout="dated", date="20240102").count() == 1
+
+
+def test_derived_inputs_follow_their_source(spark, scratch):
+    from cellar.plans.queries import queries
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    path = os.path.join(scratch, "events.parquet")
+    events.limit(100).write.parquet(path)
+    assert queries()["row_callback"](spark, scratch).count() == 100
+    events.limit(300).write.mode("overwrite").parquet(path)
+    assert queries()["row_callback"](spark, scratch).count() == 300

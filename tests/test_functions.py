@@ -126,3 +126,21 @@ def test_java_trim_long_blank_runs_are_fast(spark):
     assert one(spark, X.java_trim("s"), s) == "x"
     assert one(spark, X.java_trim("s"), "\x00\x1f a b \x20") == "a b"
     assert time.time() - t < 20
+
+
+def test_dates_do_not_depend_on_the_session_zone(spark):
+    df = spark.createDataFrame([("2017-03-12 02:30:00",), ("2017-11-05 01:30:00",), ("nonsense",), (None,)], "t string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    got = []
+    for z in ("UTC", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", z)
+        try:
+            got.append([tuple(r) for r in df.select(X.parse_epoch_millis("t"), X.unix_seconds_text("t")).collect()])
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got[0] == got[1] == [(1489285800000, "1489285800"), (1509845400000, "1509845400"), (None, ""), (None, "")]
+
+
+def test_integer_division_is_exact(spark):
+    df = spark.createDataFrame([(2**62 + 999,), (-(2**62) - 999,), (-1,)], "n long")
+    assert [r[0] for r in df.select(X.int_div("n", 1000)).collect()] == [(2**62 + 999) // 1000, -((2**62 + 999) // 1000), 0]

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from cellar.plans import jobs
@@ -49,3 +50,15 @@ def test_phones_job(spark, scratch):
     out = os.path.join(scratch, "out")
     assert jobs.main(["phones", "--input", src, "--out", out]) == 0
     assert [r[0] for r in spark.read.text(out).collect()] == ["13800000001,13900000002\t2"]
+
+
+def test_order_report_job_refuses_a_table_without_snapshots(spark, scratch):
+    users = os.path.join(scratch, "users")
+    spark.createDataFrame([("1", "yhxx", "sidno", None, "ID1", 1)],
+                          "row_key string, family string, qualifier string, ts timestamp_ntz, value string, seq long") \
+        .write.parquet(users)
+    feed = _feed(scratch, "20240101", ['{"sUserId":"1","addTime":"a","message":{"orderInfo":[{"orderNo":"o1"}]}}'])
+    out = os.path.join(scratch, "report")
+    spark.createDataFrame([("k", "v")], "key string, v string").write.parquet(out)
+    with pytest.raises(ValueError, match="no snapshots"):
+        jobs.main(["order-report", "--feed", feed, "--users", users, "--out", out, "20240101"])

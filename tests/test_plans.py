@@ -4,21 +4,21 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from cellar.plans.queries import queries
 from tests.conftest import SMALL
 
-# Queries whose semantics need Python (caller code, numeric escapes, whole-file record cuts).
-PYTHON_ALLOWED = {"delete_where_pred", "csv_backslash", "csv_multiline_raw", "batch_calls", "partition_stage",
-                  "row_callback", "user_aggregate"}
+# Queries whose semantics need Python (caller code, numeric escapes).
+PYTHON_ALLOWED = {"delete_where_pred", "csv_backslash", "batch_calls", "partition_stage",
+                  "row_callback", "user_aggregate", "user_aggregate_types"}
 # Bounded single-partition steps: the E5 numbering's window over a table of one row per range, and a
 # global count/sum whose exchange carries one partial row per partition.
-SINGLE_PARTITION_ALLOWED = {"batch_calls", "hot_delete_latest"}
+SINGLE_PARTITION_ALLOWED = {"batch_calls"}
 
 
 @pytest.fixture(scope="module")
 def plans(spark):
     out = {}
-    for name, fn in E.queries().items():
+    for name, fn in queries().items():
         df = fn(spark, SMALL)
         df.write.format("noop").mode("overwrite").save()
         out[name] = df._jdf.queryExecution().executedPlan().toString()
@@ -36,7 +36,7 @@ def test_no_single_partition_exchange(plans):
 
 
 def test_python_only_where_needed(plans):
-    py = re.compile(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas")
+    py = re.compile(r"ArrowEvalPython|BatchEvalPython|MapIn|FlatMapGroupsIn")
     bad = [n for n, p in plans.items() if py.search(p) and n not in PYTHON_ALLOWED]
     assert not bad
 

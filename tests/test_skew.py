@@ -49,7 +49,7 @@ def test_upsert_and_delete_latest_on_hot_key(spark):
 def test_gather_and_lookup_on_hot_key(spark):
     cells = skewed_cells(spark)
     g = A.gather_values(cells, "row_key", "seq", chunk_size=1_000).where("row_key = 'hot'").collect()
-    assert len(g) >= 10 and max(len(r["values"]) for r in g) < 1_500
+    assert len(g) == 10 and {len(r["values"]) for r in g} == {1_000}
     assert sum(len(r["values"]) for r in g) == 10_000
     lk = W.latest_cells(cells).where("qualifier = 'a'").select("row_key", F.col("value").alias("v"))
     out = J.enrich(cells.select("row_key", "seq"), lk, "row_key", "row_key", ["v"], on_missing="null", salt_buckets=4)

@@ -279,3 +279,41 @@ def test_as_records_positional_and_typed_to_rows(spark):
     assert back == {"k1": (7, "a"), "k2": (None, "b")}
     with pytest.raises(ValueError):
         W.as_records(raw, cat, source_names=["a"])
+
+
+def test_put_without_a_time_wins(spark, versioned):
+    out = M.put_cell(spark, versioned, "r1", "f", "a", "fresh").where("row_key = 'r1' and family = 'f' and qualifier = 'a'")
+    assert out.first()["value"] == "fresh"
+    rows = spark.createDataFrame([("r1", "again")], "row_key string, x string")
+    cat = W.Catalog(table="t", columns=(W.ColumnSpec("x", "f", "a"),))
+    changed = M.upsert(versioned, W.to_cells(rows, cat)).where("row_key = 'r1' and family = 'f' and qualifier = 'a'")
+    assert changed.first()["value"] == "again"
+
+
+def test_put_without_a_time_column_or_value_is_refused(spark, versioned):
+    rows = spark.createDataFrame([("r1", "f", "a", None, "x", 1)], M.CELL_SCHEMA)
+    with pytest.raises(Exception, match="without a timestamp"):
+        M.upsert(versioned, rows).collect()
+    with pytest.raises(ValueError, match="timestamp column"):
+        M.upsert(versioned, rows.drop("ts"))
+
+
+def test_put_any_bytes(spark, versioned):
+    with pytest.raises(ValueError, match="binary_cells"):
+        M.put_cell(spark, versioned, "r1", "f", "a", b"\xff\x01")
+    out = M.put_cell(spark, M.binary_cells(versioned), "r1", "f", "a", b"\xff\x01").where("row_key = 'r1' and qualifier = 'a' and family = 'f'")
+    assert bytes(out.first()["value"]) == b"\xff\x01"
+
+
+def test_column_prefix_goes_by_qualifier(spark):
+    cat = W.Catalog(table="t", columns=(W.ColumnSpec("total", "f", "price"), W.ColumnSpec("prize", "f", "won")))
+    rows = spark.createDataFrame([("k", "1", "2")], "row_key string, total string, prize string")
+    assert W.column_prefix_rows(rows, cat, ["pri"]).columns == ["row_key", "total"]
+
+
+def test_prefixes_of_unlisted_length_fail(spark):
+    keys = spark.createDataFrame([("abc",)], "row_key string")
+    prefixes = spark.createDataFrame([("a",), ("ab",)], "prefix string")
+    assert {r[1] for r in W.prefixes_exist(prefixes, keys, lengths=[1, 2]).collect()} == {True}
+    with pytest.raises(Exception, match="isn't listed"):
+        W.prefixes_exist(prefixes, keys, lengths=[1]).collect()
