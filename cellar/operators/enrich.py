@@ -17,6 +17,8 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,19 +105,28 @@ def global_index(df: DataFrame, order: Sequence[str], index_col: str = "idx",
 def weighted_positions(bag: DataFrame, order_col: str, weight_col: str, n_ranges: int | None = None) -> DataFrame:
     """Start position of each (distinct) ``order_col`` value when it counts ``weight_col`` times.
 
-    The values are range-partitioned and the ranges fixed by a reliable
-    checkpoint; a running sum inside each range (one range per window group,
-    balanced by the range split) plus the total of the ranges before it (a table
-    of one row per range, broadcast) gives each value's first position.
+    The values are range-partitioned and sorted, and each task adds up its range as it
+    goes; ranges and sums are fixed by a reliable checkpoint. The total of the ranges
+    before (a table of one row per range, broadcast) gives each value's first
+    position. One shuffle in all.
     """
     spark = bag.sparkSession
     checkpoint_dir(spark)
     n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    frozen = (bag.repartitionByRange(n, F.col(order_col)).withColumn("_range", F.spark_partition_id())
-              .checkpoint(eager=True))
-    upto = Window.partitionBy("_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = frozen.withColumn("_cum", F.sum(weight_col).over(upto))
-    totals = frozen.groupBy("_range").agg(F.sum(weight_col).alias("_t"))
+    ranged = (bag.repartitionByRange(n, F.col(order_col)).sortWithinPartitions(order_col)
+              .withColumn("_range", F.spark_partition_id()))
+    schema = T.StructType([*ranged.schema.fields, T.StructField("_cum", T.LongType())])
+
+    def running(batches):
+        total = 0
+        for batch in batches:
+            sums = pc.add(pc.cumulative_sum(batch.column(weight_col).cast(pa.int64())), total)
+            if len(sums):
+                total = sums[-1].as_py()
+            yield pa.RecordBatch.from_arrays([*batch.columns, sums], names=[*batch.schema.names, "_cum"])
+
+    local = ranged.mapInArrow(running, schema).checkpoint(eager=True)
+    totals = local.groupBy("_range").agg(F.max("_cum").alias("_t"))
     starts = totals.select("_range", (F.sum("_t").over(Window.orderBy("_range")) - F.col("_t")).alias("_r0"))
     return (local.join(F.broadcast(starts), "_range")
             .withColumn("start", F.col("_r0") + F.col("_cum") - F.col(weight_col))

@@ -21,6 +21,8 @@ from cellar.operators.widetable import FAMILY, QUALIFIER, SEQ, TS, VALUE, newest
 ON_MISSING = ("error", "null", "drop")
 # Most lookup rows broadcast on request (checked by counting first).
 MAX_BROADCAST_ROWS = 1_000_000
+# Copies of a row that are repeated at a time.
+COPIES_PER_PIECE = 1_000
 
 
 def lookup_table(cells: DataFrame, family: str, qualifier: str, value_name: str,
@@ -55,8 +57,12 @@ def enrich(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str, valu
         counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
         joined = enrich(counted, lookup, left_key, right_key, value_cols, on_missing=on_missing,
                         broadcast_lookup=broadcast_lookup, salt_buckets=salt_buckets)
-        return (joined.withColumn("_rep", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))))
-                .drop("_rep", "_copies"))
+        # in pieces, so that no array is as long as a group of copies
+        pieces = joined.withColumn("_piece", F.explode(F.sequence(
+            F.lit(0).cast("long"), F.call_function("div", F.col("_copies") - 1, F.lit(COPIES_PER_PIECE)))))
+        held = F.least(F.lit(COPIES_PER_PIECE), F.col("_copies") - F.col("_piece") * COPIES_PER_PIECE)
+        return (pieces.withColumn("_rep", F.explode(F.array_repeat(F.lit(0), held.cast("int"))))
+                .drop("_rep", "_piece", "_copies"))
     if on_missing not in ON_MISSING:
         raise ValueError(f"on_missing must be one of {ON_MISSING}")
     right = lookup.select(F.col(right_key).alias("_lk"), *value_cols)

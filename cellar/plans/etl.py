@@ -14,7 +14,7 @@ from cellar.functions.scalar import order_key
 from cellar.operators.lookup import enrich, lookup_table
 from cellar.operators.mutate import range_layout
 from cellar.operators.widetable import Catalog, ColumnSpec
-from cellar.session import shared_path
+from cellar.session import run_path
 
 # The flat record of an order and its column mapping
 # (row key "key"; every other column in family "order_info").
@@ -97,7 +97,7 @@ def upsert_ranged(changes: DataFrame, key: str = "key", n_ranges: int | None = N
     """
     spark = changes.sparkSession
     cols = [c for c in changes.columns if c != key]
-    path = shared_path(spark, "tables", "upserted", unique=True)
+    path = run_path(spark, "upserted")
     _newest_per_key(_tag_sides(table, changes), key, cols, None).write.parquet(path)
     return range_layout(spark.read.parquet(path), n_ranges, key)
 

@@ -40,9 +40,8 @@ def explode_inner(spark, sf):
 
 @register("report_table", REPORT_SQL)
 def report_table(spark, sf):
-    """K1 + K2 + M2: the flagship report deduplicated and range-split by key (one shuffle unless a key
-    is hot), written to the shared folder and read back."""
-    from cellar.session import shared_path
-    path = shared_path(spark, "tables", "order_report", unique=True)
+    """K1 + K2 + M2: the flagship report deduplicated, then range-split by key, written to the shared folder and read back."""
+    from cellar.session import run_path
+    path = run_path(spark, "order_report")
     etl.write_report_upserted(etl.order_report(FX.order_feed(spark, sf), FX.user_cells(spark, sf)), path)
     return spark.read.parquet(path)

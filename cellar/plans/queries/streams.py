@@ -15,10 +15,10 @@ def forward_stream(spark, sf):
     """File stream of messages -> ``key:value`` -> batch-keyed sink
     (a replayed batch replaces its output), offsets reported per batch, positions in the query
     checkpoint; drained with ``availableNow``."""
-    from cellar.session import shared_path
+    from cellar.session import run_path
     from cellar.streaming import forwarder as S
     src = FX.ensure_message_files(spark, sf)
-    run = shared_path(spark, "streams", "forward", unique=True)
+    run = run_path(spark, "forward")
     q = S.start_forwarder(S.read_message_files(spark, src, files_per_batch=FILES_PER_BATCH), S.folder_sink(f"{run}/out"),
                           f"{run}/checkpoint", report=S.folder_sink(f"{run}/report"),
                           trigger={"availableNow": True})
@@ -32,10 +32,10 @@ def forward_stream(spark, sf):
         min(event_id) AS from_offset, max(event_id) + 1 AS until_offset FROM events GROUP BY 2""")
 def stream_offset_report(spark, sf):
     """T5: the per-batch offset report of a forwarder run, merged over its batches."""
-    from cellar.session import shared_path
+    from cellar.session import run_path
     from cellar.streaming import forwarder as S
     src = FX.ensure_message_files(spark, sf)
-    run = shared_path(spark, "streams", "report", unique=True)
+    run = run_path(spark, "report")
     q = S.start_forwarder(S.read_message_files(spark, src, files_per_batch=FILES_PER_BATCH), S.folder_sink(f"{run}/out"),
                           f"{run}/checkpoint", report=S.folder_sink(f"{run}/report"),
                           trigger={"availableNow": True})

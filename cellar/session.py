@@ -100,7 +100,8 @@ def ship_code(spark: SparkSession) -> None:
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return (spark.conf.get("spark.master", "") or "").startswith("local")
+    master = spark.conf.get("spark.master", "") or ""
+    return master == "local" or master.startswith("local[")  # local-cluster has executors of its own
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -140,6 +141,17 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join([base, "cellar", *names])
 
 
+def run_path(spark: SparkSession, *parts: str) -> str:
+    """A new path for what one run of this application writes; :func:`release_runs` removes them all."""
+    return shared_path(spark, "runs", spark.sparkContext.applicationId, *parts, unique=True)
+
+
+def release_runs(spark: SparkSession) -> None:
+    """Remove what this application's runs have written (results must have been read or saved)."""
+    fs, root = file_system(spark, shared_path(spark, "runs", spark.sparkContext.applicationId))
+    fs.delete(root, True)
+
+
 def file_system(spark: SparkSession, path: str):
     """The Hadoop file system of ``path`` and the path in it."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -151,4 +163,4 @@ def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["CLUSTER_CONF", "get_session", "ship_code", "checkpoint_dir", "shared_root", "shared_path", "file_system", "local_fs_path", "DEFAULT_CONF"]
+__all__ = ["CLUSTER_CONF", "get_session", "ship_code", "checkpoint_dir", "shared_root", "shared_path", "run_path", "release_runs", "file_system", "local_fs_path", "DEFAULT_CONF"]

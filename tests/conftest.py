@@ -16,6 +16,8 @@ def spark():
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cellar-test-ckpt-"))
     yield s
+    from cellar.session import release_runs
+    release_runs(s)
     s.stop()
 
 
