@@ -6,12 +6,15 @@ bucket are candidates. A candidate pair's signatures are compared batch by batch
 and the pair is pruned as soon as the posterior probability that its similarity
 reaches the threshold falls to ``miss``. Survivors are verified on their full sets.
 
-Pairs inside a bucket are not all made. A first round pairs each member with the
-bucket's smallest node, a second with its largest; only members of different
-components are paired, so a large group of near copies costs a pair a member and
-falls into one component. What is still apart after that, and only that, is
-compared pair by pair. Links inside a component need no proof, so the components
-are those of all pairs.
+Pairs inside a bucket are not all made. First each member meets its bucket's centre only,
+the node that has most company over all its buckets: in a group of near copies that is
+the one least changed, so the group falls into one component at the cost of a pair a
+member. Links inside a component need no proof, so what is left are members of one
+bucket in different components. In a bucket of at most ``SMALL`` members their pairs
+are made. A larger one is cut into blocks: those outside its largest component meet all
+others block by block, inside a task that compares signatures, verifies sets and
+returns links only; a pair that shares several buckets is compared in the first.
+The components are those of all pairs.
 
 With 32 bands of 4 values a pair at the threshold of 0.75 shares no bucket with
 probability (1 - 0.75**4)**32 = 5e-6; more similar pairs are missed less.
@@ -43,11 +46,11 @@ SHINGLE = 5
 BANDS, BAND_VALUES = 32, 4
 SIGNATURE = BANDS * BAND_VALUES
 THRESHOLD = (75, 100)
-MISS = 1e-6
+MISS = 1e-5
 #: Hashes compared before the posterior is looked at again.
 COMPARE = 16
-#: Rounds in which a bucket's members meet one of their own before the remaining pairs are made.
-STAR_ROUNDS = 2
+#: Members of a bucket whose pairs are made as rows, at most; and members of a block of a larger one.
+SMALL, BLOCK_NODES = 16, 512
 #: Ids that are looked up by broadcast at most (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 #: Shingles hashed at a time.
@@ -169,19 +172,20 @@ def _prints(docs: DataFrame) -> DataFrame:
 
 
 def _band_rows(nodes: DataFrame) -> DataFrame:
-    """(bucket, node): a row for each band of each node."""
+    """(bucket, band, node): a row for each band of each node."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if not len(pdf):
                 continue
             sign = np.frombuffer(b"".join(pdf["sign"]), dtype=np.uint32).reshape(len(pdf), BANDS, BAND_VALUES)
-            key = np.tile(np.arange(BANDS, dtype=np.uint64), (len(pdf), 1))
+            band = np.tile(np.arange(BANDS), (len(pdf), 1))
+            key = band.astype(np.uint64)
             for k in range(BAND_VALUES):
                 key = _mix(key * _STEP + sign[:, :, k].astype(np.uint64))
-            yield pd.DataFrame({"bucket": key.astype(np.int64).ravel(),
+            yield pd.DataFrame({"bucket": key.astype(np.int64).ravel(), "band": band.ravel(),
                                 "node": np.repeat(pdf["node"].to_numpy(), BANDS)})
 
-    return nodes.select("node", "sign").mapInPandas(run, "bucket long, node long")
+    return nodes.select("node", "sign").mapInPandas(run, "bucket long, band int, node long")
 
 
 def _surviving(pairs: DataFrame, nodes: DataFrame, threshold: float, miss: float) -> DataFrame:
@@ -203,9 +207,8 @@ def _surviving(pairs: DataFrame, nodes: DataFrame, threshold: float, miss: float
     return joined.select("u", "v", "sign_u", "sign_v").mapInPandas(run, "u long, v long")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose full sets reach the threshold."""
-    wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+def _packed(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, packed) of the wanted nodes: their words, compressed."""
     wanted = written(wanted.join(nodes.select("node", "id", "digest"), "node"), "wanted")
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
 
@@ -217,8 +220,24 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
                     for w, d in zip(words, pdf["digest"])]  # rows of one doc_id may differ
             yield pd.DataFrame({"node": pdf["node"], "packed": [zlib.compress(b" ".join(w), 1) for w in words]})[same]
 
-    packed = written(docs.join(side, "id").select("node", "text", "digest")
-                     .mapInPandas(pack, "node long, packed binary").dropDuplicates(["node"]), "packed")
+    return written(docs.join(side, "id").select("node", "text", "digest")
+                   .mapInPandas(pack, "node long, packed binary").dropDuplicates(["node"]), "packed")
+
+
+def _unpacked(shingler: Shingler, packed: bytes) -> np.ndarray:
+    return shingler.set_of(zlib.decompress(packed).split())
+
+
+def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two full sets reach the threshold."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both * THRESHOLD[1] >= (len(a) + len(b) - both) * THRESHOLD[0]
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose full sets reach the threshold."""
+    wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    packed = _packed(wanted, nodes, docs)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
@@ -226,10 +245,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
             keep, last, held = [], None, np.zeros(0, dtype=np.uint64)
             for v, pu, pv in zip(pdf["v"], pdf["pu"], pdf["pv"]):
                 if v != last:
-                    last, held = v, shingler.set_of(zlib.decompress(pv).split())
-                mine = shingler.set_of(zlib.decompress(pu).split())
-                both = len(np.intersect1d(mine, held, assume_unique=True))
-                keep.append(both * THRESHOLD[1] >= (len(mine) + len(held) - both) * THRESHOLD[0])
+                    last, held = v, _unpacked(shingler, pv)
+                keep.append(_linked(_unpacked(shingler, pu), held))
             yield pdf.loc[np.array(keep, dtype=bool), ["u", "v"]]
 
     joined = (pairs.join(packed.select(F.col("node").alias("u"), F.col("packed").alias("pu")), "u")
@@ -237,7 +254,80 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return joined.select("u", "v", "pu", "pv").mapInPandas(compare, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, miss: float = MISS, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+def _block_links(needed: np.ndarray):
+    """Links between the two sides of a block, of nodes in different components."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"u": [], "v": []}).astype("int64")
+        left, right = pdf[pdf["side"] == 0].reset_index(drop=True), pdf[pdf["side"] == 1].reset_index(drop=True)
+        if not len(left) or not len(right):
+            return none
+        signs, others = (np.frombuffer(b"".join(x["sign"]), dtype=np.uint32).reshape(len(x), SIGNATURE)
+                         for x in (left, right))
+        band, shingler = int(pdf["band"].iloc[0]), Shingler()
+        node, part, size = (left[c].to_numpy() for c in ("node", "part", "n_shingles"))
+        sets: dict[int, np.ndarray] = {}
+
+        def set_of(row: int, frame: pd.DataFrame) -> np.ndarray:
+            key = int(frame["node"].iloc[row])
+            if key not in sets:
+                sets[key] = _unpacked(shingler, frame["packed"].iloc[row])
+            return sets[key]
+
+        out = []
+        for r in range(len(right)):
+            n = int(right["n_shingles"].iloc[r])
+            fits = np.minimum(size, n) * THRESHOLD[1] >= np.maximum(size, n) * THRESHOLD[0]
+            # of two nodes outside the largest component both stand on either side: once is enough
+            twice = left["rest"].to_numpy(dtype=bool) & (node > int(right["node"].iloc[r]))
+            at = np.flatnonzero(fits & ~twice & (part != int(right["part"].iloc[r])))
+            if len(at):
+                agree = (signs[at] == others[r]).reshape(len(at), BANDS, BAND_VALUES).all(axis=2)
+                at = at[agree.argmax(axis=1) == band]  # this bucket is the first that the two share
+            if len(at):
+                at = at[may_reach(signs[at], np.broadcast_to(others[r], (len(at), SIGNATURE)), needed)]
+            out += [(int(node[a]), int(right["node"].iloc[r])) for a in at if _linked(set_of(a, left), set_of(r, right))]
+        return pd.DataFrame(out, columns=["u", "v"]).astype("int64") if out else none
+
+    return run
+
+
+def _remaining(members: DataFrame, parts: DataFrame, nodes: DataFrame, docs: DataFrame, miss: float) -> DataFrame:
+    """Links between members of one bucket that are in different components."""
+    threshold = THRESHOLD[0] / THRESHOLD[1]
+    labelled = members.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    labelled = written(labelled.select("bucket", "band", "node", "part"), "labelled")
+    counts = labelled.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
+    torn = counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("most"))
+    torn = written(torn.filter("n > most.n").select("bucket", "n", F.col("most.n").alias("n_most"),
+                                                    F.col("most.part").alias("part_most")), "torn")
+    open_ = written(labelled.join(torn, "bucket"), "open")
+
+    few = open_.filter(F.col("n") <= SMALL)
+    mine = few.select("bucket", F.col("node").alias("u"), F.col("part").alias("part_u"))
+    theirs = few.select("bucket", F.col("node").alias("v"), F.col("part").alias("part_v"))
+    pairs = mine.join(theirs, "bucket").filter("u < v and part_u <> part_v").select("u", "v").distinct()
+    found = _verified(written(_surviving(pairs, nodes, threshold, miss), "survivors"), nodes, docs)
+
+    many = open_.filter(F.col("n") > SMALL)
+    if many.isEmpty():
+        return found
+    rest = F.col("part") != F.col("part_most")
+    blocks, rest_blocks = (F.ceil(x / F.lit(BLOCK_NODES)).cast("int") for x in (F.col("n"), F.col("n") - F.col("n_most")))
+    many = many.select("bucket", "band", "node", "part", rest.alias("rest"), blocks.alias("blocks"),
+                       rest_blocks.alias("rest_blocks"))
+    dealt = F.xxhash64("node")
+    left = many.select("*", F.pmod(dealt, F.col("blocks")).cast("int").alias("i"),
+                       F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("j"), F.lit(0).alias("side"))
+    right = many.filter("rest").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"),
+                                       F.pmod(dealt, F.col("rest_blocks")).cast("int").alias("j"), F.lit(1).alias("side"))
+    packed = _packed(many.select("node").distinct(), nodes, docs)
+    held = written(nodes.select("node", "n_shingles", "sign").join(packed, "node"), "held")
+    rows = left.unionByName(right).drop("blocks", "rest_blocks").join(held, "node")
+    linked = (rows.groupBy("bucket", "i", "j").applyInPandas(_block_links(needed_matches(threshold, miss)), "u long, v long"))
+    return found.unionByName(linked)
+
+
+def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     prepare(docs.sparkSession)
     threshold = THRESHOLD[0] / THRESHOLD[1]
@@ -246,47 +336,27 @@ def near_duplicates(docs: DataFrame, miss: float = MISS, star_rounds: int = STAR
     nodes = (prints.filter("digest is not null").groupBy("digest", "n_shingles", "sign").agg(F.min("id").alias("id"))
              .withColumn("node", F.monotonically_increasing_id()))
     nodes = written(nodes.select("node", "id", "digest", "n_shingles", "sign"), "nodes")
+
+    # only buckets of more than one node matter
     bands = _band_rows(nodes)
-    # only buckets of more than one node matter from here on
-    shared = bands.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
+    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("company")).filter("company > 1")
     members = written(bands.join(written(shared, "buckets"), "bucket"), "members")
-
-    links, parts = None, None
-    for round_no in range(star_rounds + 1):
-        if parts is None:
-            open_ = members.withColumn("part", F.col("node"))
-            centre = "low"
-        else:
-            labelled = members.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
-            torn = (labelled.groupBy("bucket").agg(F.min("part").alias("a"), F.max("part").alias("b"))
-                    .filter("a <> b").select("bucket"))
-            open_ = written(labelled.select("bucket", "node", "low", "high", "part").join(
-                written(torn, "torn"), "bucket"), "open")
-            centre = "high"
-        if round_no < star_rounds:
-            pairs = open_.select(F.col("node").alias("u"), F.col(centre).alias("v"), "part")
-            if parts is not None:
-                other = parts.select(F.col("node").alias("v"), F.col("component").alias("part_v"))
-                pairs = (pairs.join(other, "v", "left").filter(F.col("part") != F.coalesce("part_v", "v")))
-            pairs = pairs.filter("u <> v").select("u", "v").distinct()
-        else:
-            mine = open_.select("bucket", F.col("node").alias("u"), F.col("part").alias("part_u"))
-            theirs = open_.select("bucket", F.col("node").alias("v"), F.col("part").alias("part_v"))
-            pairs = (mine.join(theirs, "bucket").filter("u < v and part_u <> part_v").select("u", "v").distinct())
-        survivors = written(_surviving(written(pairs, "pairs"), nodes, threshold, miss), "survivors")
-        if survivors.isEmpty():
-            continue
-        found = _verified(survivors, nodes, texts)
-        links = written(found if links is None else links.unionByName(found), "links")
-        parts = written(connected_components(links), "parts")
-    named = nodes.select("node", "id", "digest")
-    if parts is not None:
-        labelled = named.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
-        smallest = written(labelled.groupBy("part").agg(F.min("id").alias("component_id")), "smallest")
-        named = labelled.join(smallest, "part")
-    else:
-        named = named.withColumn("component_id", F.col("id"))
-    classes = written(named.select("digest", "component_id"), "classes")
+    weights = written(members.groupBy("node").agg(F.sum("company").alias("weight")), "weights")
+    centres = written(members.select("bucket", "node").join(weights, "node").groupBy("bucket")
+                      .agg(F.max(F.struct("weight", "node")).getField("node").alias("centre")), "centres")
+    pairs = (members.select("bucket", "node").join(centres, "bucket").filter("node <> centre")
+             .select(F.col("node").alias("u"), F.col("centre").alias("v")).distinct())
+    survivors = written(_surviving(pairs, nodes, threshold, miss), "survivors")
+    links = written(_verified(survivors, nodes, texts), "links")
+    parts = written(connected_components(links), "parts")
+    more = written(_remaining(members, parts, nodes, texts, miss), "more")
+    if not more.isEmpty():
+        parts = written(connected_components(links.unionByName(more)), "parts")
+
+    labelled = nodes.select("node", "id", "digest").join(parts, "node", "left").withColumn(
+        "part", F.coalesce("component", "node"))
+    smallest = written(labelled.groupBy("part").agg(F.min("id").alias("component_id")), "smallest")
+    classes = written(labelled.join(smallest, "part").select("digest", "component_id"), "classes")
     out = prints.select("id", "n_shingles", "digest").join(classes, "digest", "left")
     component = F.coalesce("component_id", "id")
     shown = F.nullif(F.col("id"), F.lit(_MAX_ID))

@@ -90,7 +90,7 @@ def test_signatures_estimate_similarity():
 
 
 def test_pruning_misses_no_more_than_chosen():
-    needed = N.needed_matches(0.75, 1e-6)
+    needed = N.needed_matches(0.75, 1e-5)
     assert (np.diff(needed) > 0).all()
     rng = np.random.default_rng(2)
     a = rng.integers(0, 1 << 32, (4000, N.SIGNATURE), dtype=np.uint32)
@@ -117,3 +117,13 @@ def test_components(spark, seed):
     found = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     linked = {n for u, v in edges if u != v for n in (u, v)}
     assert found == {n: find(n) for n in linked}
+
+
+@pytest.mark.parametrize("small, block", [(1, 3), (2, 64), (1000, 512)])
+def test_blocks_and_pairs_agree(spark, monkeypatch, small, block):
+    """A large bucket with several components, compared as pairs or in blocks of any size."""
+    monkeypatch.setattr(N, "SMALL", small)
+    monkeypatch.setattr(N, "BLOCK_NODES", block)
+    base = words(150, 9, 5000)
+    rows = rows_of([edited(base, 2 + i % 14, i) for i in range(70)] + [edited(words(150, 10, 5000), i, i) for i in range(9)])
+    assert got(frame(spark, rows)) == brute(rows)
