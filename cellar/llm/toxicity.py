@@ -187,7 +187,7 @@ def train(positive: Examples, unlabelled: Examples, prior: float) -> Model:
 
     def gradient(parts, factor: np.ndarray) -> np.ndarray:
         idx, owner = parts
-        g = np.bincount(idx, weights=factor[owner] * x[idx], minlength=size + 1)
+        g = np.bincount(idx, weights=factor[owner] * x[idx], minlength=size + 1).astype(float)  # empty input counts in int
         g[-1] += factor.sum()
         return g
 

@@ -6,6 +6,7 @@ import numpy as np
 from cellar.llm import toxicity as T
 from tests.llm.common import SCHEMA, frame, odd_rows, rows_of, words
 
+LETTERS = str.maketrans("0123456789", "abcdefghij")  # words of letters only
 INSULTS = ["grobian", "flegel", "lump"]
 
 
@@ -13,7 +14,7 @@ def corpus(n=900, seed=1):
     rng = random.Random(seed)
     rows, labels = [], []
     for i in range(n):
-        w = words(40, 1000 + i, 3000).split()
+        w = words(40, 1000 + i, 3000).translate(LETTERS).split()
         toxic = rng.random() < 0.15
         if toxic:
             for _ in range(3):
