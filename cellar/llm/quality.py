@@ -43,13 +43,13 @@ ORDER = 4
 BEGIN, END = b"\x02\x00", b"\x03\x00"
 UNIT = 16
 #: Code units worked on at a time.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 SHARD_GRAMS = 500_000
-SALT_CHARS = 64_000_000
+SALT_CHARS = 32_000_000
 #: One fold of trusted documents in so many sets the thresholds instead of training.
 FOLDS = 5
 QUANTILE = 0.99
-SPREAD = 1.0
+SPREAD = 1.5
 LEAST_HELD = 20
 #: Ids that are looked up by broadcast at most (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 4_000_000
