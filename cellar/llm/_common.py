@@ -21,15 +21,24 @@ def prepare(spark: SparkSession) -> None:
     checkpoint_dir(spark)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Narrow rows (ids and numbers) that one task writes.
+ROWS_PER_TASK = 200_000
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: lineage ends there.
 
+    ``rows``: the most narrow rows that it can have; a small table is then written by few
+    tasks, however many shuffle partitions there are, and read by few.
+
     A lost executor loses nothing of it, and its size is known to the planner.
     The folder is ``<spark.checkpoint.dir>/cellar/llm/<application>/<name>/<unique>``;
     :func:`release` removes an application's folders.
     """
     spark = df.sparkSession
     path = shared_path(spark, "llm", spark.sparkContext.applicationId, name, unique=True)
+    if rows is not None:
+        df = df.coalesce(groups_for(rows, ROWS_PER_TASK))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -22,16 +22,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     AQE can split a node with very many edges.
     """
     edges = written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-                    .distinct(), "edges")
+                    .distinct(), "edges", edges.count())
     before = _checksum(edges)
     while before[0]:
+        n = before[0]  # edges never become more
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least", 2 * n)
         large = written(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                        .distinct(), "large")
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+                        .distinct(), "large", n)
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least", n)
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        edges = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges", n)
         after = _checksum(edges)
         if after == before:
             break

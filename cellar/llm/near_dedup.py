@@ -209,7 +209,7 @@ def _surviving(pairs: DataFrame, nodes: DataFrame, threshold: float, miss: float
 
 def _packed(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, packed) of the wanted nodes: their words, compressed."""
-    wanted = written(wanted.join(nodes.select("node", "id", "digest"), "node"), "wanted")
+    wanted = written(wanted.join(nodes.select("node", "id", "digest"), "node"), "wanted", nodes.count())
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -291,16 +291,17 @@ def _block_links(needed: np.ndarray):
     return run
 
 
-def _remaining(members: DataFrame, parts: DataFrame, nodes: DataFrame, docs: DataFrame, miss: float) -> DataFrame:
+def _remaining(members: DataFrame, parts: DataFrame, nodes: DataFrame, docs: DataFrame, miss: float,
+               n_members: int) -> DataFrame:
     """Links between members of one bucket that are in different components."""
     threshold = THRESHOLD[0] / THRESHOLD[1]
     labelled = members.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    labelled = written(labelled.select("bucket", "band", "node", "part"), "labelled")
+    labelled = written(labelled.select("bucket", "band", "node", "part"), "labelled", n_members)
     counts = labelled.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
     torn = counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("most"))
     torn = written(torn.filter("n > most.n").select("bucket", "n", F.col("most.n").alias("n_most"),
-                                                    F.col("most.part").alias("part_most")), "torn")
-    open_ = written(labelled.join(torn, "bucket"), "open")
+                                                    F.col("most.part").alias("part_most")), "torn", n_members)
+    open_ = written(labelled.join(torn, "bucket"), "open", n_members)
 
     few = open_.filter(F.col("n") <= SMALL)
     mine = few.select("bucket", F.col("node").alias("u"), F.col("part").alias("part_u"))
@@ -336,27 +337,29 @@ def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
     nodes = (prints.filter("digest is not null").groupBy("digest", "n_shingles", "sign").agg(F.min("id").alias("id"))
              .withColumn("node", F.monotonically_increasing_id()))
     nodes = written(nodes.select("node", "id", "digest", "n_shingles", "sign"), "nodes")
+    n_nodes = nodes.count()
+    n_members = n_nodes * BANDS
 
     # only buckets of more than one node matter
     bands = _band_rows(nodes)
     shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("company")).filter("company > 1")
-    members = written(bands.join(written(shared, "buckets"), "bucket"), "members")
-    weights = written(members.groupBy("node").agg(F.sum("company").alias("weight")), "weights")
+    members = written(bands.join(written(shared, "buckets", n_members), "bucket"), "members", n_members)
+    weights = written(members.groupBy("node").agg(F.sum("company").alias("weight")), "weights", n_nodes)
     centres = written(members.select("bucket", "node").join(weights, "node").groupBy("bucket")
-                      .agg(F.max(F.struct("weight", "node")).getField("node").alias("centre")), "centres")
+                      .agg(F.max(F.struct("weight", "node")).getField("node").alias("centre")), "centres", n_members)
     pairs = (members.select("bucket", "node").join(centres, "bucket").filter("node <> centre")
              .select(F.col("node").alias("u"), F.col("centre").alias("v")).distinct())
     survivors = written(_surviving(pairs, nodes, threshold, miss), "survivors")
     links = written(_verified(survivors, nodes, texts), "links")
-    parts = written(connected_components(links), "parts")
-    more = written(_remaining(members, parts, nodes, texts, miss), "more")
+    parts = written(connected_components(links), "parts", n_nodes)
+    more = written(_remaining(members, parts, nodes, texts, miss, n_members), "more")
     if not more.isEmpty():
-        parts = written(connected_components(links.unionByName(more)), "parts")
+        parts = written(connected_components(links.unionByName(more)), "parts", n_nodes)
 
     labelled = nodes.select("node", "id", "digest").join(parts, "node", "left").withColumn(
         "part", F.coalesce("component", "node"))
-    smallest = written(labelled.groupBy("part").agg(F.min("id").alias("component_id")), "smallest")
-    classes = written(labelled.join(smallest, "part").select("digest", "component_id"), "classes")
+    smallest = written(labelled.groupBy("part").agg(F.min("id").alias("component_id")), "smallest", n_nodes)
+    classes = written(labelled.join(smallest, "part").select("digest", "component_id"), "classes", n_nodes)
     out = prints.select("id", "n_shingles", "digest").join(classes, "digest", "left")
     component = F.coalesce("component_id", "id")
     shown = F.nullif(F.col("id"), F.lit(_MAX_ID))
