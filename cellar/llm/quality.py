@@ -15,12 +15,16 @@ Shards are sized by the model, and each is split by salts sized by the text, wit
 the shard's model copied to each salt: no task holds more than
 ``SHARD_GRAMS`` n-grams and about ``SALT_CHARS`` characters' counts.
 
-A document is kept if its perplexity is at most its language's threshold: a
-quantile of held-out trusted documents of that language, plus the distance from
-their median to it (``SPREAD`` times, in log perplexity). A language with fewer
-than ``LEAST_HELD`` of those uses the quantile of all languages.
-
-Defined results: an empty or null text has no perplexity and is rejected; a null
+A document is kept if its perplexity is at most its language's threshold: the
+``QUANTILE`` of held-out trusted documents of that language. Log perplexities of short
+texts scatter more, so distances from the language's median are taken in units of
+``sqrt(1 + NOISE / symbols)``: a few short texts don't lift the threshold of long ones.
+Where too few texts fix the tail, the quantile's distance from the median is shrunk
+to that of all languages, and this to the one of a normal distribution as wide as
+their median distance (each counts as ``PRIOR`` texts). A language with fewer
+than ``LEAST_HELD`` held-out texts uses the median and quantile of all together.
+
+Defined results: an empty or null text has no perplexity and no threshold and is rejected; a null
 language is a language of its own; rows with one doc_id and text have the same
 result; without trusted text (an empty table, no labels) there is no perplexity
 and every text that isn't empty is kept. Other columns are ignored.
@@ -30,6 +34,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -49,8 +54,12 @@ SALT_CHARS = 32_000_000
 #: One fold of trusted documents in so many sets the thresholds instead of training.
 FOLDS = 5
 QUANTILE = 0.99
-SPREAD = 1.5
-LEAST_HELD = 20
+#: Symbols at which a text's log perplexity scatters sqrt(2) times as far as a very long one's.
+NOISE = 1000
+#: Held-out texts of which one lies beyond the quantile: the weight of what quantiles are shrunk to.
+PRIOR = 100
+#: The median of so many held-out texts withstands an odd one.
+LEAST_HELD = 3
 #: Ids that are looked up by broadcast at most (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 4_000_000
 
@@ -261,13 +270,37 @@ def _placed(logp: DataFrame, shards: int) -> DataFrame:
     return logp.mapInPandas(run, "gram long, logp double, shard long")
 
 
-def thresholds(scored: DataFrame) -> DataFrame:
-    """(lang, threshold) for rows of (lang, perplexity) of held-out trusted documents; lang '*' is all of them."""
-    both = scored.select(F.explode(F.array(F.struct(F.coalesce("lang", F.lit("")).alias("lang"), F.lit(False).alias("all")),
-                                           F.struct(F.lit("*").alias("lang"), F.lit(True).alias("all")))).alias("of"),
-                         F.ln("perplexity").alias("x"))
-    cut = both.groupBy("of").agg(F.percentile_approx("x", [0.5, QUANTILE], 10000).alias("q"), F.count(F.lit(1)).alias("held"))
-    return cut.select("of.lang", "of.all", "held", F.exp(F.col("q")[1] + SPREAD * (F.col("q")[1] - F.col("q")[0])).alias("threshold"))
+def _wide() -> Column:
+    """How far log perplexities of texts of that length scatter, as a multiple of a very long text's."""
+    return F.sqrt(1 + NOISE / F.col("n_symbols"))
+
+
+def _shrunk(quantile: Column, held: Column, to: Column) -> Column:
+    return (held * quantile + PRIOR * to) / (held + PRIOR)
+
+
+def thresholds(scored: DataFrame) -> tuple[DataFrame, tuple[float | None, float | None]]:
+    """(lang, middle, distance) for rows of (lang, n_symbols, perplexity) of held-out trusted documents.
+
+    A text's threshold is ``exp(middle + distance * wide)``. With them the pair (middle,
+    distance) of all texts, for other languages.
+    """
+    def at(x: Column | str, q: float) -> Column:
+        return F.percentile_approx(x, q, 10000)
+
+    held = scored.select(F.coalesce("lang", F.lit("")).alias("lang"), F.ln("perplexity").alias("x"), _wide().alias("wide"))
+    middle = held.agg(at("x", 0.5)).first()[0]
+    distance = held.agg(at((F.col("x") - F.lit(middle)) / F.col("wide"), QUANTILE)).first()[0]
+    middles = held.groupBy("lang").agg(at("x", 0.5).alias("middle"), F.count(F.lit(1)).alias("held"))
+    middles = written(middles.filter(F.col("held") >= LEAST_HELD), "middles")
+    far = written(held.join(middles, "lang").select("lang", "middle", "held",
+                                                    ((F.col("x") - F.col("middle")) / F.col("wide")).alias("far")), "far")
+    normal = NormalDist()
+    width = at(F.abs("far"), 0.5) * (normal.inv_cdf(QUANTILE) / normal.inv_cdf(0.75))
+    pooled = far.agg(_shrunk(at("far", QUANTILE), F.count(F.lit(1)), width)).first()[0]
+    own = far.groupBy("lang", "middle", "held").agg(at("far", QUANTILE).alias("q"))
+    cuts = own.select("lang", "middle", _shrunk(F.col("q"), F.col("held"), F.lit(pooled).cast("double")).alias("distance"))
+    return written(cuts, "cuts"), (middle, distance)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -291,12 +324,11 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
         scores = written(score(texts, model), "scores")
         scored = written(index.join(scores, ["id", "print"], "left"), "scored")
     held = scored.join(trusted.filter(fold == 0), "id", "left_semi").filter("perplexity is not null")
-    cuts = written(thresholds(held), "cuts")
-    pooled = cuts.filter("all").select(F.col("threshold").alias("pooled"))
-    pooled_value = (pooled.first() or [None])[0]
-    own = cuts.filter(~F.col("all") & (F.col("held") >= LEAST_HELD)).select(F.col("lang").alias("of"), "threshold")
+    cuts, (middle, distance) = thresholds(held)
+    own = cuts.withColumnRenamed("lang", "of")
     out = scored.join(own, F.coalesce("lang", F.lit("")) == F.col("of"), "left")
-    limit = F.coalesce("threshold", F.lit(pooled_value).cast("double"))
+    limit = F.exp(F.coalesce("middle", F.lit(middle).cast("double"))
+                  + F.coalesce("distance", F.lit(distance).cast("double")) * _wide())
     kept = F.col("some") & F.coalesce(F.col("perplexity") <= limit, F.lit(True))
     return out.select(F.nullif(F.col("id"), F.lit((1 << 63) - 1)).alias("doc_id"), "lang", "n_symbols", "perplexity",
                       limit.alias("threshold"), kept.alias("kept"))

@@ -1,5 +1,6 @@
 import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -114,3 +115,23 @@ def test_without_trusted_text_or_rows(spark):
 def test_blocks_round_trip():
     arrays = [np.array([0, 3, 70_000]), np.array([], dtype=int), np.array([1 << 40], dtype=np.uint64)]
     assert [a.tolist() for a in Q._unpack(Q._pack(*arrays))] == [a.tolist() for a in arrays]
+
+
+def test_odd_short_texts_do_not_lift_a_threshold(spark):
+    """Two tiny odd trusted texts among the held-out ones: whole documents of symbols and tables go all the same."""
+    texts = [prose(60, i) for i in range(300)] + ["Xq zk.", "+1 (168) 555-5254"] * 3
+    texts += ["%%% ".join(prose(60, 900 + i).split()) for i in range(10)] + [" | ".join(prose(60, 950 + i).split()) for i in range(10)]
+    tiny = [i for i in range(2000, 3000) if zlib.crc32(str(i).encode()) % Q.FOLDS == 0][:6]
+    rows = rows_of(texts)
+    rows = [(tiny[r[0] - 300], *r[1:]) if 300 <= r[0] < 306 else r for r in rows]
+    labels = spark.createDataFrame([(i, 1) for i in [*range(300), *tiny]], "doc_id long, quality int")
+    kept = {r["doc_id"]: r["kept"] for r in Q.classify(frame(spark, rows), labels).collect()}
+    assert sum(kept[i] for i in range(300)) >= 295 and not any(kept[i] for i in range(306, 326))
+
+
+def test_junk_among_real_documents_goes(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r["doc_id"]: r["kept"] for r in Q.classify(docs, labels).collect()}
+    marks = labels.collect()
+    assert not any(got[r["doc_id"]] for r in marks if r["quality"] == 0)
+    assert np.mean([got[r["doc_id"]] for r in marks if r["quality"] == 1]) >= 0.97
