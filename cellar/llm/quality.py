@@ -322,7 +322,11 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
         scored = index.withColumn("n_symbols", F.lit(None).cast("long")).withColumn("perplexity", F.lit(None).cast("double"))
     else:
         scores = written(score(texts, model), "scores")
-        scored = written(index.join(scores, ["id", "print"], "left"), "scored")
+        # scores add up all rows of one id and text
+        rows = index.groupBy("id", "print").agg(F.count(F.lit(1)).alias("rows"))
+        once = rows.join(scores, ["id", "print"]).select(
+            "id", "print", F.expr("n_symbols div rows").alias("n_symbols"), "perplexity")
+        scored = written(index.join(once, ["id", "print"], "left"), "scored")
     held = scored.join(trusted.filter(fold == 0), "id", "left_semi").filter("perplexity is not null")
     cuts, (middle, distance) = thresholds(held)
     own = cuts.withColumnRenamed("lang", "of")

@@ -135,3 +135,11 @@ def test_junk_among_real_documents_goes(spark):
     marks = labels.collect()
     assert not any(got[r["doc_id"]] for r in marks if r["quality"] == 0)
     assert np.mean([got[r["doc_id"]] for r in marks if r["quality"] == 1]) >= 0.97
+
+
+def test_repeated_rows_have_their_own_symbols(spark):
+    texts = [prose(40, i) for i in range(40)]
+    rows = rows_of(texts) + rows_of(texts)[:3] * 2 + [(None, texts[5], "en", "a", 1, *["x"] * 8)] * 2
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")
+    for r in Q.classify(frame(spark, rows), labels).collect():
+        assert r["n_symbols"] == len(texts[5 if r["doc_id"] is None else r["doc_id"]]) + 1
