@@ -12,6 +12,9 @@ The join finds every such pair:
 * positional filter: what follows the common word on both sides suffices;
 * candidates are verified by the intersection of both sets.
 
+Templates that differ by one word hold each other's words: :func:`notices` keeps a
+match only if its block also has the template's ``TELLING`` words, in order.
+
 Words that no template has can't match and are left out before the join; documents
 without any prefix word are left out before their blocks are made. What is
 broadcast is the table of templates, a constant.
@@ -59,6 +62,24 @@ TEMPLATES = {
     "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
 }
 
+#: What a notice of the label must have, whatever else it holds of the template (patterns over
+#: the block's words, each between single blanks).
+TELLING = {
+    "agpl-3.0": "(?s)(?=.* gnu affero general public license )(?=.* (v|version )3 )",
+    "all-rights-reserved": " all rights reserved ",
+    "apache-2.0": "(?s)(?=.* apache license )(?=.* v?2 0 )",
+    "bsd": " source and binary forms ",
+    "cc-by-4.0": " creative commons attribution (version )?v?4 0 ",
+    "cc-by-nc-4.0": " cc by nc (version )?v?4 0 ",
+    "cc-by-sa-4.0": " cc by sa (version )?v?4 0 ",
+    "cc0-1.0": " waived all copyright ",
+    "gpl-3.0": "(?s)(?=.* gnu general public license )(?=.* (v|version )3 )",
+    "isc": " permission to use copy modify ",
+    "mit": " mit license ",
+    "mit-grant": " hereby granted free of charge ",
+    "mpl-2.0": " mozilla public license ",
+}
+
 
 def lowered(text: Column) -> Column:
     """A-Z in lower case, nothing else changed."""
@@ -85,8 +106,11 @@ def word_order(texts: DataFrame, vocabulary: list[str]) -> list[str]:
 
 
 def template_matches(texts: DataFrame, templates: dict[str, str] | None = None,
-                     containment: float = CONTAINMENT) -> DataFrame:
-    """(id, print, block, label, containment) of every block of ``texts`` (id, print, text) that matches a template."""
+                     containment: float = CONTAINMENT, telling: dict[str, str] | None = None) -> DataFrame:
+    """(id, print, block, label, containment) of every block of ``texts`` (id, print, text) that matches a template.
+
+    ``telling``: patterns that a block's words must match for a label besides.
+    """
     spark = texts.sparkSession
     sets = template_sets(templates)
     vocabulary = sorted(set().union(*sets.values()))
@@ -104,9 +128,10 @@ def template_matches(texts: DataFrame, templates: dict[str, str] | None = None,
     held = texts.withColumn("all_words", words_of(F.col("text"))).filter(
         F.arrays_overlap("all_words", _strings(prefix_words)))
     blocks = held.select("id", "print", F.posexplode(F.split("text", BLOCK_END)).alias("block", "part"))
+    carried = ["part"] if telling else []
     blocks = blocks.withColumn("held", F.array_intersect(F.array_distinct(words_of(F.col("part"))), _strings(order)))
     blocks = blocks.filter(F.size("held") >= least).select(
-        "id", "print", "block",
+        "id", "print", "block", *carried,
         F.sort_array(F.transform("held", lambda w: (F.array_position(_strings(order), w) - 1).cast("int"))).alias("own"))
     size = F.size("own")
     probes = blocks.select("*", F.posexplode(F.slice("own", 1, size - least + 1)).alias("at_b", "rank"))
@@ -114,7 +139,13 @@ def template_matches(texts: DataFrame, templates: dict[str, str] | None = None,
         (size >= F.col("need")) & (F.col("at_b") <= size - F.col("need"))
         & (F.least(size - F.col("at_b"), F.size("ranks") - F.col("at_t")) >= F.col("need")))
     common = F.size(F.array_intersect("own", "ranks"))
-    return (pairs.filter(common >= F.col("need"))
+    pairs = pairs.filter(common >= F.col("need"))
+    if telling:
+        joined = F.concat(F.lit(" "), F.array_join(words_of(F.col("part")), " "), F.lit(" "))
+        asked = F.create_map(*[F.lit(x) for pair in telling.items() for x in pair])
+        pattern = F.coalesce(F.try_element_at(asked, F.col("label")), F.lit(""))
+        pairs = pairs.filter(F.regexp_like(joined, pattern))
+    return (pairs
             .select("id", "print", "block", "label", (common / F.size("ranks")).alias("containment")).distinct())
 
 
@@ -132,12 +163,18 @@ def phrase_places(words: Column, joined: Column, phrase: str) -> Column:
     return F.when(F.contains(joined, F.lit(f" {phrase} ")), found).otherwise(F.array().cast("array<int>"))
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT) -> DataFrame:
+def notices(docs: DataFrame) -> DataFrame:
+    """:func:`scan` for the licences that a text names: what one template shares with another isn't enough."""
+    return scan(docs, telling=TELLING)
+
+
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT,
+         telling: dict[str, str] | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     prepare(docs.sparkSession)
     text = text_of(docs)
     texts = docs.select(docs["doc_id"].cast("long").alias("id"), F.xxhash64(text).alias("print"), text.alias("text"))
-    matches = template_matches(texts, templates, containment)
+    matches = template_matches(texts, templates, containment, telling)
     found = written(matches.groupBy("id", "print").agg(F.collect_set("label").alias("more"),
                                                        F.max("containment").alias("score")), "licenses")
     base = texts.select("id", "print", words_of(F.col("text")).alias("words"))

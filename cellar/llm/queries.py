@@ -41,7 +41,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(read_table(spark, sf_dir, "documents"))
+    return licenses.notices(read_table(spark, sf_dir, "documents"))
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,3 +78,31 @@ def test_prefix_join_finds_every_pair(spark):
         want = {(i, label) for i, t in enumerate(texts) for label, s in templates.items()
                 if len(set(t.split()) & set(s.split())) >= max(1, math.ceil(c * len(set(s.split())) - 1e-9))}
         assert got == want
+
+
+def named(spark, texts):
+    out = {r["doc_id"]: r for r in L.notices(frame(spark, rows_of(texts))).collect()}
+    base = set(L.PHRASES.values())
+    return [set(out[i]["labels"].split(",")) - base - {""} for i in range(len(texts))], [out[i]["score"] for i in range(len(texts))]
+
+
+def test_templates_that_differ_by_a_word(spark):
+    cases = {L.TEMPLATES[label]: {label} for label in L.TEMPLATES}
+    cases |= {"Licensed under CC BY 4.0.": set(), "Licensed under CC BY-NC 4.0.": {"cc-by-nc-4.0"}, "Licensed under CC BY-SA 4.0.": {"cc-by-sa-4.0"},
+              "Licensed under CC BY-SA v4.0.": {"cc-by-sa-4.0"}, "Licensed under CC BY-SA 3.0.": set(),
+              "Released under the BSD license.": set(), "Released under the Apache License.": set(), "Released under the MIT License.": {"mit"},
+              "This work is licensed under the GNU General Public License, version 3.": {"gpl-3.0"},
+              "This work is licensed under the GNU General Public License, version 2.": set(),
+              "Licensed under the GNU Affero General Public License version 3": {"agpl-3.0"}}
+    got, score = named(spark, list(cases))
+    assert dict(zip(cases, got)) == cases
+    assert score[list(cases).index("Released under the BSD license.")] == 0
+
+
+def test_labels_are_those_named_in_real_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = {r["doc_id"]: r["labels"].split(",") for r in L.notices(docs).collect()}
+    for r in docs.collect():
+        text = " ".join(re.findall(L.WORDS, (r["text"] or "").translate(TR)))
+        for label, word in {"agpl-3.0": "affero", "cc-by-nc-4.0": "nc", "cc-by-sa-4.0": "sa", "mit": "mit"}.items():
+            assert label not in got[r["doc_id"]] or word in text.split()
