@@ -1,6 +1,6 @@
 """License scans: exact set-similarity join, in DataFrame functions only.
 
-Text blocks (sentences and lines) and license templates are sets of words. A block
+Text blocks (sentences and lines; sentences across lines for :func:`notices`) and license templates are sets of words. A block
 matches a template if it holds at least ``CONTAINMENT`` of the template's words.
 The join finds every such pair:
 
@@ -40,6 +40,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Blocks end at line breaks and at sentence ends.
 BLOCK_END = r"[\r\n]+|(?<=[.!?])[ \t]+"
+#: Blocks of :func:`notices` end at blank lines and at sentence ends: hard-wrapped notices stay whole, "v. 2.0" too.
+NOTICE_END = r"(?>\r\n|[\r\n])[ \t]*(?>\r\n|[\r\n])\s*|(?<=[.!?])\s+(?!\d)"
 CONTAINMENT = 0.8
 
 #: Base phrases and their labels.
@@ -77,7 +79,7 @@ TELLING = {
     "isc": " permission to use copy modify ",
     "mit": " mit license ",
     "mit-grant": " hereby granted free of charge ",
-    "mpl-2.0": " mozilla public license ",
+    "mpl-2.0": "(?s)(?=.* mozilla public license )(?=.* v?2 0 )",
 }
 
 
@@ -106,7 +108,8 @@ def word_order(texts: DataFrame, vocabulary: list[str]) -> list[str]:
 
 
 def template_matches(texts: DataFrame, templates: dict[str, str] | None = None,
-                     containment: float = CONTAINMENT, telling: dict[str, str] | None = None) -> DataFrame:
+                     containment: float = CONTAINMENT, telling: dict[str, str] | None = None,
+                     block_end: str = BLOCK_END) -> DataFrame:
     """(id, print, block, label, containment) of every block of ``texts`` (id, print, text) that matches a template.
 
     ``telling``: patterns that a block's words must match for a label besides.
@@ -127,7 +130,7 @@ def template_matches(texts: DataFrame, templates: dict[str, str] | None = None,
 
     held = texts.withColumn("all_words", words_of(F.col("text"))).filter(
         F.arrays_overlap("all_words", _strings(prefix_words)))
-    blocks = held.select("id", "print", F.posexplode(F.split("text", BLOCK_END)).alias("block", "part"))
+    blocks = held.select("id", "print", F.posexplode(F.split("text", block_end)).alias("block", "part"))
     carried = ["part"] if telling else []
     blocks = blocks.withColumn("held", F.array_intersect(F.array_distinct(words_of(F.col("part"))), _strings(order)))
     blocks = blocks.filter(F.size("held") >= least).select(
@@ -165,16 +168,16 @@ def phrase_places(words: Column, joined: Column, phrase: str) -> Column:
 
 def notices(docs: DataFrame) -> DataFrame:
     """:func:`scan` for the licences that a text names: what one template shares with another isn't enough."""
-    return scan(docs, telling=TELLING)
+    return scan(docs, telling=TELLING, block_end=NOTICE_END)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT,
-         telling: dict[str, str] | None = None) -> DataFrame:
+         telling: dict[str, str] | None = None, block_end: str = BLOCK_END) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     prepare(docs.sparkSession)
     text = text_of(docs)
     texts = docs.select(docs["doc_id"].cast("long").alias("id"), F.xxhash64(text).alias("print"), text.alias("text"))
-    matches = template_matches(texts, templates, containment, telling)
+    matches = template_matches(texts, templates, containment, telling, block_end)
     found = written(matches.groupBy("id", "print").agg(F.collect_set("label").alias("more"),
                                                        F.max("containment").alias("score")), "licenses")
     base = texts.select("id", "print", words_of(F.col("text")).alias("words"))

@@ -106,3 +106,15 @@ def test_labels_are_those_named_in_real_documents(spark):
         text = " ".join(re.findall(L.WORDS, (r["text"] or "").translate(TR)))
         for label, word in {"agpl-3.0": "affero", "cc-by-nc-4.0": "nc", "cc-by-sa-4.0": "sa", "mit": "mit"}.items():
             assert label not in got[r["doc_id"]] or word in text.split()
+
+
+def test_notices_wrapped_at_line_ends(spark):
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. {}. If a copy of the MPL was not"
+    cases = {"Redistribution and use in source and binary forms, with or without\nmodification, are permitted": {"bsd"},
+             mpl.format("2.0"): {"mpl-2.0"}, mpl.format("1.1"): set(),
+             "# Licensed under the Apache\r\n# License, Version 2.0": {"apache-2.0"},
+             "Permission to use, copy, modify, and/or distribute this\nsoftware for any purpose with or without fee\nis hereby granted": {"isc"},
+             "Licensed under the Apache\r\n\r\nLicense, Version 2.0": set(),
+             **{t.replace(" ", "\n"): {label} for label, t in L.TEMPLATES.items()}}
+    got, _ = named(spark, list(cases))
+    assert dict(zip(cases, got)) == cases
