@@ -18,12 +18,12 @@ word up once.
 Training uses a sample, bounded by ``MAX_POSITIVE`` and ``MAX_UNLABELLED``
 documents of at most ``MAX_CHARS`` characters, taken by hash of doc_id from rows
 that aren't held out; features are made on the executors. The class prior is the
-share of toxic rows among the labelled ones of U. Of near copies in P or U one is used. Scoring covers
+share of toxic ids among all labelled ones that aren't held out, in the sample or not. Of near copies in P or U one is used. Scoring covers
 every whole text, in Arrow batches.
 
 Defined results: an empty or null text has the score of the bias alone; rows
 are scored one by one, so repeated rows agree; a null doc_id is not held out and
-has no label; without toxic examples every score is 0; an empty table gives an
+has no label; without toxic examples or unlabelled text every score is 0; an empty table gives an
 empty result. Labels, lang, source and doc_id are never part of a score.
 """
 
@@ -218,23 +218,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(fold == HELD_FOLD, F.lit(False))
 
 
-def _collected(texts: DataFrame) -> tuple[Examples, list[int | None]]:
-    """A bounded sample's features, made on the executors, and its labels; one of each group of copies."""
+def _collected(texts: DataFrame) -> Examples:
+    """A bounded sample's features, made on the executors; one of each group of copies."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words(word_features)
         for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "toxic": pdf["toxic"].astype("Int64"),
+            yield pd.DataFrame({"id": pdf["id"],
                                 "packed": [zlib.compress(_features(words, t).tobytes(), 1) for t in pdf["text"]]})
 
-    rows = texts.select("id", "toxic", "text").mapInPandas(run, "id long, toxic long, packed binary").collect()
+    rows = texts.select("id", "text").mapInPandas(run, "id long, packed binary").collect()
     rows.sort(key=lambda r: (r["id"], bytes(r["packed"])))
     found = [np.frombuffer(zlib.decompress(r["packed"]), dtype=np.int32) for r in rows]
-    one = without_copies(found)
-    return Examples([found[i] for i in one]), [rows[i]["toxic"] for i in one]
+    return Examples([found[i] for i in without_copies(found)])
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """A model from rows that aren't held out; None without toxic examples."""
+    """A model from rows that aren't held out; None without toxic examples or unlabelled text."""
     texts = docs.select(docs["doc_id"].cast("long").alias("id"), text_of(docs).alias("text"))
     texts = texts.filter(~held_out(F.col("id")) & (F.length("text") <= MAX_CHARS))
     marks = labels.select(labels["doc_id"].cast("long").alias("id"), labels["toxic"].cast("long").alias("toxic"))
@@ -242,18 +241,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
                     .groupBy("id").agg(F.max("toxic").alias("toxic")), "marks")
     # samples by a hash of the id; what is broadcast has MAX_POSITIVE or MAX_UNLABELLED rows at most
     toxic_ids = marks.filter("toxic = 1").orderBy(F.xxhash64("id"), "id").limit(MAX_POSITIVE)
-    positive, _ = _collected(texts.join(F.broadcast(toxic_ids), "id"))
+    positive = _collected(texts.join(F.broadcast(toxic_ids), "id"))
     share = min(1.0, 2.0 * MAX_UNLABELLED / max(1, docs.count()))
     some = docs.select(docs["doc_id"].cast("long").alias("id")).filter(
         F.col("id").isNotNull() & ~held_out(F.col("id"))
         & (F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20))))
     any_ids = some.distinct().orderBy(F.xxhash64("id", F.lit(6)), "id").limit(MAX_UNLABELLED)
-    any_ids = written(any_ids.join(marks, "id", "left"), "unlabelled")
-    unlabelled, known = _collected(texts.join(F.broadcast(any_ids), "id"))
-    known = [k for k in known if k is not None]
-    if not len(positive) or not len(unlabelled) or not known:
+    unlabelled = _collected(texts.join(F.broadcast(written(any_ids, "unlabelled")), "id"))
+    if not len(positive) or not len(unlabelled):
         return None
-    return train(positive, unlabelled, min(0.9, max(0.001, sum(k == 1 for k in known) / len(known))))
+    prior = marks.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
+    return train(positive, unlabelled, min(0.9, max(0.001, prior)))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

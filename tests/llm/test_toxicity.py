@@ -66,3 +66,16 @@ def test_no_toxic_examples_and_empty_table(spark):
 def test_cut_is_between_separated_outputs():
     cut = T.best_cut(np.array([5.0, 6.0, 7.0]), np.array([-3.0] * 9 + [6.0]), 0.1)
     assert -3 < cut < 5
+
+
+def test_prior_is_of_all_labels(spark, monkeypatch):
+    """Labels that the sample of unlabelled text doesn't hit count all the same."""
+    rows, labels = corpus(300)
+    free = [(i, t) for i, t in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+    few = [x for x in free if x[1]][:3] + [x for x in free if not x[1]][:9]
+    priors = []
+    monkeypatch.setattr(T, "MAX_UNLABELLED", 4)
+    monkeypatch.setattr(T, "train", lambda positive, unlabelled, prior: priors.append(prior))
+    for some in (few, free):
+        T.fit(frame(spark, rows), spark.createDataFrame(some, "doc_id long, toxic int"))
+    assert priors == [0.25, sum(t for _, t in free) / len(free)]
