@@ -1,11 +1,10 @@
 """Quality classifier: interpolated modified Kneser-Ney n-gram model of trusted text.
 
 The model counts character 4-grams (a character is a UTF-16 code unit, so an
-n-gram is one 64-bit integer: a word model's n-grams of this corpus would be
-mostly singletons, and moving them would take several times the input). All
+n-gram is one 64-bit integer; a model of words has not been measured). All
 trusted texts are counted, except one fold that sets the thresholds. Every table of the
 model - counts, continuation counts, discounted probabilities, back-off weights -
-is a DataFrame keyed by n-gram or context, and grows with the corpus.
+is a DataFrame keyed by n-gram or context, whatever its size.
 
 Scoring joins counts with the model, shard by shard. Tasks send each shard, for a
 chunk of documents, the chunk's distinct n-grams and each document's counts of
