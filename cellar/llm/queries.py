@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellar.llm import exact_dedup, licenses, mixing, near_dedup, pieces, quality, secrets, syncmers, toxicity, warc
+from cellar.llm import (exact_dedup, filter_audit, licenses, mixing, near_dedup, pieces, quality, secrets, syncmers,
+                        toxicity, warc)
 from cellar.llm._common import prepare, read_table
 from cellar.session import shared_path
 
@@ -64,6 +65,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports the operators of this subpackage
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -101,6 +107,39 @@ ORACLES: dict[str, str] = {
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.t) AS text_sha256
         FROM d JOIN g ON d.t = g.t""",
+    # each order applied to each mask of failed filters, counted
+    "op12_filter_audit": r"""
+        WITH RECURSIVE t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+                     min(doc_id) OVER (PARTITION BY t) AS first_id FROM t),
+        d AS (SELECT doc_id, part,
+                     CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+                     || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+                     || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) THEN 'C' ELSE '' END
+                     || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+                     || CASE WHEN first_id < coalesce(doc_id, 9223372036854775807) THEN 'E' ELSE '' END AS fails
+              FROM w),
+        c AS (SELECT part, fails, count(*) AS n,
+                     count(*) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL)) AS good,
+                     count(*) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)) AS toxic
+              FROM d GROUP BY part, fails),
+        o(filter_order) AS (
+            SELECT '' UNION ALL
+            SELECT filter_order || f FROM o, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS v(f)
+            WHERE length(filter_order) < 5 AND NOT contains(filter_order, f)),
+        s AS (SELECT filter_order, step::INTEGER AS step, filter_order[step] AS f, filter_order[1:step - 1] AS before
+              FROM o, range(1, 6) AS r(step) WHERE length(filter_order) = 5),
+        x AS (SELECT part, filter_order, step, f,
+                     coalesce(sum(n) FILTER (translate(fails, before || f, '') = fails), 0)::BIGINT AS kept,
+                     coalesce(sum(n) FILTER (translate(fails, before, '') = fails AND contains(fails, f)), 0)::BIGINT AS removed,
+                     coalesce(sum(n) FILTER (translate(fails, before, '') <> fails AND contains(fails, f)), 0)::BIGINT AS redundant,
+                     coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails,
+                     coalesce(sum(good) FILTER (translate(fails, before, '') = fails AND contains(fails, f)), 0)::BIGINT AS good_lost,
+                     coalesce(sum(toxic) FILTER (translate(fails, before, '') = fails AND contains(fails, f)), 0)::BIGINT AS toxic_lost
+              FROM c, s GROUP BY part, filter_order, step, f)
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+        FROM x""",
 }
 
 
