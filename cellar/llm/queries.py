@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cellar.llm import (exact_dedup, filter_audit, licenses, mixing, near_dedup, pieces, quality, secrets, syncmers,
-                        toxicity, warc)
+                        toxicity, vector_codes, warc)
 from cellar.llm._common import prepare, read_table
 from cellar.session import shared_path
 
@@ -69,6 +69,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports the operators of this subpackage
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, QueryFn] = {
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
     "op12_filter_audit": op12_filter_audit,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES: dict[str, str] = {
