@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellar.llm import (exact_dedup, filter_audit, licenses, mixing, near_dedup, pieces, quality, secrets, syncmers,
-                        toxicity, vector_codes, warc)
+from cellar.llm import (exact_dedup, filter_audit, licenses, mixing, near_dedup, pieces, quality, secrets, simhash,
+                        syncmers, toxicity, vector_codes, warc)
 from cellar.llm._common import prepare, read_table
 from cellar.session import shared_path
 
@@ -65,6 +65,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -92,6 +96,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_quality": op9_quality,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_simhash": op11_simhash,
     "op12_filter_audit": op12_filter_audit,
     "op13_vector_codes": op13_vector_codes,
 }
