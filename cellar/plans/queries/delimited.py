@@ -91,12 +91,12 @@ def csv_backslash(spark, sf):
     path = FX.ensure_text(spark, sf, "csv_backslash", _lines(
         lambda: F.concat(_k(), F.lit(',"\\u0041'), F.replace("p_name", F.lit(" "), F.lit("\\t")), F.lit('\\""'))))
     return D.read_delimited(spark, path, D.DelimitedOptions(escape_mode="backslash"),
-                            schema="p_partkey long, n string", numeric_escapes=True)
+                            schema="p_partkey long, n string")
 
 
 @register("csv_backslash_letters", """SELECT p_partkey, replace(p_name, ' ', chr(9)) || chr(10) || '\\' AS n FROM part""")
 def csv_backslash_letters(spark, sf):
-    """S6.4, letters only: decoded by JVM expressions (no Python stage)."""
+    """S6.4: letters and a backslash at the end of a value."""
     from cellar.sources import delimited as D
     path = FX.ensure_text(spark, sf, "csv_backslash_letters", _lines(
         lambda: F.concat(_k(), F.lit(',"'), F.replace("p_name", F.lit(" "), F.lit("\\t")), F.lit('\\n\\\\"'))))
@@ -229,11 +229,10 @@ def csv_trailing_junk(spark, sf):
 
 @register("csv_trailing_junk_parsed", "SELECT p_partkey, p_brand AS b, p_size FROM part")
 def csv_trailing_junk_parsed(spark, sf):
-    """S6.15 (D2) on Spark-parsed values, with the opt-in fix-up."""
+    """S6.15 (D2) in typed columns."""
     from cellar.sources import delimited as D
     path = FX.ensure_text(spark, sf, "csv_junk", _lines(_junk_lines))
-    return D.read_delimited(spark, path, D.DelimitedOptions(drop_trailing_junk=True),
-                            schema="p_partkey long, b string, p_size int")
+    return D.read_delimited(spark, path, schema="p_partkey long, b string, p_size int")
 
 
 _QUOTED = {"escape": '"', "quoteAll": "true", "encoding": "UTF-8"}
@@ -318,3 +317,75 @@ def csv_skip_lines(spark, sf):
     from cellar.sources import delimited as D
     path = FX.ensure_text(spark, sf, "csv_comments_ordered", _COMMENT_LINES, order="p_partkey")
     return D.skip_lines(spark, path, [0, 1, 2]).select("line_number", "value")
+
+
+def _two_lines():
+    """A value that holds a line break for some parts."""
+    return F.when(F.col("p_size") > 45, F.replace("p_type", F.lit(" "), F.lit("\n"))).otherwise(F.col("p_type"))
+
+
+_TWO_LINES_SQL = "CASE WHEN p_size > 45 THEN replace(p_type, ' ', chr(10)) ELSE p_type END"
+
+
+@register("csv_plain_qualifier", f"""SELECT p_partkey, CAST(p_size AS VARCHAR) || '" pipe' AS d, {_TWO_LINES_SQL} AS t FROM part""")
+def csv_plain_qualifier(spark, sf):
+    """S6.2 + S6.9: a qualifier inside an unqualified value opens nothing, next to values that span lines."""
+    from cellar.sources import delimited as D
+    path = FX.ensure_text(spark, sf, "csv_plain_qualifier", _lines(lambda: F.concat(
+        _k(), F.lit(","), F.col("p_size").cast("string"), F.lit('" pipe,"'), _two_lines(), F.lit('"'))))
+    return D.read_delimited(spark, path, D.DelimitedOptions(multiline=True), schema="p_partkey long, d string, t string")
+
+
+@register("csv_comment_qualifier", f"""SELECT p_partkey, {_TWO_LINES_SQL} || chr(10) || '#not a comment' AS t
+        FROM part WHERE p_size <= 40 OR p_size > 45""")
+def csv_comment_qualifier(spark, sf):
+    """S6.5 + S6.9: comments (blanks before them too) that hold a qualifier, and a value with a line like one."""
+    from cellar.sources import delimited as D
+    path = FX.ensure_text(spark, sf, "csv_comment_qualifier", _lines(lambda: F.when(
+        F.col("p_size").between(41, 45), F.concat(F.lit(' # it"s '), _k(), F.lit(",1")))
+        .otherwise(F.concat(_k(), F.lit(',"'), _two_lines(), F.lit('\n#not a comment"')))))
+    return D.read_delimited(spark, path, D.DelimitedOptions(multiline=True, use_comments=True),
+                            schema="p_partkey long, t string")
+
+
+@register("csv_line_breaks", """SELECT CAST(p_partkey AS VARCHAR) || ',"' || t || '"' AS raw, t FROM (
+        SELECT p_partkey, p_brand || chr(13) || chr(10) || p_type || chr(13) || p_name || chr(10) AS t FROM part)""")
+def csv_line_breaks(spark, sf):
+    """S6.9: raw records and values keep their line breaks as written (CR LF, CR, LF)."""
+    from cellar.sources import delimited as D
+    path = FX.ensure_text(spark, sf, "csv_line_breaks", _lines(lambda: F.concat(
+        _k(), F.lit(',"'), F.col("p_brand"), F.lit("\r\n"), F.col("p_type"), F.lit("\r"), F.col("p_name"), F.lit('\n"'))))
+    recs = D.read_records(spark, path, multiline_raw=True)
+    return recs.select("raw", D.value_at("values", 1).alias("t"))
+
+
+@register("csv_leading_blank", """SELECT CAST(p_partkey AS VARCHAR) AS key, ' "' || p_brand AS b, p_type || '"' AS t,
+        CAST(3 AS INTEGER) AS n, false AS q FROM part""")
+def csv_leading_blank(spark, sf):
+    """S6.6 off: a blank before a qualifier starts an unqualified value (S6.12, S6.14 agree)."""
+    from cellar.sources import delimited as D
+    path = FX.ensure_text(spark, sf, "csv_leading_blank", _lines(lambda: F.concat(
+        _k(), F.lit(', "'), F.col("p_brand"), F.lit(","), F.col("p_type"), F.lit('"'))))
+    o = D.DelimitedOptions(trim_whitespace=False)
+    recs = D.read_records(spark, path, o)
+    return recs.select(D.value_at("values", 0).alias("key"), D.value_at("values", 1).alias("b"), D.value_at("values", 2).alias("t"),
+                       D.column_count("raw", o).alias("n"), F.element_at(D.qualified_flags("raw", o), 2).alias("q"))
+
+
+@register("csv_blank_records", """SELECT CAST(p_partkey AS VARCHAR) AS k, p_brand AS b FROM part
+        UNION ALL SELECT '' AS k, '' AS b FROM part""")
+def csv_blank_records(spark, sf):
+    """S6.8: a record of blanks is a record of one empty value, an empty line is none."""
+    from cellar.sources import delimited as D
+    path = FX.ensure_text(spark, sf, "csv_blank_records", _lines(
+        lambda: F.concat(F.concat_ws(",", _k(), F.col("p_brand")), F.lit("\n \t\n"))))
+    return D.read_delimited(spark, path, schema="k string, b string")
+
+
+@register("csv_backslash_numbers", """SELECT p_partkey, 'ABCDE' || chr(233) || chr(128512) || p_brand || chr(9) AS n FROM part""")
+def csv_backslash_numbers(spark, sf):
+    """S6.4: hexadecimal, octal, decimal and surrogate escapes next to letters, without a switch."""
+    from cellar.sources import delimited as D
+    path = FX.ensure_text(spark, sf, "csv_backslash_numbers", _lines(lambda: F.concat(
+        _k(), F.lit(r',"\u0041\x42\d067\o104\105\xe9\uD83D\uDE00'), F.col("p_brand"), F.lit(r'\t"'))))
+    return D.read_delimited(spark, path, D.DelimitedOptions(escape_mode="backslash"), schema="p_partkey long, n string")
