@@ -14,6 +14,7 @@ forwarder itself is tested on a file stream.
 
 from __future__ import annotations
 
+import ast
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -24,12 +25,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cellar.functions.scalar import message_text
 from cellar.operators.aggregate import offset_ranges
+from cellar.sources.message_log import MESSAGE_SCHEMA, read_message_log
 
-MESSAGE_SCHEMA = T.StructType([
-    T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()), T.StructField("key", T.StringType()),
-    T.StructField("value", T.StringType()),
-])
 # Fixed values of the source job: batch interval, fetch size limit (bytes).
 BATCH_INTERVAL = "5 seconds"
 FETCH_MAX_BYTES = 10_485_760
@@ -107,25 +104,44 @@ def forward_messages(messages: DataFrame) -> DataFrame:
     return messages.select(F.col("key"), message_text("key", "value").alias("value"))
 
 
-def forward_batch(sink: Sink, report: Sink | None = None) -> Callable[[DataFrame, int], None]:
-    """The function run on each micro-batch - report offsets (T5), then forward."""
+def gap_report(messages: DataFrame) -> DataFrame:
+    """T5 with gaps: ``topic, partition, from_offset, until_offset, messages, missing`` - the offsets of a
+    range that no message has (expired, compacted or never written). Repeated messages count once."""
+    once = messages.groupBy("topic", "partition", "offset").agg(F.lit(1).alias("one"))
+    ranges = once.groupBy("topic", "partition").agg(
+        F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"), F.count("one").alias("messages"))
+    return ranges.withColumn("missing", F.col("until_offset") - F.col("from_offset") - F.col("messages"))
+
+
+def forward_batch(sink: Sink, report: Sink | None = None,
+                  report_of: Callable[[DataFrame], DataFrame] = offset_ranges,
+                  positions: Callable[[DataFrame], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """The function run on each micro-batch - report offsets (T5), then forward (T6), then save positions (T4).
+
+    ``report_of``: what is reported of a batch, :func:`gap_report` for instance. ``positions``:
+    saves a batch's positions outside the checkpoint (``message_log.save_positions``).
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
         # the batch feeds two writes: keep it so the source is read once per batch
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if report is not None:
-                report(offset_ranges(batch).withColumn("batch_id", F.lit(batch_id)), batch_id)
+                report(report_of(batch).withColumn("batch_id", F.lit(batch_id)), batch_id)
             sink(forward_messages(batch), batch_id)
+            if positions is not None:
+                positions(batch)
         finally:
             batch.unpersist()
     return run
 
 
 def start_forwarder(messages: DataFrame, sink: Sink, checkpoint_location: str, report: Sink | None = None,
-                    trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
+                    trigger: dict | None = None, query_name: str | None = None,
+                    report_of: Callable[[DataFrame], DataFrame] = offset_ranges,
+                    positions: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
     """Start the forwarding query. ``trigger`` defaults to a 5-second micro-batch;
     ``{'availableNow': True}`` drains what is there and stops (tests, backfills)."""
-    writer = (messages.writeStream.foreachBatch(forward_batch(sink, report))
+    writer = (messages.writeStream.foreachBatch(forward_batch(sink, report, report_of, positions))
               .option("checkpointLocation", checkpoint_location)
               .trigger(**(trigger or {"processingTime": BATCH_INTERVAL})))
     if query_name:
@@ -133,16 +149,26 @@ def start_forwarder(messages: DataFrame, sink: Sink, checkpoint_location: str, r
     return writer.start()
 
 
+def _positions(offset):
+    """A source's position as a dict where it is one (a Python data source reports it as text)."""
+    if not isinstance(offset, str):
+        return offset
+    try:
+        return ast.literal_eval(offset)
+    except (ValueError, SyntaxError):
+        return None
+
+
 def progress_offsets(progress: list[dict] | dict) -> list[tuple[int, str, int, int, int]]:
     """T5 from the query's own bookkeeping: ``(batch_id, topic, partition, from_offset, until_offset)``
     for each batch in ``query.recentProgress`` (or one ``lastProgress``), read from the Kafka
-    source's start and end offsets - the exact fetched ranges, gaps included."""
+    or message log source's start and end offsets - the exact fetched ranges, gaps included."""
     out = []
     for p in ([progress] if isinstance(progress, dict) else progress):
         for src in p.get("sources", []):
-            start, end = src.get("startOffset"), src.get("endOffset")
+            start, end = (_positions(src.get(name)) for name in ("startOffset", "endOffset"))
             if not isinstance(end, dict) or not all(isinstance(v, dict) for v in end.values()):
-                continue   # not a Kafka source (file sources report a log position)
+                continue   # file sources report a log position
             for topic, parts in end.items():
                 for part, until in parts.items():
                     frm = (start or {}).get(topic, {}).get(part, until) if isinstance(start, dict) else until
@@ -151,5 +177,5 @@ def progress_offsets(progress: list[dict] | dict) -> list[tuple[int, str, int, i
 
 
 __all__ = ["MESSAGE_SCHEMA", "BATCH_INTERVAL", "FETCH_MAX_BYTES", "kafka_source_options", "read_kafka",
-           "read_message_files", "kafka_records", "kafka_sink_options", "kafka_sink", "folder_sink",
+           "read_message_files", "read_message_log", "gap_report", "kafka_records", "kafka_sink_options", "kafka_sink", "folder_sink",
            "forward_messages", "forward_batch", "start_forwarder", "progress_offsets"]
