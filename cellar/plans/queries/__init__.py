@@ -23,6 +23,7 @@ from cellar.plans.queries import user_code  # noqa: F401
 from cellar.plans.queries import streams  # noqa: F401
 from cellar.plans.queries import delimited  # noqa: F401
 from cellar.plans.queries import hot_keys  # noqa: F401
+from cellar.plans.queries import ranged  # noqa: F401
 from cellar.plans.queries._common import ORACLES, QUERIES, QueryFn
 from cellar.session import ship_code
 

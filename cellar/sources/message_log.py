@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from cellar.session import file_system
+from cellar.sources._store import open_store
 
 FORMAT = "message_log"
 #: The columns of a message.
@@ -113,11 +114,7 @@ class Log:
     """The files of a log, as far as index entries list them."""
 
     def __init__(self, path: str):
-        from pyarrow import fs
-        if "://" in path or path.startswith("file:"):
-            self.fs, self.root = fs.FileSystem.from_uri(path if "://" in path else "file://" + path[5:])
-        else:
-            self.fs, self.root = fs.LocalFileSystem(), path
+        self.fs, self.root = open_store(path)
         self._known: dict[str, list[Segment]] = {}
 
     def at(self, *names: str) -> str:
