@@ -6,6 +6,8 @@ whole-stage codegen; none of them calls Python per row.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -109,28 +111,79 @@ def _epoch_ntz() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
-def parse_epoch_millis(text, fmt: str = DEFAULT_DATE_FORMAT) -> Column:
+def parse_epoch_millis(text, fmt: str = DEFAULT_DATE_FORMAT, lenient: bool = False) -> Column:
     """Date text -> epoch milliseconds, read as UTC wall time; NULL when it does not parse.
 
+    ``lenient=True`` reads as the JVM's old date format does: see :func:`lenient_epoch_millis`.
+
     The text gets an explicit UTC offset before it is parsed, so the session's time
     zone (and its daylight-saving gaps) has no part in the value.
     """
+    if lenient:
+        return lenient_epoch_millis(text, fmt)
     return F.unix_millis(F.try_to_timestamp(F.concat(as_col(text), F.lit(" +00:00")), F.lit(f"{fmt} XXX")))
 
 
+# Pattern letters of the lenient reader and the digits a field of each may have.
+_DATE_FIELDS = {"y": 6, "M": 6, "d": 8, "H": 8, "m": 8, "s": 8, "S": 8}
+
+
+def lenient_epoch_millis(text, fmt: str = DEFAULT_DATE_FORMAT) -> Column:
+    """Date text -> epoch milliseconds by fields that roll over: day 30 of February is in March, month 13 in
+    the next year, hour 25 on the next day.
+
+    Numbers may have fewer or more digits than the pattern (but for fields that follow each other
+    without a separator), blanks may stand before them, and what follows the last field is ignored.
+    ``fmt`` may hold the letters y, M, d, H, m, s and S and text in between; the calendar is the
+    proleptic Gregorian one, in UTC. NULL when the text doesn't begin like that.
+    """
+    parts = [(m.group(0)[0], len(m.group(0))) if m.group(0)[0].isalpha() else (m.group(0), 0)
+             for m in re.finditer(r"([A-Za-z])\1*|[^A-Za-z]", fmt)]
+    names = [p for p, n in parts if n]
+    if set(names) - _DATE_FIELDS.keys() or len(set(names)) != len(names):
+        raise ValueError(f"a lenient date pattern holds y, M, d, H, m, s and S once each, not {fmt!r}")
+    regex = "^"
+    for i, (part, n) in enumerate(parts):
+        next_is_field = i + 1 < len(parts) and parts[i + 1][1]
+        digits = (f"{{{n}}}" if next_is_field else f"{{1,{_DATE_FIELDS[part]}}}") if n else ""
+        regex += rf"[ \t]*(\d{digits})" if n else re.escape(part)
+    c = as_col(text)
+
+    def field(name: str, missing: int) -> Column:
+        if name not in names:
+            return F.lit(missing).cast("long")
+        return F.regexp_extract(c, regex, names.index(name) + 1).cast("long")
+
+    read = F.struct((field("y", 1970) * 12 + field("M", 1) - 3).alias("months"), field("d", 1).alias("d"),
+                    (((field("H", 0) * 60 + field("m", 0)) * 60 + field("s", 0)) * 1000 + field("S", 0)).alias("clock"))
+
+    def millis(r: Column) -> Column:
+        # years begin in March, so that a leap day is a year's last
+        year, month = _floor_div(r["months"], 12), F.pmod(r["months"], F.lit(12))
+        days = (year * 365 + _floor_div(year, 4) - _floor_div(year, 100) + _floor_div(year, 400)
+                + int_div(month * 153 + 2, 5) - 719469 + r["d"])
+        return days * MILLIS_PER_DAY + r["clock"]
+
+    return F.when(c.rlike(regex), F.get(F.transform(F.array(read), millis), 0))
+
+
+def _floor_div(num: Column, den: int) -> Column:
+    return int_div(num - F.pmod(num, F.lit(den)), den)
+
+
 def ts_epoch_millis(ts) -> Column:
     """Epoch milliseconds of a ``timestamp_ntz`` (or ``timestamp``) column, read as UTC wall time."""
     return F.timestamp_diff("MILLISECOND", _epoch_ntz(), as_col(ts).cast("timestamp_ntz"))
 
 
-def days_between(date_text, millis, fmt: str = DEFAULT_DATE_FORMAT) -> Column:
+def days_between(date_text, millis, fmt: str = DEFAULT_DATE_FORMAT, lenient: bool = False) -> Column:
     """Whole days from a date text to an epoch-ms value, toward zero; 0 on bad input."""
-    return days_between_millis(parse_epoch_millis(date_text, fmt), millis)
+    return days_between_millis(parse_epoch_millis(date_text, fmt, lenient), millis)
 
 
-def days_between_rev(date_text, millis, fmt: str = DEFAULT_DATE_FORMAT) -> Column:
+def days_between_rev(date_text, millis, fmt: str = DEFAULT_DATE_FORMAT, lenient: bool = False) -> Column:
     """As X6 with the operands swapped (date text minus epoch value)."""
-    return days_between_millis(millis, parse_epoch_millis(date_text, fmt))
+    return days_between_millis(millis, parse_epoch_millis(date_text, fmt, lenient))
 
 
 def days_between_millis(from_millis, to_millis) -> Column:
@@ -143,9 +196,9 @@ def days_between_millis(from_millis, to_millis) -> Column:
     return F.coalesce(int_div(diff, MILLIS_PER_DAY), F.lit(0)).cast("int")
 
 
-def unix_seconds_text(date_text, fmt: str = DEFAULT_DATE_FORMAT) -> Column:
+def unix_seconds_text(date_text, fmt: str = DEFAULT_DATE_FORMAT, lenient: bool = False) -> Column:
     """Date text -> epoch seconds as text, toward zero; ``''`` on bad input."""
-    secs = int_div(parse_epoch_millis(date_text, fmt), 1000)
+    secs = int_div(parse_epoch_millis(date_text, fmt, lenient), 1000)
     return F.coalesce(secs.cast("string"), F.lit(""))
 
 

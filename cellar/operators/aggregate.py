@@ -7,8 +7,8 @@
   :func:`gather_counts` is the compact exact form (value, count) of the same bag.
 * A2 is the consumed offset range per (topic, partition).
 * E4 is a caller's zero / add / merge aggregate run as map-side partials
-  (one accumulator per key and input partition) followed by a merge, the shape
-  of ``aggregateByKey``.
+  (one accumulator per key and input partition) followed by a sorted, streaming merge,
+  the shape of ``aggregateByKey``.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ from cellar.session import checkpoint_dir
 DEFAULT_CHUNK_SIZE = 10_000
 # Accumulators that a task holds before it hands them on.
 MOST_KEYS = 100_000
-# Most partials of one key a user-aggregate merge sees at once.
-DEFAULT_FAN_IN = 1024
+# Results of a batch that a merge task hands on.
+RESULT_ROWS = 10_000
 
 
 def gather_values(df: DataFrame, key: str, value: str, chunk_size: int = DEFAULT_CHUNK_SIZE,
@@ -88,63 +88,64 @@ def offset_ranges(messages: DataFrame, topic: str = "topic", partition: str = "p
 
 def aggregate_by_key(df: DataFrame, key: str, value: str, zero, seq_op: Callable, comb_op: Callable,
                      finish: Callable = str, result_type: T.DataType = T.StringType(),
-                     out: str = "result", fan_in: int = DEFAULT_FAN_IN, levels: int = 1,
-                     most_keys: int = MOST_KEYS) -> DataFrame:
+                     out: str = "result", most_keys: int = MOST_KEYS) -> DataFrame:
     """User aggregate with a zero value, an add (``seq_op``) and a merge (``comb_op``).
 
-    Phase 1 folds every input partition into one accumulator per key, and hands them on
-    when it holds ``most_keys`` of them. The partials are merged over ``levels`` levels
-    before the last merge, which applies ``finish``: level ``i`` of a key merges the partials of
-    input partitions with equal ``id mod fan_in**i`` - no merge sees more than ``fan_in``
-    partials of a key up to ``fan_in**(levels + 1)`` input partitions (a million by
-    default; raise ``levels`` beyond). Values and keys travel as Arrow and reach the callbacks as Python objects
-    of their own type (a long stays a long beside a NULL, a NULL is None).
-    Accumulators travel pickled.
+    Every input partition is folded into one accumulator per key, handed on when the task holds
+    ``most_keys`` of them. The partials go to their key's partition, sorted by key, and are merged as
+    they stream by: a task holds one accumulator and one Arrow batch, however many partials a key
+    has, and there is one shuffle. Values and keys travel as Arrow and reach the callbacks as
+    Python objects of their own type (a long stays a long beside a NULL, a NULL is None);
+    -0.0 is the key 0.0, and NaN is one key. Accumulators travel pickled.
     """
     key_type = df.schema[key].dataType
-    rows = df.select(F.col(key).alias("k"), F.col(value).alias("v"))
-    partial_schema = T.StructType([T.StructField("k", key_type), T.StructField("acc", T.BinaryType()),
-                                   T.StructField("task", T.LongType())])
+    floating = isinstance(key_type, (T.FloatType, T.DoubleType))
+    k = F.when(F.col(key) == 0, F.lit(0.0)).otherwise(F.col(key)).cast(key_type) if floating else F.col(key)
+    rows = df.select(k.alias("k"), F.col(value).alias("v"))
+    partial_schema = T.StructType([T.StructField("k", key_type), T.StructField("acc", T.BinaryType())])
     out_schema = T.StructType([T.StructField(key, key_type), T.StructField(out, result_type)])
     k_arrow, out_arrow = to_arrow_type(key_type), to_arrow_type(result_type)
 
-    def partials(accs: dict, task: int) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(accs), k_arrow), pa.array(map(pickle.dumps, accs.values()), pa.binary()),
-                                           pa.array([task] * len(accs), pa.int64())], names=["k", "acc", "task"])
+    def partials(accs: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(accs), k_arrow), pa.array(map(pickle.dumps, accs.values()), pa.binary())],
+                                          names=["k", "acc"])
 
     def fold_partition(batches):
-        from pyspark import TaskContext
         accs: dict = {}
-        task = TaskContext.get().partitionId()
         for batch in batches:
             for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 accs[k] = seq_op(accs[k] if k in accs else copy.deepcopy(zero), v)
             if len(accs) >= most_keys:
-                yield partials(accs, task)
+                yield partials(accs)
                 accs = {}
         if accs:
-            yield partials(accs, task)
-
-    def combine(table: pa.Table):
-        found = iter(table.column("acc").to_pylist())
-        acc = pickle.loads(next(found))
-        for blob in found:
-            acc = comb_op(acc, pickle.loads(blob))
-        return acc
-
-    def merge_level(table: pa.Table) -> pa.Table:
-        first = table.slice(0, 1)
-        return pa.table({"k": first.column("k").cast(k_arrow), "acc": pa.array([pickle.dumps(combine(table))], pa.binary()),
-                         "task": first.column("task")})
-
-    def merge_final(table: pa.Table) -> pa.Table:
-        return pa.table({key: table.slice(0, 1).column("k").cast(k_arrow), out: pa.array([finish(combine(table))], out_arrow)})
-
-    merged = rows.mapInArrow(fold_partition, partial_schema)
-    for level in range(levels, 0, -1):
-        group = F.pmod("task", F.lit(fan_in ** level)).alias("task")
-        merged = (merged.select("k", "acc", group).groupBy("k", "task").applyInArrow(merge_level, partial_schema))
-    return merged.groupBy("k").applyInArrow(merge_final, out_schema)
+            yield partials(accs)
+
+    def results(done: list) -> pa.RecordBatch:
+        keys, accs = zip(*done)
+        return pa.RecordBatch.from_arrays([pa.array(keys, k_arrow), pa.array([finish(a) for a in accs], out_arrow)],
+                                          names=[key, out])
+
+    def merge_sorted(batches):
+        held: list = []  # the key being merged and its accumulator, once there is one
+        done: list = []
+        for batch in batches:
+            for k, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                acc = pickle.loads(blob.as_py())
+                if held and (held[0] == k or (k != k and held[0] != held[0])):
+                    held[1] = comb_op(held[1], acc)
+                    continue
+                if held:
+                    done.append(held)
+                held = [k, acc]
+            if len(done) >= RESULT_ROWS:
+                yield results(done)
+                done = []
+        if held:
+            yield results([*done, held])
+
+    folded = rows.mapInArrow(fold_partition, partial_schema)
+    return folded.repartition("k").sortWithinPartitions("k").mapInArrow(merge_sorted, out_schema)
 
 
 __all__ = ["DEFAULT_CHUNK_SIZE", "gather_values", "gather_counts", "offset_ranges", "aggregate_by_key"]

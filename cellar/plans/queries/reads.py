@@ -50,6 +50,12 @@ def key_regex(spark, sf):
     return W.scan(stored_rows(spark, sf), condition=P.key_regex("[05]7$"))
 
 
+@register("key_regex_anchored", f"WITH {R_SQL} SELECT * FROM r WHERE regexp_matches(row_key, '^0000000(1|2[3-5])[0-9]*7$')")
+def key_regex_anchored(spark, sf):
+    """the literal begins of an anchored regex are pushed into the scan as prefixes."""
+    return W.scan(stored_rows(spark, sf), condition=P.key_regex("^0000000(1|2[3-5])[0-9]*7$"))
+
+
 @register("col_equals", f"WITH {R_SQL} SELECT * FROM r WHERE priority = '1-URGENT'")
 def col_equals(spark, sf):
     """a missing cell fails."""

@@ -101,6 +101,45 @@ def unix_text(spark, sf):
     return o.select("o_orderkey", X.unix_seconds_text(_date_text()).alias("unix_text"))
 
 
+# a month without a leading zero, days 21 to 51 and a trailing word, read with fields that roll over
+_ROLLED_SQL = "(epoch_ms(make_date(year({0}), month({0}), 1)) // 86400000 + day({0}) + 19)"
+
+
+def _rolled_text(date: str):
+    c = F.col(date)
+    return F.concat(F.year(c).cast("string"), F.lit("-"), F.month(c).cast("string"), F.lit("-"),
+                    (F.day(c) + 20).cast("string"), F.lit(" late"))
+
+
+@register("days_between_lenient", f"""SELECT l_orderkey, l_linenumber,
+        CAST(trunc((epoch_us(l_shipdate) // 1000 - {_ROLLED_SQL.format('l_shipdate')} * 86400000) / 86400000) AS INTEGER) AS days
+    FROM lineitem""")
+def days_between_lenient(spark, sf):
+    """The lenient reader - fields roll over, trailing text is ignored."""
+    li = FX.table(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", X.days_between(
+        _rolled_text("l_shipdate"), X.ts_epoch_millis("l_shipdate"), "yyyy-MM-dd", lenient=True).alias("days"))
+
+
+@register("days_between_rev_lenient", f"""SELECT l_orderkey, l_linenumber,
+        CAST(trunc(({_ROLLED_SQL.format('l_shipdate')} * 86400000 - epoch_us(l_shipdate) // 1000) / 86400000) AS INTEGER) AS days
+    FROM lineitem""")
+def days_between_rev_lenient(spark, sf):
+    """The same with the other sign."""
+    li = FX.table(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", X.days_between_rev(
+        _rolled_text("l_shipdate"), X.ts_epoch_millis("l_shipdate"), "yyyy-MM-dd", lenient=True).alias("days"))
+
+
+@register("unix_text_lenient", f"""SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN ''
+        ELSE CAST({_ROLLED_SQL.format('o_orderdate')} * 86400 + 25 * 3600 + 61 * 60 AS VARCHAR) END AS unix_text FROM orders""")
+def unix_text_lenient(spark, sf):
+    """Hour 25 and minute 61 roll over; '' where the text doesn't begin like the pattern."""
+    text = F.when(F.col("o_orderstatus") == "P", F.lit("soon")).otherwise(
+        F.regexp_replace(_rolled_text("o_orderdate"), " late", " 25:61:0 late"))
+    return FX.table(spark, sf, "orders").select("o_orderkey", X.unix_seconds_text(text, lenient=True).alias("unix_text"))
+
+
 @register("utf8_bytes", """SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes,
         decode(encode(text)) = text AS round_trip FROM documents""")
 def utf8_bytes(spark, sf):

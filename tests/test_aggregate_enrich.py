@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellar.operators import aggregate as A
 from cellar.operators import enrich as E
@@ -129,11 +130,35 @@ def test_aggregate_by_key_accumulator_none(spark):
     assert out.first()["result"] == "3"
 
 
-def test_aggregate_by_key_tree_merge(spark):
+def test_aggregate_by_key_many_partials(spark):
     df = spark.range(0, 4000, 1, 40).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
     out = A.aggregate_by_key(df, "k", "v", (0, 0), lambda a, v: (a[0] + 1, a[1] + v),
-                             lambda a, b: (a[0] + b[0], a[1] + b[1]), finish=lambda a: f"{a[0]}:{a[1]}", fan_in=4)
+                             lambda a, b: (a[0] + b[0], a[1] + b[1]), finish=lambda a: f"{a[0]}:{a[1]}")
     assert out.collect()[0]["result"] == f"4000:{sum(range(4000))}"
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+
+
+def test_aggregate_by_key_small_batches_and_odd_keys(spark):
+    """Partials of a key in several batches; NaN, -0.0 and NULL keys; tasks that hand on early."""
+    nan = float("nan")
+    rows = [(k, i) for i in range(60) for k in (nan, -0.0, 0.0, None, float(i % 4))]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        df = spark.createDataFrame(rows, "k double, v int").repartition(6)
+        out = A.aggregate_by_key(df, "k", "v", 0, lambda a, v: a + v, lambda a, b: a + b, finish=lambda a: a,
+                                 result_type=T.LongType(), most_keys=2).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    total = sum(range(60))
+    got = {"nan" if r["k"] is not None and r["k"] != r["k"] else r["k"]: r["result"] for r in out}
+    assert len(out) == 6 and got == {"nan": total, None: total, 1.0: sum(range(1, 60, 4)), 2.0: sum(range(2, 60, 4)),
+                                     3.0: sum(range(3, 60, 4)), 0.0: 2 * total + sum(range(0, 60, 4))}
+
+
+def test_aggregate_by_key_of_no_rows(spark):
+    df = spark.createDataFrame([], "k string, v int")
+    assert A.aggregate_by_key(df, "k", "v", 0, lambda a, v: a + v, lambda a, b: a + b).collect() == []
 
 
 def test_gather_values_group_of_copies(spark):

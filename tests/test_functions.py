@@ -1,8 +1,10 @@
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from cellar.functions import predicates as P
 from cellar.functions import scalar as X
 
 
@@ -144,3 +146,47 @@ def test_dates_do_not_depend_on_the_session_zone(spark):
 def test_integer_division_is_exact(spark):
     df = spark.createDataFrame([(2**62 + 999,), (-(2**62) - 999,), (-1,)], "n long")
     assert [r[0] for r in df.select(X.int_div("n", 1000)).collect()] == [(2**62 + 999) // 1000, -((2**62 + 999) // 1000), 0]
+
+
+def test_lenient_dates_roll_over(spark):
+    from datetime import datetime, timedelta, timezone
+
+    def at(*a, **k):
+        return int((datetime(*a, tzinfo=timezone.utc) + timedelta(**k)).timestamp() * 1000)
+
+    cases = [("2017-02-30", "yyyy-MM-dd", at(2017, 3, 2)), ("2017-7-2", "yyyy-MM-dd", at(2017, 7, 2)),
+             ("2016-2-29 rest", "yyyy-MM-dd", at(2016, 2, 29)), ("2017-13-1", "yyyy-MM-dd", at(2018, 1, 1)),
+             ("2017-0-0", "yyyy-MM-dd", at(2016, 11, 30)), ("1969-12-31 25:61:61", "yyyy-MM-dd HH:mm:ss", at(1970, 1, 1, hours=2, minutes=2, seconds=1)),
+             (" 2017- 1-1", "yyyy-MM-dd", at(2017, 1, 1)), ("20170230", "yyyyMMdd", at(2017, 3, 2)), ("x2017-01-01", "yyyy-MM-dd", None),
+             ("2017-01", "yyyy-MM-dd", None), ("", "yyyy-MM-dd", None), (None, "yyyy-MM-dd", None), ("12:5", "HH:mm", 43_500_000),
+             ("2000-02-29", "yyyy-MM-dd", at(2000, 2, 29)), ("1900-02-29", "yyyy-MM-dd", at(1900, 3, 1)), ("99999999999-1-1", "yyyy-MM-dd", None)]
+    for text, fmt, expected in cases:
+        assert one(spark, X.parse_epoch_millis("s", fmt, lenient=True), text) == expected, (text, fmt)
+    assert one(spark, X.unix_seconds_text("s", "yyyy-MM-dd", lenient=True), "bad") == ""
+    assert one(spark, X.days_between("s", F.lit(at(2017, 3, 4)), "yyyy-MM-dd", lenient=True), "2017-02-30") == 2
+    with pytest.raises(ValueError):
+        X.parse_epoch_millis("s", "EEE yyyy", lenient=True)
+
+
+def test_lenient_dates_equal_strict_ones_on_plain_dates(spark):
+    df = spark.range(0, 400_000, 37).selectExpr("date_format(date_add(date'1600-01-01', cast(id as int)), 'yyyy-MM-dd') AS s")
+    wrong = df.where(X.parse_epoch_millis("s", "yyyy-MM-dd") != X.parse_epoch_millis("s", "yyyy-MM-dd", lenient=True))
+    assert wrong.isEmpty() and df.where(X.parse_epoch_millis("s", "yyyy-MM-dd", lenient=True).isNull()).isEmpty()
+
+
+def test_prefixes_of_regexes(spark):
+    assert P.regex_prefixes("^0000(1|2).*") == ["00001", "00002"]
+    assert P.regex_prefixes("^ab?c") == ["a"] and P.regex_prefixes("^a+b") == ["a"] and P.regex_prefixes("^(ab)+c") == ["ab"]
+    assert P.regex_prefixes("^x[12]y|^z") == ["x1y", "x2y", "z"]
+    for none in ("abc", "^", "^.*a", "(?i)^abc", "a|^b", "^a|b", "^[a-z]b", "(?m)^a", r"^\p{L}", "^a*"):
+        assert P.regex_prefixes(none) is None, none
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "[ab]", "(a|bc)", "a?", "b+", ".", "(ab)+", "(?:c|d)", "$", "[^a]", "a{2}", "|^b"]), max_size=6))
+def test_pushed_prefixes_change_no_row(spark, parts):
+    pattern = "^" + "".join(parts)
+    values = [(x,) for x in ["", "a", "b", "ab", "abc", "bca", "aab", "bc", "cd", "da", "ba\nb", "aaa", "c"]]
+    df = spark.createDataFrame(values, "row_key string")
+    got = sorted(r[0] for r in df.where(P.key_regex(pattern)).collect())
+    assert got == sorted(r[0] for r in df.where(F.col("row_key").rlike(pattern)).collect())

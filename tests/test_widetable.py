@@ -317,3 +317,11 @@ def test_prefixes_of_unlisted_length_fail(spark):
     assert {r[1] for r in W.prefixes_exist(prefixes, keys, lengths=[1, 2]).collect()} == {True}
     with pytest.raises(Exception, match="isn't listed"):
         W.prefixes_exist(prefixes, keys, lengths=[1]).collect()
+
+
+def test_literal_begins_of_a_regex_are_pushed(spark, scratch):
+    path = f"{scratch}/t"
+    spark.range(2000).select(F.lpad(F.col("id").cast("string"), 6, "0").alias("row_key")).write.parquet(path)
+    plan = W.scan(spark.read.parquet(path), P.key_regex("^0000(1|2).*"))._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "StringStartsWith(row_key,00001)" in pushed and "StringStartsWith(row_key,00002)" in pushed
