@@ -18,8 +18,9 @@ word up once.
 Training uses a sample, bounded by ``MAX_POSITIVE`` and ``MAX_UNLABELLED``
 documents of at most ``MAX_CHARS`` characters, taken by hash of doc_id from rows
 that aren't held out; features are made on the executors. The class prior is the
-share of toxic ids among all labelled ones that aren't held out, in the sample or not. Of near copies in P or U one is used. Scoring covers
-every whole text, in Arrow batches.
+share of toxic ids among all labelled documents that aren't held out (and not over-long), in the sample or not;
+labels of other ids, as in a label table shared by several corpora, change nothing. Of near copies in P or U
+one is used. Scoring covers every whole text, in Arrow batches.
 
 Defined results: an empty or null text has the score of the bias alone; rows
 are scored one by one, so repeated rows agree; a null doc_id is not held out and
@@ -238,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     texts = texts.filter(~held_out(F.col("id")) & (F.length("text") <= MAX_CHARS))
     marks = labels.select(labels["doc_id"].cast("long").alias("id"), labels["toxic"].cast("long").alias("toxic"))
     marks = written(marks.filter(F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("id")))
-                    .groupBy("id").agg(F.max("toxic").alias("toxic")), "marks")
+                    .groupBy("id").agg(F.max("toxic").alias("toxic")).join(texts.select("id"), "id", "left_semi"), "marks")
     # samples by a hash of the id; what is broadcast has MAX_POSITIVE or MAX_UNLABELLED rows at most
     toxic_ids = marks.filter("toxic = 1").orderBy(F.xxhash64("id"), "id").limit(MAX_POSITIVE)
     positive = _collected(texts.join(F.broadcast(toxic_ids), "id"))

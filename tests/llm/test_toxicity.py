@@ -79,3 +79,13 @@ def test_prior_is_of_all_labels(spark, monkeypatch):
     for some in (few, free):
         T.fit(frame(spark, rows), spark.createDataFrame(some, "doc_id long, toxic int"))
     assert priors == [0.25, sum(t for _, t in free) / len(free)]
+
+
+def test_labels_of_other_documents_change_nothing(spark):
+    """A label table shared by several corpora: ids that aren't in these documents."""
+    rows, labels = corpus(400)
+    more = [(10_000_000 + i, int(i % 3 > 0)) for i in range(20_000)]
+    a, b = (sorted((r["doc_id"], r["score"]) for r in
+                   T.toxicity(frame(spark, rows), spark.createDataFrame(x, "doc_id long, toxic int")).collect())
+            for x in (labels, labels + more))
+    assert a == b
