@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re._constants as rc
 import re._parser as parser
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 
 from cellar.llm._common import prepare, text_of, written
 
+#: Matches whose spans are added up at a time.
+SPAN_BLOCK = 512
 #: Documents that are looked up by broadcast at most (16 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 #: Alternatives of a string, and characters of a class, that a query spells out.
@@ -167,7 +170,11 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def _spans(text: Column, rule: Rule, number: int) -> Column:
-    """Array of (start, kind number, end) of a rule's matches."""
+    """Array of (start, kind number, end) of a rule's matches.
+
+    An append copies its array, so matches are added up in blocks of ``SPAN_BLOCK``, each from its own
+    begin, and the blocks are then moved to their places: a text of very many matches costs little more than its length.
+    """
     regex = F.lit(rule.pattern)
     matches = F.regexp_extract_all(text, regex, F.lit(0))
     gaps = F.split(text, rule.pattern, -1)
@@ -182,7 +189,25 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
         return F.struct(end.alias("at"), F.when(F.length(row["test"]) >= rule.least, F.concat(acc["spans"], F.array(span)))
                         .otherwise(acc["spans"]).alias("spans"))
 
-    return F.aggregate(rows, F.struct(F.lit(0).alias("at"), none.alias("spans")), add, lambda acc: acc["spans"])
+    def blocks(all_: Column) -> Column:
+        begins = F.sequence(F.lit(0), F.greatest(F.size(all_) - 1, F.lit(0)), F.lit(SPAN_BLOCK))
+        return F.transform(begins, lambda i: F.aggregate(
+            F.slice(all_, i + 1, SPAN_BLOCK), F.struct(F.lit(0).alias("at"), none.alias("spans")), add))
+
+    def moved(found: Column) -> Column:
+        offsets = F.aggregate(
+            found, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("before")),
+            lambda acc, b: F.struct((acc["at"] + b["at"]).alias("at"), F.concat(acc["before"], F.array(acc["at"])).alias("before")),
+            lambda acc: acc["before"])
+        return F.flatten(F.zip_with(found, offsets, lambda b, off: F.transform(b["spans"], lambda s: F.struct(
+            (s["start"] + off).alias("start"), s["kind"].alias("kind"), (s["end"] + off).alias("end")))))
+
+    return _let(rows, lambda all_: _let(blocks(all_), moved))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def scan(docs: DataFrame, base: tuple[Rule, ...] = BASE, added: tuple[Rule, ...] = ADDED) -> DataFrame:

@@ -76,3 +76,14 @@ def test_queries_hold_for_every_match():
     (clause, *_) = S.trigram_query(S.BASE[0].pattern)
     grams = {text.lower()[i:i + 3] for i in range(len(text) - 2)}
     assert any(a <= grams for a in clause) and rng
+
+
+def test_very_many_matches_in_one_text(spark):
+    """Two hundred thousand matches, short ones between them: linear, and right across the blocks."""
+    import time
+    h = "0123456789abcdef" * 2
+    text = " ".join(h + "0" * (i % 5) if i % 3 else h[:20] for i in range(300_000))
+    rows = rows_of([text, "x" + h, " ".join([h] * (2 * S.SPAN_BLOCK)), " ".join([h] * (S.SPAN_BLOCK + 1))])
+    begun = time.time()
+    check(frame(spark, rows), rows)
+    assert time.time() - begun < 120
