@@ -6,6 +6,9 @@ seen by another part too, or not. Only documents whose bit is set (or which
 repeat within their own part) are suspects; only their texts are shuffled, and
 they are compared byte by byte by grouping on the text itself.
 
+Parts and owners are about the square root of the documents in number, so a message
+holds ``MESSAGE_PRINTS`` fingerprints or more however many documents there are.
+
 What moves: 40 bytes a document for the digest table, about
 ``SPARE_BITS + log2(parts) + 2`` bits a fingerprint for the exchange, and the
 suspects' texts. Copies collapse before every shuffle (a part sends a
@@ -20,6 +23,8 @@ and an empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,8 +34,16 @@ from cellar.llm._common import groups_for, prepare, text_of, written
 
 #: Bits of a fingerprint beyond log2 of the documents: one false suspect in about 2**SPARE_BITS documents.
 SPARE_BITS = 10
-#: Documents of a part and fingerprints of an owner (the size of a task's arrays, not a cap).
+#: Documents of a part and fingerprints of an owner, at least (the size of a task's arrays, not a cap).
 PART_ROWS = 20_000
+#: Fingerprints of a message, about: parts and owners grow with the square root of the documents, so that
+#: messages (parts times owners) grow with the documents and stay long enough to be worth coding.
+MESSAGE_PRINTS = 64
+
+
+def parts_for(rows: int, part_rows: int = PART_ROWS) -> int:
+    """How many parts the documents are dealt to, and how many owners the fingerprints."""
+    return min(groups_for(rows, part_rows), math.isqrt(max(0, rows) // MESSAGE_PRINTS) + 1)
 
 
 def rice_encode(values: np.ndarray, bits: int) -> bytes:
@@ -76,7 +89,7 @@ def _fingerprints(digests: pd.Series, width: int) -> np.ndarray:
 
 def exchange_suspects(table: DataFrame, rows: int, part_rows: int = PART_ROWS) -> DataFrame:
     """(doc_id, digest) of the rows of ``table`` whose fingerprint occurs more than once anywhere."""
-    parts = groups_for(rows, part_rows)
+    parts = parts_for(rows, part_rows)
     width = min(60, max(1, int(rows).bit_length() + SPARE_BITS))
     owner_bits = min(width, (parts - 1).bit_length())
     rice_bits = max(0, width - max(1, (groups_for(rows, parts)).bit_length()))

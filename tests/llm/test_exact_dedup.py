@@ -37,7 +37,9 @@ def expected(rows):
 
 
 @pytest.mark.parametrize("part_rows", [2, 20_000])
-def test_odd_rows_and_copies(spark, part_rows):
+@pytest.mark.parametrize("prints", [1, 64])
+def test_odd_rows_and_copies(spark, monkeypatch, part_rows, prints):
+    monkeypatch.setattr(X, "MESSAGE_PRINTS", prints)
     rows = odd_rows() + [(200 + i, "one text for a third of all rows", "en", "a", 1, *["x"] * 8) for i in range(40)]
     got = X.exact_duplicates(frame(spark, rows), part_rows).collect()
     assert sorted((tuple(r) for r in got), key=str) == expected(rows)
@@ -58,3 +60,12 @@ def test_suspects_hold_every_copy_and_little_else(spark):
         texts.setdefault(r["text"], []).append(r["doc_id"])
     copies = {i for ids in texts.values() if len(ids) > 1 for i in ids}
     assert copies <= got and len(got - copies) <= 2
+
+
+def test_messages_grow_with_the_documents():
+    """Parts times owners stay below a message for MESSAGE_PRINTS documents, and small tables keep parts of PART_ROWS."""
+    for rows in (0, 1, 5_000, 256_410, 5 * 10**7, 4 * 10**8, 5 * 10**9):
+        parts = X.parts_for(rows)
+        assert 1 <= parts <= max(1, -(-rows // X.PART_ROWS))
+        assert (parts - 1) ** 2 * X.MESSAGE_PRINTS <= rows
+    assert X.parts_for(256_410) == 13 and X.parts_for(5 * 10**9) > 8_000
