@@ -257,17 +257,18 @@ def keys_only(df: DataFrame, key: str = ROW_KEY) -> DataFrame:
 def family_map(cells: DataFrame, family: str, order: Sequence[str] = (TS, SEQ)) -> DataFrame:
     """``row_key, cells map<qualifier, value>`` of one family; empty map when the row lacks it.
 
-    Only the cells of the family are carried: their newest per qualifier first
-    (``map_from_entries`` rejects duplicate keys), then a list per row key; rows that
-    have other families only come from the row keys alone, which collapse before
-    their shuffle. The map is as wide as the row's family; :func:`latest_cells` gives
-    the same cells as rows where a family is too wide for one value.
+    One pass over the cells: those of other families are carried as their row key alone and
+    collapse map-side, those of the family to their newest per qualifier (``map_from_entries``
+    rejects duplicate keys); then a list per row key. The map is as wide as the row's family;
+    :func:`latest_cells` gives the same cells as rows where a family is too wide for one value.
     """
-    newest = latest_cells(cells.where(F.col(FAMILY) == family), order)
-    entry = F.struct(F.col(QUALIFIER).alias("key"), F.col(VALUE).alias("value"))
-    keys = cells.select(ROW_KEY, F.lit(None).cast(newest.select(entry.alias("e")).schema["e"].dataType).alias("e")).distinct()
-    return (newest.select(ROW_KEY, entry.alias("e")).unionByName(keys).groupBy(ROW_KEY)
-            .agg(F.map_from_entries(F.collect_list("e")).alias("cells")))
+    order = [c for c in order if c in cells.columns]
+    mine = F.coalesce(F.col(FAMILY) == family, F.lit(False))
+    tagged = cells.select(ROW_KEY, mine.alias("_mine"), F.when(mine, F.col(QUALIFIER)).alias("_name"),
+                          F.when(mine, newest_version(order)).alias("_v"))
+    newest = tagged.groupBy(ROW_KEY, "_mine", "_name").agg(F.max("_v").alias("_v"))
+    entry = F.when(F.col("_mine"), F.struct(F.col("_name").alias("key"), F.col(f"_v.{VALUE}").alias("value")))
+    return newest.groupBy(ROW_KEY).agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
 
 
 def latest_value(cells: DataFrame, family: str, qualifier: str, order: Sequence[str] = (TS, SEQ)) -> DataFrame:
