@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +25,32 @@ def prepare(spark: SparkSession) -> None:
     checkpoint_dir(spark)
 
 
+#: Bytes of an Arrow batch between Spark and a Python worker, at most (of whole rows).
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """From now on the session hands Python workers batches of ``BATCH_BYTES`` at most."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name, None) or 1 << 30) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function for ``mapInPandas`` or ``mapInArrow`` whose worker gives free memory back when its input ends.
+
+    Spark keeps Python workers for later tasks; without this each holds the most that any of its tasks has needed.
+    """
+    def work(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+    return work
+
+
 #: Narrow rows (ids and numbers) that one task writes.
 ROWS_PER_TASK = 200_000
 

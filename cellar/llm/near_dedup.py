@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellar.llm._common import prepare, text_of, written
+from cellar.llm._common import bound_batches, prepare, text_of, tidied, written
 from cellar.llm.components import connected_components
 
 SHINGLE = 5
@@ -55,7 +55,7 @@ SMALL, BLOCK_NODES = 16, 512
 BROADCAST_IDS = 2_000_000
 #: Shingles hashed at a time.
 BLOCK = 1 << 16
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 _MAX_ID = (1 << 63) - 1
 _rng = np.random.default_rng(20240)
@@ -168,7 +168,7 @@ def _prints(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"id": pdf["id"], "n_shingles": [len(s) for s in sets], "digest": digests,
                                 "sign": signs})
 
-    return docs.mapInPandas(run, "id long, n_shingles long, digest binary, sign binary")
+    return docs.mapInPandas(tidied(run), "id long, n_shingles long, digest binary, sign binary")
 
 
 def _band_rows(nodes: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def _band_rows(nodes: DataFrame) -> DataFrame:
             yield pd.DataFrame({"bucket": key.astype(np.int64).ravel(), "band": band.ravel(),
                                 "node": np.repeat(pdf["node"].to_numpy(), BANDS)})
 
-    return nodes.select("node", "sign").mapInPandas(run, "bucket long, band int, node long")
+    return nodes.select("node", "sign").mapInPandas(tidied(run), "bucket long, band int, node long")
 
 
 def _surviving(pairs: DataFrame, nodes: DataFrame, threshold: float, miss: float) -> DataFrame:
@@ -204,7 +204,7 @@ def _surviving(pairs: DataFrame, nodes: DataFrame, threshold: float, miss: float
                     for c in ("sign_u", "sign_v"))
             yield pdf.loc[may_reach(a, b, needed), ["u", "v"]]
 
-    return joined.select("u", "v", "sign_u", "sign_v").mapInPandas(run, "u long, v long")
+    return joined.select("u", "v", "sign_u", "sign_v").mapInPandas(tidied(run), "u long, v long")
 
 
 def _packed(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -221,7 +221,7 @@ def _packed(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"node": pdf["node"], "packed": [zlib.compress(b" ".join(w), 1) for w in words]})[same]
 
     return written(docs.join(side, "id").select("node", "text", "digest")
-                   .mapInPandas(pack, "node long, packed binary").dropDuplicates(["node"]), "packed")
+                   .mapInPandas(tidied(pack), "node long, packed binary").dropDuplicates(["node"]), "packed")
 
 
 def _unpacked(shingler: Shingler, packed: bytes) -> np.ndarray:
@@ -251,7 +251,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
     joined = (pairs.join(packed.select(F.col("node").alias("u"), F.col("packed").alias("pu")), "u")
               .join(packed.select(F.col("node").alias("v"), F.col("packed").alias("pv")), "v"))
-    return joined.select("u", "v", "pu", "pv").mapInPandas(compare, "u long, v long")
+    return joined.select("u", "v", "pu", "pv").mapInPandas(tidied(compare), "u long, v long")
 
 
 def _block_links(needed: np.ndarray):
@@ -331,6 +331,7 @@ def _remaining(members: DataFrame, parts: DataFrame, nodes: DataFrame, docs: Dat
 def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     prepare(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     threshold = THRESHOLD[0] / THRESHOLD[1]
     texts = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(_MAX_ID)).alias("id"), text_of(docs).alias("text"))
     prints = written(_prints(texts), "prints")

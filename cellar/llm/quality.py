@@ -8,11 +8,11 @@ is a DataFrame keyed by n-gram or context, whatever its size.
 
 Scoring joins counts with the model, shard by shard. Tasks send each shard, for a
 chunk of documents, the chunk's distinct n-grams and each document's counts of
-them, compressed; the shard's part of the model meets them in a cogroup and gives
+them, compressed; the shard's part of the model meets them in sorted order and gives
 each document a partial log probability; the partial sums of a document are added.
 Shards are sized by the model, and each is split by salts sized by the text, with
-the shard's model copied to each salt: no task holds more than
-``SHARD_GRAMS`` n-grams and about ``SALT_CHARS`` characters' counts.
+the shard's model copied to each salt. A task holds ``SHARD_GRAMS`` n-grams and the
+counts of one chunk of ``CHUNK`` characters at a time, whatever it is dealt.
 
 A document is kept if its perplexity is at most its language's threshold: the
 ``QUANTILE`` of held-out trusted documents of that language. Log perplexities of short
@@ -37,19 +37,23 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellar.llm._common import groups_for, prepare, text_of, written
+from cellar.llm._common import bound_batches, groups_for, prepare, text_of, tidied, written
 
 ORDER = 4
 #: Code units that stand for the begin and end of a text.
 BEGIN, END = b"\x02\x00", b"\x03\x00"
 UNIT = 16
-#: Code units worked on at a time.
-CHUNK = 1_000_000
-SHARD_GRAMS = 500_000
-SALT_CHARS = 32_000_000
+#: Code units worked on at a time: of a chunk's requests (each n-gram is sent once a chunk), of counting.
+CHUNK, COUNT_CHUNK = 1_000_000, 250_000
+#: n-grams that a worker adds up before it passes them on.
+HELD_GRAMS = 1_000_000
+SHARD_GRAMS = 1_000_000
+#: Characters whose counts one group of requests holds: the copies of the model stay a small part of the text.
+SALT_CHARS = 16_000_000
 #: One fold of trusted documents in so many sets the thresholds instead of training.
 FOLDS = 5
 QUANTILE = 0.99
@@ -63,15 +67,15 @@ LEAST_HELD = 3
 BROADCAST_IDS = 4_000_000
 
 
-def _pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pieces(texts: list[str], chunk: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Chunks of texts as (n-grams, the text that each belongs to); a long text is cut into several."""
     grams, owners, held = [], [], 0
     for i, text in enumerate(texts):
         if not text:
             continue
         units = np.frombuffer(BEGIN * (ORDER - 1) + text.encode("utf-16-le", "surrogatepass") + END, dtype="<u2")
-        for at in range(0, len(units) - ORDER + 1, CHUNK):
-            part = units[at:at + CHUNK + ORDER - 1].astype(np.uint64)
+        for at in range(0, len(units) - ORDER + 1, chunk):
+            part = units[at:at + chunk + ORDER - 1].astype(np.uint64)
             n = len(part) - ORDER + 1
             key = np.zeros(n, dtype=np.uint64)
             for k in range(ORDER):
@@ -79,7 +83,7 @@ def _pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             grams.append(key)
             owners.append((i, n))
             held += n
-            if held >= CHUNK:
+            if held >= chunk:
                 yield np.concatenate(grams), np.repeat([o for o, _ in owners], [n for _, n in owners])
                 grams, owners, held = [], [], 0
     if held:
@@ -96,18 +100,18 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for pdf in batches:
-            for grams, _ in _pieces(pdf["text"].tolist()):
+            for grams, _ in _pieces(pdf["text"].tolist(), COUNT_CHUNK):
                 held.append(np.unique(grams, return_counts=True))
                 if len(held) == 8:
                     held = [_merged(held)]
-                if len(held[0][0]) > 4 * SHARD_GRAMS:  # a worker remembers so many at most
+                if len(held[0][0]) > HELD_GRAMS:
                     yield pd.DataFrame({"gram": held[0][0].astype(np.int64), "n": held[0][1]})
                     held = held[1:]
         if held:
             keys, n = _merged(held)
             yield pd.DataFrame({"gram": keys.astype(np.int64), "n": n})
 
-    return texts.select("text").mapInPandas(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInPandas(tidied(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def _low(gram: str, units: int) -> Column:
@@ -187,26 +191,43 @@ def _unpack(block: bytes) -> list[np.ndarray]:
     return out
 
 
-def _requests(texts: DataFrame, shards: int, salts: int) -> DataFrame:
-    """(shard, salt, documents, block): what a chunk of documents asks of a shard."""
+def _lanes(spark: SparkSession) -> np.ndarray:
+    """For each shuffle partition a number that Spark's hash partitioning sends there (8 bytes a partition)."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lanes = np.arange(n)
+    for r in spark.range(16 * n).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("lane")).agg(F.min("id").alias("id")).collect():
+        lanes[r["lane"]] = r["id"]
+    return lanes
+
+
+def _requests(texts: DataFrame, shards: int, salts: int, lanes: np.ndarray) -> DataFrame:
+    """(lane, shard, salt, documents, block): what a chunk of documents asks of a shard."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids, prints = pdf["id"].to_numpy(dtype=np.int64), pdf["print"].to_numpy(dtype=np.int64)
-            for grams, owners in _pieces(pdf["text"].tolist()):
+            for grams, owners in _pieces(pdf["text"].tolist(), CHUNK):
                 cuts = np.flatnonzero(np.diff(owners, prepend=-1))
                 found = [np.unique(part, return_counts=True) for part in np.split(grams, cuts[1:])]
-                keys, code = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-                n = np.concatenate([c for _, c in found])
                 doc = np.repeat(owners[cuts], [len(k) for k, _ in found])
-                where = _shard(keys, shards)
+                n = np.concatenate([c for _, c in found])
+                keys, code = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
                 salt = int(prints[owners[0]] % salts)
+                # keys and rows in the order of their shards; each shard's then lie together, ascending
+                where = _shard(keys, shards)
+                by_shard = np.argsort(where, kind="stable")
+                key_ends = np.cumsum(np.bincount(where, minlength=shards))
+                rank = np.empty(len(keys), dtype=np.int64)
+                rank[by_shard] = np.arange(len(keys)) - np.repeat(key_ends - np.diff(key_ends, prepend=0),
+                                                                  np.diff(key_ends, prepend=0))
+                row_shard = where[code]
+                rows_by_shard = np.argsort(row_shard, kind="stable")
+                row_ends = np.cumsum(np.bincount(row_shard, minlength=shards))
+                out = []
                 for shard in range(shards):
-                    mine = np.flatnonzero(where == shard)
-                    rank = np.zeros(len(keys), dtype=np.int64)
-                    rank[mine] = np.arange(len(mine))
-                    rows = np.flatnonzero(where[code] == shard)
+                    rows = rows_by_shard[row_ends[shard - 1] if shard else 0:row_ends[shard]]
                     if not len(rows):
                         continue
+                    mine = by_shard[key_ends[shard - 1] if shard else 0:key_ends[shard]]
                     docs, sizes = np.unique(doc[rows], return_counts=True)
                     codes = rank[code[rows]]  # ascending within a document: stored as steps
                     steps = np.diff(codes, prepend=0)
@@ -214,31 +235,74 @@ def _requests(texts: DataFrame, shards: int, salts: int) -> DataFrame:
                     steps[first] = codes[first]
                     who = np.stack([ids[docs], prints[docs]]).astype("<i8").tobytes()
                     gaps = np.diff(keys[mine], prepend=np.uint64(0))
-                    yield pd.DataFrame({"shard": [shard], "salt": [salt], "documents": [who],
-                                        "block": [_pack(gaps, sizes, steps, n[rows])]})
+                    lane = int(lanes[(shard * salts + salt) % len(lanes)])
+                    out.append((lane, shard, salt, who, _pack(gaps, sizes, steps, n[rows])))
+                yield pd.DataFrame(out, columns=["lane", "shard", "salt", "documents", "block"])
 
     return texts.select("id", "print", "text").mapInPandas(
-        run, "shard long, salt long, documents binary, block binary")
-
-
-def _answer(asked: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-    """Partial log probabilities (and numbers of n-grams) of documents from one shard."""
-    keys = model["gram"].to_numpy(dtype=np.int64).astype(np.uint64)
-    order = np.argsort(keys)
-    keys, logp = keys[order], model["logp"].to_numpy()[order]
-    out = []
-    for who, block in zip(asked["documents"], asked["block"]):
-        ids, prints = np.frombuffer(who, dtype="<i8").reshape(2, -1)
-        gaps, sizes, steps, n = _unpack(block)
-        value = logp[np.searchsorted(keys, np.cumsum(gaps, dtype=np.uint64))]
-        first = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
-        run = np.cumsum(steps.astype(np.int64))
-        base = np.repeat(run[first] - steps[first].astype(np.int64), sizes.astype(np.int64))
-        terms = value[run - base] * n
-        out.append(pd.DataFrame({"id": ids, "print": prints, "logp": np.add.reduceat(terms, first),
-                                 "n": np.add.reduceat(n, first).astype(np.int64)}))
-    return pd.concat(out) if out else pd.DataFrame({"id": [], "print": [], "logp": [], "n": []}).astype(
-        {"id": "int64", "print": "int64", "logp": "float64", "n": "int64"})
+        tidied(run), "lane long, shard long, salt long, documents binary, block binary")
+
+
+def _model_blocks(logp: DataFrame, shards: int) -> DataFrame:
+    """(shard, documents, block): the model dealt to its shards, one sorted block each."""
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(shard=_shard(pdf["gram"].to_numpy(dtype=np.int64).astype(np.uint64), shards))
+
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys = pdf["gram"].to_numpy(dtype=np.int64).astype(np.uint64)
+        order = np.argsort(keys)
+        values = pdf["logp"].to_numpy()[order]
+        return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "documents": [keys[order].astype("<u8").tobytes()],
+                             "block": [values.astype("<f8").tobytes()]})
+
+    dealt = logp.mapInPandas(tidied(deal), "gram long, logp double, shard long")
+    return dealt.groupBy("shard").applyInPandas(block, "shard long, documents binary, block binary")
+
+
+def _answer(who: bytes, block: bytes, keys: np.ndarray, logp: np.ndarray) -> list[np.ndarray]:
+    """Ids, prints, partial log probabilities and numbers of n-grams of one request's documents."""
+    ids, prints = np.frombuffer(who, dtype="<i8").reshape(2, -1)
+    gaps, sizes, steps, n = _unpack(block)
+    value = logp[np.searchsorted(keys, np.cumsum(gaps, dtype=np.uint64))]
+    first = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
+    run = np.cumsum(steps.astype(np.int64))
+    base = np.repeat(run[first] - steps[first].astype(np.int64), sizes.astype(np.int64))
+    terms = value[run - base] * n
+    return [ids, prints, np.add.reduceat(terms, first), np.add.reduceat(n, first).astype(np.int64)]
+
+
+def _answers(asked: DataFrame, model: DataFrame, salts: int, lanes: np.ndarray) -> DataFrame:
+    """(id, print, logp, n): every request meets its shard of the model.
+
+    Groups (shard, salt) are dealt to the shuffle partitions in turn. A group's model block
+    comes first, its requests follow one by one: a task holds one block and one request at a
+    time, however many groups it is dealt.
+    """
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for salt in range(salts):
+                yield pdf.assign(salt=salt, lane=lanes[(pdf["shard"].to_numpy() * salts + salt) % len(lanes)])
+
+    copies = model.mapInPandas(tidied(copy), "lane long, shard long, salt long, documents binary, block binary")
+    met = (asked.withColumn("kind", F.lit(1)).unionByName(copies.withColumn("kind", F.lit(0)))
+           .repartition(len(lanes), "lane").sortWithinPartitions("shard", "salt", "kind"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, logp = np.zeros(0, dtype=np.uint64), np.zeros(0)
+        for batch in batches:
+            out = []
+            for kind, who, block in zip(*(batch.column(c) for c in ("kind", "documents", "block"))):
+                if kind.as_py() == 0:
+                    keys = np.frombuffer(who.as_py(), dtype="<u8")
+                    logp = np.frombuffer(block.as_py(), dtype="<f8")
+                else:
+                    out.append(_answer(who.as_py(), block.as_py(), keys, logp))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)],
+                                                 names=["id", "print", "logp", "n"])
+
+    return met.select("kind", "documents", "block").mapInArrow(tidied(run), "id long, print long, logp double, n long")
 
 
 def _with_print(texts: DataFrame) -> DataFrame:
@@ -251,24 +315,15 @@ def score(texts: DataFrame, model: KneserNey) -> DataFrame:
     size = texts.agg(F.sum(F.length("text") + 1)).first()[0] or 0
     wanted = gram_counts(texts).select("gram")
     logp = written(model.log_probabilities(written(wanted, "wanted")), "logp")
-    shards, salts = groups_for(logp.count(), SHARD_GRAMS), groups_for(size, SALT_CHARS)
-    asked = _requests(_with_print(texts), shards, salts)
-    parts = _placed(logp, shards).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    answers = (asked.groupBy("shard", "salt").cogroup(parts.groupBy("shard", "salt"))
-               .applyInPandas(_answer, "id long, print long, logp double, n long"))
+    shards = groups_for(logp.count(), SHARD_GRAMS)
+    salts = groups_for(size, SALT_CHARS * shards)
+    model_blocks = written(_model_blocks(logp, shards), "model_blocks")
+    lanes = _lanes(texts.sparkSession)
+    answers = _answers(_requests(_with_print(texts), shards, salts, lanes), model_blocks, salts, lanes)
     return (answers.groupBy("id", "print").agg(F.sum("logp").alias("logp"), F.sum("n").alias("n_symbols"))
             .select("id", "print", "n_symbols", F.exp(-F.col("logp") / F.col("n_symbols")).alias("perplexity")))
 
 
-def _placed(logp: DataFrame, shards: int) -> DataFrame:
-    """(shard, gram, logp): the model dealt to its shards."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(shard=_shard(pdf["gram"].to_numpy(dtype=np.int64).astype(np.uint64), shards))
-
-    return logp.mapInPandas(run, "gram long, logp double, shard long")
-
-
 def _wide() -> Column:
     """How far log perplexities of texts of that length scatter, as a multiple of a very long text's."""
     return F.sqrt(1 + NOISE / F.col("n_symbols"))
@@ -308,6 +363,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ``labels`` (doc_id, quality): documents of quality 1 are trusted.
     """
     prepare(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit((1 << 63) - 1)).alias("id"),
                         docs["lang"].cast("string").alias("lang"), text_of(docs).alias("text"))
     trusted = written(labels.filter(labels["quality"] == 1).select(labels["doc_id"].cast("long").alias("id"))
