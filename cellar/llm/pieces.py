@@ -30,15 +30,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from cellar.llm._common import bound_batches, prepare, text_of, tidied
+from cellar.llm._common import prepare, text_of, tidied
 
 MARK = "▁"
 NO_PAIR = np.iinfo(np.int64).max
 LONG_WORD = 4096
 #: Words whose encoding a worker remembers between batches.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 300_000
 #: Characters worked on at a time (a longer text alone).
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 4_000_000
 
 
 class PairTable:
@@ -346,7 +346,6 @@ def encoded(docs: DataFrame, model_path: str, keep_ids: bool = False) -> DataFra
     ``keep_ids`` adds the ids (array) and the decoded text.
     """
     prepare(docs.sparkSession)
-    bound_batches(docs.sparkSession)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -84,10 +84,15 @@ def _pieces(texts: list[str], chunk: int) -> Iterator[tuple[np.ndarray, np.ndarr
             owners.append((i, n))
             held += n
             if held >= chunk:
-                yield np.concatenate(grams), np.repeat([o for o, _ in owners], [n for _, n in owners])
-                grams, owners, held = [], [], 0
+                out, grams, owners, held = _joined(grams, owners), [], [], 0
+                yield out
+                del out
     if held:
-        yield np.concatenate(grams), np.repeat([o for o, _ in owners], [n for _, n in owners])
+        yield _joined(grams, owners)
+
+
+def _joined(grams: list[np.ndarray], owners: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate(grams), np.repeat(np.array([o for o, _ in owners], dtype=np.int32), [n for _, n in owners])
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -191,6 +196,11 @@ def _unpack(block: bytes) -> list[np.ndarray]:
     return out
 
 
+def _counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys, n = np.unique(grams, return_counts=True)
+    return keys, n.astype(np.int32)
+
+
 def _lanes(spark: SparkSession) -> np.ndarray:
     """For each shuffle partition a number that Spark's hash partitioning sends there (8 bytes a partition)."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -207,21 +217,26 @@ def _requests(texts: DataFrame, shards: int, salts: int, lanes: np.ndarray) -> D
             ids, prints = pdf["id"].to_numpy(dtype=np.int64), pdf["print"].to_numpy(dtype=np.int64)
             for grams, owners in _pieces(pdf["text"].tolist(), CHUNK):
                 cuts = np.flatnonzero(np.diff(owners, prepend=-1))
-                found = [np.unique(part, return_counts=True) for part in np.split(grams, cuts[1:])]
-                doc = np.repeat(owners[cuts], [len(k) for k, _ in found])
+                salt, first_rows = int(prints[owners[0]] % salts), owners[cuts]
+                found = [_counted(part) for part in np.split(grams, cuts[1:])]
+                del grams, owners
+                doc = np.repeat(first_rows, [len(k) for k, _ in found])
                 n = np.concatenate([c for _, c in found])
-                keys, code = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-                salt = int(prints[owners[0]] % salts)
+                found = np.concatenate([k for k, _ in found])
+                keys, code = np.unique(found, return_inverse=True)
+                code = code.astype(np.int32)
+                del found
                 # keys and rows in the order of their shards; each shard's then lie together, ascending
                 where = _shard(keys, shards)
                 by_shard = np.argsort(where, kind="stable")
                 key_ends = np.cumsum(np.bincount(where, minlength=shards))
-                rank = np.empty(len(keys), dtype=np.int64)
+                rank = np.empty(len(keys), dtype=np.int32)
                 rank[by_shard] = np.arange(len(keys)) - np.repeat(key_ends - np.diff(key_ends, prepend=0),
                                                                   np.diff(key_ends, prepend=0))
-                row_shard = where[code]
-                rows_by_shard = np.argsort(row_shard, kind="stable")
+                row_shard = where.astype(np.int32)[code]
+                rows_by_shard = np.argsort(row_shard, kind="stable").astype(np.int32)
                 row_ends = np.cumsum(np.bincount(row_shard, minlength=shards))
+                del row_shard
                 out = []
                 for shard in range(shards):
                     rows = rows_by_shard[row_ends[shard - 1] if shard else 0:row_ends[shard]]
