@@ -44,6 +44,8 @@ MESSAGE_TOPIC = "events"
 MESSAGE_PARTITIONS = 3
 FEED_VERSION = "v1"
 EMPTY_DAY = "19700101"
+#: Orders of a range of the feed, about: what one task sorts and one file holds at most.
+FEED_RANGE_ORDERS = 250_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,9 +114,15 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per (customer, order day) with that day's orders, plus order-less
-    documents (empty list, NULL list, no message) that the inner explode drops."""
+    documents (empty list, NULL list, no message) that the inner explode drops.
+
+    Orders are dealt to ranges over (day, user) before they become documents: only narrow rows
+    are shuffled, a range's documents are made where they are written, and ranges stay of one
+    size however many orders there are. Order-less documents need no shuffle.
+    """
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
+    n = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-o.count() // FEED_RANGE_ORDERS))
     info = F.struct(
         F.concat(F.col("c_mktsegment"), F.lit(" road "), F.col("o_custkey").cast("string")).alias("address"),
         F.col("c_name").alias("consignee"),
@@ -124,9 +132,14 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("orderNo"),
         F.date_format(F.col("o_orderdate"), "yyyy-MM-dd HH:mm:ss").alias("shipTime"),
     )
-    joined = o.join(c, o["o_custkey"] == c["c_custkey"])
-    with_orders = (joined.groupBy(F.col("o_custkey").alias("cust"),
-                                  F.date_format(F.col("o_orderdate"), "yyyyMMdd").alias("dt"))
+    joined = (o.join(c, o["o_custkey"] == c["c_custkey"])
+              .select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "c_name",
+                      "c_mktsegment", F.date_format(F.col("o_orderdate"), "yyyyMMdd").alias("dt")))
+    # few files per day, and a day holding much of the data spreads over tasks; a stated range count keeps
+    # the thousands of day folders spread over tasks even when the data is small (AQE would merge an
+    # unnumbered one into a single writer)
+    with_orders = (joined.repartitionByRange(n, "dt", "o_custkey")
+                   .groupBy(F.col("o_custkey").alias("cust"), "dt")
                    .agg(F.collect_list(info).alias("orders"),
                         F.date_format(F.min("o_orderdate"), "yyyy-MM-dd HH:mm:ss").alias("addTime")))
     docs = with_orders.select(F.col("cust").cast("string").alias("sUserId"), "addTime",
@@ -236,12 +249,9 @@ FAST_COMMIT = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
 
 def _write_feed(df: DataFrame, path: str) -> None:
-    # ranges over (day, user): few files per day, and a day holding much of the data spreads over tasks;
-    # a stated range count keeps the thousands of day folders spread over tasks even when the
-    # data is small (AQE would merge an unnumbered one into a single writer)
-    n = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    (df.repartitionByRange(n, F.col("dt"), F.col("sUserId")).sortWithinPartitions("dt")
-     .write.options(**FAST_COMMIT).mode("overwrite").partitionBy("dt").json(path))
+    # the documents come in ranges over (day, user); their repeated field names and texts pack well
+    (df.sortWithinPartitions("dt")
+     .write.options(**FAST_COMMIT, compression="gzip").mode("overwrite").partitionBy("dt").json(path))
 
 
 MESSAGE_FILES = 4
