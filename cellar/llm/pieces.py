@@ -2,7 +2,9 @@
 
 Covers BPE models with an identity normaliser, a dummy prefix and byte fallback.
 A text is cut where no piece can reach across (before a run of word marks, and
-around line breaks), and each distinct word of an Arrow batch is encoded once.
+around line breaks), and each distinct word of a chunk of texts is encoded once.
+A worker remembers the words of its latest chunks in two generations of bounded
+size: a word that comes again moves to the newer one, the rest goes with the older.
 
 All words' symbols lie in one flat numpy array. In each round every word finds
 the best rank among its adjacent pairs (a segmented minimum), merges it at the
@@ -27,18 +29,20 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cellar.llm._common import prepare, text_of, tidied
+from cellar.llm._common import bound_batches, prepare, text_of, tidied
 
 MARK = "▁"
 NO_PAIR = np.iinfo(np.int64).max
 LONG_WORD = 4096
-#: Words whose encoding a worker remembers between batches.
-CACHE_WORDS = 300_000
+#: Words whose encoding a worker remembers, in each of two generations (and those of the chunk at hand).
+CACHE_WORDS = 150_000
 #: Characters worked on at a time (a longer text alone).
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 500_000
+#: Characters of new words that are merged at a time (a longer word alone).
+MERGE_CHARS = 200_000
 
 
 class PairTable:
@@ -48,11 +52,11 @@ class PairTable:
         bits = max(4, (4 * len(pairs)).bit_length())
         self._shift, self._mask = np.uint64(64 - bits), (1 << bits) - 1
         self._keys = np.full(1 << bits, -1, dtype=np.int64)
-        self._ranks = np.full(1 << bits, NO_PAIR, dtype=np.int64)
-        self._made = np.full(1 << bits, -1, dtype=np.int64)
+        self._ranks = np.full(1 << bits, -1, dtype=np.int32)
+        self._made = np.full(1 << bits, -1, dtype=np.int32)
         keys = np.fromiter(pairs, dtype=np.int64, count=len(pairs))
-        ranks = np.array([v[0] for v in pairs.values()], dtype=np.int64)
-        made = np.array([v[1] for v in pairs.values()], dtype=np.int64)
+        ranks = np.array([v[0] for v in pairs.values()], dtype=np.int32)
+        made = np.array([v[1] for v in pairs.values()], dtype=np.int32)
         place, todo = self._place(keys), np.arange(len(keys))
         while len(todo):  # each free place takes one of the keys that want it; the others go to the next place
             free = todo[self._keys[place[todo]] == -1]
@@ -75,7 +79,13 @@ class PairTable:
             found = self._keys[place[open_]]
             open_ = open_[(found != keys[open_]) & (found != -1)]
         hit = self._keys[place] == keys
-        return np.where(hit, self._ranks[place], NO_PAIR), np.where(hit, self._made[place], -1)
+        return (np.where(hit, self._ranks[place].astype(np.int64), NO_PAIR),
+                np.where(hit, self._made[place].astype(np.int64), -1))
+
+    def pairs(self) -> dict[int, tuple[int, int]]:
+        """The pairs as they were given."""
+        at = np.flatnonzero(self._keys != -1)
+        return dict(zip(self._keys[at].tolist(), zip(self._ranks[at].tolist(), self._made[at].tolist())))
 
 
 class PieceModel:
@@ -106,10 +116,9 @@ class PieceModel:
                 if left is not None and right is not None:
                     pairs[left * self.base + right] = (order[-sp.get_score(i)], i)
         self.pairs = PairTable(pairs)
-        self._pair = pairs
         if any(MARK in p.lstrip(MARK) or ("\n" in p and len(p) > 1) for p in symbols):
             raise ValueError("a piece reaches over a word boundary")
-        self.chars = np.full(0x110000, -1, dtype=np.int64)
+        self.chars = np.full(0x110000, -1, dtype=np.int32)
         for s, i in symbols.items():
             if len(s) == 1:
                 self.chars[ord(s)] = i
@@ -118,6 +127,11 @@ class PieceModel:
         self.shown = [p.replace(MARK, " ") for p in self.pieces]
         self.is_byte = np.isin(np.arange(n), list(self.byte_of))
 
+    @functools.cached_property
+    def _pair(self) -> dict[int, tuple[int, int]]:
+        """The merge table as a dict, for the queue of long words; few workers meet one."""
+        return self.pairs.pairs()
+
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rank, made = self.pairs.find(np.where((left >= 0) & (right >= 0), left * self.base + right, -2))
         return rank, made
@@ -295,26 +309,38 @@ class Codec:
 
     def __init__(self, path: str):
         self.model = load_model(path)
-        self._known: dict[str, tuple[int, str, str]] = {}
-
-    def _learn(self, words: set[str]) -> dict[str, tuple[int, str, str]]:
-        new = [w for w in words if w not in self._known]
-        if len(self._known) + len(new) > CACHE_WORDS:
-            self._known = {w: self._known[w] for w in words if w in self._known}
-        if new:
-            self._known.update(zip(new, self.model.encode_words(new)))
-        return self._known
+        #: Ids of words, joined by commas: the newer and the older generation.
+        self._known: dict[str, str] = {}
+        self._older: dict[str, str] = {}
+        #: Decoded texts that aren't the word itself with blanks for its marks.
+        self._shown: dict[str, str] = {}
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self._known) + len(words - self._known.keys()) > CACHE_WORDS:
+            self._known, self._older = {}, self._known
+            self._shown = {w: t for w, t in self._shown.items() if w in self._older}
+        fresh = words - self._known.keys()
+        back = fresh & self._older.keys()
+        self._known.update((w, self._older[w]) for w in back)
+        new = list(fresh - back)
+        for part in chunks_of(new, MERGE_CHARS):
+            for w, (_, ids, shown) in zip(new[part], self.model.encode_words(new[part])):
+                self._known[w] = ids
+                if shown != w.replace(MARK, " "):
+                    self._shown[w] = shown
 
     def rows(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
         """(number of ids, ids joined by commas, decoded text) of each text."""
         cut = [self.model.words(t) for t in texts]
-        known = self._learn(set().union(*cut)) if cut else {}
+        self._learn(set().union(*cut))
+        known, odd = self._known, self._shown
         for words in cut:
             if not words:
                 yield 0, "", ""
                 continue
-            counts, ids, shown = zip(*[known[w] for w in words])
-            yield sum(counts), ",".join(ids), "".join(shown)[1:]
+            ids = ",".join([known[w] for w in words])
+            shown = "".join([odd.get(w, w) for w in words] if odd else words)
+            yield ids.count(",") + 1, ids, shown.replace(MARK, " ")[1:]
 
 
 def encode(texts: list[str], model_path: str) -> list[list[int]]:
@@ -340,27 +366,41 @@ def chunks_of(texts: list[str], most: int) -> Iterator[slice]:
         yield slice(begin, len(texts))
 
 
-def encoded(docs: DataFrame, model_path: str, keep_ids: bool = False) -> DataFrame:
+def _batch(rows: list[tuple[int, str, str]], doc_ids: pa.Array, keep_ids: bool, keep_text: bool) -> pa.RecordBatch:
+    """What :func:`encoded` returns for some rows."""
+    columns = {
+        "doc_id": doc_ids,
+        "n_tokens": pa.array([n for n, _, _ in rows], pa.int64()),
+        "ids_sha256": pa.array([hashlib.sha256(ids.encode()).hexdigest() for _, ids, _ in rows], pa.string()),
+        "decoded_sha256": pa.array([hashlib.sha256(text.encode()).hexdigest() for _, _, text in rows], pa.string()),
+    }
+    if keep_ids:
+        flat = np.array(",".join([ids for n, ids, _ in rows if n]).split(","), dtype=np.int32) if any(
+            n for n, _, _ in rows) else np.zeros(0, dtype=np.int32)
+        ends = np.cumsum([0, *[n for n, _, _ in rows]], dtype=np.int32)
+        columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+    if keep_text:
+        columns["decoded"] = pa.array([text for _, _, text in rows], pa.string())
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def encoded(docs: DataFrame, model_path: str, keep_ids: bool = False, keep_text: bool | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
-    ``keep_ids`` adds the ids (array) and the decoded text.
+    ``keep_ids`` adds the ids (array) and, unless ``keep_text`` is false, the decoded text.
     """
     prepare(docs.sparkSession)
+    bound_batches(docs.sparkSession)
+    keep_text = keep_ids if keep_text is None else keep_text
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model_path)
-        for pdf in batches:
-            texts = pdf["text"].tolist()
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
             for part in chunks_of(texts, BATCH_CHARS):
-                out = []
-                for n, ids, text in codec.rows(texts[part]):
-                    row = [n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()]
-                    out.append(row + ([np.array(ids.split(","), dtype=np.int32) if ids else [], text] if keep_ids else []))
-                cols = ["n_tokens", "ids_sha256", "decoded_sha256"] + (["ids", "decoded"] if keep_ids else [])
-                done = pd.DataFrame(out, columns=cols)
-                done.insert(0, "doc_id", pdf["doc_id"].iloc[part].to_numpy())
-                yield done
-
-    more = ", ids array<int>, decoded string" if keep_ids else ""
-    return rows.mapInPandas(tidied(run), f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
+                doc_ids = batch.column("doc_id")[part]
+                yield _batch(list(codec.rows(texts[part])), doc_ids, keep_ids, keep_text)
+
+    more = (", ids array<int>" if keep_ids else "") + (", decoded string" if keep_text else "")
+    return rows.mapInArrow(tidied(run), f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")

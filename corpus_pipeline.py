@@ -78,7 +78,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encoded(docs, tokenizer_path(), keep_ids=True).drop("decoded")
+    return pieces.encoded(docs, tokenizer_path(), keep_ids=True, keep_text=False)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import pytest
 
@@ -68,3 +69,31 @@ def test_ids_on_request_and_empty_table(spark, library):
     row = X.encoded(frame(spark, odd_rows()[3:4]), PATH, keep_ids=True).first()
     assert row["ids"] == library.encode("one") and row["decoded"] == "one"
     assert X.encoded(spark.createDataFrame([], SCHEMA), PATH).isEmpty()
+
+
+def test_memory_with_many_different_words(library):
+    """What a worker holds is bounded by its cache and chunk sizes, not by the words of a batch."""
+    texts = [" ".join(f"{a:x}{b:x}" for b in range(1000, 1400)) for a in range(500)]
+    codec = X.Codec(PATH)
+    tracemalloc.start()
+    got = [row[1] for part in X.chunks_of(texts, X.BATCH_CHARS) for row in codec.rows(texts[part])]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[::100] == [",".join(map(str, library.encode(t))) for t in texts[::100]]
+    assert peak < 130e6
+
+
+def test_words_come_back_from_the_older_generation(library, monkeypatch):
+    monkeypatch.setattr(X, "CACHE_WORDS", 60)
+    codec = X.Codec(PATH)
+    texts = ["é☃ the"] + [words(20, i) + " é☃ the" for i in range(12)] + ["", "▁x"]
+    for text in texts * 2:
+        assert [(r[1], r[2]) for r in codec.rows([text])] == [
+            (",".join(map(str, library.encode(text))), library.decode(library.encode(text)))]
+        assert len(codec._known) <= 60 and len(codec._older) <= 60
+
+
+def test_ids_without_the_text(spark):
+    rows = X.encoded(frame(spark, odd_rows()), PATH, keep_ids=True, keep_text=False)
+    assert rows.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    assert all(len(r["ids"]) == r["n_tokens"] for r in rows.collect())
